@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import leakage, lookalike, packing, quantiles, sitelines, spam, splitting, tokens
+from . import leakage, lookalike, ocr, packing, quantiles, sitelines, spam, splitting, tokens
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -53,6 +53,14 @@ def p4_bound_check(spark: SparkSession, d: str) -> DataFrame:
     return quantiles.bound_check(table(spark, d, "runs"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.found(table(spark, d, "block_units"))
+
+
+def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.paragraphs(table(spark, d, "block_units"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return splitting.found(table(spark, d, "block_units"), table(spark, d, "splitter_policies"))
 
@@ -86,7 +94,7 @@ def p10_scores(spark: SparkSession, d: str) -> DataFrame:
     return spam.spam_scores(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean_text, p2_chunks, p2_violations, p2_totals, p3_found, p3_unified_text, p4_percentiles, p4_bound_check, p7_found, p7_pieces, p8_ids, p8_decoded, p9_found, p9_clean_text, p10_found, p10_scores)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean_text, p2_chunks, p2_violations, p2_totals, p3_found, p3_unified_text, p4_percentiles, p4_bound_check, p5_found, p5_paragraphs, p7_found, p7_pieces, p8_ids, p8_decoded, p9_found, p9_clean_text, p10_found, p10_scores)}
 
 SQL = {
     "p2_violations": "SELECT block_id AS id FROM block_units WHERE false",
