@@ -1,29 +1,4 @@
 """All core queries by name, with the SQL they are checked against."""
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators import nested
-from ..session import table
-
-
-def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return nested.found(table(spark, d, "extractions"))
-
-
-def p6_objects(spark: SparkSession, d: str) -> DataFrame:
-    return nested.objects(table(spark, d, "extractions"))
-
-
-def p6_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return nested.level_table(table(spark, d, "extractions"), "block")
-
-
-def p6_key_counts(spark: SparkSession, d: str) -> DataFrame:
-    return nested.key_counts(table(spark, d, "extractions"))
-
-
-QUERIES = {f.__name__: f for f in (p6_found, p6_objects, p6_blocks, p6_key_counts)}
-SQL: dict[str, str] = {}
+from . import blocks, catalog, documents, inventories, nested, runs, vectors  # noqa: F401  (each registers its queries)
+from .base import QUERIES, SQL  # noqa: F401
