@@ -1 +1,109 @@
-"""Queries."""
+"""Queries on rendered documents and on two readings of one document."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..operators import ir, reconcile
+from ..session import table
+from .base import query
+
+
+def _d(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents")
+
+
+@query("SELECT doc_id, rtrim(regexp_extract(text, '(?i)\\b10\\.\\d{4,9}/[-._;()/:A-Z0-9]+', 0), '.,;') AS doi FROM documents WHERE regexp_matches(text, '(?i)\\b10\\.\\d{4,9}/[-._;()/:A-Z0-9]+')")
+def document_doi(spark: SparkSession, d: str) -> DataFrame:
+    return _d(spark, d).select("doc_id", text.doi(F.col("text")).alias("doi")).where("doi is not null")
+
+
+@query("SELECT lower(substr(lang, 1, 2)) AS lang, count(*) AS n, count(text) AS with_text, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(CASE WHEN n_chars <> length(text) THEN 1 ELSE 0 END) AS BIGINT) AS stale_counts FROM documents GROUP BY 1")
+def document_languages(spark: SparkSession, d: str) -> DataFrame:
+    n = F.length("text")
+    return _d(spark, d).groupBy(F.lower(F.substring("lang", 1, 2)).alias("lang")).agg(F.count("*").alias("n"), F.count("text").alias("with_text"), F.sum(n).cast("long").alias("chars"), F.count_if(F.col("n_chars") != n).alias("stale_counts"))
+
+
+@query("SELECT sha256(text) AS fp, count(*) AS copies, min(doc_id) AS first_doc FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def exact_copies(spark: SparkSession, d: str) -> DataFrame:
+    """Classes of equal texts by hash: one row a class, combined before the shuffle."""
+    g = _d(spark, d).where("text is not null").groupBy(F.sha2("text", 256).alias("fp")).agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc"))
+    return g.where("copies > 1")
+
+
+@query("SELECT i.collection_slug, count(DISTINCT d.doc_id) AS documents, count(DISTINCT d.source) AS sources FROM documents d JOIN (SELECT DISTINCT document_id, collection_slug FROM inventory) i ON d.document_id = i.document_id GROUP BY 1")
+def documents_by_collection(spark: SparkSession, d: str) -> DataFrame:
+    i = table(spark, d, "inventory").select("document_id", "collection_slug").distinct()
+    return _d(spark, d).select("doc_id", "document_id", "source").join(i, "document_id").groupBy("collection_slug").agg(F.countDistinct("doc_id").alias("documents"), F.countDistinct("source").alias("sources"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '[\\s\\x{85}\\x{A0}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{3000}]+', ' ', 'g')) AS plain FROM documents WHERE contains(text, '<a ')")
+def stripped_tags(spark: SparkSession, d: str) -> DataFrame:
+    return _d(spark, d).where(F.contains("text", F.lit("<a "))).select("doc_id", text.strip_tags(F.col("text")).alias("plain"))
+
+
+@query()
+def html_to_text(spark: SparkSession, d: str) -> DataFrame:
+    return _d(spark, d).where(F.contains("text", F.lit("<"))).select("doc_id", text.html_to_text("text").alias("plain"))
+
+
+@query()
+def html_to_markdown(spark: SparkSession, d: str) -> DataFrame:
+    return _d(spark, d).where(F.contains("text", F.lit("<"))).select("doc_id", text.html_to_markdown("text").alias("markdown"))
+
+
+@query("SELECT doc_id, len(string_split(text, chr(10))) AS n_lines, CAST(len(list_filter(string_split(text, chr(10)), lambda x: starts_with(x, '#'))) AS INTEGER) AS headings, CAST(len(list_filter(string_split(text, chr(10)), lambda x: starts_with(x, '- '))) AS INTEGER) AS items FROM documents WHERE text IS NOT NULL")
+def line_profile(spark: SparkSession, d: str) -> DataFrame:
+    lines = F.split("text", "\n")
+    return _d(spark, d).where("text is not null").select("doc_id", F.size(lines).cast("long").alias("n_lines"), F.size(F.filter(lines, lambda x: F.startswith(x, F.lit("#")))).alias("headings"), F.size(F.filter(lines, lambda x: F.startswith(x, F.lit("- ")))).alias("items"))
+
+
+def _readings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Root blocks with their texts as the first reading, their first lines as items of the second."""
+    records = table(spark, d, "extractions")
+    texts = ir.block_texts(records).select("record_id", F.col("block").alias("node"), F.col("text").alias("words"))
+    b = ir.blocks(records).where(F.col("node").rlike("^p\\d+:[bd]\\d+$")).drop("text").join(texts, ["record_id", "node"], "left")
+    page = F.regexp_extract("node", "^(p\\d+)", 1)
+    blocks = b.select("record_id", page.alias("page"), F.col("node").alias("id"), F.col("ordinal"), "type", "bbox", F.col("words").alias("text"))
+    kind = F.when(F.col("type").isin("text", "ref_text", "abstract"), "paragraph").when(F.col("type") == "interline_equation", "equation_interline").otherwise(F.col("type"))
+    # the second reading sees boxes a little off and texts cut short
+    moved = F.transform("bbox", lambda x, i: x + F.when(i < 2, -2.0).otherwise(3.0))
+    items = blocks.where("bbox is not null").select("record_id", "page", F.concat(F.lit("i:"), "id").alias("id"), "ordinal", kind.alias("type"), moved.alias("bbox"), F.expr("substr(text, 1, greatest(1, length(text) - 3))").alias("text"))
+    return items, blocks
+
+
+@query()
+def iou_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return reconcile.candidates(*_readings(spark, d)).where("iou > 0")
+
+
+@query()
+def best_and_margin(spark: SparkSession, d: str) -> DataFrame:
+    return reconcile.best_and_margin(reconcile.candidates(*_readings(spark, d)))
+
+
+@query()
+def greedy_reconciliation(spark: SparkSession, d: str) -> DataFrame:
+    return reconcile.greedy(*_readings(spark, d))
+
+
+@query()
+def reconciliation_counts(spark: SparkSession, d: str) -> DataFrame:
+    return reconcile.counts(reconcile.greedy(*_readings(spark, d)))
+
+
+@query()
+def unmatched_blocks(spark: SparkSession, d: str) -> DataFrame:
+    items, blocks = _readings(spark, d)
+    return reconcile.unmatched_blocks(reconcile.greedy(items, blocks), blocks)
+
+
+@query()
+def sequence_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """Similarity of each title in the inventory to the front-matter title of its document."""
+    from .blocks import title_pick
+
+    i = table(spark, d, "inventory").where("trim(title) <> ''").groupBy("document_id").agg(F.max_by("title", F.struct("modified_at", "revision_id")).alias("stated"))
+    return i.join(title_pick(spark, d), "document_id").select("document_id", text.sequence_ratio(text.normalize_text("stated"), text.normalize_text("title")).alias("ratio"), text.sequence_ratio_exact("stated", "title").alias("exact_ratio"))
