@@ -135,15 +135,18 @@ def unify_column(df: DataFrame, text: str, out: str = "unified") -> DataFrame:
     code points and no more. Other columns, whatever their names, are kept.
     """
     spark = df.sparkSession
-    affected = df.select(F.col(text).alias("__s")).where(F.col("__s").isNotNull() & is_unstable(F.col("__s"))).distinct()
+    # rows of one code point carry a hash of their string, never the string
+    key = F.when(is_unstable(F.col(f"`{text}`")), F.unhex(F.md5(F.col(f"`{text}`"))))
+    affected = df.select(key.alias("__k"), F.col(f"`{text}`").alias("__s")).where("__k is not null").dropDuplicates(["__k"])
     # one row per code point, each replaced by its parts
-    points = affected.select("__s", F.posexplode(F.regexp_extract_all("__s", F.lit("(?s)."), F.lit(0))).alias("__pos", "ch"))
-    mapped = points.join(F.broadcast(mapping_frame(spark)), "ch", "left").select("__s", "__pos", F.coalesce("parts", "ch").alias("part"))
-    whole = mapped.groupBy("__s").agg(F.array_sort(F.collect_list(F.struct("__pos", "part"))).alias("a"))
+    points = affected.select("__k", F.posexplode(F.regexp_extract_all("__s", F.lit("(?s)."), F.lit(0))).alias("__pos", "ch"))
+    mapped = points.join(F.broadcast(mapping_frame(spark)), "ch", "left").select("__k", "__pos", F.coalesce("parts", "ch").alias("part"))
+    whole = mapped.groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("__pos", "part"))).alias("a"))
     # ordering of the marks by combining class and recomposition are the two steps of NFC
-    fixed = whole.select("__s", _compose(F.array_join(F.transform("a", lambda x: x["part"]), "")).alias("__u"))
+    fixed = whole.select("__k", _compose(F.array_join(F.transform("a", lambda x: x["part"]), "")).alias("__u"))
     keep = [F.col(f"l.`{c}`") for c in df.columns if c != out]
-    return df.alias("l").join(fixed.alias("r"), F.col(f"l.`{text}`") == F.col("r.__s"), "left").select(*keep, F.coalesce(F.col("r.__u"), F.col(f"l.`{text}`")).alias(out))
+    left = df.withColumn("__key", key)
+    return left.alias("l").join(fixed.alias("r"), F.col("l.__key") == F.col("r.__k"), "left").select(*keep, F.coalesce(F.col("r.__u"), F.col(f"l.`{text}`")).alias(out))
 
 
 def look_alike_pairs(df: DataFrame, field: str, key: str, text: str) -> DataFrame:

@@ -103,8 +103,8 @@ def _components(pdf: pd.DataFrame) -> pd.DataFrame:
     for a in zip(pdf.h1, pdf.h2):
         parent.setdefault(a, a)
     for a, b in zip(zip(pdf.h1, pdf.h2), zip(pdf.g1, pdf.g2)):
-        if pd.notna(b[0]) and (int(b[0]), int(b[1])) in parent:
-            x, y = root(a), root((int(b[0]), int(b[1])))
+        if b in parent:
+            x, y = root(a), root(b)
             if x != y:
                 parent[max(x, y)] = min(x, y)
     nodes = pdf[["slug", "h1", "h2", "n_docs"]].drop_duplicates(["h1", "h2"])
@@ -143,7 +143,8 @@ def site_line_occurrences(blocks: DataFrame, min_documents: int = MIN_DOCUMENTS,
         .where((F.col("w") >= min_documents) & (F.col("w") >= min_share * F.col("n_collection") - 1e-9))
         .select("slug", "h1", "h2", "g1", "g2")
     )
-    graph = nodes.join(edges, ["slug", "h1", "h2"], "left").select("slug", "h1", "h2", "n_docs", "g1", "g2")
+    # a node without an edge is its own neighbour: a null would turn the hashes into floating-point numbers in pandas
+    graph = nodes.join(edges, ["slug", "h1", "h2"], "left").select("slug", "h1", "h2", "n_docs", F.coalesce("g1", "h1").alias("g1"), F.when(F.col("g1").isNull(), F.col("h2")).otherwise(F.col("g2")).alias("g2"))
     parts = graph.groupBy("slug").applyInPandas(_components, "slug string, h1 long, h2 long, n_docs long, component long")
     return hits.drop("n_docs", "n_collection").join(parts, ["slug", "h1", "h2"]).select("slug", "document_id", "block_id", "line_no", "component", "n_docs")
 

@@ -146,7 +146,9 @@ def measure(text: str, stop_early: bool = True) -> tuple[int, int, int]:
     for n, clause, link, tokens in parts:
         hit = sum(covered[at : at + len(tokens)])
         at += len(tokens) + 1
-        if not clause and ((link and n_links >= 3) or hit >= REPEATED_SHARE * len(tokens)):
+        # rows of figures are data, not keywords
+        data = not link and 3 * sum(t[0].isdigit() for t in tokens) >= len(tokens)
+        if not clause and not data and ((link and n_links >= 3) or hit >= REPEATED_SHARE * len(tokens)):
             spam += n
     return total, loose, spam
 

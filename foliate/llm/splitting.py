@@ -55,21 +55,25 @@ def _nearest(at: list[int], low: int, high: int, target: int) -> int | None:
 
 def _attempt(n: int, size: int, overlap: int, k: int, at: list[int], strength: dict[int, int], reach: float) -> list[tuple[int, int]] | None:
     """k pieces, or None if a limit fails."""
-    out, start = [], 0
+    out, start, last = [], 0, 0
     for left in range(k, 1, -1):
         goal = (n - start + (left - 1) * overlap) / left  # equal length of the pieces still to come
         if goal > size:
             return None
         target = start + goal
         slack = max(1.0, goal * reach)
-        end = _best(at, strength, max(start + 1, int(target - slack)), min(start + size, int(target + slack), n - 1), target)
+        low = max(start, last) + 1  # each piece ends after the one before
+        if low > n - 1:
+            return None
+        end = _best(at, strength, max(low, int(target - slack)), min(start + size, int(target + slack), n - 1), target)
         if end is None:
-            end = _nearest(at, start + 1, min(start + size, n - 1), int(target)) or min(start + max(1, int(goal)), n - 1)
+            end = _nearest(at, low, min(start + size, n - 1), int(target)) or min(max(low, start + int(goal)), n - 1)
         out.append((start, end))
+        last = end
         back = end
         if overlap:
             wanted = max(start + 1, end - overlap)
-            back = _nearest(at, max(start + 1, end - 2 * overlap), min(end, wanted + overlap // 2), wanted) or wanted
+            back = _nearest(at, max(start + 1, end - min(2 * overlap, size - 1)), min(end, wanted + overlap // 2), wanted) or wanted
         start = back
     if n - start > size:
         return None
@@ -100,10 +104,11 @@ def split(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
             if made:
                 return made
     # any text: greedy pieces, the last boundary within the size or a cut at the size itself
-    out, start = [], 0
+    out, start, last = [], 0, 0
     while n - start > size:
-        end = _best(at, strength, start + size // 2 + 1, start + size, start + size) or start + size
+        end = _best(at, strength, max(start + size // 2, last) + 1, start + size, start + size) or start + size
         out.append((start, end))
+        last = end
         wanted = max(start + 1, end - overlap)
         start = (_nearest(at, wanted, end, wanted) or wanted) if overlap else end
     out.append((start, n))
