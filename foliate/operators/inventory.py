@@ -49,10 +49,15 @@ def is_invalid() -> Column:
 
 
 def keep(df: DataFrame, keys: list[str], last: bool) -> DataFrame:
-    """One row per key: the first or last by position, ties by content hash."""
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    order = [position().desc(), tie.desc()] if last else [position().asc(), tie.asc()]
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")
+    """One row per key: the first or last by position, ties by content hash.
+
+    A keyed minimum or maximum of whole rows, combined before the shuffle, so a
+    key that holds a third of all rows costs one row a partition.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    order = F.struct(position().alias("p"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("h"))
+    pick = F.max_by(row, order) if last else F.min_by(row, order)
+    return df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(pick.alias("__r")).select("__r.*")
 
 
 def extraction_manifest(inv: DataFrame) -> DataFrame:
@@ -161,7 +166,8 @@ def stratified_sample(inv: DataFrame, size: int, seed: int = 42) -> DataFrame:
     """Quota rows per stratum in hash order; rows beyond the size are trimmed and missing ones filled in hash order."""
     frame = stratified_frame(inv).withColumn("h", hash_order(seed))
     q = strata(frame, size)
-    ranked = frame.withColumn("__r", F.row_number().over(Window.partitionBy("stratum").orderBy("h"))).join(q, "stratum")
+    # the literal bound lets each partition keep its first rows of a stratum before the exchange
+    ranked = frame.withColumn("__r", F.row_number().over(Window.partitionBy("stratum").orderBy("h"))).where(F.col("__r") <= size).join(q, "stratum")
     return ranked.orderBy((F.col("__r") > F.col("quota")).cast("int"), (F.col("__r") > 1).cast("int"), "h").limit(size).drop("__r", "h", "quota", "population")
 
 
