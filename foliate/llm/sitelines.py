@@ -82,8 +82,8 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def keyed_lines(blocks: DataFrame) -> DataFrame:
     """``slug, document_id, block_id, line_no, h1, h2`` of every line that takes part.
 
-    Keys are made in Arrow batches: str.translate and one compiled pattern cost
-    about a seventh of the CPU time of the same work in JVM regular expressions.
+    Keys are made in Arrow batches by bytes.translate, which took less than half
+    of the time of the same work in JVM regular expressions.
     """
     rows = blocks.where("text is not null and block_id is not null and (role is null or role <> 'title')").select(F.coalesce("collection_slug", F.lit("\0")).alias("slug"), "document_id", "block_id", "text")
     kind = "slug string, document_id string, block_id string, lines array<struct<line_no:int,h1:long,h2:long>>"

@@ -240,7 +240,7 @@ def test_held_out_corruptions():
 
 
 def test_broken_words():
-    v = speller().vocabulary
+    v = speller().joiner
     for text, n in (("the con-\ntract", 1), ("the con- \r\n tract", 1), ("con­\ntract", 1), ("con¬\ntract", 1), ("the con- tract", 1), ("short- and long-term", 0), ("well-known", 0), ("the con­tract", 0), ("ends in con-", 1), ("a - b", 0), ("Zoka-\nreth", 1)):
         assert len(ocr.broken_words(text, "", v)) == n, text
 
