@@ -22,8 +22,8 @@ SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
 
 def units(blocks: DataFrame) -> DataFrame:
-    """Blocks with text in reading order and the section they belong to."""
-    return structure.reading_order(blocks).where("length(text) > 0").withColumn("section", F.coalesce("section_id", F.concat(F.col("document_id"), F.lit(":none"))))
+    """Blocks with text in reading order and the section they belong to; positions are dense among them."""
+    return structure.reading_order(blocks.where("length(text) > 0"), "section_id", "role", "text").withColumn("section", F.coalesce("section_id", F.concat(F.col("document_id"), F.lit(":none"))))
 
 
 def section_offsets(blocks: DataFrame) -> DataFrame:

@@ -156,8 +156,9 @@ def seeded_sample(inv: DataFrame, size: int, seed: int = 42) -> DataFrame:
 def strata(frame: DataFrame, size: int) -> DataFrame:
     """Rows to take per stratum: one each, the rest in proportion, rounded half to even, never above the stratum."""
     s = frame.groupBy("stratum").agg(F.count("*").alias("population"))
-    totals = s.agg(F.sum("population").alias("total"), F.count("*").alias("n_strata"))
-    joined = s.join(F.broadcast(totals), F.lit(True))
+    # at most 9 x 7 x 3 strata: one small window holds them
+    w = Window.partitionBy(F.lit(1))
+    joined = s.withColumn("total", F.sum("population").over(w)).withColumn("n_strata", F.count("*").over(w))
     slots = F.greatest(F.lit(0), F.lit(size) - F.col("n_strata"))
     return joined.select("stratum", "population", F.least(F.col("population"), 1 + F.bround(F.col("population") / F.col("total") * slots).cast("long")).alias("quota"))
 

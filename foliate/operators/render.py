@@ -25,7 +25,7 @@ def block_markdown(blocks: DataFrame) -> DataFrame:
 def markdown(blocks: DataFrame) -> DataFrame:
     """``document_id, markdown, n_blocks``: headers first, footers last, the flow joined by blank lines; a document
     without a heading gets its first line as one. Null and blank blocks give nothing."""
-    b = block_markdown(structure.title_levels(blocks)).where("md is not null")
+    b = block_markdown(structure.title_levels(blocks, "source_type", "asset_ids", texts=True)).where("md is not null")
     place = F.when(F.col("source_type") == "header", 0).when(F.col("source_type") == "footer", 2).otherwise(1)
     g = b.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct(place.alias("place"), "position", "md"))).alias("a"), F.max((F.col("role") == "title").cast("int")).alias("headed"))
     body = F.array_join(F.transform("a", lambda x: x["md"]), "\n\n")

@@ -32,10 +32,13 @@ def in_order() -> tuple[Column, Column]:
     return F.col("reading_order").asc_nulls_first(), F.col("block_id")
 
 
-def distinct_blocks(blocks: DataFrame) -> DataFrame:
-    """One row per block id, the copy loaded last."""
-    rest = [c for c in blocks.columns if c != "block_id"]
-    latest = F.max_by(F.struct(*rest), F.struct("loaded_at", F.xxhash64("text"))).alias("r")
+def distinct_blocks(blocks: DataFrame, *columns: str) -> DataFrame:
+    """One row per block id, the copy loaded last, with the given columns or all.
+
+    Only the columns asked for reach the scan and the shuffle; rows are combined before it.
+    """
+    rest = list(columns) or [c for c in blocks.columns if c != "block_id"]
+    latest = F.max_by(F.struct(*rest), F.struct("loaded_at", F.xxhash64(*rest))).alias("r")
     return blocks.where("block_id is not null").groupBy("block_id").agg(latest).select("block_id", "r.*")
 
 
@@ -54,9 +57,11 @@ def role(block_type: Column, item_type: Column | None = None, compatible: Column
     return F.coalesce(F.when(compatible, _lookup(item_type, ROLE_BY_CONTENT_TYPE)), own, F.lit("other"))
 
 
-def reading_order(blocks: DataFrame) -> DataFrame:
+def reading_order(blocks: DataFrame, *columns: str) -> DataFrame:
+    """Distinct blocks with their ``position`` in the document, and the given columns or all."""
     w = Window.partitionBy("document_id").orderBy(*in_order())
-    return distinct_blocks(blocks).withColumn("position", F.row_number().over(w) - 1)
+    wanted = [*dict.fromkeys(["document_id", "reading_order", *columns])] if columns else []
+    return distinct_blocks(blocks, *wanted).withColumn("position", F.row_number().over(w) - 1)
 
 
 def merged_order(df: DataFrame, group: list[str], physical: str, ordinal: str) -> DataFrame:
@@ -70,9 +75,13 @@ def merged_order(df: DataFrame, group: list[str], physical: str, ordinal: str) -
     return placed.withColumn("merged", F.row_number().over(g.orderBy(F.col("__anchor").asc_nulls_last(), F.col("__rank").isNotNull(), physical)) - 1).drop("__rank", "__anchor")
 
 
-def title_levels(blocks: DataFrame) -> DataFrame:
-    """Title blocks with ``level``: the first of a document 1, numbered ones by the depth of their number plus one, others 2."""
-    o = reading_order(blocks)
+def title_levels(blocks: DataFrame, *columns: str, texts: bool = False) -> DataFrame:
+    """Blocks in order with ``level`` for titles: the first of a document 1, numbered ones by the depth of their number plus one, others 2.
+
+    Texts of other blocks are dropped before the shuffle unless they are asked for.
+    """
+    b = blocks if texts else blocks.withColumn("text", F.when(F.col("role") == "title", F.col("text")))
+    o = reading_order(b, "role", "text", *columns)
     first = F.row_number().over(Window.partitionBy("document_id", F.col("role") == "title").orderBy("position"))
     number = F.regexp_extract("text", "^(\\d+(?:\\.\\d+)*)\\.?\\s", 1)
     level = F.when(first == 1, 1).when(number != "", F.least(F.lit(MAX_LEVEL), F.size(F.split(number, "\\.")) + 1)).otherwise(2)
@@ -144,17 +153,17 @@ def regions(blocks: DataFrame) -> DataFrame:
 
 def assets(blocks: DataFrame) -> DataFrame:
     """One row per asset of each block with its kind; an asset listed twice counts once."""
-    b = distinct_blocks(blocks).select("document_id", "block_id", "page", "role", F.explode(F.array_distinct("asset_ids")).alias("asset_id"))
+    b = distinct_blocks(blocks.where(F.size("asset_ids") > 0), "document_id", "page", "role", "asset_ids").select("document_id", "block_id", "page", "role", F.explode(F.array_distinct("asset_ids")).alias("asset_id"))
     return b.withColumn("kind", F.coalesce(_lookup(F.col("role"), ASSET_KIND_BY_ROLE), F.lit("figure")))
 
 
 def violations(blocks: DataFrame) -> DataFrame:
     """Structure checks, one row per violation: unknown role, wrong character count, section of another document, asset that repeats across blocks, missing document."""
-    b = distinct_blocks(blocks)
+    b = distinct_blocks(blocks.withColumn("n", F.length("text")), "document_id", "role", "char_count", "section_id", "page", "n")
     known = sorted(set(ROLE_BY_TYPE.values()) | {"other"})
     checks = F.array_compact(
         F.array(
-            F.when(~F.col("role").isin(*known), "unknown_role"), F.when(F.coalesce("char_count", F.lit(-1)) != F.coalesce(F.length("text"), F.lit(-1)), "char_count"), F.when(~F.startswith(F.col("section_id"), F.col("document_id")), "foreign_section"),
+            F.when(~F.col("role").isin(*known), "unknown_role"), F.when(F.coalesce("char_count", F.lit(-1)) != F.coalesce("n", F.lit(-1)), "char_count"), F.when(~F.startswith(F.col("section_id"), F.col("document_id")), "foreign_section"),
             F.when(F.col("document_id").isNull(), "no_document"), F.when(F.col("page").isNull(), "no_page"),
         )
     )

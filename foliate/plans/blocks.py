@@ -23,8 +23,8 @@ def _b(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "block_units")
 
 
-def _one(spark: SparkSession, d: str) -> DataFrame:
-    return structure.distinct_blocks(_b(spark, d))
+def _one(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return structure.distinct_blocks(_b(spark, d), *columns)
 
 
 # ---- profiles -------------------------------------------------------------------------------
@@ -32,7 +32,7 @@ def _one(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT CASE WHEN source_type IN ('header', 'footer', 'page_number') THEN 'discarded' ELSE 'content' END AS collection, source_type, count(*) AS n FROM {_B} GROUP BY 1, 2")
 def block_type_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _one(spark, d).groupBy(F.when(F.col("source_type").isin(*structure.FURNITURE), "discarded").otherwise("content").alias("collection"), "source_type").agg(F.count("*").alias("n"))
+    return _one(spark, d, "source_type").groupBy(F.when(F.col("source_type").isin(*structure.FURNITURE), "discarded").otherwise("content").alias("collection"), "source_type").agg(F.count("*").alias("n"))
 
 
 _TYPES = ("text", "title", "ref_text", "list", "table", "image", "header", "page_number")
@@ -40,14 +40,14 @@ _TYPES = ("text", "title", "ref_text", "list", "table", "image", "header", "page
 
 @query(f"SELECT document_id, {', '.join(f'CAST(sum(CASE WHEN source_type = {chr(39)}{t}{chr(39)} THEN 1 ELSE 0 END) AS BIGINT) AS {t}' for t in _TYPES)} FROM {_B} GROUP BY 1")
 def block_type_pivot(spark: SparkSession, d: str) -> DataFrame:
-    return _one(spark, d).groupBy("document_id").pivot("source_type", list(_TYPES)).count().na.fill(0)
+    return _one(spark, d, "document_id", "source_type").groupBy("document_id").pivot("source_type", list(_TYPES)).count().na.fill(0)
 
 
 @query(f"""SELECT document_id, count(DISTINCT page) AS pages, count(*) AS blocks, CAST(sum(length(text)) AS BIGINT) AS chars, min(page) AS first_page, max(page) AS last_page, min(length(text)) AS shortest, max(length(text)) AS longest,
     min(reading_order) AS first_order, max(reading_order) AS last_order FROM {_B} GROUP BY 1""")
 def page_summary(spark: SparkSession, d: str) -> DataFrame:
     n = F.length("text")
-    return _one(spark, d).groupBy("document_id").agg(
+    return _one(spark, d, "document_id", "page", "reading_order", "text").groupBy("document_id").agg(
         F.countDistinct("page").alias("pages"), F.count("*").alias("blocks"), F.sum(n).cast("long").alias("chars"), F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.min(n).cast("long").alias("shortest"), F.max(n).cast("long").alias("longest"),
         F.min("reading_order").alias("first_order"), F.max("reading_order").alias("last_order"),
     )
@@ -57,23 +57,23 @@ def page_summary(spark: SparkSession, d: str) -> DataFrame:
     SELECT l.document_id, l.page, l.block_id, l.source_type, l.n AS n_lines FROM l JOIN k ON l.document_id = k.document_id AND l.page = k.page AND l.block_id = k.block_id AND l.source_type = k.source_type""")
 def multi_line_detail(spark: SparkSession, d: str) -> DataFrame:
     keys = ["document_id", "page", "block_id", "source_type"]
-    return _one(spark, d).where("text is not null").select(*keys, F.size(F.split("text", "\n")).cast("long").alias("n_lines")).where("n_lines > 1").na.drop(subset=keys)
+    return _one(spark, d, "document_id", "page", "source_type", "text").where("text is not null").select(*keys, F.size(F.split("text", "\n")).cast("long").alias("n_lines")).where("n_lines > 1").na.drop(subset=keys)
 
 
 @query(f"SELECT page, level, count(*) AS n FROM {_T} WHERE level IS NOT NULL GROUP BY 1, 2")
 def title_level_counts(spark: SparkSession, d: str) -> DataFrame:
-    return structure.title_levels(_b(spark, d)).where("level is not null").groupBy("page", F.col("level").cast("long").alias("level")).agg(F.count("*").alias("n"))
+    return structure.title_levels(_b(spark, d), "page").where("level is not null").groupBy("page", F.col("level").cast("long").alias("level")).agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT role, count(*) AS n, CAST(sum(CASE WHEN length(text) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS filled, CAST(sum(CASE WHEN coalesce(length(text), 0) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS blank, median(length(text)) AS chars_median, quantile_cont(length(text), 0.95) AS chars_p95 FROM {_B} GROUP BY 1")
 def role_summary(spark: SparkSession, d: str) -> DataFrame:
     n = F.length("text")
-    return _one(spark, d).groupBy("role").agg(F.count("*").alias("n"), F.count_if(n > 0).alias("filled"), F.count_if(F.coalesce(n, F.lit(0)) == 0).alias("blank"), F.median(n).alias("chars_median"), F.percentile(n, 0.95).alias("chars_p95"))
+    return _one(spark, d, "role", "text").groupBy("role").agg(F.count("*").alias("n"), F.count_if(n > 0).alias("filled"), F.count_if(F.coalesce(n, F.lit(0)) == 0).alias("blank"), F.median(n).alias("chars_median"), F.percentile(n, 0.95).alias("chars_p95"))
 
 
 @query(f"SELECT block_id, source_type, role FROM {_B} WHERE source_type IN ('header', 'footer', 'page_number') AND role NOT IN ('other', 'aside')")
 def noise_leak(spark: SparkSession, d: str) -> DataFrame:
-    return _one(spark, d).where(F.col("source_type").isin(*structure.FURNITURE) & ~F.col("role").isin("other", "aside")).select("block_id", "source_type", "role")
+    return _one(spark, d, "source_type", "role").where(F.col("source_type").isin(*structure.FURNITURE) & ~F.col("role").isin("other", "aside")).select("block_id", "source_type", "role")
 
 
 _RULES = (("no_text", "text IS NULL"), ("blank_text", "trim(text) = ''"), ("no_page", "page IS NULL"), ("no_section", "section_id IS NULL"), ("no_type", "source_type IS NULL"), ("wrong_count", "coalesce(char_count, -1) <> length(text)"))
@@ -82,7 +82,7 @@ _RULES = (("no_text", "text IS NULL"), ("blank_text", "trim(text) = ''"), ("no_p
 @query(" UNION ALL ".join(f"SELECT document_id, block_id, '{n}' AS anomaly FROM {_B} WHERE {r}" for n, r in _RULES))
 def anomalies(spark: SparkSession, d: str) -> DataFrame:
     labels = F.array_compact(F.array(*[F.when(F.expr(r), n) for n, r in _RULES]))
-    return _one(spark, d).select("document_id", "block_id", F.explode(labels).alias("anomaly"))
+    return _one(spark, d, "document_id", "text", "page", "section_id", "source_type", "char_count").select("document_id", "block_id", F.explode(labels).alias("anomaly"))
 
 
 @query("SELECT anomaly, count(*) AS n, count(DISTINCT document_id) AS documents FROM (" + " UNION ALL ".join(f"SELECT document_id, block_id, '{n}' AS anomaly FROM {_B} WHERE {r}" for n, r in _RULES) + ") GROUP BY 1")
@@ -96,27 +96,27 @@ def anomaly_summary(spark: SparkSession, d: str) -> DataFrame:
     FROM (SELECT DISTINCT document_id FROM inventory) i LEFT JOIN b USING (document_id) LEFT JOIN t USING (document_id) LEFT JOIN r USING (document_id)""")
 def document_summary(spark: SparkSession, d: str) -> DataFrame:
     """Left chain over one conditional aggregation instead of three joins."""
-    per = _one(spark, d).groupBy("document_id").agg(F.count("*").alias("blocks"), F.count_if(F.col("role") == "title").alias("titles"), F.count_if(F.col("role") == "reference").alias("reference_blocks"))
+    per = _one(spark, d, "document_id", "role").groupBy("document_id").agg(F.count("*").alias("blocks"), F.count_if(F.col("role") == "title").alias("titles"), F.count_if(F.col("role") == "reference").alias("reference_blocks"))
     return table(spark, d, "inventory").select("document_id").distinct().join(per, "document_id", "left").na.fill(0)
 
 
 @query(f"""WITH b AS (SELECT document_id, sha256(role || '|' || text) AS fp, role IN ('other') AS discarded FROM {_B} WHERE role IS NOT NULL AND text IS NOT NULL),
     d AS (SELECT document_id, CAST(sum(n - 1) AS BIGINT) AS duplicated FROM (SELECT document_id, fp, count(*) AS n FROM b WHERE NOT discarded GROUP BY 1, 2) GROUP BY 1) SELECT document_id, duplicated FROM d""")
 def block_fingerprints(spark: SparkSession, d: str) -> DataFrame:
-    b = _one(spark, d).where("role is not null and text is not null and role <> 'other'").groupBy("document_id", F.sha2(F.concat_ws("|", "role", "text"), 256).alias("fp")).agg(F.count("*").alias("n"))
+    b = _one(spark, d, "document_id", "role", "text").where("role is not null and text is not null and role <> 'other'").groupBy("document_id", F.sha2(F.concat_ws("|", "role", "text"), 256).alias("fp")).agg(F.count("*").alias("n"))
     return b.groupBy("document_id").agg(F.sum(F.col("n") - 1).cast("long").alias("duplicated"))
 
 
 @query(f"WITH b AS (SELECT DISTINCT document_id, sha256(text) AS fp, role = 'other' AS discarded FROM {_B} WHERE text IS NOT NULL AND role IS NOT NULL) SELECT document_id, count(*) AS overlap FROM (SELECT document_id, fp FROM b WHERE discarded INTERSECT SELECT document_id, fp FROM b WHERE NOT discarded) GROUP BY 1")
 def content_discarded_overlap(spark: SparkSession, d: str) -> DataFrame:
     other = F.col("role") == "other"
-    g = _one(spark, d).where("text is not null and role is not null").groupBy("document_id", F.sha2("text", 256).alias("fp")).agg(F.max(other).alias("a"), F.max(~other).alias("b"))
+    g = _one(spark, d, "document_id", "role", "text").where("text is not null and role is not null").groupBy("document_id", F.sha2("text", 256).alias("fp")).agg(F.max(other).alias("a"), F.max(~other).alias("b"))
     return g.where("a and b").groupBy("document_id").agg(F.count("*").alias("overlap"))
 
 
 @query(f"SELECT document_id, CAST(sum(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_text, CAST(sum(CASE WHEN page IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_page, CAST(sum(CASE WHEN section_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_section, CAST(sum(CASE WHEN source_type IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_type, CAST(sum(CASE WHEN char_count IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_count FROM {_B} GROUP BY 1")
 def null_metrics(spark: SparkSession, d: str) -> DataFrame:
-    return _one(spark, d).groupBy("document_id").agg(*[F.count_if(F.col(c).isNull()).alias(n) for c, n in (("text", "no_text"), ("page", "no_page"), ("section_id", "no_section"), ("source_type", "no_type"), ("char_count", "no_count"))])
+    return _one(spark, d, "document_id", "text", "page", "section_id", "source_type", "char_count").groupBy("document_id").agg(*[F.count_if(F.col(c).isNull()).alias(n) for c, n in (("text", "no_text"), ("page", "no_page"), ("section_id", "no_section"), ("source_type", "no_type"), ("char_count", "no_count"))])
 
 
 # ---- structure ------------------------------------------------------------------------------
@@ -124,7 +124,7 @@ def null_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT block_id, document_id, position FROM {_O}")
 def reading_order(spark: SparkSession, d: str) -> DataFrame:
-    return structure.reading_order(_b(spark, d)).select("block_id", "document_id", "position")
+    return structure.reading_order(_b(spark, d), "document_id").select("block_id", "document_id", "position")
 
 
 _MATCH = "CASE WHEN source_type IN ('title', 'table', 'image', 'list') THEN CAST(length(text) % 7 AS INTEGER) END"
@@ -136,7 +136,7 @@ _MATCH = "CASE WHEN source_type IN ('title', 'table', 'image', 'list') THEN CAST
          a AS (SELECT *, (SELECT q.rk FROM r q WHERE q.document_id = r.document_id AND q.page = r.page AND q.position >= r.position AND q.rk IS NOT NULL ORDER BY q.position LIMIT 1) AS anchor FROM r)
     SELECT block_id, CAST(row_number() OVER (PARTITION BY document_id, page ORDER BY anchor NULLS LAST, rk IS NOT NULL, position) - 1 AS INTEGER) AS merged FROM a""")
 def merged_order(spark: SparkSession, d: str) -> DataFrame:
-    o = structure.reading_order(_b(spark, d)).select("document_id", F.coalesce("page", F.lit(-1)).alias("page"), "block_id", "position", F.expr(_MATCH).alias("ordinal"))
+    o = structure.reading_order(_b(spark, d), "page", "source_type", "text").select("document_id", F.coalesce("page", F.lit(-1)).alias("page"), "block_id", "position", F.expr(_MATCH).alias("ordinal"))
     return structure.merged_order(o, ["document_id", "page"], "position", "ordinal").select("block_id", "merged")
 
 
@@ -165,7 +165,7 @@ def list_groups(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT block_id, CASE {' '.join(f'WHEN source_type = {chr(39)}{k}{chr(39)} THEN {chr(39)}{v}{chr(39)}' for k, v in structure.ROLE_BY_TYPE.items())} ELSE 'other' END AS derived_role FROM {_B}")
 def role_classification(spark: SparkSession, d: str) -> DataFrame:
-    return _one(spark, d).select("block_id", structure.role(F.col("source_type")).alias("derived_role"))
+    return _one(spark, d, "source_type").select("block_id", structure.role(F.col("source_type")).alias("derived_role"))
 
 
 @query()
@@ -188,7 +188,7 @@ def structure_invariants(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT block_id, rtrim(regexp_extract(text, '(?i)\\b10\\.\\d{{4,9}}/[-._;()/:A-Z0-9]+', 0), '.,;') AS doi FROM {_B} WHERE regexp_matches(text, '(?i)\\b10\\.\\d{{4,9}}/[-._;()/:A-Z0-9]+')")
 def doi_extract(spark: SparkSession, d: str) -> DataFrame:
-    return _one(spark, d).select("block_id", text.doi(F.col("text")).alias("doi")).where("doi is not null")
+    return _one(spark, d, "text").select("block_id", text.doi(F.col("text")).alias("doi")).where("doi is not null")
 
 
 _YEARS = f"""WITH y AS (SELECT document_id, position, unnest(regexp_extract_all(text, '\\b(19\\d{{2}}|20\\d{{2}})\\b', 1)) AS year, generate_subscripts(regexp_extract_all(text, '\\b(19\\d{{2}}|20\\d{{2}})\\b', 1), 1) AS k FROM {_O}),
@@ -198,7 +198,7 @@ _YEARS = f"""WITH y AS (SELECT document_id, position, unnest(regexp_extract_all(
 @query(f"{_YEARS} SELECT document_id, year, n, least(0.8, round(0.5 + 0.1 * (n - 1), 6))::DOUBLE AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY n DESC, seen) AS rn FROM g) WHERE rn = 1")
 def year_mode(spark: SparkSession, d: str) -> DataFrame:
     """The year most often named, the first seen of equals; the order of appearance is carried as a number."""
-    y = structure.reading_order(_b(spark, d)).select("document_id", "position", F.posexplode(text.years(F.col("text"))).alias("k", "year"))
+    y = structure.reading_order(_b(spark, d), "text").select("document_id", "position", F.posexplode(text.years(F.col("text"))).alias("k", "year"))
     g = y.groupBy("document_id", "year").agg(F.count("*").alias("n"), F.min(F.col("position").cast("long") * 100000 + F.col("k") + 1).alias("seen"))
     best = g.groupBy("document_id").agg(F.max_by(F.struct("year", "n"), F.struct("n", -F.col("seen"))).alias("b"))
     return best.select("document_id", "b.year", "b.n", F.least(F.lit(0.8), F.round(F.lit(0.5) + F.lit(0.1) * (F.col("b.n") - 1).cast("double"), 6)).alias("confidence"))
@@ -207,12 +207,12 @@ def year_mode(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""SELECT block_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(text, '(?s)^[^:]*:?', ''), ','), lambda x: trim(x, ' .')), lambda x: x <> ''), '|') AS keywords FROM {_B}
     WHERE regexp_matches(lower(text), '^\\W*(keywords|palabras clave|palavras.chave)')""")
 def keyword_split(spark: SparkSession, d: str) -> DataFrame:
-    return _one(spark, d).where(F.lower("text").rlike("^\\W*(keywords|palabras clave|palavras.chave)")).select("block_id", F.array_join(text.keywords(F.col("text")), "|").alias("keywords"))
+    return _one(spark, d, "text").where(F.lower("text").rlike("^\\W*(keywords|palabras clave|palavras.chave)")).select("block_id", F.array_join(text.keywords(F.col("text")), "|").alias("keywords"))
 
 
 @query(f"SELECT document_id, text AS title FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY (level = 1 AND coalesce(page, 0) = 0) DESC, position) AS rn FROM {_T} WHERE level IS NOT NULL AND coalesce(page, 0) <= 1 AND text IS NOT NULL) WHERE rn = 1")
 def title_pick(spark: SparkSession, d: str) -> DataFrame:
-    t = structure.title_levels(_b(spark, d)).where("level is not null and coalesce(page, 0) <= 1 and text is not null")
+    t = structure.title_levels(_b(spark, d), "page").where("level is not null and coalesce(page, 0) <= 1 and text is not null")
     first = F.min_by("text", F.struct((~((F.col("level") == 1) & (F.coalesce("page", F.lit(0)) == 0))).alias("a"), "position"))
     return t.groupBy("document_id").agg(first.alias("title"))
 
@@ -223,7 +223,7 @@ _NAME_SQL = "regexp_full_match(n, '\\p{Lu}[\\p{L}.''-]*( (\\p{Lu}[\\p{L}.''-]*|d
 @query(f"WITH n AS (SELECT block_id, trim(regexp_replace(unnest(string_split(text, ';')), '\\s+', ' ', 'g'), ' ,;|-') AS n FROM {_B} WHERE role IN ('metadata', 'reference') AND length(text) < 400) SELECT DISTINCT block_id, n AS name FROM n WHERE {_NAME_SQL}")
 def person_names(spark: SparkSession, d: str) -> DataFrame:
     """Items of metadata and reference blocks that read as personal names: 2 to 8 tokens, capitals but for connectors, no rejected terms."""
-    n = _one(spark, d).where("role in ('metadata', 'reference') and length(text) < 400").select("block_id", F.explode(F.split("text", ";")).alias("n"))
+    n = _one(spark, d, "role", "text").where("role in ('metadata', 'reference') and length(text) < 400").select("block_id", F.explode(F.split("text", ";")).alias("n"))
     n = n.select("block_id", F.regexp_replace(F.regexp_replace("n", "\\s+", " "), "^[ ,;|-]+|[ ,;|-]+$", "").alias("name"))
     ok = F.col("name").rlike("^\\p{Lu}[\\p{L}.'-]*( (\\p{Lu}[\\p{L}.'-]*|da|das|de|do|dos|e)){1,7}$") & ~F.lower("name").rlike("(^| )(journal|revista|volume|doi|issn|submitted|approved|recebido)( |$)") & F.col("name").rlike("^\\S+ .*\\p{Lu}")
     return n.where(ok).distinct()
@@ -232,7 +232,7 @@ def person_names(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH a AS (SELECT document_id, list_filter(list_transform(string_split(min_by(text, position), ';'), lambda x: trim(x)), lambda x: x <> '') AS names FROM {_O} WHERE role = 'metadata' AND contains(text, ';') AND length(text) < 120 GROUP BY 1)
     SELECT document_id, CASE len(names) WHEN 0 THEN NULL WHEN 1 THEN names[1] WHEN 2 THEN names[1] || ' e ' || names[2] ELSE names[1] || ' et al.' END AS citation FROM a""")
 def citation_author(spark: SparkSession, d: str) -> DataFrame:
-    o = structure.reading_order(_b(spark, d)).where((F.col("role") == "metadata") & F.contains("text", F.lit(";")) & (F.length("text") < 120))
+    o = structure.reading_order(_b(spark, d), "role", "text").where((F.col("role") == "metadata") & F.contains("text", F.lit(";")) & (F.length("text") < 120))
     names = F.filter(F.transform(F.split(F.min_by("text", "position"), ";"), lambda x: F.trim(x)), lambda x: x != "")
     return o.groupBy("document_id").agg(names.alias("names")).select("document_id", text.citation_author(F.col("names")).alias("citation"))
 
@@ -269,7 +269,7 @@ def chunk_unit_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT block_id, role, CASE WHEN role IN ('body', 'abstract', 'list', 'reference', 'metadata') THEN 'embed' WHEN role IN ('table', 'figure', 'chart', 'equation', 'code') THEN 'payload' WHEN role = 'title' THEN 'placeholder' ELSE 'exclude' END AS action FROM {_B}")
 def policy_actions(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.with_actions(_one(spark, d)).select("block_id", "role", "action")
+    return chunking.with_actions(_one(spark, d, "role")).select("block_id", "role", "action")
 
 
 @query()
@@ -300,13 +300,13 @@ def overlap_blocks(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT block_id, """ + """(SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', CAST(instr('0123456789abcdef', substr(h, 17, 1)) - 1 AS INTEGER) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)
     FROM (SELECT sha1(from_hex(replace(document_id, '-', '')) || encode('chunk:policy-1:' || position || ':' || sha256(coalesce(text, '')))) AS h)) AS chunk_id FROM """ + _O)
 def chunk_ids(spark: SparkSession, d: str) -> DataFrame:
-    o = structure.reading_order(_b(spark, d))
+    o = structure.reading_order(_b(spark, d), "text")
     return o.select("block_id", chunking.chunk_id(F.col("document_id"), F.lit("policy-1"), F.col("position"), F.coalesce("text", F.lit(""))).alias("chunk_id"))
 
 
 @query(f"SELECT document_id, block_id, CASE WHEN length(t) > 240 THEN rtrim(substr(t, 1, 239)) || '…' ELSE t END AS short, greatest(1, CAST(ceil(length(text) / 4.0) AS INTEGER)) AS tokens FROM (SELECT *, trim(regexp_replace(text, '[\\s\\x{{85}}\\x{{A0}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{3000}}]+', ' ', 'g')) AS t FROM {_B} WHERE text IS NOT NULL)")
 def truncated_text(spark: SparkSession, d: str) -> DataFrame:
-    return _one(spark, d).where("text is not null").select("document_id", "block_id", text.truncate(F.col("text")).alias("short"), text.token_estimate(F.col("text")).alias("tokens"))
+    return _one(spark, d, "document_id", "text").where("text is not null").select("document_id", "block_id", text.truncate(F.col("text")).alias("short"), text.token_estimate(F.col("text")).alias("tokens"))
 
 
 @query()

@@ -15,13 +15,13 @@ from .runs import _R
 @query(f"SELECT block_id, trim(coalesce(nullif(concat_ws(chr(10), CASE WHEN trim(i.title) <> '' THEN i.title END, CASE WHEN trim(b.section_id) <> '' THEN b.section_id END), '') || chr(10) || chr(10), '') || b.text) AS contextual FROM {_B} b LEFT JOIN (SELECT document_id, max_by(title, (try_cast(modified_at AS TIMESTAMPTZ), revision_id)) AS title FROM inventory GROUP BY 1) i ON b.document_id = i.document_id WHERE b.text IS NOT NULL AND role = 'abstract'")
 def contextual_prefix(spark: SparkSession, d: str) -> DataFrame:
     i = table(spark, d, "inventory").groupBy("document_id").agg(F.max_by("title", F.struct(F.try_to_timestamp(F.col("modified_at")), "revision_id")).alias("title"))
-    b = structure.distinct_blocks(table(spark, d, "block_units").where("role = 'abstract'")).where("text is not null")
+    b = structure.distinct_blocks(table(spark, d, "block_units").where("role = 'abstract'"), "document_id", "section_id", "text").where("text is not null")
     return b.join(i, "document_id", "left").select("block_id", extras.contextual(F.col("title"), F.col("section_id"), F.col("text")).alias("contextual"))
 
 
 @query(f"SELECT block_id FROM {_B} WHERE regexp_matches(text, '(?i)\\b(?:doi|e-?mail|orcid|institui[cç][aã]o|universidade|faculdade|submitted|approved|recebido|aceito|vers[aã]o|doutor(?:a|ando|anda)?|mestre|p[oó]s[- ]graduando)\\b')")
 def metadata_markers(spark: SparkSession, d: str) -> DataFrame:
-    return structure.distinct_blocks(table(spark, d, "block_units")).where(F.col("text").rlike(extras.METADATA_MARKER)).select("block_id")
+    return structure.distinct_blocks(table(spark, d, "block_units"), "text").where(F.col("text").rlike(extras.METADATA_MARKER)).select("block_id")
 
 
 @query("SELECT api_url, count(*) AS n, 'https://' || lower(regexp_extract(api_url, '://([^/?#]+)', 1)) AS url FROM (SELECT DISTINCT * FROM runs) GROUP BY 1")
@@ -74,7 +74,7 @@ def package_validation(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH a AS (SELECT role, count(*) AS n FROM {_B} GROUP BY 1), b AS (SELECT CASE WHEN source_type = 'text' THEN 'body' ELSE source_type END AS role, count(*) AS n FROM {_B} GROUP BY 1) SELECT a.role, CAST(a.n - coalesce(b.n, 0) AS BIGINT) AS n FROM a LEFT JOIN b ON a.role = b.role WHERE a.n > coalesce(b.n, 0)")
 def multiset_difference(spark: SparkSession, d: str) -> DataFrame:
-    b = structure.distinct_blocks(table(spark, d, "block_units"))
+    b = structure.distinct_blocks(table(spark, d, "block_units"), "role", "source_type")
     return extras.multiset_minus(b.select("role"), b.select(F.when(F.col("source_type") == "text", "body").otherwise(F.col("source_type")).alias("role")), ["role"])
 
 
@@ -141,7 +141,7 @@ def explode_document_function(spark: SparkSession, d: str) -> DataFrame:
     SELECT d.document_id, coalesce(abstracts, 0) AS abstracts, coalesce(chars, 0) AS chars, reference_at FROM (SELECT DISTINCT document_id FROM h) d LEFT JOIN a USING (document_id) LEFT JOIN r USING (document_id)""")
 def abstract_segments(spark: SparkSession, d: str) -> DataFrame:
     """One conditional aggregation per document in place of three joins."""
-    o = structure.reading_order(table(spark, d, "block_units"))
+    o = structure.reading_order(table(spark, d, "block_units"), "role", "text")
     a = F.col("role") == "abstract"
     return o.groupBy("document_id").agg(
         F.count_if(a).alias("abstracts"), F.coalesce(F.sum(F.when(a, F.length("text"))), F.lit(0)).cast("long").alias("chars"),
@@ -151,7 +151,7 @@ def abstract_segments(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""SELECT document_id, greatest(count(*) FILTER (role = 'table'), count(*) FILTER (source_type = 'table'), 0) AS tables, count(*) FILTER (role IN ('figure', 'chart')) AS images, count(*) FILTER (role = 'equation') AS equations, count(*) FILTER (role = 'table' AND coalesce(length(text), 0) = 0) AS empty_tables FROM {_B} GROUP BY 1""")
 def document_metrics(spark: SparkSession, d: str) -> DataFrame:
-    b = structure.distinct_blocks(table(spark, d, "block_units"))
+    b = structure.distinct_blocks(table(spark, d, "block_units"), "document_id", "role", "source_type", "text")
     t = F.col("role") == "table"
     return b.groupBy("document_id").agg(F.greatest(F.count_if(t), F.count_if(F.col("source_type") == "table")).alias("tables"), F.count_if(F.col("role").isin("figure", "chart")).alias("images"), F.count_if(F.col("role") == "equation").alias("equations"), F.count_if(t & (F.coalesce(F.length("text"), F.lit(0)) == 0)).alias("empty_tables"))
 

@@ -88,7 +88,8 @@ def pending_counts(spark: SparkSession, d: str) -> DataFrame:
     none = (F.col("status") != "ok") & (F.coalesce("generated_files", F.lit(0)) == 0)
     n = table(spark, d, "inventory").agg(F.countDistinct("document_id").alias("documents"))
     per = last.agg(F.count("*").alias("with_runs"), F.count_if(~F.coalesce(done, F.lit(False))).alias("pending_or"), F.count_if(none).alias("pending_and"))
-    return n.join(F.broadcast(per), F.lit(True))
+    both = n.unionByName(per, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("documents", "with_runs", "pending_or", "pending_and")])
 
 
 @query(f"SELECT document_id, log_path, CASE WHEN {_X} AND page_count > 0 THEN round(duration_seconds / page_count, 6) END AS per_page, greatest(0, round(epoch_us(try_cast(completed_at AS TIMESTAMPTZ)) / 1e6 - epoch_us(try_cast(started_at AS TIMESTAMPTZ)) / 1e6, 3)) AS wall_seconds FROM {_R}")
