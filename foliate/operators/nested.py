@@ -17,6 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # Names of the page list, and per kind of node the lists below it with the letter and kind of their entries.
 PAGE_LISTS = ("pdf_info", "pages", "page_info")
 CHILDREN = {
@@ -115,7 +117,7 @@ def occurrences(records: DataFrame, fields: bool = False) -> DataFrame:
     ``distinct_nodes`` drops. Missing, null and empty lists have no entries.
     Nothing is shuffled.
     """
-    made = records.select("record_id", "payload").where("payload is not null").mapInArrow(_walk(fields), _KIND)
+    made = spread(records.select("record_id", "payload").where("payload is not null")).mapInArrow(_walk(fields), _KIND)
     return made if fields else made.drop("fields")
 
 

@@ -30,6 +30,15 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, its rows dealt to all cores if a scan gives less than half of them work (a small table in one file).
+
+    Large scans have more splits than cores and are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
     sc = spark.sparkContext
