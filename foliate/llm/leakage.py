@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .lookalike import fold
 
 MIN_WORDS = 12
@@ -186,7 +187,7 @@ def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, co
             size = 0
         groups[-1].append((r["item_id"], ws))
         size += len(ws)
-    docs = documents.select("doc_id", "text").where("doc_id is not null and text is not null")
+    docs = spread(documents.select("doc_id", "text").where("doc_id is not null and text is not null"))
     out = None
     for group in groups:
         shared = spark.sparkContext.broadcast(SuffixAutomaton(group, min_words))

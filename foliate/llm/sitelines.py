@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, spread
 from .lookalike import fold
 
 MIN_LETTERS = 15
@@ -87,7 +87,7 @@ def keyed_lines(blocks: DataFrame) -> DataFrame:
     """
     rows = blocks.where("text is not null and block_id is not null and (role is null or role <> 'title')").select(F.coalesce("collection_slug", F.lit("\0")).alias("slug"), "document_id", "block_id", "text")
     kind = "slug string, document_id string, block_id string, lines array<struct<line_no:int,h1:long,h2:long>>"
-    return rows.mapInArrow(_keyed, kind).select("slug", "document_id", "block_id", F.inline("lines"))
+    return spread(rows).mapInArrow(_keyed, kind).select("slug", "document_id", "block_id", F.inline("lines"))
 
 
 def _components(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import spread
 from .lookalike import fold
 
 # Words that carry clause structure in English, Portuguese, Spanish and French.
@@ -166,7 +167,7 @@ def spam_scores(documents: DataFrame) -> DataFrame:
     zeros, pages under MIN_WORDS words are never spam. Repeated rows give
     repeated rows; other columns are not read.
     """
-    return documents.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(_score, "doc_id long, n_words int, loose_words int, spam_words int")
+    return spread(documents.select("doc_id", "text").where("doc_id is not null and text is not null")).mapInArrow(_score, "doc_id long, n_words int, loose_words int, spam_words int")
 
 
 def found(documents: DataFrame) -> DataFrame:

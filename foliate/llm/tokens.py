@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import shared_folder, spread
 
 # Fixed value: the public pre-token pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -118,7 +118,7 @@ def encode_corpus(documents: DataFrame, name: str = VOCABULARY, folder: str | No
     """
     spark = documents.sparkSession
     path = f"{shared_folder(spark)}/blocks-{uuid.uuid4().hex}"
-    documents.select("doc_id", "text").mapInArrow(_split, "block binary, words array<string>, docs binary, codes binary, ends binary").write.option("compression", "zstd").parquet(path)
+    spread(documents.select("doc_id", "text")).mapInArrow(_split, "block binary, words array<string>, docs binary, codes binary, ends binary").write.option("compression", "zstd").parquet(path)
     blocks = spark.read.parquet(path)
     used = blocks.select("block", F.posexplode("words").alias("i", "word"))
     ids = used.select("word").distinct().mapInArrow(_encoder(name, folder), "word string, ids array<int>")
