@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry
+from ..session import checkpointed
 from . import nested
 
 # Block types that are page furniture, and those expected within content.
@@ -41,9 +42,12 @@ def _type(f: str = "f") -> Column:
     return F.coalesce(F.col(f"{f}.type"), F.col(f"{f}.block_type"))
 
 
-def blocks(records: DataFrame) -> DataFrame:
-    """Block rows with typed fields, depth, and the list of the page they stand in (content or discarded)."""
-    n = nodes(records).where("kind = 'block'").withColumn("f", F.from_json("fields", nested.COLUMNS["block"]))
+def blocks(records: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
+    """Block rows with typed fields, depth, and the list of the page they stand in (content or discarded).
+
+    ``parsed`` is a result of ``nodes`` that several tables are made from.
+    """
+    n = (nodes(records) if parsed is None else parsed).where("kind = 'block'").withColumn("f", F.from_json("fields", nested.COLUMNS["block"]))
     return n.select(
         "record_id", "parent", "node", "ordinal", "object_id",
         F.when(F.col("node").rlike("^p\\d+:d"), "discarded").otherwise("content").alias("collection"),
@@ -55,14 +59,14 @@ def blocks(records: DataFrame) -> DataFrame:
     )
 
 
-def spans(records: DataFrame) -> DataFrame:
-    n = nodes(records).where("kind = 'span'").withColumn("f", F.from_json("fields", nested.COLUMNS["span"]))
+def spans(records: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
+    n = (nodes(records) if parsed is None else parsed).where("kind = 'span'").withColumn("f", F.from_json("fields", nested.COLUMNS["span"]))
     return n.select("record_id", "parent", "node", "ordinal", F.regexp_extract("node", "^(.*):l\\d+:s\\d+$", 1).alias("block"), "f.*")
 
 
-def counts(records: DataFrame) -> DataFrame:
+def counts(records: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
     """Per record: pages, content and discarded blocks (roots and all), lines, spans, spans without text."""
-    n = nodes(records)
+    n = nodes(records) if parsed is None else parsed
     block, page = F.col("kind") == "block", F.col("kind") == "page"
     discarded = F.col("node").rlike("^p\\d+:d")
     root = F.col("node").rlike("^p\\d+:[bd]\\d+$")
@@ -85,8 +89,9 @@ def invariants(records: DataFrame) -> DataFrame:
 
 def inspection(records: DataFrame) -> DataFrame:
     """Per record: metrics with failure and warning codes over root blocks, and the status they give."""
-    b = blocks(records).where(F.col("node").rlike("^p\\d+:[bd]\\d+$"))
-    c = counts(records)
+    parsed = checkpointed(nodes(records))
+    b = blocks(records, parsed).where(F.col("node").rlike("^p\\d+:[bd]\\d+$"))
+    c = counts(records, parsed)
     per = b.groupBy("record_id").agg(
         F.count_if((F.col("collection") == "content") & F.col("type").isNull()).alias("untyped"), F.count_if((F.col("collection") == "content") & F.col("bbox").isNull()).alias("without_bbox"),
         F.count_if((F.col("collection") == "content") & F.col("type").isin(*FURNITURE)).alias("noise_leak"), F.countDistinct(F.when(F.col("collection") == "content", F.regexp_extract("node", "^(p\\d+)", 1))).alias("pages_with_content"),
@@ -103,9 +108,9 @@ def null_metrics(records: DataFrame) -> DataFrame:
     return b.groupBy("record_id").agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("type", "bbox", "score", "level", "text")])
 
 
-def block_texts(records: DataFrame) -> DataFrame:
+def block_texts(records: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
     """``record_id, block, n_spans, text``: each block's span texts in reading order, joined by spaces."""
-    s = spans(records).withColumn("t", F.coalesce(F.nullif("text", F.lit("")), F.nullif("content", F.lit("")), F.nullif("latex", F.lit("")))).where("t is not null")
+    s = spans(records, parsed).withColumn("t", F.coalesce(F.nullif("text", F.lit("")), F.nullif("content", F.lit("")), F.nullif("latex", F.lit("")))).where("t is not null")
     return s.groupBy("record_id", "block").agg(F.count("*").alias("n_spans"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "t"))), lambda x: x["t"]), " ").alias("text"))
 
 

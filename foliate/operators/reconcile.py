@@ -8,7 +8,10 @@ never crosses a page, so each page is folded on its own.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,17 +41,43 @@ def _iou(a, b) -> float:
     return inter / union if union else 0.0
 
 
+def _most_ratio(a: str, b: str) -> float:
+    """An upper bound of the similarity of two texts from the letters they hold."""
+    if not a or not b:
+        return 0.0
+    return 2.0 * sum((Counter(a) & Counter(b)).values()) / (len(a) + len(b))
+
+
 def assign(items: list[tuple], blocks: list[tuple]) -> list[tuple]:
-    """``(item, block or None, score, iou, ratio, ambiguous)`` for items ``(id, type, box, text)`` in order and blocks alike."""
+    """``(item, block or None, score, iou, ratio, ambiguous)`` for items ``(id, type, box, text)`` in order and blocks alike.
+
+    Candidates are taken by what they could score at most; texts are compared
+    only while one could still be the best or within the margin of it, so the result is that of comparing all.
+    """
     free = dict.fromkeys(range(len(blocks)))
     out = []
     for item, kind, box, text in items:
-        ranked = []
+        fits = COMPATIBLE.get(kind, ())
+        bounds = []
         for i in free:
-            block, own, where, words = blocks[i]
-            iou = _iou(box, where)
+            _, own, where, words = blocks[i]
+            iou, compatible = _iou(box, where), own in fits
+            least = WEIGHTS[0] * iou + WEIGHTS[2] * compatible
+            most = least + WEIGHTS[1] * (2.0 * min(len(text), len(words)) / (len(text) + len(words)) if text and words else 0.0)
+            bounds.append((most, least, iou, i))
+        bounds.sort(key=lambda x: (-x[0], x[3]))
+        ranked: list[tuple] = []
+        best = 0.0
+        for most, least, iou, i in bounds:
+            floor = max(best - MARGIN, ACCEPT)
+            if most < floor:
+                break
+            block, _, _, words = blocks[i]
+            if text and words and least + WEIGHTS[1] * _most_ratio(text, words) < floor:
+                continue
             ratio = sequence_ratio_of(text, words) if text and words else 0.0
-            score = WEIGHTS[0] * iou + WEIGHTS[1] * ratio + WEIGHTS[2] * (own in COMPATIBLE.get(kind, ()))
+            score = least + WEIGHTS[1] * ratio
+            best = max(best, score)
             ranked.append((-score, -iou, -ratio, block, i))
         ranked.sort()
         if not ranked or -ranked[0][0] < ACCEPT:
@@ -70,15 +99,34 @@ def greedy(items: DataFrame, blocks: DataFrame) -> DataFrame:
     """
     cols = ["record_id", "page", "id", "ordinal", "type", "bbox"]
     both = items.select(*cols, normalize_text("text").alias("text"), F.lit(True).alias("item")).unionByName(blocks.select(*cols, normalize_text("text").alias("text"), F.lit(False).alias("item")))
-    names = ["record_id", "page", "item", "block", "score", "iou", "ratio", "ambiguous"]
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ordinal", "id"])
-        rows = [(r.item, (r.id, r.type, None if r.bbox is None else list(r.bbox), r.text)) for r in pdf.itertuples()]
-        made = assign([x for item, x in rows if item], [x for item, x in rows if not item])
-        return pd.DataFrame([(pdf.record_id.iloc[0], pdf.page.iloc[0], *m) for m in made], columns=names)
-
-    return both.groupBy("record_id", "page").applyInPandas(fold, "record_id long, page string, item string, block string, score double, iou double, ratio double, ambiguous boolean")
+    kinds = {"record_id": pa.int64(), "page": pa.string(), "item": pa.string(), "block": pa.string(), "score": pa.float64(), "iou": pa.float64(), "ratio": pa.float64(), "ambiguous": pa.bool_()}
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pages of a sorted partition one after the other; a page may reach across batches."""
+
+        def close(key, rows):
+            sides = [[(r["id"], r["type"], r["bbox"], r["text"]) for r in rows if r["item"] is side] for side in (True, False)]
+            return [(*key, *m) for m in assign(*sides)]
+
+        def batch_of(made):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), kinds.values())], list(kinds))
+
+        held, rows = None, []
+        for batch in batches:
+            made = []
+            for r in batch.to_pylist():
+                key = (r["record_id"], r["page"])
+                if key != held:
+                    made += close(held, rows) if rows else []
+                    held, rows = key, []
+                rows.append(r)
+            if made:
+                yield batch_of(made)
+        if rows and (made := close(held, rows)):
+            yield batch_of(made)
+
+    ordered = both.repartition("record_id", "page").sortWithinPartitions("record_id", "page", "ordinal", "id")
+    return ordered.mapInArrow(fold, "record_id long, page string, item string, block string, score double, iou double, ratio double, ambiguous boolean")
 
 
 def candidates(items: DataFrame, blocks: DataFrame) -> DataFrame:

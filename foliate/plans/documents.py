@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import ir, reconcile
-from ..session import table
+from ..session import checkpointed, table
 from .base import query
 
 
@@ -63,10 +63,11 @@ def line_profile(spark: SparkSession, d: str) -> DataFrame:
 def _readings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Root blocks with their texts as the first reading, their first lines as items of the second."""
     records = table(spark, d, "extractions")
-    texts = ir.block_texts(records).select("record_id", F.col("block").alias("node"), F.col("text").alias("words"))
-    b = ir.blocks(records).where(F.col("node").rlike("^p\\d+:[bd]\\d+$")).drop("text").join(texts, ["record_id", "node"], "left")
+    parsed = checkpointed(ir.nodes(records))
+    texts = ir.block_texts(records, parsed).select("record_id", F.col("block").alias("node"), F.col("text").alias("words"))
+    b = ir.blocks(records, parsed).where(F.col("node").rlike("^p\\d+:[bd]\\d+$")).drop("text").join(texts, ["record_id", "node"], "left")
     page = F.regexp_extract("node", "^(p\\d+)", 1)
-    blocks = b.select("record_id", page.alias("page"), F.col("node").alias("id"), F.col("ordinal"), "type", "bbox", F.col("words").alias("text"))
+    blocks = checkpointed(b.select("record_id", page.alias("page"), F.col("node").alias("id"), F.col("ordinal"), "type", "bbox", F.col("words").alias("text")))
     kind = F.when(F.col("type").isin("text", "ref_text", "abstract"), "paragraph").when(F.col("type") == "interline_equation", "equation_interline").otherwise(F.col("type"))
     # the second reading sees boxes a little off and texts cut short
     moved = F.transform("bbox", lambda x, i: x + F.when(i < 2, -2.0).otherwise(3.0))

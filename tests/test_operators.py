@@ -120,6 +120,38 @@ def test_ambiguity():
     assert made[0][1] == "b1" and made[0][5]
 
 
+def test_bounds_change_no_assignment():
+    rng = random.Random(6)
+
+    def all_compared(items, blocks):
+        free, out = list(range(len(blocks))), []
+        for item, kind, box, words in items:
+            ranked = []
+            for i in free:
+                b, own, where, other = blocks[i]
+                iou = reconcile._iou(box, where)
+                ratio = text.sequence_ratio_of(words, other) if words and other else 0.0
+                w = reconcile.WEIGHTS
+                ranked.append((-(w[0] * iou + w[2] * (own in reconcile.COMPATIBLE.get(kind, ())) + w[1] * ratio), -iou, -ratio, b, i))
+            ranked.sort()
+            if not ranked or -ranked[0][0] < reconcile.ACCEPT:
+                out.append((item, None, False))
+                continue
+            free.remove(ranked[0][4])
+            out.append((item, ranked[0][3], len(ranked) > 1 and ranked[1][0] - ranked[0][0] < reconcile.MARGIN and -ranked[1][1] >= reconcile.RIVAL))
+        return out
+
+    def box():
+        x, y = rng.randrange(20), rng.randrange(20)
+        return rng.choice([None, [float(x), float(y), x + 10.0, y + 10.0]])
+
+    words = lambda: rng.choice([None, "", "".join(rng.choice("abc ") for _ in range(rng.randrange(1, 25)))])
+    for _ in range(300):
+        items = [(f"i{k}", rng.choice(["title", "paragraph"]), box(), words()) for k in range(rng.randrange(1, 7))]
+        blocks_ = [(f"b{k}", rng.choice(["title", "text"]), box(), words()) for k in range(rng.randrange(0, 7))]
+        assert [(m[0], m[1], m[5]) for m in reconcile.assign(items, blocks_)] == all_compared(items, blocks_)
+
+
 def test_breaker():
     b = runs.Breaker()
     for t in (0, 30):
