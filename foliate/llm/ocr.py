@@ -16,7 +16,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +47,9 @@ CONFUSIONS = [
 # Specks that recognition puts between letters.
 SPECKS = "^~*|°'`¨_=+"
 _CHEAP = {pair: 0.3 for pair in CONFUSIONS}
+# Letters by what stays of them under every confusion; "I" is a run of strokes, and what is not named here stays as it is.
+_STROKES = str.maketrans({**dict.fromkeys("iltfjnumrhbéóí1!|[]768", "I"), **dict.fromkeys("ce3€£&(<{", "c"), "d": "cI", "k": "Ic", **dict.fromkeys("yvw", "v"), **dict.fromkeys("qçg9", "q"), "0": "o", **dict.fromkeys("@4", "a"), **dict.fromkeys("5$ã", "s"), "2": "z", **dict.fromkeys(SPECKS.replace("|", ""), "")})
+_REPEATED = re.compile(r"I{2,}|v{2,}")
 _WORD = re.compile(r"[^\W\d_]+")
 _SHAPE = re.compile(r"[^\W\d_][0-9!|@$€£&(^~*°<\[{+=]+[^\W\d_]|^[0-9!|@$€£<{]+[^\W\d_]{3}|[^\W\d_]{3}[!|@$€£&^~*°<{0-9][^\W\d_]*$")
 _NOT_A_WORD = re.compile(r"://|www\.|@\w+\.\w|\.(?:com|org|net|example|test|pdf|html?)\b|^[\W\d_]*$|^\W*(?-i:[A-Z]{1,3})-?\d+\W*$", re.I)
@@ -128,6 +131,18 @@ def _grams(word: str) -> set[str]:
     return {w[i : i + 3] for i in range(len(w) - 2)} | {w[:2], w[-2:]}
 
 
+def shared_grams(word: str, others: Iterable[str]) -> list[tuple[int, str]]:
+    """``(shared q-grams, other word)`` of the other words that share enough with the word, the most similar first."""
+    grams, least = _grams(word), max(2, len(word) - 4)  # two confusions leave so many of the q-grams
+    near = [(n, v) for v in others if abs(len(v) - len(word)) <= 3 and (n := len(grams & _grams(v))) >= least]
+    return sorted(near, key=lambda x: (-x[0] / (len(x[1]) + 3), x[1]))
+
+
+def skeleton(word: str) -> str:
+    """What all readings of a word by confusions and specks alone have in common."""
+    return _REPEATED.sub(lambda m: m.group()[0], word.translate(_STROKES))
+
+
 class Speller:
     """Decides whether a token is a misread word, and of which word."""
 
@@ -140,13 +155,18 @@ class Speller:
                 for g in _grams(w):
                     self.index[g].append(i)
         self.index = dict(self.index)
+        self.skeletons: dict[str, list[str]] = defaultdict(list)
+        for w in self.words:
+            if len(w) >= 3:
+                self.skeletons[skeleton(w)].append(w)
+        self.skeletons = dict(self.skeletons)
         self.known: dict[str, str | None] = {}
         self.sound: set[str] = set()
         self.ranker: Boosted | None = None
         self.joiner = Joiner(vocabulary)
 
-    def candidates(self, word: str, most: int = 3) -> list[tuple[int, str]]:
-        """Vocabulary words that share enough q-grams, the most similar first."""
+    def candidates(self, word: str, most: int | None = None) -> list[tuple[int, str]]:
+        """Vocabulary words that share enough q-grams, the most similar first; all of them, or ``most`` (training rows only)."""
         shared: Counter = Counter()
         for g in _grams(word):
             shared.update(self.index.get(g, ()))
@@ -155,6 +175,15 @@ class Speller:
         near.sort(key=lambda x: (-x[0] / (len(x[1]) + 3), x[1]))
         return near[:most]
 
+    def near(self, word: str) -> list[tuple[int, str]]:
+        """The candidates of a word that confusions may have made of them: all, whatever their number.
+
+        Between words of letters alone only confusions are allowed, so such candidates have the word's skeleton.
+        """
+        if not _WORD.fullmatch(word):
+            return self.candidates(word)
+        return shared_grams(word, self.skeletons.get(skeleton(word), ()))
+
     def features(self, seen: str, true: str, shared: int, capital: bool) -> tuple:
         cost = confusion_cost(seen, true)
         short = min(len(seen), len(true))
@@ -177,7 +206,7 @@ class Speller:
             x = w[:i] + s + w[i + len(t) :] if rng.random() < 0.75 else w[: max(1, i)] + rng.choice(SPECKS) + w[max(1, i) :]
             if x in self.vocabulary:
                 continue
-            for n, v in self.candidates(x):
+            for n, v in self.candidates(x, 3):
                 rows.append(self.features(x, v, n, rng.random() < 0.15))
                 labels.append(float(v == w))
         wrong = [(w, False) for w in pool] + [(w, True) for w in others]
@@ -239,7 +268,9 @@ class Speller:
     def _rank(self, low: str, core: str) -> str | None:
         capital = core[:1].isupper() and not core[1:2].isupper()
         best, top = None, 0.0
-        for n, v in self.candidates(low):
+        for n, v in self.near(low):
+            if v not in self.vocabulary:  # dropped as a misreading itself
+                continue
             f = self.features(low, v, n, capital)
             if f[0] > 1.3 or (f[0] >= 1.0 and _WORD.fullmatch(low)):
                 continue
@@ -519,12 +550,9 @@ def fit_speller(blocks: DataFrame) -> Speller:
     rare = sorted(r["word"] for r in others.where(F.pmod(F.xxhash64("word"), F.lit(every)) == 0).select("word").collect())
     speller = Speller(vocabulary).train(rare)
     # at the scale of the corpus, frequent misreadings of very frequent words pass the share: they are dropped again
-    for w in sorted(vocabulary):
-        if len(w) >= 3:
-            for n, v in speller.candidates(w):
-                if v != w and vocabulary[v] >= 200 * vocabulary[w] and confusion_cost(w, v) <= 0.3:
-                    del speller.vocabulary[w]
-                    break
+    misreadings = [w for w in vocabulary if len(w) >= 3 and any(v != w and vocabulary[v] >= 200 * vocabulary[w] and confusion_cost(w, v) <= 0.3 for _, v in speller.near(w))]
+    for w in misreadings:
+        del vocabulary[w]
     speller.known.clear()
     speller.sound.clear()
     return speller

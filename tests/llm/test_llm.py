@@ -239,6 +239,18 @@ def test_held_out_corruptions():
     assert all(s.correct(w) is None for w in s.words)
 
 
+def test_confusions_keep_the_skeleton():
+    for seen, true in ocr.CONFUSIONS:
+        assert ocr.skeleton(f"a{seen}o") == ocr.skeleton(f"a{true}o"), (seen, true)
+
+
+def test_every_candidate_above_the_threshold_is_ranked():
+    """The true word is no longer cut when three others share more q-grams with what was read."""
+    s = ocr.Speller({w: 500 for w in ("margin", "margem", "margen", "marge", "margins", "marginal", "inverno", "invento", "invest", "investe", "ordem", "ordena", "orders", "order")})
+    for seen, true in (("margein", "margem"), ("invemo", "inverno"), ("ordern", "ordem")):
+        assert s.correct(seen) == true, seen
+
+
 def test_broken_words():
     v = speller().joiner
     for text, n in (("the con-\ntract", 1), ("the con- \r\n tract", 1), ("con­\ntract", 1), ("con¬\ntract", 1), ("the con- tract", 1), ("short- and long-term", 0), ("well-known", 0), ("the con­tract", 0), ("ends in con-", 1), ("a - b", 0), ("Zoka-\nreth", 1)):
