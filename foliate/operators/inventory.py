@@ -194,3 +194,25 @@ def outliers(df: DataFrame, key: str, metrics: list[str], k: int = 10) -> DataFr
             part = v.orderBy(order, "key").limit(k).select(F.col("key").alias(key), F.lit(m).alias("metric"), F.lit(side).alias("side"), "value")
             out = part if out is None else out.unionByName(part)
     return out
+
+
+def file_matches(files: DataFrame, targets: DataFrame) -> DataFrame:
+    """``file, outcome, n``: ``file, name`` rows (all candidate names of a file) against ``path, stem, filename`` of the targets.
+
+    Exact names first (``exact``, ``multiple_exact``); files without one by targets whose filename contains one of
+    their names (``fuzzy``, ``multiple_fuzzy``), else ``not_found``; n counts the targets. All are compared in lower
+    case. Containment is an equi join on the name's first 1, 2, 4 ... 32 characters, the longest it has, checked exactly.
+    """
+    t = targets.select(F.col("path").alias("__p"), F.lower("stem").alias("__stem"), F.lower("filename").alias("__file")).where("__p is not null").distinct()
+    names = files.select("file", F.lower("name").alias("name")).where("name <> ''").distinct()
+    exact = names.join(t.select("__p", F.col("__stem").alias("name")), "name").groupBy("file").agg(F.countDistinct("__p").alias("exact"))
+    rest = names.join(exact, "file", "left_anti")
+    size = F.expr("cast(pow(2, least(5, floor(log2(length(name))))) as int)")
+    wanted = rest.withColumn("__q", size).withColumn("__key", F.expr("substring(name, 1, __q)"))
+    grams = F.expr("array_distinct(flatten(transform(array(1, 2, 4, 8, 16, 32), q -> if(length(__file) >= q, transform(sequence(1, length(__file) - q + 1), i -> substring(__file, i, q)), array()))))")
+    pieces = t.select("__p", "__file", F.explode(grams).alias("__key"))
+    hits = wanted.join(pieces, "__key").where(F.contains(F.col("__file"), F.col("name")))
+    fuzzy = hits.groupBy("file").agg(F.countDistinct("__p").alias("fuzzy"))
+    j = files.select("file").distinct().join(exact, "file", "left").join(fuzzy, "file", "left")
+    outcome = F.when(F.col("exact") == 1, "exact").when(F.col("exact") > 1, "multiple_exact").when(F.col("fuzzy") == 1, "fuzzy").when(F.col("fuzzy") > 1, "multiple_fuzzy").otherwise("not_found")
+    return j.select("file", outcome.alias("outcome"), F.coalesce("exact", "fuzzy", F.lit(0)).alias("n"))

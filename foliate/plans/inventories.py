@@ -186,6 +186,23 @@ def file_matching(spark: SparkSession, d: str) -> DataFrame:
     return j.select("name", F.when(F.col("hit") == 1, "exact").otherwise("none").alias("outcome"), F.coalesce("hit", F.lit(0)).alias("n"))
 
 
+_BARE = "lower(regexp_replace({0}, '\\.[^.]*$', ''))"
+
+
+@query(f"""
+    WITH f AS (SELECT DISTINCT coalesce(path, filename) AS file, filename FROM runs WHERE filename IS NOT NULL), k AS (SELECT file, {_BARE.format("filename")} AS name FROM f UNION SELECT file, {_BARE.format("regexp_replace(file, '^.*/', '')")} FROM f),
+         i AS (SELECT DISTINCT path, lower(stem) AS stem, lower(filename) AS filename FROM inventory WHERE path IS NOT NULL), e AS (SELECT file, count(DISTINCT path) AS n FROM k JOIN i ON name = stem WHERE name <> '' GROUP BY 1),
+         z AS (SELECT file, count(DISTINCT path) AS n FROM k JOIN i ON contains(filename, name) WHERE name <> '' AND file NOT IN (SELECT file FROM e) GROUP BY 1)
+    SELECT f.file, CASE WHEN e.n = 1 THEN 'exact' WHEN e.n > 1 THEN 'multiple_exact' WHEN z.n = 1 THEN 'fuzzy' WHEN z.n > 1 THEN 'multiple_fuzzy' ELSE 'not_found' END AS outcome, coalesce(e.n, z.n, 0) AS n
+    FROM (SELECT DISTINCT file FROM f) f LEFT JOIN e ON f.file = e.file LEFT JOIN z ON f.file = z.file""")
+def file_matching_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Run files, by the names of file and path, against all of the inventory: exact, else contained, with the five outcomes."""
+    bare = lambda c: F.regexp_replace(c, "\\.[^.]*$", "")
+    f = table(spark, d, "runs").where("filename is not null").select(F.coalesce("path", "filename").alias("file"), "filename").distinct()
+    names = f.select("file", F.explode(F.array(bare(F.col("filename")), bare(F.regexp_replace("file", "^.*/", "")))).alias("name"))
+    return inventory.file_matches(names, _inv(spark, d).select("path", "stem", "filename"))
+
+
 @query("""
     WITH k AS (SELECT sha256, document_id, path, CASE WHEN contains(path, '/lote-') THEN 0 WHEN contains(path, '/incoming/') THEN 1 ELSE 2 END AS priority FROM inventory WHERE status = 'ok')
     SELECT sha256, document_id, path FROM (SELECT *, row_number() OVER (PARTITION BY sha256 ORDER BY priority, lower(path), path, document_id) AS rn FROM k) WHERE rn = 1""")

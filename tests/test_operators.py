@@ -227,3 +227,10 @@ def test_keywords_and_doi(spark):
     df = spark.createDataFrame([("Keywords: a b, c., ,d", "see 10.1234/ABC.5."), (None, None)], "k string, d string")
     r = df.select(text.keywords(F.col("k")).alias("k"), text.doi(F.col("d")).alias("d")).collect()
     assert r[0].k == ["a b", "c", "d"] and r[0].d == "10.1234/ABC.5" and r[1].d is None
+
+
+def test_file_matches_by_hand(spark):
+    files = [("f1", "abc"), ("f2", "Twice"), ("f3", "part-of"), ("f4", "many"), ("f5", "nowhere"), ("f6", ""), ("f7", "x" * 40), ("f8", "q"), ("f8", "abc")]
+    targets = [("/1", "ABC", "abc.pdf"), ("/2", "twice", "twice.pdf"), ("/3", "twice", "twice.pdf"), ("/4", "a part-of it", "a Part-Of it.pdf"), ("/5", "many1", "many1.pdf"), ("/6", "many2", "many2.pdf"), ("/7", "y", "y" + "x" * 41 + ".pdf"), ("/7", "y", "y" + "x" * 41 + ".pdf")]
+    got = {r.file: (r.outcome, r.n) for r in inventory.file_matches(spark.createDataFrame(files, "file string, name string"), spark.createDataFrame(targets, "path string, stem string, filename string")).collect()}
+    assert got == {"f1": ("exact", 1), "f2": ("multiple_exact", 2), "f3": ("fuzzy", 1), "f4": ("multiple_fuzzy", 2), "f5": ("not_found", 0), "f6": ("not_found", 0), "f7": ("fuzzy", 1), "f8": ("exact", 1)}
