@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Allowed transitions of a stage run, and the order of progress within a stage.
 TRANSITIONS = {
@@ -100,3 +101,8 @@ def activation(snapshots: DataFrame, chosen: Column) -> DataFrame:
     j = marked.join(scope, "scope")
     status = F.when(F.col("__go"), "active").when((F.col("status") == "active") & (F.col("__any") == 1), "superseded").when(chosen & ~agree, "rejected").otherwise(F.col("status"))
     return j.withColumn("new_status", status).drop("__go", "__any")
+
+
+def newest_first(records: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """All records with their ``rank`` within the key, the greatest of the ordering columns first."""
+    return records.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])))

@@ -127,6 +127,12 @@ def correlation_newest_first(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate").withColumn("rank", F.row_number().over(w)).where("rank <= 3").select(F.col("o_custkey").alias("correlation"), "o_orderkey", "rank")
 
 
+@query("SELECT o_custkey AS correlation, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS rank FROM orders")
+def correlation_records(spark: SparkSession, d: str) -> DataFrame:
+    """Every task of each correlation key with its rank, the newest first."""
+    return catalog.newest_first(table(spark, d, "orders").select(F.col("o_custkey").alias("correlation"), "o_orderkey", "o_orderdate"), "correlation", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
 @query("SELECT sha256, min(document_id) AS document_id FROM (SELECT DISTINCT sha256, document_id FROM inventory WHERE status = 'ok') GROUP BY 1 HAVING count(*) = 1")
 def unambiguous_alias(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "inventory").where("status = 'ok'").select("sha256", "document_id").distinct().groupBy("sha256").agg(F.count("*").alias("n"), F.min("document_id").alias("document_id"))

@@ -234,3 +234,9 @@ def test_file_matches_by_hand(spark):
     targets = [("/1", "ABC", "abc.pdf"), ("/2", "twice", "twice.pdf"), ("/3", "twice", "twice.pdf"), ("/4", "a part-of it", "a Part-Of it.pdf"), ("/5", "many1", "many1.pdf"), ("/6", "many2", "many2.pdf"), ("/7", "y", "y" + "x" * 41 + ".pdf"), ("/7", "y", "y" + "x" * 41 + ".pdf")]
     got = {r.file: (r.outcome, r.n) for r in inventory.file_matches(spark.createDataFrame(files, "file string, name string"), spark.createDataFrame(targets, "path string, stem string, filename string")).collect()}
     assert got == {"f1": ("exact", 1), "f2": ("multiple_exact", 2), "f3": ("fuzzy", 1), "f4": ("multiple_fuzzy", 2), "f5": ("not_found", 0), "f6": ("not_found", 0), "f7": ("fuzzy", 1), "f8": ("exact", 1)}
+
+
+def test_newest_first_keeps_every_record(spark):
+    rows = [("a", t) for t in range(7)] + [("b", 1)]
+    got = catalog.newest_first(spark.createDataFrame(rows, "k string, t int"), "k", ["t"]).collect()
+    assert sorted((r.k, r.t, r["rank"]) for r in got) == sorted([("a", t, 7 - t) for t in range(7)] + [("b", 1, 1)])
