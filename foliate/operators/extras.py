@@ -10,6 +10,7 @@ from pyspark.sql.functions import udtf
 from pyspark.sql.window import Window
 
 from ..functions.text import collapse
+from . import structure
 
 # A marker of metadata blocks, and media types by suffix.
 METADATA_MARKER = r"(?i)\b(?:doi|e-?mail|orcid|institui[cç][aã]o|universidade|faculdade|submitted|approved|recebido|aceito|vers[aã]o|doutor(?:a|ando|anda)?|mestre|p[oó]s[- ]graduando)\b"
@@ -30,6 +31,16 @@ def contextual(title: Column, path: Column, body: Column) -> Column:
     return F.trim(F.concat_ws("\n\n", F.nullif(F.array_join(head, "\n"), F.lit("")), body))
 
 
+def contextual_blocks(blocks: DataFrame, titles: DataFrame) -> DataFrame:
+    """``block_id, contextual``: every block with a text below its document's title and heading path, both labelled."""
+    b = structure.sections(blocks, texts=True).select("block_id", "document_id", "section", "text").where("text is not null")
+    paths = structure.heading_paths(blocks).select("section", "path")
+    label = lambda name, c: F.when(F.trim(c) != "", F.concat(F.lit(f"{name}: "), c))
+    head = F.nullif(F.concat_ws("\n", label("Documento", F.col("title")), label("Seção", F.col("path"))), F.lit(""))
+    j = b.join(paths, "section", "left").join(titles, "document_id", "left")
+    return j.select("block_id", F.regexp_replace(F.concat_ws("\n\n", head, "text"), "^[ \t\n\r]+|[ \t\n\r]+$", "").alias("contextual"))
+
+
 def has_content(columns: list[str]) -> Column:
     out = F.lit(False)
     for c in columns:

@@ -88,7 +88,7 @@ def title_levels(blocks: DataFrame, *columns: str, texts: bool = False) -> DataF
     return o.withColumn("level", F.when(F.col("role") == "title", level).cast("int"))
 
 
-def sections(blocks: DataFrame) -> DataFrame:
+def sections(blocks: DataFrame, texts: bool = False) -> DataFrame:
     """Every block with ``section`` (the last title at or before it, null before the first), and titles with ``parent``.
 
     A title's parent is the nearest earlier title of a smaller level: the latest
@@ -97,7 +97,7 @@ def sections(blocks: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("document_id").orderBy("position")
     upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
-    t = title_levels(blocks).withColumn("section", F.last(F.when(F.col("level").isNotNull(), F.col("block_id")), ignorenulls=True).over(upto))
+    t = title_levels(blocks, texts=texts).withColumn("section", F.last(F.when(F.col("level").isNotNull(), F.col("block_id")), ignorenulls=True).over(upto))
     lasts = [F.when(F.col("level") > k, F.last(F.when(F.col("level") == k, F.struct("position", "block_id")), ignorenulls=True).over(before)) for k in range(1, MAX_LEVEL)]
     return t.withColumn("parent", F.greatest(*lasts)["block_id"])
 
@@ -147,7 +147,7 @@ def regions(blocks: DataFrame) -> DataFrame:
     """``document_id, block_id, position, final_role`` after reference and abstract regions; a document's blocks without texts are what a task holds."""
     from ..functions.text import plain_heading
 
-    t = title_levels(blocks).withColumn("heading", plain_heading(F.when(F.col("role") == "title", F.substring("text", 1, 200))))
+    t = title_levels(blocks, texts=texts).withColumn("heading", plain_heading(F.when(F.col("role") == "title", F.substring("text", 1, 200))))
     return t.select("document_id", "block_id", "position", "role", "level", "heading").groupBy("document_id").applyInPandas(_regions, "document_id string, block_id string, position int, final_role string")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import chunking, extras, runs, structure
 from ..session import table
 from .base import query
-from .blocks import _B, _O
+from .blocks import _B, _O, _WITH
 from .runs import _R
 
 
@@ -19,6 +19,15 @@ def contextual_prefix(spark: SparkSession, d: str) -> DataFrame:
     return b.join(i, "document_id", "left").select("block_id", extras.contextual(F.col("title"), F.col("section_id"), F.col("text")).alias("contextual"))
 
 
+@query(f"""{_WITH}, p AS (SELECT block_id AS section, parent AS up, coalesce(text, '') AS path FROM s WHERE level IS NOT NULL UNION ALL SELECT p.section, s.parent, coalesce(s.text, '') || ' > ' || p.path FROM p JOIN s ON s.block_id = p.up)
+    SELECT s.block_id, trim(coalesce(nullif(concat_ws(chr(10), CASE WHEN trim(i.title) <> '' THEN 'Documento: ' || i.title END, CASE WHEN trim(p.path) <> '' THEN 'Seção: ' || p.path END), '') || chr(10) || chr(10), '') || s.text, ' ' || chr(9) || chr(10) || chr(13)) AS contextual
+    FROM s LEFT JOIN (SELECT document_id, max_by(title, (try_cast(modified_at AS TIMESTAMPTZ), revision_id)) AS title FROM inventory GROUP BY 1) i ON s.document_id = i.document_id LEFT JOIN (SELECT section, path FROM p WHERE up IS NULL) p ON s.section = p.section WHERE s.text IS NOT NULL""")
+def contextual_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The contextual header with the heading path above every block that has a text, whatever its role."""
+    i = table(spark, d, "inventory").groupBy("document_id").agg(F.max_by("title", F.struct(F.try_to_timestamp(F.col("modified_at")), "revision_id")).alias("title"))
+    return extras.contextual_blocks(table(spark, d, "block_units"), i)
+
+
 @query(f"SELECT block_id FROM {_B} WHERE regexp_matches(text, '(?i)\\b(?:doi|e-?mail|orcid|institui[cç][aã]o|universidade|faculdade|submitted|approved|recebido|aceito|vers[aã]o|doutor(?:a|ando|anda)?|mestre|p[oó]s[- ]graduando)\\b')")
 def metadata_markers(spark: SparkSession, d: str) -> DataFrame:
     return structure.distinct_blocks(table(spark, d, "block_units"), "text").where(F.col("text").rlike(extras.METADATA_MARKER)).select("block_id")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliate.functions import geometry, identity, text
-from foliate.operators import catalog, chunking, inventory, ordering, reconcile, runs, structure, vectors
+from foliate.operators import catalog, chunking, extras, inventory, ordering, reconcile, runs, structure, vectors
 
 BLOCK = "block_id string, document_id string, reading_order int, role string, source_type string, text string, page int, section_id string, char_count int, asset_ids array<string>, loaded_at timestamp"
 
@@ -240,3 +240,12 @@ def test_newest_first_keeps_every_record(spark):
     rows = [("a", t) for t in range(7)] + [("b", 1)]
     got = catalog.newest_first(spark.createDataFrame(rows, "k string, t int"), "k", ["t"]).collect()
     assert sorted((r.k, r.t, r["rank"]) for r in got) == sorted([("a", t, 7 - t) for t in range(7)] + [("b", 1, 1)])
+
+
+def test_contextual_blocks_of_every_role(spark):
+    rows = [(f"b{k}", "d", k, role, text) for k, (role, text) in enumerate([("body", "before"), ("title", "Paper"), ("abstract", "short"), ("title", "1. Part"), ("body", "long"), ("list", " x\n"), ("reference", None)])] + [("e0", "e", 0, "metadata", "alone")]
+    blocks = spark.createDataFrame(rows, "block_id string, document_id string, reading_order int, role string, text string").withColumn("loaded_at", F.current_timestamp())
+    titles = spark.createDataFrame([("d", "Name"), ("e", " ")], "document_id string, title string")
+    got = {r.block_id: r.contextual for r in extras.contextual_blocks(blocks, titles).collect()}
+    head, part = "Documento: Name", "Documento: Name\nSeção: Paper > 1. Part"
+    assert got == {"b0": f"{head}\n\nbefore", "b1": f"{head}\nSeção: Paper\n\nPaper", "b2": f"{head}\nSeção: Paper\n\nshort", "b3": f"{part}\n\n1. Part", "b4": f"{part}\n\nlong", "b5": f"{part}\n\n x", "e0": "alone"}
