@@ -10,6 +10,7 @@ occurrence with its parent and ordinal.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +28,6 @@ CHILDREN = {
     "line": (("spans", "s", "span"),),
     "span": (),
 }
-NOT_NODES = ("preproc_blocks",)
 _KIND = "record_id long, parent string, node string, kind string, ordinal int, object_id string, fields string"
 
 
@@ -57,31 +57,47 @@ def pages_of(root: dict) -> list:
     return [root]
 
 
-def nodes_of(root: object, fields: bool = True) -> list[tuple[str, str, str, int, str, str | None]]:
-    """``(parent, node, kind, ordinal, object id, own fields as canonical JSON)`` of every node, parents first.
+def _own(obj: dict, kind: str) -> dict:
+    """An object with each of its child nodes replaced by an empty object: every key stays, and so do entries that are no nodes."""
+    own = dict(obj)
+    for name, _, _ in CHILDREN[kind]:
+        if isinstance(x := obj.get(name), dict):
+            own[name] = {}
+        elif isinstance(x, list):
+            own[name] = [{} if isinstance(e, dict) else e for e in x]
+    return own
+
+
+def walk(root: object) -> list[list]:
+    """``[parent's place, parent, node, kind, ordinal, object, places of children]`` of every node, parents first.
 
     The walk keeps its own stack, so the depth of nesting is not limited by it.
     """
     if not isinstance(root, dict):
         return []
-    order: list[list] = []  # [parent, key, kind, ordinal, object, indexes of children]
+    order: list[list] = []
     stack = [(None, "root", f"p{i:04d}", "page", i, p) for i, p in enumerate(pages_of(root)) if isinstance(p, dict)][::-1]
     while stack:
         above, parent, key, kind, ordinal, obj = stack.pop()
         me = len(order)
-        order.append([parent, key, kind, ordinal, obj, []])
+        order.append([above, parent, key, kind, ordinal, obj, []])
         if above is not None:
-            order[above][5].append(me)
+            order[above][6].append(me)
         below = [(me, key, f"{key}:{letter}{i:04d}", child, i, x) for name, letter, child in CHILDREN[kind] for i, x in enumerate(_entries(obj.get(name))) if isinstance(x, dict)]
         stack += below[::-1]
+    return order
+
+
+def nodes_of(root: object, fields: bool = True) -> list[tuple[str, str, str, int, str, str | None]]:
+    """``(parent, node, kind, ordinal, object id, own fields as canonical JSON)`` of every node, parents first."""
+    order = walk(root)
     hashes: list[str] = [""] * len(order)
     out: list = [None] * len(order)
     for me in range(len(order) - 1, -1, -1):
-        parent, key, kind, ordinal, obj, children = order[me]
-        structure = {name for name, _, _ in CHILDREN[kind]} | set(NOT_NODES) | (set(PAGE_LISTS) if kind == "page" else set())
-        own = json.dumps({k: v for k, v in obj.items() if k not in structure}, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        _, parent, key, kind, ordinal, obj, children = order[me]
+        own = json.dumps(_own(obj, kind), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
         # the position within the list belongs to the parent's identity, the key does not
-        below = "".join(f"{order[c][1][len(key) + 1 :]}{hashes[c]}" for c in children)
+        below = "".join(f"{order[c][2][len(key) + 1 :]}{hashes[c]}" for c in children)
         hashes[me] = xxhash.xxh3_128_hexdigest(f"{kind}\n{own}\n{below}".encode("utf-8", "surrogatepass"))
         out[me] = (parent, key, kind, ordinal, hashes[me], own.encode("utf-8", "replace").decode() if fields else None)
     return out
@@ -146,10 +162,38 @@ def level_table(records: DataFrame, kind: str) -> DataFrame:
     return nodes.withColumn("f", F.from_json("fields", COLUMNS[kind])).select("record_id", "parent", "node", "ordinal", "object_id", "fields", "f.*")
 
 
+def record_key_counts(records: DataFrame) -> DataFrame:
+    """``document_id, record_id, kind, key, n``: how often each key stands in the nodes of each kind of one record, with the payload's root as a kind of its own.
+
+    All keys count, also those of the lists below. Rows of a record sent again add up.
+    """
+    parsed = spread(records.select("document_id", "record_id", "payload").where("payload is not null"))
+    kinds = "document_id string, record_id long, kind string, key string, n long"
+    return parsed.mapInArrow(_keys, kinds).groupBy("document_id", "record_id", "kind", "key").agg(F.sum("n").alias("n"))
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows: list[tuple] = []
+        for document, record, payload in zip(*(batch.column(c).to_pylist() for c in ("document_id", "record_id", "payload"))):
+            root = parse(payload)
+            counts: Counter = Counter(("root", k) for k in root) if isinstance(root, dict) else Counter()
+            for _, _, _, kind, _, obj, _ in walk(root):
+                counts.update((kind, k) for k in obj)
+            rows += [(document, record, kind, key.encode("utf-8", "replace").decode(), n) for (kind, key), n in counts.items()]
+        cols = list(zip(*rows)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()))], ["document_id", "record_id", "kind", "key", "n"])
+
+
 def key_counts(records: DataFrame) -> DataFrame:
-    """``kind, key, n``: how often each key stands in the nodes of each kind, mergeable by addition."""
-    nodes = occurrences(records, fields=True)
-    return nodes.select("kind", F.explode(F.json_object_keys("fields")).alias("key")).groupBy("kind", "key").agg(F.count("*").alias("n"))
+    """``kind, key, n, documents``: the keys of all records, mergeable by addition, and the documents that have them."""
+    return record_key_counts(records).groupBy("kind", "key").agg(F.sum("n").alias("n"), F.countDistinct("document_id").alias("documents"))
+
+
+def collection_key_counts(records: DataFrame, inventory: DataFrame) -> DataFrame:
+    """``collection_slug, kind, key, n, documents``: the same by the collections of the documents, null for documents of none."""
+    at = inventory.select("document_id", "collection_slug").where("document_id is not null").distinct()
+    return record_key_counts(records).join(at, "document_id", "left").groupBy("collection_slug", "kind", "key").agg(F.sum("n").alias("n"), F.countDistinct("document_id").alias("documents"))
 
 
 def found(records: DataFrame) -> DataFrame:

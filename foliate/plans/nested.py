@@ -30,6 +30,16 @@ def p6_key_counts(spark: SparkSession, d: str) -> DataFrame:
     return nested.key_counts(table(spark, d, "extractions"))
 
 
+@query()
+def p6_record_key_counts(spark: SparkSession, d: str) -> DataFrame:
+    return nested.record_key_counts(table(spark, d, "extractions"))
+
+
+@query()
+def p6_collection_key_counts(spark: SparkSession, d: str) -> DataFrame:
+    return nested.collection_key_counts(table(spark, d, "extractions"), table(spark, d, "inventory"))
+
+
 _VALID = "SELECT record_id, document_id, payload::JSON AS j FROM extractions WHERE payload IS NOT NULL AND json_valid(payload)"
 
 

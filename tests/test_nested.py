@@ -55,3 +55,25 @@ def test_records_sent_twice_and_empty_table(spark):
 def test_extra_columns(spark):
     df = frame(spark, [(1, "{}")]).selectExpr("*", "1 as node", "2 as parent", "3 as kind")
     assert nested.found(df).columns == ["record_id", "parent", "node"]
+
+
+def test_all_keys_count(spark):
+    p = json.dumps({"version": 1, "pages": [{"para_blocks": [{"type": "text", "lines": [{"spans": [{"text": "a"}, {"text": "b"}]}], "blocks": []}], "preproc_blocks": []}]})
+    got = {(r.kind, r.key): (r.n, r.documents) for r in nested.key_counts(frame(spark, [(1, p), (2, p), (3, None), (4, "{")])).collect()}
+    want = {("root", "version"): 2, ("root", "pages"): 2, ("page", "para_blocks"): 2, ("page", "preproc_blocks"): 2, ("block", "type"): 2, ("block", "lines"): 2, ("block", "blocks"): 2, ("line", "spans"): 2, ("span", "text"): 4}
+    assert got == {k: (n, 1) for k, n in want.items()}
+    one = {(r.record_id, r.kind, r.key): r.n for r in nested.record_key_counts(frame(spark, [(1, p), (2, p)])).collect()}
+    assert one == {(i, *k): n // 2 for k, n in want.items() for i in (1, 2)}
+    inventory = spark.createDataFrame([("d", "c1"), ("d", "c2")], "document_id string, collection_slug string")
+    assert {(r.collection_slug, r.kind, r.key): (r.n, r.documents) for r in nested.collection_key_counts(frame(spark, [(1, p), (2, p)]), inventory).collect()} == {(c, *k): (n, 1) for k, n in want.items() for c in ("c1", "c2")}
+
+
+def test_what_is_no_node_is_part_of_the_identity():
+    def ids(page):
+        return [(i, f) for *_, i, f in nested.nodes_of({"pages": [page]})]
+
+    plain = {"para_blocks": [{"type": "text"}]}
+    (page, fields), _ = ids({**plain, "preproc_blocks": [{"type": "x"}]})
+    assert page != ids(plain)[0][0] and json.loads(fields)["preproc_blocks"] == [{"type": "x"}]
+    (page, fields), _ = ids({"para_blocks": [{"type": "text"}, 7]})
+    assert page != ids(plain)[0][0] and json.loads(fields)["para_blocks"] == [{}, 7]
