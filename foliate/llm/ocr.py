@@ -16,7 +16,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,8 @@ from .lookalike import fold
 
 VOCABULARY_SHARE = 1e-5
 VOCABULARY_LEAST = 5
+# A word is held to be a misreading of one that is so many times as frequent, for each confusion between them.
+RATIO = 50
 # Bound of the labelled sample the ranker is trained on.
 SAMPLE = 6_000
 # Blocks of one document held together; a longer document is treated in runs of this many blocks.
@@ -53,6 +55,7 @@ _REPEATED = re.compile(r"I{2,}|v{2,}")
 _WORD = re.compile(r"[^\W\d_]+")
 _SHAPE = re.compile(r"[^\W\d_][0-9!|@$€£&(^~*°<\[{+=]+[^\W\d_]|^[0-9!|@$€£<{]+[^\W\d_]{3}|[^\W\d_]{3}[!|@$€£&^~*°<{0-9][^\W\d_]*$")
 _NOT_A_WORD = re.compile(r"://|www\.|@\w+\.\w|\.(?:com|org|net|example|test|pdf|html?)\b|^[\W\d_]*$|^\W*(?-i:[A-Z]{1,3})-?\d+\W*$", re.I)
+_QUOTES = ".,;:?\"“”‘’…–—-"
 _OUTER = ".,;:?\"“”‘’…–—-()[]"
 # a hyphen at a line's end, or with a space after it and the rest of the word
 _SOFT = "­"
@@ -164,6 +167,9 @@ class Speller:
         self.sound: set[str] = set()
         self.ranker: Boosted | None = None
         self.joiner = Joiner(vocabulary)
+        # whether the corpus has words below the share; the counts of those near the token in hand
+        self.rarer = False
+        self.extra: dict[str, int] = {}
 
     def candidates(self, word: str, most: int | None = None) -> list[tuple[int, str]]:
         """Vocabulary words that share enough q-grams, the most similar first; all of them, or ``most`` (training rows only)."""
@@ -188,7 +194,7 @@ class Speller:
         cost = confusion_cost(seen, true)
         short = min(len(seen), len(true))
         same = next((i for i in range(short) if seen[i] != true[i]), short)
-        return (cost, cost / max(1, len(true)), float(len(true)), float(abs(len(seen) - len(true))), shared / (len(true) + 3), float(np.log10(1 + self.vocabulary.get(true, 0))), float(same == short), float(capital))
+        return (cost, cost / max(1, len(true)), float(len(true)), float(abs(len(seen) - len(true))), shared / (len(true) + 3), float(np.log10(1 + (self.vocabulary.get(true) or self.extra.get(true, 0)))), float(same == short), float(capital))
 
     def train(self, others: list[str], seed: int = 11) -> Speller:
         """Positives are vocabulary words corrupted by the confusions; negatives are words of the corpus that are
@@ -244,14 +250,51 @@ class Speller:
             self.known[token] = made
             return made
 
+    def judged(self, tokens: set[str]) -> tuple[bool, list[str]]:
+        """Whether one of the tokens is misread whatever the rarer words are, else the tokens that these decide."""
+        undecided = []
+        for token in tokens - self.sound:
+            core = token.strip(_OUTER)
+            if core.lower() not in self.vocabulary and not _NOT_A_WORD.search(token):
+                if core.isalpha() and len(core) >= 3:
+                    undecided.append(token)
+                    continue
+                if self.correct(token) is not None:
+                    return True, []
+                if _SHAPE.search(core) or token.strip(_QUOTES)[:1] in tuple("([<{"):
+                    undecided.append(token)
+                    continue
+            if len(self.sound) > 400_000:  # a cache, as below
+                self.sound.clear()
+            self.sound.add(token)
+        return False, undecided
+
+    def correct_among(self, token: str, rarer: dict[str, int]) -> str | None:
+        """``correct`` with the rarer words near the token; below VOCABULARY_LEAST they only tell how often the token itself occurs."""
+        self.extra = rarer
+        try:
+            return self._correct(token)
+        finally:
+            self.extra = {}
+
+    def is_misreading(self, word: str, n: int) -> bool:
+        """Whether a word of n occurrences is a confusion or more away from a word that is RATIO times as frequent for each."""
+        for v in [v for _, v in self.near(word)] + list(self.extra):
+            count = self.vocabulary.get(v) or self.extra.get(v, 0)
+            if v != word and count >= RATIO * n and (cost := confusion_cost(word, v)) < 1 and count >= RATIO ** round(cost / 0.3) * n:
+                return True
+        return False
+
     def _correct(self, token: str) -> str | None:
         core = token.strip(_OUTER)
         low = core.lower()
         if not core or low in self.vocabulary or _NOT_A_WORD.search(token):
             return None
+        if self.extra.get(low, 0) >= VOCABULARY_LEAST and not (token.strip(_QUOTES)[:1] in tuple("([<{") and self._rank(token.strip(_QUOTES).lower(), core)) and not self.is_misreading(low, self.extra[low]):
+            return None
         if any(p and p in self.vocabulary for p in re.split(r"[-/'’]", low)) and _WORD.sub("", low).strip("-/'’") == "":
             return None if len(re.split(r"[-/'’]", low)) > 1 else self._rank(low, core)
-        loose = token.strip(".,;:?\"“”‘’…–—-").lower()
+        loose = token.strip(_QUOTES).lower()
         if _SHAPE.search(core) or (loose[:1] in "([<{" and loose[:1] and len(loose) > 4 and loose[1:] not in self.vocabulary):
             got = self._rank(loose if loose[:1] in "([<{" else low, core)
             if got is None and loose != low:
@@ -268,8 +311,12 @@ class Speller:
     def _rank(self, low: str, core: str) -> str | None:
         capital = core[:1].isupper() and not core[1:2].isupper()
         best, top = None, 0.0
-        for n, v in self.near(low):
-            if v not in self.vocabulary:  # dropped as a misreading itself
+        rarer = [v for v, n in self.extra.items() if n >= VOCABULARY_LEAST and v != low]
+        for n, v in self.near(low) + (shared_grams(low, rarer) if rarer else []):
+            if v not in self.vocabulary and v not in rarer:  # dropped as a misreading itself
+                continue
+            # names differ by single letters: a capitalised one is misread only from one that is far more frequent
+            if v in rarer and core[:1].isupper() and _WORD.fullmatch(low) and not self.extra[v] >= RATIO * max(1, self.extra.get(low, 1)):
                 continue
             f = self.features(low, v, n, capital)
             if f[0] > 1.3 or (f[0] >= 1.0 and _WORD.fullmatch(low)):
@@ -364,6 +411,8 @@ class Document:
         self.blocks = blocks
         self.folded = [fold(t) for _, _, _, t in blocks]
         self.headers = self._headers()
+        # (block, token) that words below the vocabulary's share decide
+        self.undecided: list[tuple[str, str]] = []
         # one word of each header, to pass over other lines quickly
         self.marks = [max(_WORD.findall(h.lower()), key=len) for h in self.headers.values()]
 
@@ -439,7 +488,12 @@ class Document:
                     if i not in furniture:
                         tokens.update(line.split())
                 first = lines[0].split()[:1] if k and self._broken_end(k - 1) else []
-                if self.speller.any_misread(tokens.difference(first)):
+                if self.speller.rarer:
+                    misread, undecided = self.speller.judged(tokens.difference(first))
+                    self.undecided += [(block, t) for t in undecided]
+                else:
+                    misread = self.speller.any_misread(tokens.difference(first))
+                if misread:
                     kinds.add("misread")
             for kind in kinds:
                 yield block, kind
@@ -488,15 +542,20 @@ class Document:
             yield self._respelled(held)
 
     def _respelled(self, text: str) -> str:
-        out = []
-        for token in text.split(" "):
-            right = self.speller.correct(token)
-            if right:
-                core = token.strip(_OUTER)
-                right = right.capitalize() if core[:1].isupper() else right
-                token = token.replace(core, right, 1)
-            out.append(token)
-        return " ".join(out)
+        # words below the vocabulary's share are looked up for all paragraphs at once, later
+        return text if self.speller.rarer else respelled(text, self.speller.correct)
+
+
+def respelled(text: str, correct: Callable[[str], str | None]) -> str:
+    out = []
+    for token in text.split(" "):
+        right = correct(token)
+        if right:
+            core = token.strip(_OUTER)
+            right = right.capitalize() if core[:1].isupper() else right
+            token = token.replace(core, right, 1)
+        out.append(token)
+    return " ".join(out)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
@@ -517,18 +576,86 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple
 
 def _noise(shared):
     def run(batches):
-        out: list[tuple[str, str]] = []
+        out: list[tuple[str, str | None, str | None]] = []
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], ["block_id", "noise", "token"])
+
         for _, rows in _runs(batches):
-            out += Document(rows, shared.value).noise()
+            document = Document(rows, shared.value)
+            out += [(b, k, None) for b, k in document.noise()]
+            out += [(b, None, t) for b, t in document.undecided]
             if len(out) > 5_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], ["block_id", "noise"])
+                yield batch()
                 out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], ["block_id", "noise"])
+            yield batch()
+
+    return run
+
+
+# ---- words below the vocabulary's share -----------------------------------------------------
+
+
+def _mapped(rows: Callable, kinds: list[tuple[str, pa.DataType]]):
+    """A function of Arrow batches from one that gives rows for the columns of a row."""
+
+    def run(batches):
+        for batch in batches:
+            made = [r for x in zip(*(c.to_pylist() for c in batch.columns)) for r in rows(*x)]
+            cols = list(zip(*made)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, kinds)], [n for n, _ in kinds])
 
     return run
 
 
+def _forms(token: str) -> set[str]:
+    """What a token is looked up by: with and without the brackets before it."""
+    return {token.strip(_OUTER).lower(), token.strip(_QUOTES).lower()}
+
+
+def _shortened(word: str) -> set[str]:
+    """Skeletons of a word and of the word less one character: words one edit and some confusions apart share one of them."""
+    return {skeleton(x) for w in {word, word.replace("|", "")} for x in (w, *(w[:i] + w[i + 1 :] for i in range(len(w))))}
+
+
+def _token_keys(token: str) -> list[tuple[str, str]]:
+    keys = set()
+    for form in _forms(token):
+        keys |= {"f" + skeleton(form), "w" + form} if _WORD.fullmatch(form) else {"d" + x for x in _shortened(form)}
+    return [(token, k) for k in keys]
+
+
+def _word_keys(word: str, n: int) -> list[tuple[str, str, int]]:
+    return [(k, word, n) for k in {"f" + skeleton(word), *("d" + x for x in _shortened(word))}]
+
+
+def _is_near(token: str, word: str, n: int) -> list[tuple[str, str, int]]:
+    return [(token, word, n)] if any(f == word or shared_grams(f, (word,)) and confusion_cost(f, word) <= 1.3 for f in _forms(token)) else []
+
+
+def verdicts(tokens: DataFrame, counts: DataFrame, shared) -> DataFrame:
+    """``token, right`` of the distinct tokens that are misread, given all words of the corpus and not only those of the broadcast vocabulary.
+
+    An inverted join by skeletons, which no pair of words within the cost misses; both sides stay distributed.
+    """
+    text, number = pa.string(), pa.int64()
+    distinct = tokens.select("token").distinct()
+    keys = distinct.mapInArrow(_mapped(_token_keys, [("token", text), ("key", text)]), "token string, key string")
+    words = counts.where((F.length("word") >= 3) & (F.col("n") < shared.value.share))
+    real = words.where(F.col("n") >= VOCABULARY_LEAST).select("word", "n").mapInArrow(_mapped(lambda w, n: [] if shared.value.is_misreading(w, n) else _word_keys(w, n), [("key", text), ("word", text), ("n", number)]), "key string, word string, n long")
+    own = words.where(F.col("n") < VOCABULARY_LEAST).select(F.concat(F.lit("w"), "word").alias("key"), "word", "n")
+    pairs = keys.join(real.unionByName(own), "key").select("token", "word", "n")
+    near = pairs.mapInArrow(_mapped(_is_near, [("token", text), ("word", text), ("n", number)]), "token string, word string, n long")
+    lists = near.groupBy("token").agg(F.sort_array(F.collect_set(F.struct("word", "n"))).alias("near"))
+
+    def judge(token, near):
+        right = shared.value.correct_among(token, {x["word"]: x["n"] for x in near or ()})
+        return [] if right is None else [(token, right)]
+
+    return distinct.join(lists, "token", "left").select("token", "near").mapInArrow(_mapped(judge, [("token", text), ("right", text)]), "token string, right string")
+
+
 def _repair(shared):
     def run(batches):
         for (doc, part), rows in _runs(batches):
@@ -538,8 +665,8 @@ def _repair(shared):
     return run
 
 
-def fit_speller(blocks: DataFrame) -> Speller:
-    """Word counts over all blocks; the vocabulary and a bounded sample of rare words come to the driver."""
+def fit_speller(blocks: DataFrame) -> tuple[Speller, DataFrame]:
+    """The speller and the counts of all words it was made from; the vocabulary and a bounded sample of rare words come to the driver."""
     counts = checkpointed(word_counts(blocks))
     total = counts.agg(F.sum("n")).first()[0] or 0
     least = max(VOCABULARY_LEAST, total * VOCABULARY_SHARE)
@@ -555,7 +682,9 @@ def fit_speller(blocks: DataFrame) -> Speller:
         del vocabulary[w]
     speller.known.clear()
     speller.sound.clear()
-    return speller
+    speller.share = least
+    speller.rarer = least > VOCABULARY_LEAST
+    return speller, counts
 
 
 def in_reading_order(blocks: DataFrame) -> DataFrame:
@@ -577,8 +706,15 @@ def noise(blocks: DataFrame) -> DataFrame:
     Null and empty texts have none; blocks without a document are treated as one
     document in their reading order; equal reading orders fall back to the block id.
     """
-    shared = blocks.sparkSession.sparkContext.broadcast(fit_speller(blocks))
-    return in_reading_order(blocks).mapInArrow(_noise(shared), "block_id string, noise string")
+    speller, counts = fit_speller(blocks)
+    shared = blocks.sparkSession.sparkContext.broadcast(speller)
+    made = in_reading_order(blocks).mapInArrow(_noise(shared), "block_id string, noise string, token string")
+    if not speller.rarer:
+        return made.select("block_id", "noise")
+    made = checkpointed(made)
+    open_ = made.where("token is not null")
+    misread = open_.join(verdicts(open_, counts, shared), "token").select("block_id", F.lit("misread").alias("noise"))
+    return made.where("noise is not null").select("block_id", "noise").unionByName(misread).distinct()
 
 
 def found(blocks: DataFrame) -> DataFrame:
@@ -587,5 +723,20 @@ def found(blocks: DataFrame) -> DataFrame:
 
 def paragraphs(blocks: DataFrame) -> DataFrame:
     """``document_id, part, paragraph, text``: continuous repaired paragraphs in reading order."""
-    shared = blocks.sparkSession.sparkContext.broadcast(fit_speller(blocks))
-    return in_reading_order(blocks).mapInArrow(_repair(shared), "document_id string, part int, paragraph int, text string")
+    speller, counts = fit_speller(blocks)
+    shared = blocks.sparkSession.sparkContext.broadcast(speller)
+    columns = "document_id string, part int, paragraph int, text string"
+    made = in_reading_order(blocks).mapInArrow(_repair(shared), columns)
+    if not speller.rarer:
+        return made
+    made, at = checkpointed(made), ["document_id", "part", "paragraph"]
+    kinds = [("document_id", pa.string()), ("part", pa.int32()), ("paragraph", pa.int32())]
+    one = lambda d, p, k, text: [(d, p, k, t) for t in set(text.split(" ")) if shared.value.judged({t})[1]]
+    open_ = made.mapInArrow(_mapped(one, [*kinds, ("token", pa.string())]), "document_id string, part int, paragraph int, token string")
+    lists = open_.join(verdicts(open_, counts, shared), "token").groupBy(*at).agg(F.collect_list(F.struct("token", "right")).alias("rights"))
+
+    def respell(d, p, k, text, rights):
+        known = {x["token"]: x["right"] for x in rights or ()}
+        return [(d, p, k, respelled(text, lambda t: known.get(t) if shared.value.judged({t})[1] else shared.value.correct(t)))]
+
+    return made.join(lists, at, "left").select(*at, "text", "rights").mapInArrow(_mapped(respell, [*kinds, ("text", pa.string())]), columns)

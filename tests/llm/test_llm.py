@@ -251,6 +251,19 @@ def test_every_candidate_above_the_threshold_is_ranked():
         assert s.correct(seen) == true, seen
 
 
+def test_words_below_the_share_are_candidates(spark, monkeypatch):
+    """A word seen too rarely for the broadcast vocabulary is found where it is misread, and is sound itself."""
+    rows = [(f"f{k}", "d", "s", 0, k, "body", "the operator of the network reveals the margin " * 20) for k in range(50)]
+    rows += [(f"r{k}", "d", "s", 0, 100 + k, "body", "the quadrangle of the network") for k in range(60)]
+    rows += [("x", "d", "s", 0, 200, "body", "the quadranglc of the network."), ("y", "d", "s", 0, 201, "body", "the Quadranglc of the nctwork.")]
+    df = blocks(spark, rows)
+    monkeypatch.setattr(ocr, "VOCABULARY_SHARE", 0.02)
+    speller, _ = ocr.fit_speller(df)
+    assert speller.rarer and "quadrangle" not in speller.vocabulary
+    assert {r.block_id for r in ocr.found(df).where("noise = 'misread'").collect()} == {"x", "y"}
+    assert "the quadrangle of the network." in " ".join(r.text for r in ocr.paragraphs(df).collect())
+
+
 def test_broken_words():
     v = speller().joiner
     for text, n in (("the con-\ntract", 1), ("the con- \r\n tract", 1), ("con­\ntract", 1), ("con¬\ntract", 1), ("the con- tract", 1), ("short- and long-term", 0), ("well-known", 0), ("the con­tract", 0), ("ends in con-", 1), ("a - b", 0), ("Zoka-\nreth", 1)):
