@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 from pyspark.sql.window import Window
 
+from ..functions import deepjson
 from ..functions.text import collapse
 from . import structure
 
@@ -98,20 +99,25 @@ def admission(used: Column, capacity: Column, free: Column, need: Column) -> Col
     return F.array_compact(F.array(F.when(used >= capacity, "backlog"), F.when(free < need, "disk")))
 
 
+def _paths(value: object, wanted: str) -> Iterator[tuple[str, str]]:
+    """``(path, value)`` of every occurrence of a key, in the order of the text; nesting may have any depth."""
+    todo = [("", value)]
+    while todo:
+        path, v = todo.pop()
+        if isinstance(v, dict):
+            below = [(f"{path}.{k}" if path else k, k, x) for k, x in v.items()]
+        elif isinstance(v, list):
+            below = [(f"{path}[{i}]", None, x) for i, x in enumerate(v)]
+        else:
+            continue
+        for at, k, x in below:
+            if k == wanted:
+                yield at, x if isinstance(x, str) else deepjson.dumps(x)
+        todo += [(at, x) for at, _, x in reversed(below)]
+
+
 def key_paths(frame: DataFrame, key: str, payload: str, wanted: str) -> DataFrame:
-    """``key, path, value`` of every occurrence of a field at any depth of JSON payloads."""
-    import json
-
-    def walk(value, path=""):
-        if isinstance(value, dict):
-            for k, v in value.items():
-                at = f"{path}.{k}" if path else k
-                if k == wanted:
-                    yield at, v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
-                yield from walk(v, at)
-        elif isinstance(value, list):
-            for i, v in enumerate(value):
-                yield from walk(v, f"{path}[{i}]")
+    """``key, path, value`` of every occurrence of a field at any depth of JSON payloads; payloads that are not valid give none."""
 
     def run(batches):
         import pandas as pd
@@ -120,8 +126,8 @@ def key_paths(frame: DataFrame, key: str, payload: str, wanted: str) -> DataFram
             rows = []
             for k, p in zip(pdf.key, pdf.payload):
                 try:
-                    rows += [(k, a, v) for a, v in walk(json.loads(p))]
-                except (ValueError, RecursionError):
+                    rows += [(k, a, v) for a, v in _paths(deepjson.loads(p), wanted)]
+                except ValueError:
                     continue
             yield pd.DataFrame(rows, columns=["key", "path", "value"])
 

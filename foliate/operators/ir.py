@@ -16,21 +16,21 @@ LOW_SCORE = 0.80
 
 def newest_valid(records: DataFrame) -> DataFrame:
     """One payload per record: of its valid copies the one received last, ties by content."""
-    ok = records.where("payload is not null and try_parse_json(payload) is not null")
+    ok = records.where(nested.is_json(F.col("payload")))
     return ok.groupBy("record_id").agg(F.max_by(F.struct("document_id", "source_name", "payload"), F.struct("received_at", "payload")).alias("r")).select("record_id", "r.*")
 
 
 def root_keys(records: DataFrame) -> DataFrame:
     """``key, occurrences, records`` over all valid payloads."""
-    ok = records.where("payload is not null and try_parse_json(payload) is not null")
+    ok = records.where(nested.is_json(F.col("payload")))
     k = ok.select("record_id", F.explode(F.json_object_keys("payload")).alias("key"))
     return k.groupBy("key").agg(F.count("*").alias("occurrences"), F.countDistinct("record_id").alias("records"))
 
 
 def record_status(records: DataFrame) -> DataFrame:
     """Copies and valid copies per record; a payload that is cut off is pending, none at all is missing."""
-    valid = F.expr("payload is not null and try_parse_json(payload) is not null")
-    g = records.groupBy("record_id").agg(F.count("*").alias("copies"), F.sum(valid.cast("long")).alias("valid_copies"), F.count("payload").alias("__p"))
+    valid = F.col("__valid")
+    g = records.withColumn("__valid", nested.is_json(F.col("payload"))).groupBy("record_id").agg(F.count("*").alias("copies"), F.sum(valid.cast("long")).alias("valid_copies"), F.count("payload").alias("__p"))
     return g.select("record_id", "copies", "valid_copies", F.when(F.col("valid_copies") > 0, "ok").when(F.col("__p") == 0, "missing").otherwise("pending").alias("render_status"))
 
 

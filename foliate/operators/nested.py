@@ -9,15 +9,16 @@ occurrence with its parent and ordinal.
 
 from __future__ import annotations
 
-import json
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
+from ..functions import deepjson
 from ..session import spread
 
 # Names of the page list, and per kind of node the lists below it with the letter and kind of their entries.
@@ -31,20 +32,34 @@ CHILDREN = {
 _KIND = "record_id long, parent string, node string, kind string, ordinal int, object_id string, fields string"
 
 
-def _no_constant(name: str):
-    raise ValueError(f"{name} is no JSON")
-
-
 def parse(payload: str | None) -> object:
-    """The payload's value, or None if it is null or not valid JSON (NaN and infinities are not)."""
+    """The payload's value, or None if it is null or not valid JSON (NaN and infinities are not). Nesting may have any depth."""
     if payload is None:
         return None
     try:
-        return json.loads(payload, parse_constant=_no_constant)
-    except (ValueError, RecursionError):
+        return deepjson.loads(payload)
+    except ValueError:
         return None
 
 
+@F.pandas_udf(BooleanType())
+def _is_json(s):
+    def valid(x):
+        try:
+            deepjson.loads(x)
+        except ValueError:
+            return False
+        return True
+
+    return s.map(lambda x: False if x is None else valid(x))
+
+
+def is_json(payload: Column) -> Column:
+    """Whether a payload is valid JSON; what the JVM's parser refuses, perhaps only for its depth, is parsed again without that limit."""
+    refused = F.try_parse_json(payload).isNull()
+    return payload.isNotNull() & (~refused | _is_json(F.when(refused, payload)))
+
+
 def _entries(value: object) -> list:
     """A list as it is, an object as a list of one, anything else as no entries."""
     return value if isinstance(value, list) else [value] if isinstance(value, dict) else []
@@ -95,10 +110,10 @@ def nodes_of(root: object, fields: bool = True) -> list[tuple[str, str, str, int
     out: list = [None] * len(order)
     for me in range(len(order) - 1, -1, -1):
         _, parent, key, kind, ordinal, obj, children = order[me]
-        own = json.dumps(_own(obj, kind), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        own = deepjson.dumps(_own(obj, kind))
         # the position within the list belongs to the parent's identity, the key does not
         below = "".join(f"{order[c][2][len(key) + 1 :]}{hashes[c]}" for c in children)
-        hashes[me] = xxhash.xxh3_128_hexdigest(f"{kind}\n{own}\n{below}".encode("utf-8", "surrogatepass"))
+        hashes[me] = blake2b(f"{kind}\n{own}\n{below}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
         out[me] = (parent, key, kind, ordinal, hashes[me], own.encode("utf-8", "replace").decode() if fields else None)
     return out
 
@@ -156,10 +171,32 @@ COLUMNS = {
 }
 
 
+# Opening brackets up to which fields go to the JVM's parser as they are; it refuses nesting of 1,000.
+JVM_BRACKETS = 500
+
+
+def _typed(kind: str):
+    """Fields that may be too deep for the JVM's parser, reduced to typed ones that hold no objects or lists of lists."""
+    names = {c.split()[0] for c in COLUMNS[kind].split(", ")}
+
+    def flat(v) -> bool:
+        return not isinstance(v, dict) and not (isinstance(v, list) and any(isinstance(x, (dict, list)) for x in v))
+
+    def reduce(s):
+        return s.map(lambda x: None if x is None else deepjson.dumps({k: v for k, v in deepjson.loads(x).items() if k in names and flat(v)}))
+
+    return F.pandas_udf(reduce, "string")
+
+
 def level_table(records: DataFrame, kind: str) -> DataFrame:
-    """The flat table of one level: every distinct node with its own and its parent's key and typed fields; ``fields`` keeps the rest."""
+    """The flat table of one level: every distinct node with its own and its parent's key and typed fields; ``fields`` keeps the rest.
+
+    Fields nested beyond what the JVM reads keep their typed columns too.
+    """
     nodes = occurrences(records, fields=True).where(F.col("kind") == kind).dropDuplicates(["record_id", "node", "object_id"])
-    return nodes.withColumn("f", F.from_json("fields", COLUMNS[kind])).select("record_id", "parent", "node", "ordinal", "object_id", "fields", "f.*")
+    deep = F.length(F.regexp_replace("fields", r"[^\[{]", "")) > JVM_BRACKETS
+    plain = F.coalesce(_typed(kind)(F.when(deep, F.col("fields"))), F.col("fields"))
+    return nodes.withColumn("f", F.from_json(plain, COLUMNS[kind])).select("record_id", "parent", "node", "ordinal", "object_id", "fields", "f.*")
 
 
 def record_key_counts(records: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import json
+import random
 
-from foliate.operators import ir, nested
+from foliate.functions import deepjson
+from foliate.operators import extras, ir, nested
 
 
 def frame(spark, payloads):
@@ -30,8 +32,46 @@ def test_no_nodes():
 
 
 def test_deep_nesting():
-    p = '{"blocks": [' * 200 + "{}" + "]}" * 200
-    assert len(keys('{"para_blocks": [' + p + "]}")) == 202
+    for n in (200, 5_000):
+        p = '{"blocks": [' * n + "{}" + "]}" * n
+        assert len(keys('{"para_blocks": [' + p + "]}")) == n + 2
+
+
+def test_deep_payloads_are_kept(spark):
+    """Valid nesting far beyond the parsers' own limits loses no node, no typed column and no key."""
+    n = 20_000
+    deep = "[" * n + "]" * n
+    p = f'{{"pages": [{{"page": 3, "para_blocks": [{{"type": "text", "extra": {deep}, "bbox": [1, 2, 3, 4]}}]}}], "level": {{"a": {deep}}}}}'
+    df = frame(spark, [(1, p), (2, p[:-1]), (3, '{"pages": [{}]}')])
+    assert [(r.record_id, r.node) for r in nested.found(df).orderBy("record_id", "node").collect()] == [(1, "p0000"), (1, "p0000:b0000"), (3, "p0000")]
+    (row,) = nested.level_table(df, "block").collect()
+    assert row.type == "text" and row.bbox == [1, 2, 3, 4] and deep in row.fields
+    assert {(r.record_id, r.valid_copies) for r in ir.record_status(df).collect()} == {(1, 1), (2, 0), (3, 1)}
+    assert [(r.key, r.path, len(r.value)) for r in extras.key_paths(df, "record_id", "payload", "level").collect()] == [("1", "level", 2 * n + 6)]
+
+
+def test_json_without_recursion_is_the_same_json():
+    rng = random.Random(1)
+
+    def made(k):
+        if not k or rng.random() < 0.3:
+            return rng.choice([1, -2.5, 1e10, 'a"b\n', "é", None, True, False, 0, ""])
+        return [made(k - 1) for _ in range(rng.randrange(4))] if rng.random() < 0.5 else {rng.choice("abcdeé"): made(k - 1) for _ in range(rng.randrange(4))}
+
+    for _ in range(400):
+        v = made(5)
+        t = json.dumps(v, indent=rng.choice([None, 1]))
+        assert deepjson._loads_flat(t) == v
+        i = rng.randrange(len(t) + 1)
+        broken = t[:i] + rng.choice('{}[],:"1 x') + t[i + rng.randrange(2) :]
+        assert _or_none(deepjson._loads_flat, broken) == _or_none(json.loads, broken)
+
+
+def _or_none(f, text):
+    try:
+        return (f(text),)
+    except ValueError:
+        return None
 
 
 def test_identical_subtrees_have_one_identity_and_position_counts(spark):
