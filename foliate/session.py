@@ -4,22 +4,27 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "foliate", cpus: str | int = "*", partitions: int = 8, **conf: str) -> SparkSession:
-    """A local session with the pins the operators rely on (UTC, AQE, Arrow)."""
+    """A session with the pins the operators rely on (UTC, AQE, Arrow).
+
+    Under spark-submit, or with ``spark__master`` given, the cluster's own master,
+    memory and number of shuffle partitions are kept; else it is a local session
+    of ``cpus`` threads and ``partitions`` shuffle partitions.
+    """
+    b = SparkSession.builder.appName(app)
+    if "PYSPARK_GATEWAY_PORT" not in os.environ and "spark__master" not in conf:
+        b = b.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", str(partitions)).config("spark.driver.memory", os.environ.get("FOLIATE_DRIVER_MEMORY", "8g"))
     b = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(partitions))
+        b.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("FOLIATE_DRIVER_MEMORY", "8g"))
     )
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
@@ -40,13 +45,30 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one only in a local session without it."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="foliate-checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="foliate-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def written(df: DataFrame, name: str, compression: str = "zstd") -> str:
+    """The path of ``df`` written once to the shared folder; it is deleted when the session ends.
+
+    Readers of one plan share it, and a lost executor costs no second pass.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", compression).parquet(path)
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
 
