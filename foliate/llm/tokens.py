@@ -23,11 +23,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_folder, spread
+from ..session import spread, written
 
 # Fixed value: the public pre-token pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLOCK_CHARS = 2_000_000
+# Rows of one word that meet in one task, at most, in the join of the ids.
+SALT_BLOCKS = 20_000
 VOCABULARY = "byte_bpe_50k"
 
 
@@ -40,17 +42,23 @@ def load_ranks(name: str = VOCABULARY, folder: str | None = None) -> dict[bytes,
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+_BLOCK = "block binary, words array<string>, docs array<bigint>, codes binary, ends binary"
+
+
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``block, words, docs, codes, ends``: the block's distinct words and each document as codes of them."""
+    """Rows of ``block, words, docs, codes, ends``: the block's distinct words and each document as codes of them.
+
+    A block's id is its own; it is drawn once, as the blocks are written before they are used.
+    """
     find = regex.compile(PATTERN).findall
 
     def close(docs, chunks, ends, seen):
-        codes = np.fromiter((c for chunk in chunks for c in chunk), np.uint32, ends[-1] if ends else 0)
+        codes = np.fromiter((c for chunk in chunks for c in chunk), np.uint32, ends[-1])
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([uuid.uuid5(uuid.NAMESPACE_OID, f"{docs[0]}:{docs[-1]}:{len(docs)}:{len(codes)}").bytes], pa.binary()),
+                pa.array([uuid.uuid4().bytes], pa.binary()),
                 pa.array([list(seen)], pa.list_(pa.string())),
-                pa.array([np.array(docs, np.int64).tobytes()], pa.binary()),
+                pa.array([docs], pa.list_(pa.int64())),
                 pa.array([codes.tobytes()], pa.binary()),
                 pa.array([np.array(ends, np.int64).tobytes()], pa.binary()),
             ],
@@ -76,10 +84,11 @@ def _encoder(name: str, folder: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        enc = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=load_ranks(name, folder), special_tokens={})
+        # a word is a pre-token already: the whole of it is one piece
+        enc = tiktoken.Encoding(name, pat_str="(?s:.+)", mergeable_ranks=load_ranks(name, folder), special_tokens={})
         for batch in batches:
-            ids = [enc._encode_single_piece(w) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+            ids = [enc.encode_ordinary(w) for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("salts"), pa.array(ids, pa.list_(pa.int32()))], ["word", "salts", "ids"])
 
     return run
 
@@ -87,7 +96,7 @@ def _encoder(name: str, folder: str | None):
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            docs, ends = np.frombuffer(batch.column("docs")[row].as_py(), np.int64), np.frombuffer(batch.column("ends")[row].as_py(), np.int64)
+            docs, ends = batch.column("docs")[row].values, np.frombuffer(batch.column("ends")[row].as_py(), np.int64)
             codes = np.frombuffer(batch.column("codes")[row].as_py(), np.uint32)
             table = batch.column("table")[row]
             if table.is_valid and len(table):
@@ -103,7 +112,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 stop = np.concatenate([[0], total])[ends]
             else:
                 out, stop = np.zeros(0, np.int32), np.zeros(len(ends), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stop]), pa.int32()), pa.array(out, pa.int32()))], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([docs, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stop]), pa.int32()), pa.array(out, pa.int32()))], ["doc_id", "ids"])
 
 
 def encode_corpus(documents: DataFrame, name: str = VOCABULARY, folder: str | None = None) -> DataFrame:
@@ -111,18 +120,24 @@ def encode_corpus(documents: DataFrame, name: str = VOCABULARY, folder: str | No
 
     Empty, blank and null texts are defined: null and empty give an empty list,
     blank ones the ids of their white space. Strings of special tokens are
-    ordinary text. Repeated rows give repeated rows; other columns are not read.
-    A very long text makes a block of its own. The split blocks are written once
-    to the cluster's shared folder, so that the corpus is split once and a lost
-    executor costs no second pass.
+    ordinary text. Null ids and repeated rows come out as they came in, also rows
+    of one id with different texts; other columns are not read. A very long text
+    makes a block of its own. The split blocks are written once to the cluster's
+    shared folder, so that the corpus is split once and a lost executor costs no
+    second pass; the folder is dropped when the session ends.
+
+    A frequent word stands in nearly every block: its rows are dealt to salts, one
+    for each SALT_BLOCKS blocks, so that no key of the join outgrows a task. The
+    word is still encoded once; its ids are copied to the salts that ask for them.
     """
     spark = documents.sparkSession
-    path = f"{shared_folder(spark)}/blocks-{uuid.uuid4().hex}"
-    spread(documents.select("doc_id", "text")).mapInArrow(_split, "block binary, words array<string>, docs binary, codes binary, ends binary").write.option("compression", "zstd").parquet(path)
-    blocks = spark.read.parquet(path)
-    used = blocks.select("block", F.posexplode("words").alias("i", "word"))
-    ids = used.select("word").distinct().mapInArrow(_encoder(name, folder), "word string, ids array<int>")
-    tables = used.join(ids, "word").groupBy("block").agg(F.collect_list(F.struct("i", "ids")).alias("table"))
+    path = written(spread(documents.select("doc_id", "text")).mapInArrow(_split, _BLOCK), "blocks")
+    blocks = spark.read.schema(_BLOCK).parquet(path)
+    salts = 1 + blocks.select("block").count() // SALT_BLOCKS
+    used = blocks.select("block", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"), F.posexplode("words").alias("i", "word"))
+    asked = used.groupBy("word").agg(F.collect_set("salt").alias("salts"))
+    ids = asked.mapInArrow(_encoder(name, folder), "word string, salts array<int>, ids array<int>").select("word", F.explode("salts").alias("salt"), "ids")
+    tables = used.join(ids, ["word", "salt"]).groupBy("block").agg(F.collect_list(F.struct("i", "ids")).alias("table"))
     return blocks.select("block", "docs", "codes", "ends").join(tables, "block", "left").select("docs", "codes", "ends", "table").mapInArrow(_assemble, "doc_id long, ids array<int>")
 
 

@@ -356,6 +356,23 @@ def test_ids_equal_the_library_and_decode_to_the_text(spark, monkeypatch):
     assert got == {i: library.encode(t, add_special_tokens=False).ids if t else [] for i, t in enumerate(texts)}
     assert {r.doc_id: r.text for r in tokens.decode_corpus(encoded).collect()} == {i: t or "" for i, t in enumerate(texts)}
     assert tokens.encode_corpus(df.limit(0)).count() == 0
+    # the salts of frequent words change nothing
+    monkeypatch.setattr(tokens, "SALT_BLOCKS", 2)
+    assert {r.doc_id: r.ids for r in tokens.encode_corpus(df).collect()} == got
+
+
+def test_ids_of_null_and_repeated_documents(spark, monkeypatch):
+    """Long rows of one id and equal numbers of words make blocks of their own and keep their own words."""
+    monkeypatch.setattr(tokens, "BLOCK_CHARS", 10)
+    rows = [(1, "alpha beta gamma"), (1, "delta omega sigma"), (None, "alpha beta"), (None, None), (None, "")]
+    got = tokens.encode_corpus(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.ids) for r in got) == sorted((i or 0, ids_of(t)) for i, t in rows)
+
+
+def ids_of(text):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(f"{tokens.tokenizer_folder()}/{tokens.VOCABULARY}.json").encode(text, add_special_tokens=False).ids if text else []
 
 
 # ---- 9: leakage -----------------------------------------------------------------------------
