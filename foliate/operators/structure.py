@@ -33,12 +33,13 @@ def in_order() -> tuple[Column, Column]:
 
 
 def distinct_blocks(blocks: DataFrame, *columns: str) -> DataFrame:
-    """One row per block id, the copy loaded last, with the given columns or all.
+    """One row per block id, the copy loaded last, with the given columns or all; ties, and all copies of a table without ``loaded_at``, go by content.
 
     Only the columns asked for reach the scan and the shuffle; rows are combined before it.
     """
     rest = list(columns) or [c for c in blocks.columns if c != "block_id"]
-    latest = F.max_by(F.struct(*rest), F.struct("loaded_at", F.xxhash64(*rest))).alias("r")
+    order = (["loaded_at"] if "loaded_at" in blocks.columns else []) + [F.xxhash64(*rest)]
+    latest = F.max_by(F.struct(*rest), F.struct(*order)).alias("r")
     return blocks.where("block_id is not null").groupBy("block_id").agg(latest).select("block_id", "r.*")
 
 
