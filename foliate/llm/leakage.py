@@ -19,8 +19,9 @@ from ..session import spread
 from .lookalike import fold
 
 MIN_WORDS = 12
-# An automaton has at most two states a word; test items beyond this many words are treated in several automata.
-MAX_WORDS_AN_AUTOMATON = 2_000_000
+# An automaton has at most two states a word, which bounds what is broadcast at once; items beyond this many words are
+# treated in several automata, whose spans are put together by document before anything is cut.
+MAX_WORDS_AN_AUTOMATON = 250_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -137,63 +138,120 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out) + text[done:]
 
 
+_SPANS = "doc_id long, h long, items array<bigint>, longest int, spans array<struct<a:int,b:int>>, n_words int"
 _KIND = "doc_id long, item_id long, longest int, leaked_words int, n_words int, clean string"
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges that overlap or touch put together, in order."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
+
+
+def _leaks_of(auto: SuffixAutomaton, text: str) -> tuple[list, int, list[tuple[int, int]], int] | None:
+    """``(items, longest, spans, words)`` of a document, or None if it holds nothing."""
+    ws = words(text)
+    hits = auto.matches(ws) if len(ws) >= auto.min_words else []
+    if not hits:
+        return None
+    return sorted(set().union(*(auto.items[w] for _, _, w in hits))), max(n for _, n, _ in hits), spans_of(hits), len(ws)
+
+
+def _rows(doc, text: str, items: list, longest: int, spans: list[tuple[int, int]], n_words: int, cover_limit: float) -> list[tuple]:
+    leaked = sum(b - a for a, b in spans)
+    clean = "" if leaked >= cover_limit * n_words else cut_words(text, spans)
+    return [(doc, item, longest, leaked, n_words, clean) for item in items]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * 6
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "item_id", "longest", "leaked_words", "n_words", "clean"])
+
+
 def _stream(shared, cover_limit: float):
+    """All there is to know of a document if there is one automaton."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto: SuffixAutomaton = shared.value
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ws = words(text)
-                if len(ws) < auto.min_words:
-                    continue
-                hits = auto.matches(ws)
-                if not hits:
-                    continue
-                spans = spans_of(hits)
-                leaked = sum(b - a for a, b in spans)
-                clean = "" if leaked >= cover_limit * len(ws) else cut_words(text, spans)
-                longest = max(n for _, n, _ in hits)
-                for item in sorted(set().union(*(auto.items[w] for _, _, w in hits))):
-                    rows.append((doc, item, longest, leaked, len(ws), clean))
+                if (made := _leaks_of(shared.value, text)) is not None:
+                    rows += _rows(doc, text, *made, cover_limit)
+            yield _batch(rows)
+
+    return run
+
+
+def _stream_spans(shared):
+    """What one of several automata knows of a document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, h, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "h", "text"))):
+                if (made := _leaks_of(shared.value, text)) is not None:
+                    rows.append((doc, h, made[0], made[1], [{"a": a, "b": b} for a, b in made[2]], made[3]))
             cols = list(zip(*rows)) or [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string()))],
-                ["doc_id", "item_id", "longest", "leaked_words", "n_words", "clean"],
-            )
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "h", "items", "longest", "spans", "n_words"])
 
     return run
 
 
-def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, cover_limit: float = 0.8) -> DataFrame:
-    """``doc_id, item_id, longest, leaked_words, n_words, clean``: one row per document and item it holds.
+def _cut(cover_limit: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, text, items, longest, spans, n_words in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "items", "longest", "spans", "n_words"))):
+                rows += _rows(doc, text, sorted(set(items)), longest, merged([(s["a"], s["b"]) for s in spans]), n_words, cover_limit)
+            yield _batch(rows)
 
-    ``clean`` is the document without the leaked spans, empty when they cover
-    ``cover_limit`` of its words. Documents are never shuffled. Null and empty
-    texts and items hold nothing; items and documents sent twice give one row
-    each; ties between items that share a passage give a row for every item.
-    The held-out items are a fixed set: their words are counted, and beyond
-    MAX_WORDS_AN_AUTOMATON they are split into several automata of bounded size.
-    """
-    spark = documents.sparkSession
-    groups: list[list] = [[]]
+    return run
+
+
+def automata(items: DataFrame, min_words: int) -> Iterator[SuffixAutomaton]:
+    """Automata over the distinct items, each of at most about MAX_WORDS_AN_AUTOMATON words; one at a time on the driver."""
+    held: list = []
     size = 0
     for r in items.select("item_id", "text").where("item_id is not null and text is not null").distinct().toLocalIterator():
         ws = words(r["text"])
-        if size + len(ws) > MAX_WORDS_AN_AUTOMATON and groups[-1]:
-            groups.append([])
-            size = 0
-        groups[-1].append((r["item_id"], ws))
+        if held and size + len(ws) > MAX_WORDS_AN_AUTOMATON:
+            yield SuffixAutomaton(held, min_words)
+            held, size = [], 0
+        held.append((r["item_id"], ws))
         size += len(ws)
+    yield SuffixAutomaton(held, min_words)
+
+
+def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, cover_limit: float = 0.8) -> DataFrame:
+    """``doc_id, item_id, longest, leaked_words, n_words, clean``: one row per document and item it holds.
+
+    ``clean`` is the document without the leaked spans of all items, empty when
+    they cover ``cover_limit`` of its words. Null and empty texts and items hold
+    nothing; items sent twice count once; ties between items that share a
+    passage give a row for every item; documents sent twice give their rows twice.
+
+    With one automaton documents are never shuffled. Several put the spans of a
+    document together first, in a shuffle of leaking documents only.
+    """
+    spark = documents.sparkSession
+    shared = [spark.sparkContext.broadcast(a) for a in automata(items, min_words)]
     docs = spread(documents.select("doc_id", "text").where("doc_id is not null and text is not null"))
-    out = None
-    for group in groups:
-        shared = spark.sparkContext.broadcast(SuffixAutomaton(group, min_words))
-        part = docs.mapInArrow(_stream(shared, cover_limit), _KIND)
-        out = part if out is None else out.unionByName(part)
-    return out
+    if len(shared) == 1:
+        return docs.mapInArrow(_stream(shared[0], cover_limit), _KIND)
+    hashed = docs.withColumn("h", F.xxhash64("text"))
+    parts = None
+    for one in shared:
+        part = hashed.mapInArrow(_stream_spans(one), _SPANS)
+        parts = part if parts is None else parts.unionByName(part)
+    whole = parts.groupBy("doc_id", "h").agg(F.flatten(F.collect_set("items")).alias("items"), F.max("longest").alias("longest"), F.flatten(F.collect_set("spans")).alias("spans"), F.max("n_words").alias("n_words"))
+    return hashed.join(whole, ["doc_id", "h"]).select("doc_id", "text", "items", "longest", "spans", "n_words").mapInArrow(_cut(cover_limit), _KIND)
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:
