@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import structure
+
 # Strength of a boundary: the position after the match, from paragraphs down to words.
 _BOUNDARIES = (
     (5, re.compile(r"\n[ \t\r]*\n\s*")),
@@ -53,10 +55,12 @@ def _nearest(at: list[int], low: int, high: int, target: int) -> int | None:
     return min(near, key=lambda p: (abs(p - target), p))
 
 
-def _attempt(n: int, size: int, overlap: int, k: int, at: list[int], strength: dict[int, int], reach: float) -> list[tuple[int, int]] | None:
-    """k pieces, or None if a limit fails."""
-    out, start, last = [], 0, 0
-    for left in range(k, 1, -1):
+def _attempt(n: int, size: int, overlap: int, k: int, at: list[int], strength: dict[int, int], reach: float, grow: bool = False) -> list[tuple[int, int]] | None:
+    """k pieces, or None if a limit fails; with ``grow`` a piece is added where one fails, which always ends, as ends advance."""
+    out, start, last, left = [], 0, 0, k
+    while left > 1 or grow and n - start > size:
+        if grow:
+            left = max(2, left, ceil((n - start - overlap) / (size - overlap)))
         goal = (n - start + (left - 1) * overlap) / left  # equal length of the pieces still to come
         if goal > size:
             return None
@@ -64,6 +68,8 @@ def _attempt(n: int, size: int, overlap: int, k: int, at: list[int], strength: d
         slack = max(1.0, goal * reach)
         low = max(start, last) + 1  # each piece ends after the one before
         if low > n - 1:
+            if grow:
+                break
             return None
         end = _best(at, strength, max(low, int(target - slack)), min(start + size, int(target + slack), n - 1), target)
         if end is None:
@@ -75,6 +81,7 @@ def _attempt(n: int, size: int, overlap: int, k: int, at: list[int], strength: d
             wanted = max(start + 1, end - overlap)
             back = _nearest(at, max(start + 1, end - min(2 * overlap, size - 1)), min(end, wanted + overlap // 2), wanted) or wanted
         start = back
+        left -= 1
     if n - start > size:
         return None
     out.append((start, n))
@@ -88,6 +95,9 @@ def split(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
     without gaps, and each starts after the start of the one before. A text
     within the size, also an empty one, is one piece. An overlap of ``size`` or
     more is cut to ``size - 1``, so that pieces advance; a size below 1 is an error.
+
+    When a limit fails, pieces are added: one, two, four and so on, as long as
+    that stays below the number that adding each at the place of its failure gives.
     """
     if size < 1:
         raise ValueError("size must be positive")
@@ -97,22 +107,19 @@ def split(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
     overlap = max(0, min(overlap, size - 1))
     at, strength = boundaries(text)
     k = max(2, ceil((n - overlap) / (size - overlap)))
-    for extra in range(12):
+    most = extra = 0
+    grown = None
+    while grown is None or k + extra < most:
         # wide windows find paragraph ends; if a limit fails, narrower ones keep closer to the targets
         for reach in (0.3, 0.15, 0.05):
             made = _attempt(n, size, overlap, k + extra, at, strength, reach)
             if made:
                 return made
-    # any text: greedy pieces, the last boundary within the size or a cut at the size itself
-    out, start, last = [], 0, 0
-    while n - start > size:
-        end = _best(at, strength, max(start + size // 2, last) + 1, start + size, start + size) or start + size
-        out.append((start, end))
-        last = end
-        wanted = max(start + 1, end - overlap)
-        start = (_nearest(at, wanted, end, wanted) or wanted) if overlap else end
-    out.append((start, n))
-    return out
+        if grown is None:
+            grown = _attempt(n, size, overlap, k, at, strength, 0.05, grow=True)
+            most = len(grown)
+        extra = 2 * extra or 1
+    return grown
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,20 +139,27 @@ def split_blocks(blocks: DataFrame, policies: DataFrame, whole: bool = True) ->
     """``block_id, piece, n_pieces, start, length, text`` of every block.
 
     Blocks within the size pass in the JVM as one piece; only oversized ones go
-    to Python, so nothing is shuffled but the rows of one ``block_id`` that came
-    twice. The policies, one row a collection, are joined by what AQE finds
-    smallest. Null texts give no piece, null overlaps count as 0; blocks of a
-    collection without a policy pass whole; null ids give nothing.
+    to Python. Of the copies of a block the one loaded last counts. Without
+    ``whole`` only oversized blocks are read on: the size is compared before
+    copies are, so a block counts if any copy is beyond the size. The policies,
+    one row a collection, are joined by what AQE finds smallest. Null texts give
+    no piece, null overlaps count as 0; blocks of a collection without a policy
+    pass whole; null ids give nothing.
     """
     policy = policies.groupBy("collection_slug").agg(F.min("chunk_size").alias("chunk_size"), F.max_by("chunk_overlap", -F.col("chunk_size")).alias("chunk_overlap"))
-    rows = blocks.select("block_id", "collection_slug", "text").where("block_id is not null and text is not null").join(policy, "collection_slug", "left")
+    loaded = ["loaded_at"] if "loaded_at" in blocks.columns else []
+    rows = blocks.select("block_id", "collection_slug", "text", *loaded).where("block_id is not null and text is not null")
+    if whole:
+        rows = structure.distinct_blocks(rows, "collection_slug", "text")
+    rows = rows.join(policy, "collection_slug", "left").withColumn("chunk_overlap", F.coalesce("chunk_overlap", F.lit(0)))
     over = (F.length("text") > F.col("chunk_size")) & (F.col("chunk_size") > 0)
-    # the size is compared before rows sent twice are dropped, which then concerns few rows
-    large = rows.where(over).select("block_id", "text", "chunk_size", F.coalesce("chunk_overlap", F.lit(0)).alias("chunk_overlap")).dropDuplicates(["block_id"])
-    pieces = large.mapInArrow(_pieces, "block_id string, piece int, n_pieces int, start int, length int, text string")
+    large = rows.where(over)
+    if not whole:  # the size is compared first; only what is beyond it is shuffled
+        large = structure.distinct_blocks(large, "text", "chunk_size", "chunk_overlap")
+    pieces = large.select("block_id", "text", "chunk_size", "chunk_overlap").mapInArrow(_pieces, "block_id string, piece int, n_pieces int, start int, length int, text string")
     if not whole:
         return pieces
-    small = rows.where(~F.coalesce(over, F.lit(False))).dropDuplicates(["block_id"])
+    small = rows.where(~F.coalesce(over, F.lit(False)))
     return pieces.unionByName(small.select("block_id", F.lit(0).alias("piece"), F.lit(1).alias("n_pieces"), F.lit(0).alias("start"), F.length("text").alias("length"), "text"))
 
 
