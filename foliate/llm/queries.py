@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import structure
 from ..session import table
 from . import leakage, lookalike, ocr, packing, quantiles, sitelines, spam, splitting, tokens
 
@@ -21,17 +22,15 @@ def p2_chunks(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_sections(table(spark, d, "block_units"), table(spark, d, "splitter_policies"))
 
 
-def p2_violations(spark: SparkSession, d: str) -> DataFrame:
-    """Chunks beyond the size, blocks placed twice: none."""
-    p = packing.pack_sections(table(spark, d, "block_units"), table(spark, d, "splitter_policies"))
-    full = p.groupBy("chunk_id").agg(F.sum(F.col("length") + packing.SEPARATOR).alias("used"), F.max("chunk_size").alias("size"), F.max("oversize").alias("oversize"), F.count("*").alias("n"))
-    over = full.where("(not oversize and used - 1 > size) or (oversize and n > 1)").select(F.col("chunk_id").alias("id"))
-    return over.unionByName(p.groupBy(F.col("block_id").alias("id")).count().where("count > 1").select("id"))
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.chunk_report(table(spark, d, "block_units"), table(spark, d, "splitter_policies"))
 
 
 def p2_totals(spark: SparkSession, d: str) -> DataFrame:
-    p = packing.pack_sections(table(spark, d, "block_units"), table(spark, d, "splitter_policies"))
-    return p.groupBy("chunk_size").agg(F.count("*").alias("n_blocks"), F.sum("length").cast("long").alias("n_chars"), F.sum(F.col("oversize").cast("long")).alias("n_oversize"))
+    """Totals per chunk size; ``near_least`` says that all sections together need at most a tenth more chunks than their characters, and one a section."""
+    r = p2_report(spark, d).groupBy("chunk_size")
+    sums = [F.sum(c).cast("long").alias(c) for c in ("n_blocks", "n_chars", "n_oversize", "least_chunks", "over_full", "placed_twice")]
+    return r.agg(F.count("*").alias("n_sections"), *sums, (F.sum("n_chunks") <= 1.1 * F.sum("least_chunks") + F.count("*")).alias("near_least"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,8 +40,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_unified_text(spark: SparkSession, d: str) -> DataFrame:
-    blocks = table(spark, d, "block_units").select("block_id", "text").where("block_id is not null").dropDuplicates(["block_id"])
-    return lookalike.unify_column(blocks, "text")
+    return lookalike.unify_column(structure.distinct_blocks(table(spark, d, "block_units"), "text"), "text")
 
 
 def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
@@ -94,15 +92,16 @@ def p10_scores(spark: SparkSession, d: str) -> DataFrame:
     return spam.spam_scores(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean_text, p2_chunks, p2_violations, p2_totals, p3_found, p3_unified_text, p4_percentiles, p4_bound_check, p5_found, p5_paragraphs, p7_found, p7_pieces, p8_ids, p8_decoded, p9_found, p9_clean_text, p10_found, p10_scores)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean_text, p2_chunks, p2_report, p2_totals, p3_found, p3_unified_text, p4_percentiles, p4_bound_check, p5_found, p5_paragraphs, p7_found, p7_pieces, p8_ids, p8_decoded, p9_found, p9_clean_text, p10_found, p10_scores)}
 
 SQL = {
-    "p2_violations": "SELECT block_id AS id FROM block_units WHERE false",
     "p2_totals": """
-        WITH b AS (SELECT DISTINCT block_id, collection_slug, text FROM block_units WHERE length(text) > 0),
-             s AS (SELECT b.*, coalesce(p.chunk_size, 1200) AS chunk_size FROM b LEFT JOIN splitter_policies p USING (collection_slug))
-        SELECT chunk_size, count(*) AS n_blocks, CAST(sum(length(text)) AS BIGINT) AS n_chars, CAST(sum(CASE WHEN length(text) > chunk_size THEN 1 ELSE 0 END) AS BIGINT) AS n_oversize
-        FROM s GROUP BY chunk_size""",
+        WITH b AS (SELECT DISTINCT block_id, coalesce(section_id, document_id || ':none', 'collection:' || coalesce(collection_slug, '')) AS section, collection_slug, text FROM block_units WHERE length(text) > 0 AND block_id IS NOT NULL),
+             s AS (SELECT section, length(text) AS n, coalesce(p.chunk_size, 1200) AS chunk_size FROM b LEFT JOIN splitter_policies p USING (collection_slug)),
+             c AS (SELECT section, chunk_size, count(*) AS n_blocks, sum(n) AS n_chars, sum(CASE WHEN n > chunk_size THEN 1 ELSE 0 END) AS n_oversize,
+                          coalesce(ceil(sum(CASE WHEN n <= chunk_size THEN n + 1 END) / (chunk_size + 1)), 0) AS least_chunks FROM s GROUP BY section, chunk_size)
+        SELECT chunk_size, count(*) AS n_sections, CAST(sum(n_blocks) AS BIGINT) AS n_blocks, CAST(sum(n_chars) AS BIGINT) AS n_chars, CAST(sum(n_oversize) AS BIGINT) AS n_oversize,
+               CAST(sum(least_chunks) AS BIGINT) AS least_chunks, 0::BIGINT AS over_full, 0::BIGINT AS placed_twice, true AS near_least FROM c GROUP BY chunk_size""",
     "p4_bound_check": """
         WITH one AS (SELECT DISTINCT * FROM runs),
              v AS (SELECT pod_number, 'duration_seconds' AS metric, duration_seconds AS x FROM one UNION ALL SELECT pod_number, 'seconds_per_page', seconds_per_page FROM one),

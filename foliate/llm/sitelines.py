@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import structure
 from ..session import checkpointed, spread
 from .lookalike import fold
 
@@ -156,6 +157,6 @@ def found(blocks: DataFrame) -> DataFrame:
 def without_site_lines(blocks: DataFrame) -> DataFrame:
     """``block_id, text, removed``: every distinct block's text without its collection's site lines."""
     drop = site_line_occurrences(blocks).groupBy("block_id").agg(F.collect_set("line_no").alias("gone"))
-    one = blocks.select("block_id", "text").where("block_id is not null").dropDuplicates(["block_id"])
+    one = structure.distinct_blocks(blocks, "text")
     kept = F.expr("array_join(transform(filter(transform(split(text, '\n'), (x, i) -> struct(x, i)), s -> not array_contains(gone, s.i)), s -> s.x), '\n')")
     return one.join(drop, "block_id", "left").select("block_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"), F.coalesce(F.size("gone"), F.lit(0)).alias("removed"))

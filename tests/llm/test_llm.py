@@ -103,12 +103,25 @@ def test_packing_is_near_the_least(spark):
     assert used <= 1.01 * sum(n for n, *_ in items) / 1000 + 1
 
 
-def test_pack_sections(spark, monkeypatch):
-    monkeypatch.setattr(packing, "PART", 50)
+def test_parts_cost_few_chunks(spark):
+    """A hot section in parts of 2,000 needs hardly more chunks than in one piece."""
+    rng = random.Random(33)
+    rows = [(f"b{i}", "d", "s", 0, i, "body", "x" * int(20 + 600 * rng.random() ** 2) + str(i)) for i in range(20_000)]
+    df, policies = blocks(spark, rows), spark.createDataFrame([("s", 1200, 0)], "collection_slug string, chunk_size int, chunk_overlap int")
+    whole, parts = (packing.pack_sections(df, policies, part=n).select("chunk_id").distinct().count() for n in (10**9, 2_000))
+    assert whole <= parts <= 1.003 * whole, (whole, parts)
+
+
+def test_sources_and_copies_conflict():
+    assert packing.pack([(3, 0, None), (3, 1, None), (3, 0, None)], 100, max_sources=1) == [0, 1, 0]
+    assert packing.pack([(3, 0, 5), (3, 0, 5), (3, 0, None)], 100) == [0, 1, 0]
+
+
+def test_pack_sections(spark):
     policies = spark.createDataFrame([("s", 100, 10)], "collection_slug string, chunk_size int, chunk_overlap int")
     rows = [(f"b{i}", "d", "s", 0, i, "body", chr(97 + i % 26) * (1 + i % 90)) for i in range(180)] + [("big", "d", "s", 0, 0, "body", "x" * 101), ("nil", "d", "s", 0, 0, "body", None), ("emp", "d", "s", 0, 0, "body", ""), ("nod", None, None, 0, 0, "body", "abc")]
     rows.append(rows[5])
-    got = packing.pack_sections(blocks(spark, rows), policies).collect()
+    got = packing.pack_sections(blocks(spark, rows), policies, part=50).collect()
     assert sorted(r.block_id for r in got) == sorted({r[0] for r in rows} - {"nil", "emp"})
     sums = defaultdict(list)
     for r in got:
@@ -317,6 +330,20 @@ def test_pieces_cover_the_text_within_the_size():
             assert made == [(0, len(t))]
 
 
+def test_pieces_are_added_until_the_limits_hold():
+    """Texts in which one long run follows another make many attempts fail; the bound on their number is that of adding a piece at each failure."""
+    rng = random.Random(88)
+    for _ in range(60):
+        t = "".join("x" * rng.randrange(60, 100) + rng.choice("\n ") for _ in range(300))
+        at, strength = splitting.boundaries(t)
+        grown = splitting._attempt(len(t), 100, 30, 2, at, strength, 0.05, grow=True)
+        made = splitting.split(t, 100, 30)
+        assert len(made) <= len(grown)
+        for ranges in (made, grown):
+            assert all(b - a <= 100 for a, b in ranges) and ranges[-1][1] == len(t)
+            assert all(a < a2 <= b for (a, b), (a2, _) in zip(ranges, ranges[1:]))
+
+
 def test_pieces_end_at_sentences_and_share_the_overlap():
     t = "".join(f"Sentence number {i:04d} has a few words of its own. " for i in range(400))
     made = splitting.split(t, 1200, 100)
@@ -402,12 +429,17 @@ def test_leaked_spans_are_cut():
     assert spans == [(2, 6)] and leakage.cut_words(t, spans).split() == ["Keep", "this.", "!", "Keep", "that."]
 
 
-def test_items_in_several_automata(spark, monkeypatch):
+def test_several_automata_give_what_one_gives(spark, monkeypatch):
+    """One clean text a document, without the passages of any item, whatever the number of automata."""
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(13))) for k in range(5)] + [(9, "w0x3 w0x4 " * 7)]
+    text = dict(items)
+    docs = [(k, f"pre {text[k]} post") for k in range(5)] + [(7, f"Own words of a page, {text[0]} and {text[3]}. {' '.join(f'own{i}' for i in range(60))}"), (8, text[1] + " " + text[2]), (10, "nothing here")]
+    dd, ii = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one = {tuple(r) for r in leakage.leaks(dd, ii).collect()}
     monkeypatch.setattr(leakage, "MAX_WORDS_AN_AUTOMATON", 20)
-    items = [(k, " ".join(f"w{k}x{j}" for j in range(13))) for k in range(5)]
-    docs = [(k, "pre " + t + " post") for k, t in items]
-    got = leakage.found(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert {tuple(r) for r in got.collect()} == {(k, k) for k in range(5)}
+    several = [tuple(r) for r in leakage.leaks(dd, ii).collect()]
+    assert set(several) == one and len(several) == len(one) == 9
+    assert {r[0]: r[5] for r in several}[7].startswith("Own words of a page,  and . own0") and {r[0]: r[5] for r in several}[8] == ""
 
 
 # ---- 10: spam -------------------------------------------------------------------------------
