@@ -10,12 +10,16 @@ most LEVELS * floor(n/k), whatever the order or grouping of the merges.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import checkpointed
+
 LEVELS = 28
 MANTISSA = 20
 # Binary exponents from -64 to 62; smaller magnitudes count as zero, larger ones as the last leaf.
@@ -68,39 +72,63 @@ def _compress(node: np.ndarray, count: np.ndarray, limit: int, low: int, high: i
     return np.concatenate([*done_n, node, rest_n]), np.concatenate([*done_c, count, rest_c])
 
 
+def _steps(keys: list[str], k: int, low: int, high: int):
+    """Compresses groups of ``keys`` (and ``root``) of partitions sorted by them, from level ``high`` to ``low``; one group is held at a time."""
+
+    def close(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        first = parts[0].slice(0, 1)
+        node, count = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("node", "c"))
+        limit = first.column("n")[0].as_py() // k
+        if limit and first.column("root")[0].as_py():
+            node, count = _compress(node, count, limit, low, high)
+        same = np.zeros(len(node), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(node) if f.name == "node" else pa.array(count) if f.name == "c" else first.column(f.name).take(pa.array(same)) for f in first.schema], schema=first.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            change = np.zeros(batch.num_rows, bool)
+            for c in (*keys, "root"):
+                x = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                change[1:] |= x[1:] != x[:-1]
+            starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+            for a, b in zip(starts, starts[1:]):
+                piece = batch.slice(a, b - a)
+                key = tuple(piece.column(c)[0].as_py() for c in (*keys, "root"))
+                if parts and key != held:
+                    yield close(parts)
+                    parts = []
+                held = key
+                parts.append(piece)
+        if parts:
+            yield close(parts)
+
+    return run
+
+
 def compress(nodes: DataFrame, keys: list[str], k: int) -> DataFrame:
     """Node counts per ``keys``, compressed: at most about 3 * k + 2**(LEVELS - SUBTREE) nodes a key.
 
-    Keys of fewer than k values have nothing to merge and stay in the JVM. For
-    the others, subtrees of 2**SUBTREE leaves are compressed on their own, then
-    the few nodes left are compressed up to the root, so no task ever holds more
-    than a subtree, however many values one key has.
+    The counts are written once. Subtrees of 2**SUBTREE leaves are compressed on
+    their own, then the few nodes left are compressed up to the root, so no task
+    ever holds more than a subtree, however many values one key has. Nodes of
+    keys of fewer than k values pass as they are.
     """
+    nodes = checkpointed(nodes)
     size = nodes.groupBy(*keys).agg(F.sum("c").alias("n"))
     same = None
     for c in keys:
         one = F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
         same = one if same is None else same & one
-    sized = nodes.alias("a").join(size.alias("b"), same).select(*[F.col(f"a.{c}").alias(c) for c in keys], F.col("a.node").alias("node"), F.col("a.c").alias("c"), F.col("b.n").alias("n"))
-    columns = [*keys, "node", "c"]
-
-    def step(low: int, high: int):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            node, count = _compress(pdf.node.to_numpy(np.int64), pdf.c.to_numpy(np.int64), int(pdf.n.iloc[0]) // k, low, high)
-            out = pd.DataFrame({c: [pdf[c].iloc[0]] * len(node) for c in keys})
-            return out.assign(node=node, c=count, n=pdf.n.iloc[0])
-
-        return run
-
-    small = sized.where(F.col("n") < k).select(*columns)
     top = LEVELS - SUBTREE
-    large = sized.where((F.col("n") >= k) & (F.col("node") >= (1 << top)))
-    # the ancestor at the level where subtrees are rooted
-    rooted = large.withColumn("root", F.expr(f"shiftright(node, cast(floor(log2(cast(node as double)) + 1e-12) as int) - {top})"))
-    sub = rooted.groupBy(*keys, "root").applyInPandas(step(top, LEVELS), sized.schema)
-    above = sized.where((F.col("n") >= k) & (F.col("node") < (1 << top)))
-    final = sub.unionByName(above).groupBy(*keys).applyInPandas(step(0, top), sized.schema)
-    return small.unionByName(final.select(*columns))
+    # the ancestor at the level where subtrees are rooted; 0 for nodes above it, which the first step passes
+    root = F.expr(f"case when a.node < {1 << top} then 0 else shiftright(a.node, cast(floor(log2(cast(a.node as double)) + 1e-12) as int) - {top}) end")
+    sized = nodes.alias("a").join(size.alias("b"), same).select(*[F.col(f"a.{c}").alias(c) for c in keys], root.cast("long").alias("root"), F.col("a.node").alias("node"), F.col("a.c").alias("c"), F.col("b.n").alias("n"))
+    sub = sized.repartition(*keys, "root").sortWithinPartitions(*keys, "root").mapInArrow(_steps(keys, k, top, LEVELS), sized.schema)
+    whole = sub.withColumn("root", F.lit(1).cast("long")).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_steps(keys, k, 0, top), sized.schema)
+    return whole.select(*keys, "node", "c")
 
 
 def measurements(runs: DataFrame) -> DataFrame:
