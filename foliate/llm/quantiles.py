@@ -73,20 +73,25 @@ def _compress(node: np.ndarray, count: np.ndarray, limit: int, low: int, high: i
 
 
 def _steps(keys: list[str], k: int, low: int, high: int):
-    """Compresses groups of ``keys`` (and ``root``) of partitions sorted by them, from level ``high`` to ``low``; one group is held at a time."""
+    """Compresses groups of ``keys`` (and ``root``) of partitions sorted by them, from level ``high`` to ``low``; one group is held at a time.
+
+    Rows that no compression can change, of keys of fewer than k values or above the subtrees, pass batch by batch.
+    """
 
     def close(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         first = parts[0].slice(0, 1)
         node, count = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("node", "c"))
-        limit = first.column("n")[0].as_py() // k
-        if limit and first.column("root")[0].as_py():
-            node, count = _compress(node, count, limit, low, high)
+        node, count = _compress(node, count, first.column("n")[0].as_py() // k, low, high)
         same = np.zeros(len(node), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(node) if f.name == "node" else pa.array(count) if f.name == "c" else first.column(f.name).take(pa.array(same)) for f in first.schema], schema=first.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, parts = None, []
         for batch in batches:
+            live = (batch.column("n").to_numpy() >= k) & (batch.column("root").to_numpy() != 0)
+            if not live.all():
+                yield batch.filter(pa.array(~live))
+                batch = batch.filter(pa.array(live))
             if not batch.num_rows:
                 continue
             change = np.zeros(batch.num_rows, bool)
