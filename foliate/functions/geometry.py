@@ -32,6 +32,6 @@ def iou(a: Column, b: Column) -> Column:
 def candidate_boxes(b: Column, width: Column, height: Column) -> Column:
     """The box in page units and, where it fits the grid of 1000, scaled to the page; the first wins ties."""
     scaled = F.array(b[0] * width / 1000.0, b[1] * height / 1000.0, b[2] * width / 1000.0, b[3] * height / 1000.0)
-    valid = (b[0] <= b[2]) & (b[1] <= b[3]) & (F.array_min(b) >= 0)
+    valid = (F.size(b) == 4) & (b[0] <= b[2]) & (b[1] <= b[3]) & (F.array_min(b) >= 0) & (F.array_max(b) < float("inf"))
     both = F.when(width.isNotNull() & height.isNotNull() & (F.array_max(b) <= 1000) & (scaled != b), F.array(b, scaled)).otherwise(F.array(b))
     return F.when(valid, both).otherwise(F.expr("cast(array() as array<array<double>>)"))

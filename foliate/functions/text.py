@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, StringType
 # Patterns of the bibliographic fields.
 DOI = r"(?i)\b10\.\d{4,9}/[-._;()/:A-Z0-9]+"
 YEAR = r"\b(19\d{2}|20\d{2})\b"
+_TAG = re.compile(r"<[^>]+>")
 
 
 def collapse(c: Column) -> Column:
@@ -56,16 +57,22 @@ def family_name(c: Column) -> Column:
     return F.element_at(F.split(collapse(c), " "), -1)
 
 
-def citation_author(names: Column) -> Column:
-    """One name, two joined by e, or the first et al.; null for none."""
-    n = F.size(names)
-    return F.when(n == 1, names[0]).when(n == 2, F.concat(names[0], F.lit(" e "), names[1])).when(n > 2, F.concat(names[0], F.lit(" et al.")))
+def citation_author(families: Column, corporate: Column | None = None) -> Column:
+    """One family name, two joined by e, or the first et al.; without any the corporate author, if there is one."""
+    n, name = F.size(families), lambda i: F.get(families, F.lit(i))
+    cited = F.when(n == 1, name(0)).when(n == 2, F.concat(name(0), F.lit(" e "), name(1))).when(n > 2, F.concat(name(0), F.lit(" et al.")))
+    return cited if corporate is None else cited.when(F.coalesce(n, F.lit(0)) <= 0, corporate)
+
+
+def without_accents(c: Column) -> Column:
+    """Lower-case Latin letters without their accents; other characters as they are."""
+    return F.translate(c, "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy")
 
 
 @F.pandas_udf(StringType())
 def normalize_text(s: pd.Series) -> pd.Series:
-    """NFKC, case-folded, white space collapsed."""
-    return s.map(lambda x: None if x is None else " ".join(unicodedata.normalize("NFKC", x).casefold().split()))
+    """NFKC, case-folded, tags dropped, white space collapsed."""
+    return s.map(lambda x: None if x is None else " ".join(_TAG.sub(" ", unicodedata.normalize("NFKC", x).casefold()).split()))
 
 
 @F.pandas_udf(StringType())

@@ -53,28 +53,34 @@ def chunk_id(document: Column, policy: Column, index: Column, text: Column) -> C
     return identity.uuid5(document, F.concat(F.lit("chunk:"), policy, F.lit(":"), index.cast("string"), F.lit(":"), F.sha2(text, 256)))
 
 
+def chars_of(members: list[tuple[str, int]]) -> int:
+    """Length of a chunk's text: its units, parted by two characters."""
+    return sum(n for _, n in members) + 2 * max(0, len(members) - 1)
+
+
 def pack_units(rows: list[tuple[str, int]], target: int = TARGET, most: int = MOST, least: int = LEAST) -> list[list[str]]:
-    """Consecutive units gathered up to the target, each chunk starting with the last unit of the one before if that
-    leaves room; a last chunk below ``least`` joins the one before if that stays within ``most``."""
+    """Members of the chunks of one section, from its units ``(id, length)`` in order.
+
+    A unit joins the open chunk; that closes when its units reach ``target``, or
+    before a unit that would take it beyond ``most``. The last unit of a chunk
+    always opens the next one again. A last chunk below ``least`` joins the one
+    before, each unit once.
+    """
     chunks: list[list[tuple[str, int]]] = []
     held: list[tuple[str, int]] = []
-    size = 0
     for unit in rows:
-        if held and size + 2 + unit[1] > target:
+        if held and sum(n for _, n in held) + unit[1] > most:
             chunks.append(held)
-            held = [held[-1]] if len(held) > 1 and held[-1][1] + 2 + unit[1] <= most else []
-            size = sum(n for _, n in held) + 2 * max(0, len(held) - 1)
-        size += unit[1] + (2 if held else 0)
-        held.append(unit)
-    if held:
-        if chunks and size < least:
-            known = {b for b, _ in chunks[-1]}
-            rest = [u for u in held if u[0] not in known]
-            if sum(n for _, n in chunks[-1]) + sum(n for _, n in rest) + 2 * len(rest) + 2 * len(chunks[-1]) <= most + 2:
-                chunks[-1] += rest
-                held = []
-        if held:
+            held = held[-1:]
+        held = [*held, unit]
+        if sum(n for _, n in held) >= target:
             chunks.append(held)
+            held = held[-1:]
+    if held:
+        chunks.append(held)
+    if len(chunks) > 1 and chars_of(chunks[-1]) < least:
+        tail = chunks.pop()
+        chunks[-1] = list(dict.fromkeys(chunks[-1] + tail))
     return [[b for b, _ in c] for c in chunks]
 
 
@@ -155,20 +161,69 @@ def recursive_chunks(blocks: DataFrame, size: int, overlap: int) -> DataFrame:
     return made.withColumn("chunk_id", chunk_id(F.col("document_id"), F.lit("recursive"), F.col("chunk"), F.col("text")))
 
 
-def coverage_violations(blocks: DataFrame) -> DataFrame:
-    """Embedded blocks that stand in no chunk though their section has one: none."""
-    made = char_chunks(blocks)
-    want = with_actions(units(blocks)).where("action in ('embed', 'placeholder')").select("section", "block_id").join(made.select("section").distinct(), "section", "left_semi")
-    return want.join(made.select("block_id"), "block_id", "left_anti").select("block_id").distinct()
+BIOGRAPHY = ("dados biográficos", "biografia", "biographical")
+
+
+def chunk_types(chunks: DataFrame, headings: DataFrame) -> DataFrame:
+    """References if all blocks are references or more than the body and abstract ones, biography if the section's heading says so, else body.
+
+    ``headings`` has ``section, heading``, one row a section at most.
+    """
+    n = lambda *roles: F.count_if(F.col("role").isin(*roles))
+    g = chunks.groupBy("document_id", "section", "chunk").agg((F.sum("chars") + 2 * (F.count("*") - 1)).alias("chars"), n("reference").alias("r"), n("body", "abstract").alias("b"), F.count("*").alias("n"))
+    text = F.lower(F.coalesce("heading", F.lit("")))
+    biography = F.lit(False)
+    for word in BIOGRAPHY:
+        biography = biography | F.contains(text, F.lit(word))
+    kind = F.when(F.col("r") == F.col("n"), "references").when(biography, "biography").when(F.col("r") > F.col("b"), "references").otherwise("body")
+    return g.join(headings, "section", "left").select("document_id", "section", "chunk", "chars", kind.alias("type"))
 
 
-def chunk_types(chunks: DataFrame) -> DataFrame:
-    """References if most blocks are, else body."""
-    return chunks.groupBy("document_id", "section", "chunk").agg(F.sum("chars").alias("chars"), F.when(F.count_if(F.col("role") == "reference") * 2 > F.count("*"), "references").otherwise("body").alias("type"))
+def section_headings(blocks: DataFrame) -> DataFrame:
+    """``section, heading``: the first title of each section of ``units``."""
+    return units(blocks).where("role = 'title'").groupBy("section").agg(F.min_by("text", "position").alias("heading"))
 
 
-def summary(chunks: DataFrame) -> DataFrame:
-    return chunk_types(chunks).groupBy("type").agg(F.count("*").alias("chunks"), F.avg("chars").alias("chars_mean"), F.min("chars").alias("chars_min"), F.max("chars").alias("chars_max"))
+def validation(blocks: DataFrame) -> DataFrame:
+    """``check, n``: blocks of sections with chunks that stand in none, chunks above and below the sizes, repeated blocks that
+    no overlap explains; sections that hold nothing but titles give no chunks on purpose."""
+    made = char_chunks(blocks)
+    want = with_actions(units(blocks)).where("action in ('embed', 'placeholder')").select("section", "block_id", "role")
+    text = want.groupBy("section").agg(F.count_if(F.col("role") != "title").alias("n")).where("n > 0")
+    missing = want.join(text, "section", "left_semi").join(made.select("block_id"), "block_id", "left_anti")
+    sizes = made.groupBy("section", "chunk").agg((F.sum("chars") + 2 * (F.count("*") - 1)).alias("n"))
+    repeated = made.groupBy("section", "block_id").agg(F.count("*").alias("n"), F.max("chunk").alias("last"), F.min("chunk").alias("first"))
+    unexplained = repeated.where(F.col("n") != F.col("last") - F.col("first") + 1)
+    one = lambda name, df, n: df.agg(F.coalesce(n, F.lit(0)).cast("long").alias("n")).select(F.lit(name).alias("check"), "n")
+    return (
+        one("missing", missing, F.count("*"))
+        .unionByName(one("oversized", sizes, F.count_if(F.col("n") > MOST)))
+        .unionByName(one("undersized", sizes, F.count_if(F.col("n") < LEAST)))
+        .unionByName(one("unexplained_repeats", unexplained, F.count("*")))
+    )
+
+
+def summary(types: DataFrame) -> DataFrame:
+    return types.groupBy("type").agg(F.count("*").alias("chunks"), F.avg("chars").alias("chars_mean"), F.min("chars").alias("chars_min"), F.max("chars").alias("chars_max"))
+
+
+def review_sample(types: DataFrame, size: int, seed: str = "42") -> DataFrame:
+    """``document_id, section, chunk, reason``: one chunk a document, the three shortest and the three longest of all, and a
+    fill up to ``size`` in order of a seeded hash; each chunk once, the first reason counts."""
+    key = F.concat_ws(":", "document_id", "section", F.col("chunk").cast("string"))
+    t = types.withColumn("k", key).withColumn("h", F.sha2(F.concat(F.lit(seed), F.lit(":"), key), 256))
+    each = t.groupBy("document_id").agg(F.min_by("k", "h").alias("k")).select("k", F.lit(0).alias("rank"), F.lit("document").alias("reason"))
+    short = t.orderBy("chars", "k").limit(3).select("k", F.lit(1).alias("rank"), F.lit("shortest").alias("reason"))
+    long = t.orderBy(F.desc("chars"), "k").limit(3).select("k", F.lit(2).alias("rank"), F.lit("longest").alias("reason"))
+    fill = t.orderBy("h").limit(size).select("k", F.lit(3).alias("rank"), F.lit("random").alias("reason"))
+    first = each.unionByName(short).unionByName(long).unionByName(fill).groupBy("k").agg(F.min(F.struct("rank", "reason")).alias("r"))
+    picked = t.join(first, "k").select("document_id", "section", "chunk", "r.*", "h")
+    chosen = picked.where("rank < 3")
+    rest = picked.where("rank = 3").orderBy("h").limit(size)
+    n = chosen.agg(F.count("*").alias("n"))
+    w = Window.orderBy("h")  # of at most ``size`` rows
+    rest = rest.withColumn("i", F.row_number().over(w)).join(F.broadcast(n), F.col("i") + F.col("n") <= size).drop("i", "n")
+    return chosen.unionByName(rest).select("document_id", "section", "chunk", "reason")
 
 
 def overlap_blocks(chunks: DataFrame) -> DataFrame:

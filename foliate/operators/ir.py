@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import geometry
+from ..functions import deepjson, geometry
 from ..session import checkpointed
-from . import nested
+from . import content_list, nested
 
 # Block types that are page furniture, and those expected within content.
 FURNITURE = ("header", "footer", "page_number")
@@ -108,39 +108,66 @@ def null_metrics(records: DataFrame) -> DataFrame:
     return b.groupBy("record_id").agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("type", "bbox", "score", "level", "text")])
 
 
-def block_texts(records: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
-    """``record_id, block, n_spans, text``: each block's span texts in reading order, joined by spaces."""
-    s = spans(records, parsed).withColumn("t", F.coalesce(F.nullif("text", F.lit("")), F.nullif("content", F.lit("")), F.nullif("latex", F.lit("")))).where("t is not null")
-    return s.groupBy("record_id", "block").agg(F.count("*").alias("n_spans"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "t"))), lambda x: x["t"]), " ").alias("text"))
+def _mapped_payloads(records: DataFrame, rows, ddl: str) -> DataFrame:
+    """Rows that ``rows(record_id, root)`` gives for the newest valid payload of each record."""
+    import pandas as pd
+
+    names = [c.split()[0] for c in ddl.split(", ")]
+
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame([r for record, payload in zip(pdf.record_id, pdf.payload) for r in rows(record, nested.parse(payload))], columns=names)
+
+    return newest_valid(records).select("record_id", "payload").mapInPandas(run, ddl)
+
+
+def block_texts(records: DataFrame) -> DataFrame:
+    """``record_id, block`` and the text of each root block in four orders of its fields, nested blocks included (see ``nested.texts``)."""
+
+    def rows(record, root):
+        for _, _, key, kind, _, obj, _ in nested.walk(root):
+            if kind == "block" and key.count(":") == 1:
+                yield (record, key, *(nested.block_text(obj, v).encode("utf-8", "replace").decode() for v in nested.VARIANTS))
+
+    return _mapped_payloads(records, rows, "record_id long, block string, " + ", ".join(f"{v} string" for v in nested.VARIANTS))
+
+
+def pages(records: DataFrame) -> DataFrame:
+    """``record_id, page, width, height``; the size is null where it is not stated in full."""
+
+    def rows(record, root):
+        for _, _, key, kind, _, obj, _ in nested.walk(root):
+            if kind == "page":
+                yield (record, key, *(content_list.page_size(obj) or (None, None)))
+
+    return _mapped_payloads(records, rows, "record_id long, page string, width double, height double")
+
+
+def second_reading(records: DataFrame) -> DataFrame:
+    """``record_id, content_list``: the content list that the working copies of a payload's pages are."""
+
+    def rows(record, root):
+        made = content_list.working_copies(root)
+        if any(made):
+            yield record, deepjson.dumps(made).encode("utf-8", "replace").decode()
+
+    return _mapped_payloads(records, rows, "record_id long, content_list string")
 
 
 def preproc_ratio(records: DataFrame) -> DataFrame:
     """Per page: blocks of the working copies whose text also stands in the content; multiplicity counts on the left only, null without working copies."""
-    import pandas as pd
 
-    def texts(obj, name):
-        out = []
-        for b in nested._entries(obj.get(name)):
-            if isinstance(b, dict):
-                parts = [s.get("text") or s.get("content") or "" for l in nested._entries(b.get("lines")) if isinstance(l, dict) for s in nested._entries(l.get("spans")) if isinstance(s, dict)]
-                t = " ".join(" ".join(str(p) for p in parts).lower().split())
-                if t:
-                    out.append(t)
-        return out
+    def texts(page, name):
+        made = (" ".join(nested.block_text(b, "profile").lower().split()) for b in nested._entries(page.get(name)) if isinstance(b, dict))
+        return [t for t in made if t]
 
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for record, payload in zip(pdf.record_id, pdf.payload):
-                root = nested.parse(payload)
-                for i, page in enumerate(nested.pages_of(root) if isinstance(root, dict) else []):
-                    if isinstance(page, dict):
-                        left, right = texts(page, "preproc_blocks"), set(texts(page, "para_blocks"))
-                        rows.append((record, i, len(left), sum(t in right for t in left)))
-            out = pd.DataFrame(rows, columns=["record_id", "page", "preproc_blocks", "duplicated"])
-            yield out
-
-    made = newest_valid(records).select("record_id", "payload").mapInPandas(run, "record_id long, page int, preproc_blocks int, duplicated int")
+    def rows(record, root):
+        for i, page in enumerate(nested.pages_of(root) if isinstance(root, dict) else []):
+            if isinstance(page, dict):
+                left, right = texts(page, "preproc_blocks"), set(texts(page, "para_blocks"))
+                yield record, i, len(left), sum(t in right for t in left)
+
+    made = _mapped_payloads(records, rows, "record_id long, page int, preproc_blocks int, duplicated int")
     return made.withColumn("ratio", F.col("duplicated") / F.nullif("preproc_blocks", F.lit(0)))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from ..functions import deepjson
+from ..functions.text import html_to_text_of
 from ..session import spread
 
 # Names of the page list, and per kind of node the lists below it with the letter and kind of their entries.
@@ -103,6 +104,59 @@ def walk(root: object) -> list[list]:
     return order
 
 
+# What stands for equations and images in texts that are embedded, and block types that are assets of their own.
+EQUATION, FIGURE = "[EQUAÇÃO]", "[FIGURA]"
+ASSET_TYPES = ("image", "table", "chart", "interline_equation", "equation", "code", "algorithm")
+VARIANTS = ("structure", "reconcile", "chunk", "profile")
+
+
+def _filled(obj: dict, *names: str) -> list[str]:
+    return [x for x in map(obj.get, names) if isinstance(x, str) and x]
+
+
+def _chunk_text(obj: dict) -> str:
+    own = _filled(obj, "text", "content")
+    if own:
+        return html_to_text_of(own[0]) if "<" in own[0] and ">" in own[0] else own[0]
+    return "".join(html_to_text_of(x) for x in _filled(obj, "html"))
+
+
+def texts(block: dict, variant: str) -> list[str]:
+    """The parts of a block's text, its nested blocks included, in one of four orders of its fields.
+
+    structure: text and content, then the first of these of each span. reconcile:
+    text, content, html and latex, then the first of these of each span. profile:
+    the first of content, text, latex and html, else the first of these of each
+    span, without nested blocks. chunk: lines with marks for equations and
+    figures, else the block's own text, then nested blocks that are no assets.
+    """
+    out: list[str] = []
+    todo = [block]
+    while todo:
+        b = todo.pop()
+        lines = [[s for s in _entries(line.get("spans")) if isinstance(s, dict)] for line in _entries(b.get("lines")) if isinstance(line, dict)]
+        children = [c for c in _entries(b.get("blocks")) if isinstance(c, dict)]
+        if variant == "chunk":
+            made = ["".join(EQUATION if s.get("type") in ("inline_equation", "interline_equation") or _filled(s, "latex") else FIGURE if _filled(s, "image_path") else _chunk_text(s) for s in line) for line in lines]
+            whole = ("\n".join(made) if lines else _chunk_text(b)).strip()
+            out += [whole] if whole else []
+            children = [c for c in children if (c.get("type") or c.get("block_type")) not in ASSET_TYPES]
+        elif variant == "profile":
+            own = [x.strip() for x in _filled(b, "content", "text", "latex", "html") if x.strip()]
+            out += own[:1] or [x[0] for line in lines for s in line if (x := _filled(s, "content", "text", "latex", "html"))]
+            children = []
+        else:
+            names = ("text", "content") if variant == "structure" else ("text", "content", "html", "latex")
+            out += _filled(b, *names) + [x[0] for line in lines for s in line if (x := _filled(s, *names))]
+        todo += reversed(children)
+    return out
+
+
+def block_text(block: dict, variant: str) -> str:
+    parts = texts(block, variant)
+    return "\n\n".join(parts) if variant == "chunk" else " ".join(" ".join(parts).split()) if variant == "structure" else " ".join(parts)
+
+
 def nodes_of(root: object, fields: bool = True) -> list[tuple[str, str, str, int, str, str | None]]:
     """``(parent, node, kind, ordinal, object id, own fields as canonical JSON)`` of every node, parents first."""
     order = walk(root)

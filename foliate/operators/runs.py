@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 # Parts of messages by class of error.
-HARDWARE = "(?i)cuda|gpu|device|worker lost|xid"
-MEMORY = "(?i)out of memory|oom|memory"
-RETRYABLE = "(?i)timed? ?out|timeout|502|503|504|429|connection|temporar|worker lost"
+HARDWARE = ("cuda-capable device(s) is/are busy or unavailable", "cudaerrornodevice", "no cuda-capable device is detected", "nvidia driver is not loaded")
+MEMORY = ("out of memory", "cuda oom", "cudaerroroutofmemory", "cannot allocate memory", "killed process")
+# Time-outs, lost connections and answers of 500 and above.
+RETRYABLE = r"timed? ?out|timeout|connection|network|worker lost|\b(?:http|status)(?: code)?:? 5\d\d\b"
 
 
 def distinct_runs(runs: DataFrame) -> DataFrame:
@@ -29,9 +30,17 @@ def order() -> Column:
     return F.struct(started().alias("s"), F.col("document_id"), F.col("document_position"), F.xxhash64("log_path", "completed_at", "pod_number", "status", "error").alias("h"))
 
 
+def _holds(message: Column, markers: tuple[str, ...]) -> Column:
+    out = F.lit(False)
+    for m in markers:
+        out = out | F.contains(message, F.lit(m))
+    return out
+
+
 def error_class(message: Column) -> Column:
-    """hardware before memory before retryable before other; null without a message."""
-    return F.when(message.rlike(MEMORY), "memory").when(message.rlike(HARDWARE), "hardware").when(message.rlike(RETRYABLE), "retryable").when(message.isNotNull(), "other")
+    """hardware before memory before retryable before other, by markers in the lower-case message; null without a message."""
+    low = F.lower(message)
+    return F.when(_holds(low, HARDWARE), "hardware").when(_holds(low, MEMORY), "memory").when(low.rlike(RETRYABLE), "retryable").when(message.isNotNull(), "other")
 
 
 def last_runs(runs: DataFrame) -> DataFrame:
@@ -45,10 +54,15 @@ def latest_per_hash(runs: DataFrame) -> DataFrame:
     return runs.where("sha256 is not null").groupBy("sha256").agg(F.max_by(cols, order()).alias("r")).select("r.*")
 
 
-def outcome(status: Column, message: Column, attempts: Column, limit: int) -> Column:
-    """ok, retry while attempts are left and the error is retryable, recoverable for hardware and memory, else error."""
-    cls = error_class(message)
-    return F.when(status == "ok", "ok").when(cls.isin("retryable", "hardware") & (attempts < limit), "retry").when(cls.isin("hardware", "memory"), "recoverable").otherwise("error")
+# Kinds of failure that decide an attempt's outcome.
+IDENTITY, RECOVERY, DOWNLOAD, REQUEST = "identity", "recovery", "download", "request"
+
+
+def outcome(status: Column, failure: Column, returned_id: Column, attempts: Column, retries: int) -> Column:
+    """ok; identity_unresolved if the task's identity failed and no id came back; retry while attempts are left, unless
+    the result's download or the request itself failed; recoverable if the download failed; else error."""
+    left = (attempts <= retries) & ((failure == RECOVERY) | ~F.coalesce(failure, F.lit("")).isin(DOWNLOAD, REQUEST))
+    return F.when(status == "ok", "ok").when((failure == IDENTITY) & returned_id.isNull(), "identity_unresolved").when(left, "retry").when(failure == DOWNLOAD, "recoverable").otherwise("error")
 
 
 def seconds_per_page(seconds: Column, pages: Column) -> Column:

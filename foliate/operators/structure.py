@@ -23,7 +23,7 @@ ROLE_BY_CONTENT_TYPE = {
 }
 FURNITURE = ("header", "footer", "page_number")
 ASSET_KIND_BY_ROLE = {"figure": "figure", "chart": "chart", "table": "table", "equation": "equation", "code": "code"}
-REFERENCE_HEADINGS = ("references", "referencias", "bibliography", "bibliografia")
+REFERENCE_HEADINGS = ("references", "referencias", "referencias bibliograficas", "bibliography", "bibliografia")
 ABSTRACT_HEADINGS = ("abstract", "resumo", "resumen")
 MAX_LEVEL = 6
 
@@ -148,7 +148,7 @@ def regions(blocks: DataFrame) -> DataFrame:
     """``document_id, block_id, position, final_role`` after reference and abstract regions; a document's blocks without texts are what a task holds."""
     from ..functions.text import plain_heading
 
-    t = title_levels(blocks, texts=texts).withColumn("heading", plain_heading(F.when(F.col("role") == "title", F.substring("text", 1, 200))))
+    t = title_levels(blocks).withColumn("heading", plain_heading(F.when(F.col("role") == "title", F.col("text"))))
     return t.select("document_id", "block_id", "position", "role", "level", "heading").groupBy("document_id").applyInPandas(_regions, "document_id string, block_id string, position int, final_role string")
 
 

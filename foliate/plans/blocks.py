@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import chunking, structure
+from ..operators import bibliography, chunking, structure
 from ..session import table
 from .base import query
 
@@ -217,24 +217,79 @@ def title_pick(spark: SparkSession, d: str) -> DataFrame:
     return t.groupBy("document_id").agg(first.alias("title"))
 
 
-_NAME_SQL = "regexp_full_match(n, '\\p{Lu}[\\p{L}.''-]*( (\\p{Lu}[\\p{L}.''-]*|da|das|de|do|dos|e)){1,7}') AND NOT regexp_matches(lower(n), '(^| )(journal|revista|volume|doi|issn|submitted|approved|recebido)( |$)') AND regexp_matches(n, '^\\S+ .*\\p{Lu}')"
+_WS = "[\\s\\x{85}\\x{A0}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{3000}]+"
+_LIST = lambda words: "(" + ", ".join(f"'{w}'" for w in words) + ")"
 
 
-@query(f"WITH n AS (SELECT block_id, trim(regexp_replace(unnest(string_split(text, ';')), '\\s+', ' ', 'g'), ' ,;|-') AS n FROM {_B} WHERE role IN ('metadata', 'reference') AND length(text) < 400) SELECT DISTINCT block_id, n AS name FROM n WHERE {_NAME_SQL}")
+def _plain(c: str) -> str:
+    return f"trim(regexp_replace(regexp_replace({c}, '<[^>]+>', ' ', 'g'), '{_WS}', ' ', 'g'))"
+
+
+def _names(source: str) -> str:
+    """SELECT of the columns of ``source`` (which has ``part``) with the ``name`` each part is."""
+    cut = f"trim(regexp_replace(trim({_plain('part')}, ' ,;|-'), '(?i){bibliography.NAME_STOP}.*$', ''), ' ,;|-')"
+    plain = "lower(strip_accents(x))"
+    return f"""SELECT * EXCLUDE (part, t, r) FROM (SELECT *, list_filter(t, lambda x: {plain} NOT IN {_LIST(bibliography.NAME_CONNECTORS)}) AS r FROM (SELECT *, string_split(name, ' ') AS t FROM (SELECT *, {cut} AS name FROM {source})))
+        WHERE len(t) BETWEEN 2 AND 8 AND len(r) >= 2 AND len(list_filter(r, lambda x: NOT regexp_full_match(x, '\\p{{Lu}}[\\p{{L}}''.-]*'))) = 0 AND NOT regexp_matches(name, '[:@\\d]') AND len(list_filter(t, lambda x: {plain} IN {_LIST(bibliography.NAME_REJECT)})) = 0"""
+
+
+@query(f"WITH p AS (SELECT block_id, unnest(string_split_regex(text, '[;\n]')) AS part FROM {_B}) SELECT DISTINCT block_id, name FROM ({_names('p')})")
 def person_names(spark: SparkSession, d: str) -> DataFrame:
-    """Items of metadata and reference blocks that read as personal names: 2 to 8 tokens, capitals but for connectors, no rejected terms."""
-    n = _one(spark, d, "role", "text").where("role in ('metadata', 'reference') and length(text) < 400").select("block_id", F.explode(F.split("text", ";")).alias("n"))
-    n = n.select("block_id", F.regexp_replace(F.regexp_replace("n", "\\s+", " "), "^[ ,;|-]+|[ ,;|-]+$", "").alias("name"))
-    ok = F.col("name").rlike("^\\p{Lu}[\\p{L}.'-]*( (\\p{Lu}[\\p{L}.'-]*|da|das|de|do|dos|e)){1,7}$") & ~F.lower("name").rlike("(^| )(journal|revista|volume|doi|issn|submitted|approved|recebido)( |$)") & F.col("name").rlike("^\\S+ .*\\p{Lu}")
-    return n.where(ok).distinct()
+    """The parts of all texts that read as personal names."""
+    return bibliography.names_of(_b(spark, d))
+
+
+_HEADING = f"trim(regexp_replace(lower(strip_accents(regexp_replace(text, '<[^>]+>', ' ', 'g'))), '{_WS}', ' ', 'g'), ' .:-')"
+_STARTS = _LIST((*bibliography.ABSTRACT_LANGUAGE, *bibliography.SECTION_STARTS))
+_FRONT = f"""o AS MATERIALIZED (SELECT document_id, position, page, role, source_type, text, CASE WHEN role = 'title' THEN {_HEADING} END AS heading, coalesce(page, 0) <= 1 AS front FROM {_O} WHERE document_id IS NOT NULL AND text IS NOT NULL),
+    f AS (SELECT document_id, min(position) FILTER (role = 'title' AND front AND heading NOT IN {_STARTS}) AS b, min(position) FILTER (role = 'title' AND front AND heading IN {_STARTS}) AS h FROM o GROUP BY 1),
+    e AS (SELECT f.document_id, b, least(coalesce(h, 2147483647), coalesce((SELECT min(position) FROM o WHERE o.document_id = f.document_id AND role = 'abstract' AND front AND position > b), 2147483647)) AS e FROM f),
+    l AS (SELECT o.document_id, position, string_split_regex(text, '[;\n]') AS parts FROM o JOIN e ON o.document_id = e.document_id WHERE front AND role <> 'title' AND source_type IN {_LIST(bibliography.NAME_TYPES)} AND position > b AND position < e),
+    p AS (SELECT document_id, position, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM l), n AS (SELECT *, row_number() OVER (PARTITION BY document_id, lower(strip_accents(name)) ORDER BY position, k) AS rn FROM ({_names('p')})),
+    a AS (SELECT document_id, list(name ORDER BY position, k) AS names FROM n WHERE rn = 1 GROUP BY 1)"""
+
+
+@query(f"WITH {_FRONT} SELECT document_id, array_to_string(names, '; ') AS names FROM a")
+def front_matter_authors(spark: SparkSession, d: str) -> DataFrame:
+    return bibliography.front_authors(bibliography._ordered(_b(spark, d))).select("document_id", F.array_join("names", "; ").alias("names"))
+
+
+_FAMILY = "list_transform(who, lambda x: list_extract(string_split(x, ' '), -1))"
+
+
+@query(f"""WITH {_FRONT},
+    t AS (SELECT document_id, min_by({_plain('text')}, (coalesce(page, 0) > 0, position)) FILTER (front AND heading NOT IN {_LIST((*bibliography.ABSTRACT_LANGUAGE, *bibliography.SECTION_STARTS, *bibliography.REFERENCE_TITLES))} AND heading <> '') AS front_title, min_by({_plain('text')}, position) AS first_title FROM o WHERE role = 'title' GROUP BY 1),
+    d AS (SELECT document_id, min_by(rtrim(regexp_extract(text, '(?i)\\b10\\.\\d{{4,9}}/[-._;()/:A-Z0-9]+', 0), '.,;'), position) AS doi FROM o WHERE regexp_matches(text, '(?i)\\b10\\.\\d{{4,9}}/[-._;()/:A-Z0-9]+') GROUP BY 1),
+    yy AS (SELECT document_id, position, unnest(regexp_extract_all(text, '\\b(19\\d{{2}}|20\\d{{2}})\\b', 1)) AS year, generate_subscripts(regexp_extract_all(text, '\\b(19\\d{{2}}|20\\d{{2}})\\b', 1), 1) AS k FROM o),
+    y AS (SELECT * FROM (SELECT document_id, year, n, row_number() OVER (PARTITION BY document_id ORDER BY n DESC, s) AS rn FROM (SELECT document_id, year, count(*) AS n, min((position, k)) AS s FROM yy GROUP BY 1, 2)) WHERE rn = 1),
+    i AS (SELECT document_id, max_by({_plain('title')}, (try_cast(modified_at AS TIMESTAMPTZ), revision_id)) FILTER (trim(title) <> '') AS t, max_by({_plain('author')}, (try_cast(modified_at AS TIMESTAMPTZ), revision_id)) FILTER (trim(author) <> '') AS a FROM inventory WHERE document_id IS NOT NULL GROUP BY 1),
+    v AS (SELECT * FROM (SELECT document_id, page_count, row_number() OVER (PARTITION BY document_id ORDER BY page_count DESC) AS rn FROM inventory WHERE page_count IN (4, 5) AND relative_path IS NOT NULL) WHERE rn = 1),
+    j AS (SELECT i.document_id, i.t, i.a, front_title, first_title, a.names, d.doi, y.year, y.n, v.document_id IS NOT NULL AS human, CASE WHEN v.page_count = 5 THEN 'Instituto Aurora' END AS corporate,
+          CASE WHEN v.page_count = 4 THEN ['Ana Maria Souza', 'Bruno Lima'] WHEN v.document_id IS NOT NULL THEN [] WHEN i.a IS NOT NULL THEN [i.a] ELSE coalesce(a.names, []) END AS who
+          FROM i LEFT JOIN t USING (document_id) LEFT JOIN a USING (document_id) LEFT JOIN d USING (document_id) LEFT JOIN y USING (document_id) LEFT JOIN v USING (document_id))
+    SELECT document_id, coalesce(t, front_title, first_title) AS title, CAST(CASE WHEN t IS NOT NULL THEN 0.95 WHEN front_title IS NOT NULL THEN 0.9 WHEN first_title IS NOT NULL THEN 0.7 END AS DOUBLE) AS title_confidence, array_to_string(who, '; ') AS authors,
+           CASE WHEN human THEN 'override' WHEN a IS NOT NULL THEN 'explicit' WHEN names IS NOT NULL THEN 'front_matter' END AS author_source, CAST(CASE WHEN human THEN 1.0 WHEN a IS NOT NULL THEN 0.95 WHEN names IS NOT NULL THEN 0.6 END AS DOUBLE) AS author_confidence,
+           CASE len(who) WHEN 0 THEN corporate WHEN 1 THEN {_FAMILY}[1] WHEN 2 THEN {_FAMILY}[1] || ' e ' || {_FAMILY}[2] ELSE {_FAMILY}[1] || ' et al.' END AS citation, doi, CAST(CASE WHEN doi IS NOT NULL THEN 0.85 END AS DOUBLE) AS doi_confidence,
+           CAST(year AS INTEGER) AS year, CAST(CASE WHEN year IS NOT NULL THEN least(0.8, round(0.5 + 0.1 * (n - 1), 6)) END AS DOUBLE) AS year_confidence, CASE WHEN human THEN NULL WHEN len(who) = 0 THEN 'missing' WHEN a IS NULL THEN 'inferred' END AS review FROM j""")
+def bibliographic_records(spark: SparkSession, d: str) -> DataFrame:
+    """All fields by precedence; every document of 4 or 5 pages has an override under a path written with backslashes."""
+    inv = table(spark, d, "inventory")
+    named, none = F.array(F.lit("Ana Maria Souza"), F.lit("Bruno Lima")), F.array().cast("array<string>")
+    four = F.col("page_count") == 4
+    human = inv.where("page_count in (4, 5)").select(F.concat(F.translate("relative_path", "/", "\\"), F.lit("\\")).alias("path"), F.lit("human").alias("source"), F.when(four, none).otherwise(F.array(F.lit("Instituto Aurora"))).alias("corporate"), F.when(four, named).otherwise(none).alias("authors"))
+    return bibliography.bibliography(_b(spark, d), inv, human.distinct())
 
 
-@query(f"""WITH a AS (SELECT document_id, list_filter(list_transform(string_split(min_by(text, position), ';'), lambda x: trim(x)), lambda x: x <> '') AS names FROM {_O} WHERE role = 'metadata' AND contains(text, ';') AND length(text) < 120 GROUP BY 1)
-    SELECT document_id, CASE len(names) WHEN 0 THEN NULL WHEN 1 THEN names[1] WHEN 2 THEN names[1] || ' e ' || names[2] ELSE names[1] || ' et al.' END AS citation FROM a""")
-def citation_author(spark: SparkSession, d: str) -> DataFrame:
-    o = structure.reading_order(_b(spark, d), "role", "text").where((F.col("role") == "metadata") & F.contains("text", F.lit(";")) & (F.length("text") < 120))
-    names = F.filter(F.transform(F.split(F.min_by("text", "position"), ";"), lambda x: F.trim(x)), lambda x: x != "")
-    return o.groupBy("document_id").agg(names.alias("names")).select("document_id", text.citation_author(F.col("names")).alias("citation"))
+@query(f"""WITH {_FRONT}, r AS (SELECT document_id, position, role, {_plain('text')} AS t, last_value(CASE WHEN role = 'title' THEN position END IGNORE NULLS) OVER w AS p, last_value(CASE WHEN role = 'title' THEN coalesce(CASE heading WHEN 'abstract' THEN 'en' WHEN 'resumen' THEN 'es' WHEN 'resumo' THEN 'pt' END, '-') END IGNORE NULLS) OVER w AS lang FROM o WINDOW w AS (PARTITION BY document_id ORDER BY position ROWS UNBOUNDED PRECEDING)),
+    q AS (SELECT *, CASE WHEN starts_with(lower(strip_accents(t)), 'keywords') THEN 'en' WHEN starts_with(lower(strip_accents(t)), 'palabras clave') THEN 'es' WHEN regexp_matches(lower(strip_accents(t)), '^palavras[- ]chave') THEN 'pt' END AS keys FROM r WHERE role <> 'title' AND lang <> '-'),
+    z AS (SELECT *, min(CASE WHEN keys IS NOT NULL THEN position END) OVER (PARTITION BY document_id, p) AS shut FROM q),
+    b AS (SELECT document_id, lang, p, string_agg(t, ' ' ORDER BY position) AS abstract FROM z WHERE position < coalesce(shut, 2147483647) AND role IN ('body', 'abstract', 'list') AND t <> '' GROUP BY 1, 2, 3),
+    x AS (SELECT document_id, lang, min_by(abstract, p) AS abstract FROM b GROUP BY 1, 2),
+    k AS (SELECT document_id, keys AS lang, max_by(array_to_string(list_filter(list_transform(string_split(regexp_replace(t, '(?s)^[^:]*:?', ''), ','), lambda y: trim(y, ' .')), lambda y: y <> ''), '|'), position) AS keywords FROM z WHERE position = shut GROUP BY 1, 2)
+    SELECT document_id, lang, abstract, keywords, CAST(CASE WHEN abstract IS NOT NULL THEN 0.9 END AS DOUBLE) AS confidence FROM x FULL JOIN k USING (document_id, lang)
+    UNION ALL SELECT document_id, 'und', min_by({_plain('text')}, position), NULL, 0.8 FROM o WHERE role = 'abstract' AND {_plain('text')} <> '' AND document_id NOT IN (SELECT document_id FROM x) GROUP BY 1""")
+def abstracts_by_language(spark: SparkSession, d: str) -> DataFrame:
+    return bibliography.abstracts(_b(spark, d))
 
 
 @query(f"""WITH t AS (SELECT document_id, text AS title FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY (level = 1 AND coalesce(page, 0) = 0) DESC, position) AS rn FROM {_T} WHERE level IS NOT NULL AND coalesce(page, 0) <= 1 AND text IS NOT NULL) WHERE rn = 1),
@@ -272,7 +327,24 @@ def policy_actions(spark: SparkSession, d: str) -> DataFrame:
     return chunking.with_actions(_one(spark, d, "role")).select("block_id", "role", "action")
 
 
-@query()
+# The rule of the character chunks as a walk over all sections at once, one unit a step: n the characters of the open chunk's
+# units, chunk its number when the unit joins, closed whether it closes with the unit. The unit before opens every later chunk.
+_CHUNKS = f"""WITH RECURSIVE u AS MATERIALIZED (SELECT document_id, sec, block_id, role, length(text) AS len, row_number() OVER (PARTITION BY sec ORDER BY position) AS i, bool_and(role = 'title') OVER (PARTITION BY sec) AS bare FROM {_SEC} WHERE role NOT IN ('table', 'figure', 'chart', 'equation', 'code', 'aside', 'other')),
+    w AS (SELECT sec, i, len, len AS n, 0 AS chunk, len >= 2400 AS closed FROM u WHERE i = 1 AND NOT bare
+          UNION ALL
+          SELECT u.sec, u.i, u.len, CASE WHEN o.n + u.len > 3600 THEN o.last ELSE o.n END + u.len, o.chunk + CASE WHEN o.n + u.len > 3600 THEN 1 ELSE 0 END, CASE WHEN o.n + u.len > 3600 THEN o.last ELSE o.n END + u.len >= 2400
+          FROM (SELECT sec, i, len AS last, CASE WHEN closed THEN len ELSE n END AS n, chunk + CASE WHEN closed THEN 1 ELSE 0 END AS chunk FROM w) o JOIN u ON u.sec = o.sec AND u.i = o.i + 1),
+    f AS (SELECT *, coalesce(lead(chunk) OVER (PARTITION BY sec ORDER BY i), chunk + CASE WHEN closed THEN 1 ELSE 0 END) AS upto FROM w),
+    m AS (SELECT f.sec, f.i, unnest(range(f.chunk, f.upto + 1)) AS chunk FROM f),
+    k AS (SELECT m.sec, chunk, sum(len) + 2 * (count(*) - 1) AS chars, max(chunk) OVER (PARTITION BY m.sec) AS last FROM m JOIN u ON u.sec = m.sec AND u.i = m.i GROUP BY m.sec, chunk),
+    c AS MATERIALIZED (SELECT DISTINCT u.document_id, m.sec AS section, CASE WHEN m.chunk = k.last AND m.chunk > 0 AND k.chars < 300 THEN m.chunk - 1 ELSE m.chunk END AS chunk, u.block_id, u.role, u.len AS chars, u.i
+                       FROM m JOIN k ON k.sec = m.sec AND k.chunk = m.chunk JOIN u ON u.sec = m.sec AND u.i = m.i),
+    g AS (SELECT sec AS section, min_by(text, position) AS heading FROM {_SEC} WHERE role = 'title' GROUP BY sec),
+    t AS (SELECT document_id, section, chunk, CAST(chars AS BIGINT) AS chars, CASE WHEN r = n THEN 'references' WHEN regexp_matches(lower(coalesce(heading, '')), 'dados biográficos|biografia|biographical') THEN 'biography' WHEN r > b THEN 'references' ELSE 'body' END AS type
+          FROM (SELECT document_id, section, chunk, sum(chars) + 2 * (count(*) - 1) AS chars, count(*) AS n, count(*) FILTER (role = 'reference') AS r, count(*) FILTER (role IN ('body', 'abstract')) AS b FROM c GROUP BY 1, 2, 3) LEFT JOIN g USING (section))"""
+
+
+@query(f"{_CHUNKS} SELECT document_id, section, CAST(chunk AS INTEGER) AS chunk, CAST(row_number() OVER (PARTITION BY section, chunk ORDER BY i) - 1 AS INTEGER) AS ordinal, block_id, role, CAST(chars AS INTEGER) AS chars FROM c")
 def char_chunks(spark: SparkSession, d: str) -> DataFrame:
     return chunking.char_chunks(_b(spark, d))
 
@@ -282,21 +354,40 @@ def recursive_chunks(spark: SparkSession, d: str) -> DataFrame:
     return chunking.recursive_chunks(_b(spark, d), 700 * 4, 100 * 4)
 
 
-@query(f"SELECT DISTINCT block_id FROM {_SEC} WHERE false")
-def chunk_coverage_violations(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.coverage_violations(_b(spark, d))
+@query(f"""{_CHUNKS}, s AS (SELECT section, chunk, sum(chars) + 2 * (count(*) - 1) AS n FROM c GROUP BY 1, 2), x AS (SELECT unnest(['missing', 'oversized', 'undersized', 'unexplained_repeats']) AS "check")
+    SELECT "check", CAST(CASE "check" WHEN 'oversized' THEN (SELECT count(*) FROM s WHERE n > 3600) WHEN 'undersized' THEN (SELECT count(*) FROM s WHERE n < 300) ELSE 0 END AS BIGINT) AS n FROM x""")
+def chunk_validation(spark: SparkSession, d: str) -> DataFrame:
+    return chunking.validation(_b(spark, d))
 
 
-@query()
+def _types(spark: SparkSession, d: str) -> DataFrame:
+    return chunking.chunk_types(chunking.char_chunks(_b(spark, d)), chunking.section_headings(_b(spark, d)))
+
+
+@query(f"{_CHUNKS} SELECT document_id, section, CAST(chunk AS INTEGER) AS chunk, chars, type FROM t")
+def chunk_types(spark: SparkSession, d: str) -> DataFrame:
+    return _types(spark, d)
+
+
+@query(f"{_CHUNKS} SELECT type, count(*) AS chunks, avg(chars) AS chars_mean, min(chars) AS chars_min, max(chars) AS chars_max FROM t GROUP BY 1")
 def chunk_summary(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.summary(chunking.char_chunks(_b(spark, d)))
+    return chunking.summary(_types(spark, d))
 
 
-@query()
+@query(f"{_CHUNKS} SELECT section, CAST(chunk AS INTEGER) AS chunk, block_id FROM c WHERE chunk > (SELECT min(d.chunk) FROM c d WHERE d.section = c.section AND d.block_id = c.block_id)")
 def overlap_blocks(spark: SparkSession, d: str) -> DataFrame:
     return chunking.overlap_blocks(chunking.char_chunks(_b(spark, d)))
 
 
+@query(f"""{_CHUNKS}, h AS (SELECT *, document_id || ':' || section || ':' || chunk AS k, sha256('42:' || document_id || ':' || section || ':' || chunk) AS h FROM t),
+    p AS (SELECT k, 0 AS r FROM (SELECT k, row_number() OVER (PARTITION BY document_id ORDER BY h) AS rn FROM h) WHERE rn = 1 UNION ALL SELECT k, 1 FROM (SELECT k FROM h ORDER BY chars, k LIMIT 3) UNION ALL SELECT k, 2 FROM (SELECT k FROM h ORDER BY chars DESC, k LIMIT 3)),
+    o AS (SELECT k, min(r) AS r FROM p GROUP BY 1), z AS (SELECT k, row_number() OVER (ORDER BY h) AS i FROM (SELECT * FROM h ORDER BY h LIMIT 2000) WHERE k NOT IN (SELECT k FROM o))
+    SELECT document_id, section, CAST(chunk AS INTEGER) AS chunk, CASE coalesce(o.r, 3) WHEN 0 THEN 'document' WHEN 1 THEN 'shortest' WHEN 2 THEN 'longest' ELSE 'random' END AS reason
+    FROM h LEFT JOIN o USING (k) LEFT JOIN z USING (k) WHERE o.r IS NOT NULL OR z.i + (SELECT count(*) FROM o) <= 2000""")
+def chunk_review_sample(spark: SparkSession, d: str) -> DataFrame:
+    return chunking.review_sample(_types(spark, d), 2000)
+
+
 @query("""SELECT block_id, """ + """(SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', CAST(instr('0123456789abcdef', substr(h, 17, 1)) - 1 AS INTEGER) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)
     FROM (SELECT sha1(from_hex(replace(document_id, '-', '')) || encode('chunk:policy-1:' || position || ':' || sha256(coalesce(text, '')))) AS h)) AS chunk_id FROM """ + _O)
 def chunk_ids(spark: SparkSession, d: str) -> DataFrame:

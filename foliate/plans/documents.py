@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import ir, reconcile
+from ..operators import content_list, ir, reconcile
 from ..session import checkpointed, table
 from .base import query
 
@@ -61,28 +61,62 @@ def line_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _readings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Root blocks with their texts as the first reading, their first lines as items of the second."""
+    """Items of the second reading, the working copies of each page as a content list, and the root blocks of the first."""
     records = table(spark, d, "extractions")
-    parsed = checkpointed(ir.nodes(records))
-    texts = ir.block_texts(records, parsed).select("record_id", F.col("block").alias("node"), F.col("text").alias("words"))
-    b = ir.blocks(records, parsed).where(F.col("node").rlike("^p\\d+:[bd]\\d+$")).drop("text").join(texts, ["record_id", "node"], "left")
-    page = F.regexp_extract("node", "^(p\\d+)", 1)
-    blocks = checkpointed(b.select("record_id", page.alias("page"), F.col("node").alias("id"), F.col("ordinal"), "type", "bbox", F.col("words").alias("text")))
-    kind = F.when(F.col("type").isin("text", "ref_text", "abstract"), "paragraph").when(F.col("type") == "interline_equation", "equation_interline").otherwise(F.col("type"))
-    # the second reading sees boxes a little off and texts cut short
-    moved = F.transform("bbox", lambda x, i: x + F.when(i < 2, -2.0).otherwise(3.0))
-    items = blocks.where("bbox is not null").select("record_id", "page", F.concat(F.lit("i:"), "id").alias("id"), "ordinal", kind.alias("type"), moved.alias("bbox"), F.expr("substr(text, 1, greatest(1, length(text) - 3))").alias("text"))
-    return items, blocks
+    b = ir.blocks(records, checkpointed(ir.nodes(records))).where(F.col("node").rlike("^p\\d+:[bd]\\d+$")).drop("text")
+    texts = ir.block_texts(records).select("record_id", F.col("block").alias("node"), F.col("reconcile").alias("text"))
+    # content blocks before discarded ones
+    order = F.col("ordinal") + F.when(F.col("collection") == "discarded", 1 << 20).otherwise(0)
+    blocks = checkpointed(b.join(texts, ["record_id", "node"], "left").select("record_id", F.regexp_extract("node", "^(p\\d+)", 1).alias("page"), F.col("node").alias("id"), order.alias("ordinal"), "type", "bbox", "text"))
+    made = content_list.content_items(ir.second_reading(records), "content_list", "record_id").where("not bad")
+    items = made.select("record_id", F.format_string("p%04d", "page").alias("page"), F.col("item").alias("id"), F.col("global_order").alias("ordinal"), "type", "bbox", "text", "level")
+    return checkpointed(items.join(ir.pages(records), ["record_id", "page"], "left")), blocks
 
 
 @query()
-def iou_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.candidates(*_readings(spark, d)).where("iou > 0")
+def content_items(spark: SparkSession, d: str) -> DataFrame:
+    return content_list.content_items(ir.second_reading(table(spark, d, "extractions")), "content_list", "record_id")
 
 
 @query()
+def match_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """All candidates of the second reading with overlap, similarity, type and score."""
+    items, blocks = _readings(spark, d)
+    pairs = reconcile.candidates(items, blocks)
+    t = lambda df, name, out: df.select("record_id", F.col("id").alias(name), text.normalize_text("text").alias(out))
+    j = pairs.join(t(items, "item", "a"), ["record_id", "item"]).join(t(blocks, "block", "b"), ["record_id", "block"])
+    ratio = F.coalesce(text.sequence_ratio(F.nullif("a", F.lit("")), F.nullif("b", F.lit(""))), F.lit(0.0))
+    return reconcile.scored(j.withColumn("r", ratio), F.col("r")).drop("a", "b", "r")
+
+
+def _boxes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Boxes made of the numbers of order lines, one page an order: an exact input for the arithmetic of candidates."""
+    t = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("record_id"), F.lit("p").alias("page"), F.col("l_linenumber").cast("string").alias("id"), F.col("l_quantity").alias("q"), (F.col("l_partkey") % 60).cast("double").alias("u"), (F.col("l_suppkey") % 40).cast("double").alias("v"), "l_returnflag")
+    items = t.select("record_id", "page", "id", F.when(F.col("l_returnflag") == "R", "title").otherwise("paragraph").alias("type"), F.array(F.col("u") * 2, F.col("v") * 2, F.col("u") * 2 + F.col("q") * 2, F.col("v") * 2 + 40).alias("bbox"), F.lit(500.0).alias("width"), F.lit(500.0).alias("height"))
+    return items, t.select("record_id", "page", "id", F.when(F.col("l_returnflag") == "A", "title").otherwise("text").alias("type"), F.array(F.col("u"), F.col("v"), F.col("u") + F.col("q"), F.col("v") + 20).alias("bbox"))
+
+
+def _iou_sql(k: str) -> str:
+    x0, y0, x1, y1 = (f"(i.{c}{k})" for c in ("x0", "y0", "x1", "y1"))
+    w, h = f"greatest(0, least({x1}, b.x1) - greatest({x0}, b.x0))", f"greatest(0, least({y1}, b.y1) - greatest({y0}, b.y0))"
+    return f"(({w}) * ({h}) / (({x1} - {x0}) * ({y1} - {y0}) + (b.x1 - b.x0) * (b.y1 - b.y0) - ({w}) * ({h})))"
+
+
+_PAIRS = f"""WITH t AS (SELECT l_orderkey AS record_id, CAST(l_linenumber AS VARCHAR) AS id, l_quantity::DOUBLE AS q, (l_partkey % 60)::DOUBLE AS u, (l_suppkey % 40)::DOUBLE AS v, l_returnflag AS f FROM lineitem),
+    b AS (SELECT record_id, id, u AS x0, v AS y0, u + q AS x1, v + 20 AS y1, f = 'A' AS title FROM t), i AS (SELECT record_id, id, u * 2 AS x0, v * 2 AS y0, u * 2 + q * 2 AS x1, v * 2 + 40 AS y1, f = 'R' AS title FROM t),
+    p AS (SELECT i.record_id, i.id AS item, b.id AS block, {_iou_sql('')} AS one, {_iou_sql(' / 2')} AS two, (i.title = b.title) AS fits FROM i JOIN b ON i.record_id = b.record_id),
+    s AS (SELECT *, greatest(one, two) AS iou, 0.55 * greatest(one, two) + CASE WHEN fits THEN 0.1 ELSE 0 END AS score FROM p)"""
+
+
+@query(f"{_PAIRS} SELECT record_id, item, block, round(iou, 9) AS iou, CASE WHEN two > one THEN 1 ELSE 0 END AS space FROM s WHERE iou > 0")
+def iou_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return reconcile.candidates(*_boxes(spark, d)).where("iou > 0").select("record_id", "item", "block", F.round("iou", 9).alias("iou"), "space")
+
+
+@query(f"""{_PAIRS}, r AS (SELECT *, row_number() OVER w AS rn, lead(score) OVER w AS ns, lead(iou) OVER w AS ni FROM s WINDOW w AS (PARTITION BY record_id, item ORDER BY score DESC, iou DESC, block))
+    SELECT record_id, item, block, round(score, 6) AS score, round(score - coalesce(ns, 0), 6) AS margin, coalesce(score - coalesce(ns, 0) < 0.05 AND ni >= 0.5, false) AS ambiguous FROM r WHERE rn = 1""")
 def best_and_margin(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.best_and_margin(reconcile.candidates(*_readings(spark, d)))
+    return reconcile.best_and_margin(reconcile.scored(reconcile.candidates(*_boxes(spark, d)), F.lit(0.0))).drop("page")
 
 
 @query()
@@ -90,11 +124,23 @@ def greedy_reconciliation(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.greedy(*_readings(spark, d))
 
 
+@query()
+def reconciliation_divergences(spark: SparkSession, d: str) -> DataFrame:
+    items, blocks = _readings(spark, d)
+    return reconcile.divergences(reconcile.greedy(items, blocks), items.select("record_id", F.col("id").alias("item"), (F.length("text") > 0).alias("has_text")))
+
+
 @query()
 def reconciliation_counts(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.counts(reconcile.greedy(*_readings(spark, d)))
 
 
+@query()
+def unmatched_items(spark: SparkSession, d: str) -> DataFrame:
+    items, blocks = _readings(spark, d)
+    return reconcile.unmatched_items(reconcile.greedy(items, blocks), items)
+
+
 @query()
 def unmatched_blocks(spark: SparkSession, d: str) -> DataFrame:
     items, blocks = _readings(spark, d)

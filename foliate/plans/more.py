@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import chunking, extras, runs, structure
+from ..operators import extras, runs, structure
 from ..session import table
 from .base import query
 from .blocks import _B, _O, _WITH
@@ -165,11 +165,6 @@ def document_metrics(spark: SparkSession, d: str) -> DataFrame:
     return b.groupBy("document_id").agg(F.greatest(F.count_if(t), F.count_if(F.col("source_type") == "table")).alias("tables"), F.count_if(F.col("role").isin("figure", "chart")).alias("images"), F.count_if(F.col("role") == "equation").alias("equations"), F.count_if(t & (F.coalesce(F.length("text"), F.lit(0)) == 0)).alias("empty_tables"))
 
 
-@query()
-def chunk_types(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.chunk_types(chunking.char_chunks(table(spark, d, "block_units")))
-
-
 @query(f"SELECT c.document_id, c.blocks AS current_blocks, o.blocks AS old_blocks, c.blocks - o.blocks AS delta FROM (SELECT document_id, count(*) AS blocks FROM {_B} GROUP BY 1) c LEFT JOIN (SELECT document_id, count(DISTINCT block_id) AS blocks FROM block_units WHERE loaded_at < TIMESTAMP '2024-04-30 12:00:00' GROUP BY 1) o ON c.document_id = o.document_id")
 def old_and_current(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "block_units").where("block_id is not null")

@@ -13,7 +13,10 @@ from .base import query
 _R = "(SELECT DISTINCT * FROM runs)"
 _LAST = f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY try_cast(started_at AS TIMESTAMPTZ) DESC NULLS LAST, document_position DESC NULLS LAST) AS rn FROM {_R} WHERE document_id IS NOT NULL) WHERE rn = 1)"
 _X = "(duration_seconds IS NOT NULL AND NOT isnan(duration_seconds))"
-_CLASS = "CASE WHEN regexp_matches(error, '(?i)out of memory|oom|memory') THEN 'memory' WHEN regexp_matches(error, '(?i)cuda|gpu|device|worker lost|xid') THEN 'hardware' WHEN regexp_matches(error, '(?i)timed? ?out|timeout|502|503|504|429|connection|temporar|worker lost') THEN 'retryable' WHEN error IS NOT NULL THEN 'other' END"
+_CLASS = """CASE WHEN regexp_matches(lower(error), 'cuda-capable device\\(s\\) is/are busy or unavailable|cudaerrornodevice|no cuda-capable device is detected|nvidia driver is not loaded') THEN 'hardware'
+    WHEN regexp_matches(lower(error), 'out of memory|cuda oom|cudaerroroutofmemory|cannot allocate memory|killed process') THEN 'memory' WHEN regexp_matches(lower(error), 'timed? ?out|timeout|connection|network|worker lost|\\b(?:http|status)(?: code)?:? 5\\d\\d\\b') THEN 'retryable' WHEN error IS NOT NULL THEN 'other' END"""
+# Messages as these classes of failure give them, dealt over the runs that failed.
+_MESSAGES = ("CUDA error: no CUDA-capable device is detected", "torch.OutOfMemoryError: CUDA out of memory", "meeting room", "device code expired", "Killed process 17", "HTTP 503", "ReadTimeout")
 
 
 def _r(spark: SparkSession, d: str) -> DataFrame:
@@ -55,18 +58,27 @@ def latency_nearest_rank(spark: SparkSession, d: str) -> DataFrame:
     return _r(spark, d).where(_finite("duration_seconds")).groupBy("pod_number").agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY duration_seconds)").alias("p95"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY duration_seconds)").alias("p50"), F.count("*").alias("n"))
 
 
-@query(f"SELECT error, {_CLASS} AS class, count(*) AS n FROM {_R} WHERE error IS NOT NULL GROUP BY 1, 2")
+_MIXED = f"(SELECT status, CASE CAST(document_position % 8 AS INTEGER) {' '.join(f'WHEN {i} THEN {chr(39)}{m}{chr(39)}' for i, m in enumerate(_MESSAGES))} ELSE error END AS error FROM {_R} WHERE error IS NOT NULL)"
+
+
+@query(f"SELECT error, {_CLASS} AS class, count(*) AS n FROM (SELECT error FROM {_MIXED} UNION ALL SELECT error FROM {_R} WHERE error IS NOT NULL) GROUP BY 1, 2")
 def error_classes(spark: SparkSession, d: str) -> DataFrame:
-    return _r(spark, d).where("error is not null").groupBy("error", runs.error_class(F.col("error")).alias("class")).agg(F.count("*").alias("n"))
+    """Classes of the messages of failed runs as they are, and of such runs with messages of every class in their place."""
+    r = _r(spark, d).where("error is not null")
+    mixed = F.coalesce(F.get(F.array(*map(F.lit, _MESSAGES)), (F.col("document_position") % 8).cast("int")), F.col("error"))
+    both = r.select(mixed.alias("error")).unionByName(r.select("error"))
+    return both.groupBy("error", runs.error_class(F.col("error")).alias("class")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH a AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY try_cast(started_at AS TIMESTAMPTZ), document_position, log_path, completed_at) AS attempts, {_CLASS} AS class FROM {_R})
-    SELECT CASE WHEN status = 'ok' THEN 'ok' WHEN class IN ('retryable', 'hardware') AND attempts < 3 THEN 'retry' WHEN class IN ('hardware', 'memory') THEN 'recoverable' ELSE 'error' END AS outcome, count(*) AS n FROM a GROUP BY 1""")
+@query(f"""WITH a AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY try_cast(started_at AS TIMESTAMPTZ), document_position, log_path, completed_at) AS attempts, CASE error WHEN 'timed out' THEN 'download' WHEN 'HTTP 502 from worker' THEN 'recovery' WHEN 'worker lost' THEN 'identity' END AS failure FROM {_R})
+    SELECT CASE WHEN status = 'ok' THEN 'ok' WHEN failure = 'identity' AND return_code IS DISTINCT FROM 1 THEN 'identity_unresolved' WHEN attempts <= 3 AND (failure = 'recovery' OR coalesce(failure, '') NOT IN ('download', 'request')) THEN 'retry' WHEN failure = 'download' THEN 'recoverable' ELSE 'error' END AS outcome, count(*) AS n FROM a GROUP BY 1""")
 def attempt_outcomes(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql.window import Window
 
     n = F.row_number().over(Window.partitionBy("document_id").orderBy(runs.started(), "document_position", "log_path", "completed_at"))
-    return _r(spark, d).withColumn("attempts", n).groupBy(runs.outcome(F.col("status"), F.col("error"), F.col("attempts"), 3).alias("outcome")).agg(F.count("*").alias("n"))
+    failure = F.when(F.col("error") == "timed out", runs.DOWNLOAD).when(F.col("error") == "HTTP 502 from worker", runs.RECOVERY).when(F.col("error") == "worker lost", runs.IDENTITY)
+    returned = F.when(F.col("return_code") == 1, F.lit("id"))
+    return _r(spark, d).withColumn("attempts", n).groupBy(runs.outcome(F.col("status"), failure, returned, F.col("attempts"), 3).alias("outcome")).agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT DISTINCT i.document_id, i.path FROM inventory i WHERE i.document_id IN (SELECT document_id FROM {_LAST} WHERE status <> 'ok')")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identity
+from ..operators.content_list import content_items
 
 # The inventory's columns in order.
 INVENTORY = [
@@ -112,20 +113,17 @@ def extraction_payloads(spark: SparkSession, prefix: str) -> DataFrame:
 
 
 def content_list(frame: DataFrame, payload: str = "payload") -> DataFrame:
-    """Items of content-list payloads (a list of pages, each a list of items): page, ordinal, type, box, text parts, level.
+    """Items of content-list payloads with all other columns of the frame: page, ordinal, order over all pages, item id, type, box, text and its parts, level.
 
-    Pages that are no lists and items that are no objects are reported as bad and keep their positions.
+    Pages that are no lists are rows marked ``bad``; items that are no objects keep their positions.
     """
-    v = frame.withColumn("__v", F.expr(f"try_parse_json({payload})"))
-    keys = [c for c in frame.columns if c != payload]
-    pages = v.selectExpr(*[f"`{c}`" for c in keys], "posexplode(try_variant_get(__v, '$', 'array<variant>')) as (page_index, __p)")
-    items = pages.selectExpr(*[f"`{c}`" for c in keys], "page_index", "posexplode_outer(try_variant_get(__p, '$', 'array<variant>')) as (ordinal, __i)")
-    kind = F.expr("schema_of_variant(__i)")
-    return items.select(
-        *keys, "page_index", "ordinal", F.expr("try_variant_get(__i, '$.type', 'string')").alias("type"), F.expr("try_variant_get(__i, '$.bbox', 'array<double>')").alias("bbox"),
-        F.regexp_extract_all(F.expr("to_json(__i)"), F.lit('"content":"((?:[^"\\\\]|\\\\.)*)"'), F.lit(1)).alias("text_parts"), F.expr("try_variant_get(__i, '$.content.level', 'int')").alias("level"),
-        (F.col("ordinal").isNull() | ~kind.startswith("OBJECT")).alias("bad"),
-    )
+    return content_items(frame, payload, *[c for c in frame.columns if c != payload])
+
+
+def content_list_files(spark: SparkSession, prefix: str) -> DataFrame:
+    """``path, sha256`` and the items of the content-list files below a prefix."""
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*_content_list_v2.json").load(prefix)
+    return content_list(f.select("path", F.sha2("content", 256).alias("sha256"), F.decode("content", "UTF-8").alias("payload")))
 
 
 def manifests(spark: SparkSession, prefix: str) -> DataFrame:

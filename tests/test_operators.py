@@ -109,15 +109,31 @@ def test_region_closes_at_the_next_title(spark):
     assert (got["c"], got["f"]) == ("reference", "body")
 
 
+def one_space(box):
+    return reconcile.box_candidates(box, None)
+
+
 def test_greedy_keeps_the_earlier_item():
     box = [0.0, 0.0, 10.0, 10.0]
-    made = reconcile.assign([("i1", "title", box, "abc"), ("i2", "title", box, "abcd")], [("b1", "title", box, "abcd")])
-    assert [(m[0], m[1]) for m in made] == [("i1", "b1"), ("i2", None)]
+    made = reconcile.assign([("i1", "title", one_space(box), "abc"), ("i2", "title", one_space(box), "abcd")], [("b1", "title", box, "abcd")])
+    assert [(m.item, m.block) for m in made] == [("i1", "b1"), ("i2", None)]
 
 
 def test_ambiguity():
-    made = reconcile.assign([("i", "title", [0.0, 0.0, 10.0, 10.0], "abc")], [("b1", "title", [0.0, 0.0, 10.0, 10.0], "abc"), ("b2", "title", [0.0, 0.0, 10.0, 10.0], "abc")])
-    assert made[0][1] == "b1" and made[0][5]
+    box = [0.0, 0.0, 10.0, 10.0]
+    (m,) = reconcile.assign([("i", "title", one_space(box), "abc")], [("b1", "title", box, "abc"), ("b2", "title", box, "abc")])
+    assert m.block == "b1" and m.ambiguous and not m.usable and m.margin == 0.0
+    # a rival counts even if it could not be accepted itself: overlaps of 0.67 and 0.62, no texts
+    (m,) = reconcile.assign([("i", None, one_space([0.0, 0.0, 100.0, 100.0]), "")], [("b1", None, [0.0, 0.0, 67.0, 100.0], ""), ("b2", None, [0.0, 0.0, 62.0, 100.0], "")])
+    assert m.block == "b1" and m.ambiguous and m.margin == 0.0275
+
+
+def test_boxes_on_the_grid_of_a_thousand():
+    block = [59.5, 84.2, 297.5, 421.0]
+    (m,) = reconcile.assign([("i", "title", reconcile.box_candidates([100.0, 100.0, 500.0, 500.0], (595.0, 842.0)), "")], [("b", "title", block, "")])
+    assert m.space == "normalized_0_1000" and m.iou == 1.0 and m.usable
+    for bad in (None, [1.0, 2.0], [5.0, 0.0, 1.0, 1.0], [-1.0, 0.0, 1.0, 1.0], [0.0, 0.0, float("nan"), 1.0]):
+        assert not bad or len(bad) != 4 or reconcile.box_candidates(bad, (10.0, 10.0)) == []
 
 
 def test_bounds_change_no_assignment():
@@ -125,31 +141,33 @@ def test_bounds_change_no_assignment():
 
     def all_compared(items, blocks):
         free, out = list(range(len(blocks))), []
-        for item, kind, box, words in items:
+        for item, kind, boxes, words in items:
             ranked = []
             for i in free:
                 b, own, where, other = blocks[i]
-                iou = reconcile._iou(box, where)
+                _, iou = reconcile.overlap(boxes, where)
                 ratio = text.sequence_ratio_of(words, other) if words and other else 0.0
                 w = reconcile.WEIGHTS
                 ranked.append((-(w[0] * iou + w[2] * (own in reconcile.COMPATIBLE.get(kind, ())) + w[1] * ratio), -iou, -ratio, b, i))
             ranked.sort()
             if not ranked or -ranked[0][0] < reconcile.ACCEPT:
-                out.append((item, None, False))
+                out.append((item, None, None, False))
                 continue
             free.remove(ranked[0][4])
-            out.append((item, ranked[0][3], len(ranked) > 1 and ranked[1][0] - ranked[0][0] < reconcile.MARGIN and -ranked[1][1] >= reconcile.RIVAL))
+            margin = (ranked[1][0] if len(ranked) > 1 else 0.0) - ranked[0][0]
+            out.append((item, ranked[0][3], round(margin, 6), len(ranked) > 1 and margin < reconcile.MARGIN and -ranked[1][1] >= reconcile.RIVAL))
         return out
 
-    def box():
-        x, y = rng.randrange(20), rng.randrange(20)
+    def box(side):
+        x, y = rng.randrange(side), rng.randrange(side)
         return rng.choice([None, [float(x), float(y), x + 10.0, y + 10.0]])
 
     words = lambda: rng.choice([None, "", "".join(rng.choice("abc ") for _ in range(rng.randrange(1, 25)))])
-    for _ in range(300):
-        items = [(f"i{k}", rng.choice(["title", "paragraph"]), box(), words()) for k in range(rng.randrange(1, 7))]
-        blocks_ = [(f"b{k}", rng.choice(["title", "text"]), box(), words()) for k in range(rng.randrange(0, 7))]
-        assert [(m[0], m[1], m[5]) for m in reconcile.assign(items, blocks_)] == all_compared(items, blocks_)
+    for k in range(600):
+        side = rng.choice([3, 6, 20])  # small ones give overlaps, and so scores, near every threshold
+        items = [(f"i{k}", rng.choice(["title", "paragraph"]), reconcile.box_candidates(box(side), rng.choice([None, (500.0, 800.0)])), words()) for k in range(rng.randrange(1, 7))]
+        blocks_ = [(f"b{k}", rng.choice(["title", "text"]), box(side), words()) for k in range(rng.randrange(0, 7))]
+        assert [(m.item, m.block, m.margin, m.ambiguous) for m in reconcile.assign(items, blocks_)] == all_compared(items, blocks_)
 
 
 def test_breaker():
@@ -168,7 +186,10 @@ def test_leases():
 
 def test_chunk_tail_joins_the_chunk_before():
     assert chunking.pack_units([("a", 2200), ("b", 150), ("c", 100)]) == [["a", "b", "c"]]
-    assert chunking.pack_units([("a", 2400), ("b", 2400)]) == [["a"], ["b"]]
+    # a unit joins before the target closes the chunk; the last one opens the next again
+    assert chunking.pack_units([("a", 1500), ("b", 1500), ("c", 500)]) == [["a", "b"], ["b", "c"]]
+    assert chunking.pack_units([("a", 2400), ("b", 1000)]) == [["a"], ["a", "b"], ["b"]]
+    assert chunking.pack_units([("a", 2000), ("b", 1700)]) == [["a"], ["a", "b"], ["b"]]
     assert chunking.pack_units([]) == []
 
 

@@ -60,11 +60,12 @@ def test_json_lines(spark, tmp_path):
 
 
 def test_content_list(spark):
-    payload = json.dumps([[{"type": "title", "bbox": [0, 1, 2, 3], "content": {"level": 1, "title_content": [{"type": "text", "content": "A"}]}}, 3], "no page", []])
+    title = {"level": 1, "path": {"content": "no content"}, "title_content": [{"type": "text", "content": "A \\"x\\""}, {"content": ["B", 7]}]}
+    payload = json.dumps([[3, {"type": "title", "bbox": [0, 1, 2, 3], "content": title}, {"type": 5, "bbox": [0, 1], "content": {"level": True}}], "no page", []])
     rows = files.content_list(spark.createDataFrame([("d", payload), ("e", None), ("f", "{")], "doc string, payload string")).collect()
     good = [r for r in rows if not r.bad]
-    assert len(good) == 1 and (good[0].type, good[0].level, good[0].text_parts, good[0].bbox) == ("title", 1, ["A"], [0.0, 1.0, 2.0, 3.0])
-    assert {(r.page_index, r.ordinal) for r in rows if r.bad} == {(0, 1), (1, None), (2, None)}
+    assert [(r.doc, r.item, r.global_order, r.type, r.level, r.text_parts, r.bbox) for r in good] == [("d", "content-list-v2:p0000:i0001", 0, "title", 1, ['A "x"', "B"], [0.0, 1.0, 2.0, 3.0]), ("d", "content-list-v2:p0000:i0002", 1, None, None, [], None)]
+    assert good[0].text == 'A "x" B' and [(r.page, r.ordinal) for r in rows if r.bad] == [(1, None)]
 
 
 def test_plans(spark):
