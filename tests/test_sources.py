@@ -60,7 +60,7 @@ def test_json_lines(spark, tmp_path):
 
 
 def test_content_list(spark):
-    title = {"level": 1, "path": {"content": "no content"}, "title_content": [{"type": "text", "content": "A \\"x\\""}, {"content": ["B", 7]}]}
+    title = {"level": 1, "path": {"content": "no content"}, "title_content": [{"type": "text", "content": 'A "x"'}, {"content": ["B", 7]}]}
     payload = json.dumps([[3, {"type": "title", "bbox": [0, 1, 2, 3], "content": title}, {"type": 5, "bbox": [0, 1], "content": {"level": True}}], "no page", []])
     rows = files.content_list(spark.createDataFrame([("d", payload), ("e", None), ("f", "{")], "doc string, payload string")).collect()
     good = [r for r in rows if not r.bad]
