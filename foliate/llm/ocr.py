@@ -13,10 +13,11 @@ corpus: that bounds the broadcast.
 
 from __future__ import annotations
 
+import json
 import random
 import re
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Container, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,12 @@ VOCABULARY_LEAST = 5
 RATIO = 50
 # Bound of the labelled sample the ranker is trained on.
 SAMPLE = 6_000
-# Blocks of one document held together; a longer document is treated in runs of this many blocks.
+# Blocks of one document held together; a longer document is treated in runs of this many blocks, each with so many
+# blocks around it: a paragraph must end somewhere within these for the runs to give what the whole document gives.
 RUN = 2_000
+CONTEXT = 64
+# Ids of documents of several runs that are broadcast, at most.
+LONG_BROADCAST = 100_000
 RUNNING_TEXT = ("body", "abstract", "list", "aside")
 NO_LINES = ("title", "table", "code", "equation", "chart", "figure")
 
@@ -92,8 +97,15 @@ def word_counts(blocks: DataFrame) -> DataFrame:
 # ---- misread words --------------------------------------------------------------------------
 
 
+# Steps within the cost limit move at most so far from the diagonal: a speck costs 0.2.
+_BAND = 13
+
+
 def confusion_cost(seen: str, true: str, limit: float = 2.5) -> float:
-    """Edit distance in which what recognition confuses is cheap; beyond ``limit`` it is not worked out."""
+    """Edit distance in which what recognition confuses is cheap; beyond ``limit`` it is not worked out.
+
+    Only cells near the diagonal can stay within the limit, so words of any length take time in proportion to it.
+    """
     n, m = len(seen), len(true)
     if abs(n - m) > 3:
         return limit + 1
@@ -107,26 +119,31 @@ def confusion_cost(seen: str, true: str, limit: float = 2.5) -> float:
     a, b = max(0, a - 1), max(0, b - 1)
     seen, true = seen[a : n - b], true[a : m - b]
     n, m = len(seen), len(true)
-    if n > 8 or m > 8:
-        return limit + 1
-    row = [[0.0] * (m + 1) for _ in range(n + 1)]
+    far = limit + 1
+    last = before = [far] * (m + 1)
     for i in range(n + 1):
-        for j in range(m + 1):
+        row = [far] * (m + 1)
+        low, high = (0, m) if m <= _BAND else (max(0, i - _BAND), min(m, i + _BAND))
+        for j in range(low, high + 1):
             if i == j == 0:
+                row[0] = 0.0
                 continue
-            best = 9.0
+            best = far
             if i:
-                best = row[i - 1][j] + (0.2 if seen[i - 1] in SPECKS else 1.0)
+                best = last[j] + (0.2 if seen[i - 1] in SPECKS else 1.0)
             if j:
-                best = min(best, row[i][j - 1] + 1.0)
+                best = min(best, row[j - 1] + 1.0)
             if i and j:
-                best = min(best, row[i - 1][j - 1] + (0.0 if seen[i - 1] == true[j - 1] else _CHEAP.get((seen[i - 1], true[j - 1]), 1.0)))
+                best = min(best, last[j - 1] + (0.0 if seen[i - 1] == true[j - 1] else _CHEAP.get((seen[i - 1], true[j - 1]), 1.0)))
             if i > 1 and j and (seen[i - 2 : i], true[j - 1]) in _CHEAP:
-                best = min(best, row[i - 2][j - 1] + 0.3)
+                best = min(best, before[j - 1] + 0.3)
             if i and j > 1 and (seen[i - 1], true[j - 2 : j]) in _CHEAP:
-                best = min(best, row[i - 1][j - 2] + 0.3)
-            row[i][j] = best
-    return row[n][m]
+                best = min(best, last[j - 2] + 0.3)
+            row[j] = best
+        if i and min(row) > limit and min(last) > limit:
+            return far
+        before, last = last, row
+    return min(far, last[m])
 
 
 def _grams(word: str) -> set[str]:
@@ -403,75 +420,126 @@ def _header_key(line: str) -> str:
     return "".join(_WORD.findall(line.lower()))
 
 
+def _is_named(bare: str, words: list[str], named: set[str], known: Container[str]) -> bool:
+    """Whether a line names the title or the authors: half of its words, or a list of names with one of them."""
+    told = sum(w in named for w in words)
+    return told * 2 >= len(words) or bool(_NAMES.match(bare)) and (told > 0 or len(words) <= 4) and not all(w in known for w in words)
+
+
+def _commonest(counts: Counter) -> int | None:
+    """The offset that occurs most often, the smallest of several."""
+    return min(counts, key=lambda x: (-counts[x], x), default=None)
+
+
+class Facts:
+    """What a document's noise is decided by besides the lines themselves: words of its title and authors, header lines
+    on two pages or more, and how printed page numbers differ from the page's place.
+
+    Made of all blocks of the document: for one that is cut into runs, by ``long_facts``.
+    """
+
+    def __init__(self, headers: dict[str, str], offsets: Counter, alone: Counter):
+        self.headers, self.offsets, self.alone = headers, offsets, alone
+        # one word of each header, to pass over other lines quickly
+        self.marks = [max(_WORD.findall(h.lower()), key=len) for h in headers.values()]
+
+
+def named_words(role: str | None, page: int | None, folded: str) -> list[str]:
+    """Words that name the document, of a title or of a list of authors on the first page."""
+    if role == "title" or role == "metadata" and ";" in folded and (page or 0) == 0:
+        return [w for w in _WORD.findall(folded.lower()) if len(w) > 2]
+    return []
+
+
+def header_lines(role: str | None, folded: str) -> Iterator[tuple[str, str]]:
+    """``(key, line)`` of the lines of a block that have the shape of a running header."""
+    if role in NO_LINES:
+        return
+    for line in folded.split("\n"):
+        # most lines of running text go here: they start in lower case or end a sentence
+        if not 8 <= len(line) <= 110 or line[0].islower() or line[-1] in ".,;:?!":
+            continue
+        bare = _LINE_NUMBER.sub("", line.strip()).strip()
+        words = _WORD.findall(bare.lower())
+        if 2 <= len(words) <= 11 and bare[-1:] not in ".!?:" and bare[:1].isupper():
+            yield "".join(words), bare
+
+
+def page_numbers(role: str | None, folded: str) -> Iterator[tuple[int, int | None, bool, bool]]:
+    """``(line, number if in digits, whether it stands bare among other lines, whether within them)`` of the lines that hold only a page number."""
+    if role in NO_LINES:
+        return
+    lines = folded.split("\n")
+    for i, line in enumerate(lines):
+        s = line.strip()
+        if s and len(s) <= 24 and (m := _PAGE.match(s)) and ((number := m[m.lastindex]).isdigit() or len(lines) == 1 or i in (0, len(lines) - 1)):
+            yield i, int(number) if number.isdigit() else None, number == s and s.isdigit() and len(lines) > 1, 0 < i < len(lines) - 1
+
+
 class Document:
-    """Blocks of one document in reading order: ``(block_id, page, role, text)``."""
+    """Blocks of one document, or of one run of it with what stands around it, in reading order: ``(block_id, page, role, text, own)``."""
 
-    def __init__(self, blocks: list[tuple], speller: Speller):
+    def __init__(self, blocks: list[tuple], speller: Speller, facts: Facts | None = None):
         self.speller = speller
-        self.blocks = blocks
-        self.folded = [fold(t) for _, _, _, t in blocks]
-        self.headers = self._headers()
+        self.blocks = [(*b[:4], b[4] if len(b) > 4 else True) for b in blocks]
+        self.folded = [fold(b[3]) for b in blocks]
+        self.facts = facts or self._facts()
+        self.headers, self.marks = self.facts.headers, self.facts.marks
         # (block, token) that words below the vocabulary's share decide
         self.undecided: list[tuple[str, str]] = []
-        # one word of each header, to pass over other lines quickly
-        self.marks = [max(_WORD.findall(h.lower()), key=len) for h in self.headers.values()]
-
-    def _headers(self) -> dict[str, str]:
-        """Lines that name the short title or the authors and recur on two pages."""
+        # place of the next block of the same role
+        self.next_of_role: list[int | None] = [None] * len(blocks)
+        seen: dict[str | None, int] = {}
+        for k in range(len(blocks) - 1, -1, -1):
+            self.next_of_role[k] = seen.get(blocks[k][2])
+            seen[blocks[k][2]] = k
+
+    def _facts(self) -> Facts:
         named: set[str] = set()
-        for (_, page, role, _), text in zip(self.blocks, self.folded):
-            if len(text) < 300 and (role == "title" and not named or role == "metadata" and ";" in text and (page or 0) == 0):
-                named.update(w for w in _WORD.findall(text.lower()) if len(w) > 2)
+        titled = False
+        for (_, page, role, _, _), text in zip(self.blocks, self.folded):
+            if role != "title" or not titled:
+                named.update(named_words(role, page, text))
+                titled = titled or role == "title"
         pages: dict[str, set] = defaultdict(set)
         shown: dict[str, str] = {}
-        for (_, page, role, _), text in zip(self.blocks, self.folded):
-            if role in NO_LINES:
-                continue
-            for line in text.split("\n"):
-                # most lines of running text go here: they start in lower case or end a sentence
-                if not 8 <= len(line) <= 110 or line[0].islower() or line[-1] in ".,;:?!":
-                    continue
-                bare = _LINE_NUMBER.sub("", line.strip()).strip()
-                words = _WORD.findall(bare.lower())
-                if not 2 <= len(words) <= 11 or bare[-1:] in ".!?:" or not bare[:1].isupper():
-                    continue
-                told = sum(w in named for w in words)
-                if told * 2 >= len(words) or _NAMES.match(bare) and (told or len(words) <= 4) and not all(w in self.speller.vocabulary for w in words):
-                    key = "".join(words)
-                    pages[key].add(page)
-                    shown.setdefault(key, bare)
-        return {k: shown[k] for k, p in pages.items() if len(p - {None}) >= 2}
+        offsets, alone = Counter(), Counter()
+        for (_, page, role, _, _), text in zip(self.blocks, self.folded):
+            for key, bare in header_lines(role, text):
+                pages[key].add(page)
+                shown.setdefault(key, bare)
+            for _, number, bare, _ in page_numbers(role, text):
+                if number is not None and page is not None:
+                    (alone if bare else offsets)[number - page] += 1
+        known = self.speller.vocabulary
+        return Facts({k: shown[k] for k, p in pages.items() if len(p - {None}) >= 2 and _is_named(shown[k], _WORD.findall(shown[k].lower()), named, known)}, offsets, alone)
 
     def noise(self) -> Iterator[tuple[str, str]]:
-        """Distinct ``(block_id, kind of noise)``."""
-        offsets: Counter = Counter()
-        bare = []
-        for k, ((block, page, role, text), folded) in enumerate(zip(self.blocks, self.folded)):
+        """Distinct ``(block_id, kind of noise)`` of the own blocks."""
+        offsets, alone = self.facts.offsets, self.facts.alone
+        common = _commonest(offsets + alone)
+        for k, ((block, page, role, text, own), folded) in enumerate(zip(self.blocks, self.folded)):
+            if not own:
+                continue
             kinds = set()
             lines = folded.split("\n")
             furniture = set()
-            if role not in NO_LINES:
+            for i, number, bare, inside in page_numbers(role, folded):
+                furniture.add(i)
+                # a figure alone in a line of running text may end a sentence: decided by the numbers of the other pages
+                if not bare or page is not None and number - page == common and (not inside or offsets or alone[common] > 1):
+                    kinds.add("page_number")
+            if role not in NO_LINES and self.headers:
                 for i, line in enumerate(lines):
                     s = line.strip()
-                    if not s or len(s) > 110:
-                        continue
-                    if len(s) <= 24 and (m := _PAGE.match(s)) and ((number := m[m.lastindex]).isdigit() or len(lines) == 1 or i in (0, len(lines) - 1)):
-                        furniture.add(i)
-                        if number == s and s.isdigit() and len(lines) > 1:
-                            # a figure alone in a line of running text may end a sentence: decided by the numbers of the other pages
-                            bare.append((block, page, int(s), 0 < i < len(lines) - 1))
-                        else:
-                            kinds.add("page_number")
-                            if number.isdigit() and page is not None:
-                                offsets[int(number) - page] += 1
-                    elif self.headers and self._names_header(s):
+                    if i not in furniture and s and len(s) <= 110 and self._names_header(s):
                         furniture.add(i)
                         kinds.add("running_header")
-                if self.headers and "running_header" not in kinds and any(h in folded for h in self.headers.values()):
+                if "running_header" not in kinds and any(h in folded for h in self.headers.values()):
                     kinds.add("running_header")
             if role not in NO_LINES and any(h in text for h in ("-", _SOFT, "¬", "‐", "‑")):
-                following = next((t for (_, _, r, _), t in list(zip(self.blocks, self.folded))[k + 1 : k + 5] if r == role), "")
-                broken = broken_words(text, following, self.speller.joiner)
+                after = self.next_of_role[k]
+                broken = broken_words(text, "" if after is None else self.folded[after], self.speller.joiner)
                 if broken:
                     kinds.add("hyphenation")
                     parts, at = [], 0
@@ -481,7 +549,8 @@ class Document:
                         at = b
                     text = "".join(parts) + text[at:]
                     folded = fold(text)
-                    lines, furniture = folded.split("\n"), {i for i, x in enumerate(folded.split("\n")) if self._is_furniture(x)}
+                    lines = folded.split("\n")
+                    furniture = {i for i, x in enumerate(lines) if self._is_furniture(x)}
             if role is None or role in RUNNING_TEXT:
                 tokens = set()
                 for i, line in enumerate(lines):
@@ -497,12 +566,6 @@ class Document:
                     kinds.add("misread")
             for kind in kinds:
                 yield block, kind
-        if bare:
-            alone = Counter(n - page for _, page, n, _ in bare if page is not None)
-            common = (offsets + alone).most_common(1)
-            for block, page, n, inside in bare:
-                if page is not None and n - page == common[0][0] and (not inside or offsets or alone[n - page] > 1):
-                    yield block, "page_number"
 
     def _broken_end(self, k: int) -> bool:
         """Whether one of the blocks just before ends within a word."""
@@ -517,9 +580,12 @@ class Document:
         return any(w in low for w in self.marks) and _header_key(_LINE_NUMBER.sub("", line)) in self.headers
 
     def paragraphs(self) -> Iterator[str]:
-        """Continuous text: furniture dropped, broken words joined, misread words replaced, lines joined across pages."""
-        held = ""
-        for (_, _, role, text), _ in zip(self.blocks, self.folded):
+        """Continuous text: furniture dropped, broken words joined, misread words replaced, lines joined across pages.
+
+        A paragraph belongs to the run in which it begins.
+        """
+        held, mine = "", True
+        for _, _, role, text, own in self.blocks:
             if role not in ("body", "abstract", "list", None):
                 continue
             lines = [x for x in text.split("\n") if not self._is_furniture(fold(x))]
@@ -527,6 +593,7 @@ class Document:
             if not clean.strip():
                 continue
             joined = f"{held}\n{clean}" if held else clean
+            mine = mine if held else own
             parts, at = [], 0
             for a, b, word in broken_words(joined, "", self.speller.joiner):
                 if b < len(joined):
@@ -536,9 +603,10 @@ class Document:
             if whole[-1:] in "-¬" or (whole[-1:] not in ".!?:;)\"”" and len(whole) > 40):
                 held = whole
                 continue
-            yield self._respelled(whole)
+            if mine:
+                yield self._respelled(whole)
             held = ""
-        if held:
+        if held and mine:
             yield self._respelled(held)
 
     def _respelled(self, text: str) -> str:
@@ -558,20 +626,26 @@ def respelled(text: str, correct: Callable[[str], str | None]) -> str:
     return " ".join(out)
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Documents of a partition sorted by document, run and reading order; rows sent twice are dropped."""
-    held, rows, seen = None, [], set()
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple], dict | None]]:
+    """Documents of a partition sorted by document, run and reading order, with the facts of long ones; rows sent twice are dropped."""
+    held, rows, seen, facts = None, [], set(), None
     for batch in batches:
-        for doc, run, block, page, role, text in zip(*(batch.column(c).to_pylist() for c in ("document_id", "run", "block_id", "page", "role", "text"))):
+        for doc, run, own, block, page, role, text in zip(*(batch.column(c).to_pylist() for c in ("document_id", "run", "own", "block_id", "page", "role", "text"))):
             if (doc, run) != held:
-                if rows:
-                    yield held, rows
-                held, rows, seen = (doc, run), [], set()
-            if block not in seen:
+                if any(r[4] for r in rows):
+                    yield held, rows, facts
+                held, rows, seen, facts = (doc, run), [], set(), None
+            if block is None:
+                facts = json.loads(text)
+            elif block not in seen:
                 seen.add(block)
-                rows.append((block, page, role, text))
-    if rows:
-        yield held, rows
+                rows.append((block, page, role, text, own))
+    if any(r[4] for r in rows):
+        yield held, rows, facts
+
+
+def _document(rows: list[tuple], speller: Speller, facts: dict | None) -> Document:
+    return Document(rows, speller, facts and Facts(dict(facts["headers"]), Counter(dict(facts["offsets"])), Counter(dict(facts["alone"]))))
 
 
 def _noise(shared):
@@ -581,8 +655,8 @@ def _noise(shared):
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], ["block_id", "noise", "token"])
 
-        for _, rows in _runs(batches):
-            document = Document(rows, shared.value)
+        for _, rows, facts in _runs(batches):
+            document = _document(rows, shared.value, facts)
             out += [(b, k, None) for b, k in document.noise()]
             out += [(b, None, t) for b, t in document.undecided]
             if len(out) > 5_000:
@@ -658,8 +732,8 @@ def verdicts(tokens: DataFrame, counts: DataFrame, shared) -> DataFrame:
 
 def _repair(shared):
     def run(batches):
-        for (doc, part), rows in _runs(batches):
-            made = list(Document(rows, shared.value).paragraphs())
+        for (doc, part), rows, facts in _runs(batches):
+            made = list(_document(rows, shared.value, facts).paragraphs())
             yield pa.RecordBatch.from_arrays([pa.array([doc] * len(made), pa.string()), pa.array([part] * len(made), pa.int32()), pa.array(range(len(made)), pa.int32()), pa.array(made, pa.string())], ["document_id", "part", "paragraph", "text"])
 
     return run
@@ -687,28 +761,87 @@ def fit_speller(blocks: DataFrame) -> tuple[Speller, DataFrame]:
     return speller, counts
 
 
-def in_reading_order(blocks: DataFrame) -> DataFrame:
+def _placed(blocks: DataFrame) -> DataFrame:
+    """``document_id, o, block_id, page, role, text`` of the blocks with text; a block without a document is one of its own, a page missing in the row is taken from the block's id."""
+    page = F.coalesce(F.col("page"), F.regexp_extract("block_id", ":p(\\d{4}):", 1).try_cast("int"))
+    rows = blocks.where("block_id is not null and text is not null")
+    return rows.select(F.coalesce("document_id", F.concat(F.lit("\0"), "block_id")).alias("document_id"), F.coalesce("reading_order", F.lit(0)).alias("o"), "block_id", page.alias("page"), "role", "text")
+
+
+def _facts_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``document_id, kind, key, page, o, text`` of all that the facts of a long document are made from."""
+    for batch in batches:
+        rows = []
+        for doc, o, page, role, text in zip(*(batch.column(c).to_pylist() for c in ("document_id", "o", "page", "role", "text"))):
+            folded = fold(text)
+            for w in set(named_words(role, page, folded)):
+                rows.append((doc, "title" if role == "title" else "author", w, page, o, None))
+            rows += [(doc, "line", key, page, o, bare) for key, bare in header_lines(role, folded)]
+            rows += [(doc, "alone" if bare else "offset", str(number - page), page, o, None) for _, number, bare, _ in page_numbers(role, folded) if number is not None and page is not None]
+        cols = list(zip(*rows)) or [()] * 6
+        kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["document_id", "kind", "key", "page", "o", "text"])
+
+
+def long_facts(blocks: DataFrame, shared) -> DataFrame | None:
+    """``document_id, last, facts`` of the documents of more than one run, None if there are none.
+
+    Counted over all blocks of a document with map-side combining: no document is gathered. The ids of the long
+    documents, counted first, are broadcast up to LONG_BROADCAST and joined in a shuffle beyond.
+    """
+    last = blocks.where("document_id is not null").groupBy("document_id").agg(F.max("reading_order").alias("last")).where(F.col("last") >= RUN)
+    long = checkpointed(last)
+    n = long.count()
+    if not n:
+        return None
+    ids = long.select("document_id")
+    made = checkpointed(_placed(blocks).join(F.broadcast(ids) if n <= LONG_BROADCAST else ids, "document_id", "left_semi").mapInArrow(_facts_of_blocks, "document_id string, kind string, key string, page int, o int, text string"))
+    first = made.where("kind = 'title'").groupBy("document_id").agg(F.min("o").alias("o"))
+    named = made.where("kind = 'title'").join(first, ["document_id", "o"]).unionByName(made.where("kind = 'author'")).groupBy("document_id").agg(F.collect_set("key").alias("named"))
+    lines = made.where("kind = 'line'").groupBy("document_id", "key").agg(F.countDistinct("page").alias("pages"), F.min_by("text", "o").alias("text")).where("pages >= 2").join(named, "document_id", "left")
+
+    def real(doc, key, text, words):
+        return [(doc, key, text)] if _is_named(text, _WORD.findall(text.lower()), set(words or ()), shared.value.vocabulary) else []
+
+    text = pa.string()
+    headers = lines.select("document_id", "key", "text", "named").mapInArrow(_mapped(real, [("document_id", text), ("key", text), ("text", text)]), "document_id string, key string, text string")
+    headers = headers.groupBy("document_id").agg(F.collect_list(F.array("key", "text")).alias("headers"))
+    offsets = made.where("kind in ('alone', 'offset')").groupBy("document_id", "kind", "key").count()
+    pair = F.struct(F.col("key").cast("int").alias("a"), F.col("count").alias("n"))
+    numbers = offsets.groupBy("document_id").agg(F.collect_list(F.when(F.col("kind") == "offset", pair)).alias("offsets"), F.collect_list(F.when(F.col("kind") == "alone", pair)).alias("alone"))
+    whole = long.join(headers, "document_id", "left").join(numbers, "document_id", "left")
+
+    def packed(doc, last, headers, offsets, alone):
+        return [(doc, last, json.dumps({"headers": headers or [], "offsets": [[x["a"], x["n"]] for x in offsets or ()], "alone": [[x["a"], x["n"]] for x in alone or ()]}))]
+
+    return whole.select("document_id", "last", "headers", "offsets", "alone").mapInArrow(_mapped(packed, [("document_id", text), ("last", pa.int32()), ("facts", text)]), "document_id string, last int, facts string")
+
+
+def in_reading_order(blocks: DataFrame, shared) -> DataFrame:
     """Blocks with text, sorted within partitions; one shuffle by document and run of RUN blocks.
 
-    A page missing in the row is taken from the block's id. A document that holds
-    a third of all rows spreads over its runs.
+    A document that holds a third of all rows spreads over its runs. Each run has the CONTEXT blocks before and after it,
+    not its own, and the facts of its whole document, so that what is decided does not depend on where it is cut.
     """
-    page = F.coalesce(F.col("page"), F.regexp_extract("block_id", ":p(\\d{4}):", 1).try_cast("int"))
-    rows = blocks.where("block_id is not null and text is not null").select(
-        F.coalesce("document_id", F.lit("")).alias("document_id"), F.floor(F.coalesce("reading_order", F.lit(0)) / RUN).cast("int").alias("run"), F.coalesce("reading_order", F.lit(0)).alias("o"), "block_id", page.alias("page"), "role", "text"
-    )
+    rows = _placed(blocks)
+    run = lambda o: F.greatest(F.lit(0), F.floor(o / RUN)).cast("int")
+    rows = rows.withColumn("run", F.explode(F.sequence(run(F.col("o") - CONTEXT), run(F.col("o") + CONTEXT)))).withColumn("own", run(F.col("o")) == F.col("run"))
+    facts = long_facts(blocks, shared)
+    if facts is not None:
+        each = facts.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / RUN).cast("int"))))
+        rows = rows.unionByName(each.select("document_id", F.lit(-(2**31)).cast("int").alias("o"), F.lit(None).cast("string").alias("block_id"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("string").alias("role"), F.col("facts").alias("text"), "run", F.lit(False).alias("own")))
     return rows.repartition("document_id", "run").sortWithinPartitions("document_id", "run", "o", "block_id").drop("o")
 
 
 def noise(blocks: DataFrame) -> DataFrame:
     """``block_id, noise``: the kinds of scanning noise of each block, distinct.
 
-    Null and empty texts have none; blocks without a document are treated as one
-    document in their reading order; equal reading orders fall back to the block id.
+    Null and empty texts have none; a block without a document is a document of
+    its own; equal reading orders fall back to the block id.
     """
     speller, counts = fit_speller(blocks)
     shared = blocks.sparkSession.sparkContext.broadcast(speller)
-    made = in_reading_order(blocks).mapInArrow(_noise(shared), "block_id string, noise string, token string")
+    made = in_reading_order(blocks, shared).mapInArrow(_noise(shared), "block_id string, noise string, token string")
     if not speller.rarer:
         return made.select("block_id", "noise")
     made = checkpointed(made)
@@ -726,7 +859,7 @@ def paragraphs(blocks: DataFrame) -> DataFrame:
     speller, counts = fit_speller(blocks)
     shared = blocks.sparkSession.sparkContext.broadcast(speller)
     columns = "document_id string, part int, paragraph int, text string"
-    made = in_reading_order(blocks).mapInArrow(_repair(shared), columns)
+    made = in_reading_order(blocks, shared).mapInArrow(_repair(shared), columns)
     if not speller.rarer:
         return made
     made, at = checkpointed(made), ["document_id", "part", "paragraph"]

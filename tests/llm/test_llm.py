@@ -283,6 +283,26 @@ def test_broken_words():
         assert len(ocr.broken_words(text, "", v)) == n, text
 
 
+def test_runs_give_what_the_whole_document_gives(spark, small, monkeypatch):
+    """Noise and paragraphs do not depend on where a document is cut: headers, page numbers and broken words reach across runs."""
+    df = spark.read.parquet(f"{small}/block_units.parquet")
+    found = lambda: sorted(map(tuple, ocr.found(df).collect()))
+    parts = lambda: sorted((r.document_id, r.text) for r in ocr.paragraphs(df).collect())
+    whole = found(), parts()
+    assert {k for _, k in whole[0]} == {"hyphenation", "misread", "running_header", "page_number"}
+    monkeypatch.setattr(ocr, "RUN", 7)
+    assert (found(), parts()) == whole
+    monkeypatch.setattr(ocr, "LONG_BROADCAST", 0)
+    assert found() == whole[0]
+
+
+def test_cost_of_long_words():
+    """The band changes nothing within the limit, and long words are compared like short ones."""
+    a = "".join("abcdefghij"[k % 10] for k in range(60))
+    assert abs(ocr.confusion_cost(a.replace("c", "e"), a) - 1.8) < 1e-9 and ocr.confusion_cost("x" * 40, "y" * 40) == 3.5
+    assert abs(ocr.confusion_cost(a[:30].replace("c", "e") + a[30:], a) - 0.9) < 1e-9
+
+
 def test_document_noise(spark):
     rows = [("t", 0, "title", "Network rules: evidence from the Limivobra basin"), ("a", 0, "metadata", "Zokareth; Bananov")]
     for p in range(3):
