@@ -1,10 +1,10 @@
 """Problem 10: keyword-stuffed and link-list pages.
 
 A page divides into segments (list entries, links, sentences). A segment with
-clause structure - articles, pronouns, conjunctions, auxiliaries - is prose. Of
-the rest, the page's suffix automaton tells how much is covered by repeated
-maximal substrings. A page is spam if more than half of its words stand in
-segments that repeat and have no clause structure.
+clause structure - articles, pronouns, conjunctions, auxiliaries - is prose. The
+suffix automaton of the rest of the page tells how many of its characters are
+covered by maximal substrings that repeat. A page is spam if more than half of
+its words stand in segments that have no clause structure and repeat.
 
 A page in which half of the words or more stand in prose segments cannot be
 spam whatever repeats in it, so the automaton is built only for the others;
@@ -36,9 +36,10 @@ CLAUSE_WORDS = frozenset(
 )
 # Of these, one alone is not enough: they also join or introduce bare keywords.
 WEAK = frozenset(("e", "y", "and", "et", "but", "no", "es", "se", "como", "when"))
+# Characters of a repeated substring, at least: two short words or a long one.
+LEAST = 8
 REPEATED_SHARE = 0.5
 SPAM_SHARE = 0.5
-MIN_WORDS = 12
 _LINK = re.compile(r"https?://\S+|www\.\S+")
 _SPLIT = re.compile(r"\n+|(?<=[.!?;])\s+|\s*\|\s*")
 _RUN = re.compile(r"[^\W_]+")
@@ -47,60 +48,53 @@ _CAMEL = re.compile(r"(?<=[^\W\d_A-Z])(?=[A-Z])")
 _MARKUP = re.compile(r"<[^>]*>|\]\([^)]*\)")
 
 
-def repeated_cover(tokens: list[int], least: int = 2) -> list[bool]:
-    """Positions of a sequence covered by substrings of at least ``least`` tokens that occur twice or more.
+def repeated_cover(text: str, least: int = LEAST) -> bytearray:
+    """Which characters of a text stand in a substring of at least ``least`` characters that occurs twice or more.
 
-    Suffix automaton with end-position counts: walking the sequence again, the
-    longest repeated suffix that ends at each position is found on the suffix
-    links, and its whole length is covered.
+    The suffix automaton of the text: a state occurs more than once if another
+    state's suffix link leads to it. At each position the longest repeated suffix
+    that ends there is found on the links, and its whole length is covered.
     """
-    n = len(tokens)
-    nxt: list[dict[int, int]] = [{}]
-    link, length, count = [-1], [0], [0]
-    last, prefix = 0, []
-    for c in tokens:
-        cur = len(nxt)
+    nxt: list[dict[str, int]] = [{}]
+    link, length, prefix = [-1], [0], []
+    last = 0
+    for c in text:
+        cur = len(length)
         nxt.append({})
         length.append(length[last] + 1)
         link.append(0)
-        count.append(1)
+        prefix.append(cur)
         p = last
-        while p != -1 and c not in nxt[p]:
+        while p >= 0 and c not in nxt[p]:
             nxt[p][c] = cur
             p = link[p]
-        if p != -1:
+        if p >= 0:
             q = nxt[p][c]
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                clone = len(nxt)
-                nxt.append(dict(nxt[q]))
+                clone = len(length)
+                nxt.append(nxt[q].copy())
                 length.append(length[p] + 1)
                 link.append(link[q])
-                count.append(0)
                 link[q] = link[cur] = clone
-                while p != -1 and nxt[p].get(c) == q:
+                while p >= 0 and nxt[p].get(c) == q:
                     nxt[p][c] = clone
                     p = link[p]
         last = cur
-        prefix.append(cur)
-    for s in sorted(range(1, len(nxt)), key=length.__getitem__, reverse=True):
-        if link[s] > 0:
-            count[link[s]] += count[s]
-    # a state with count 1 is repeated only from its suffix link on; links of repeated states are repeated
-    covered = [False] * n
-    reach = n  # leftmost position covered so far, from the right
+    repeated = bytearray(len(link))
+    for s in link[1:]:
+        repeated[s] = 1
+    n = len(text)
+    covered = bytearray(n)
+    reach = n  # what lies to the right of it is decided
     for i in range(n - 1, -1, -1):
         s = prefix[i]
-        if count[s] < 2:
-            s = link[s]
-        k = length[s] if s > 0 else 0
+        k = length[s] if repeated[s] else length[link[s]]
         if k >= least and i - k + 1 < reach:
-            for j in range(i - k + 1, min(reach, i + 1)):
-                covered[j] = True
+            end = min(reach, i + 1)
             reach = i - k + 1
-        elif i < reach:
-            reach = min(reach, i + 1) if not covered[i] else reach
+            covered[reach:end] = b"\x01" * (end - reach)
     return covered
 
 
@@ -118,39 +112,36 @@ def has_clause(tokens: list[str]) -> bool:
 
 
 def measure(text: str, stop_early: bool = True) -> tuple[int, int, int]:
-    """``(words, words of clause-less segments, words of clause-less segments that repeat)`` of a page."""
-    parts = []
+    """``(words, words of clause-less segments, words of clause-less segments that repeat)`` of a page.
+
+    Links count word by word as text like any other, and hold no clause; rows of
+    figures are data, not keywords.
+    """
     total = loose = 0
+    parts: list[tuple[int, str]] = []
     for s in segments(fold(text)):
-        links = sum(len(_RUN.findall(u)) for u in _LINK.findall(s)) if "://" in s or "www." in s else 0
+        links = _LINK.findall(s) if "://" in s or "www." in s else []
         plain = _LINK.sub(" ", _MARKUP.sub(" ", s)) if links or "<" in s or "](" in s else s
         if "#" in plain:
             plain = _CAMEL.sub(" ", plain)
         tokens = _TOKEN.findall(plain.lower())
-        n = len(tokens) + links
+        linked = [w for u in links for w in _RUN.findall(u.lower())]
+        n = len(tokens) + len(linked)
         if not n:
             continue
-        clause = not links and has_clause(tokens)
         total += n
-        loose += 0 if clause else n
-        parts.append((n, clause, bool(links), tokens))
-    if total < MIN_WORDS or (stop_early and loose <= SPAM_SHARE * total):
+        if links or not has_clause(tokens):
+            loose += n
+            data = not links and 3 * sum(t[0].isdigit() for t in tokens) > n
+            parts.append((0 if data else n, " ".join(tokens + linked)))
+    if stop_early and loose <= SPAM_SHARE * total:
         return total, loose, 0
-    ids: dict[str, int] = {}
-    stream: list[int] = []
-    for k, (_, _, _, tokens) in enumerate(parts):
-        stream += [ids.setdefault(w, len(ids)) for w in tokens]
-        stream.append(-1 - k)  # no repeat reaches across a segment's end
-    covered = repeated_cover(stream)
+    covered = repeated_cover("\n".join(p for _, p in parts) + "\n")
     at = spam = 0
-    n_links = sum(p[2] for p in parts)
-    for n, clause, link, tokens in parts:
-        hit = sum(covered[at : at + len(tokens)])
-        at += len(tokens) + 1
-        # rows of figures are data, not keywords
-        data = not link and 3 * sum(t[0].isdigit() for t in tokens) >= len(tokens)
-        if not clause and not data and ((link and n_links >= 3) or hit >= REPEATED_SHARE * len(tokens)):
+    for n, part in parts:
+        if sum(covered[at : at + len(part)]) >= REPEATED_SHARE * len(part):
             spam += n
+        at += len(part) + 1
     return total, loose, spam
 
 
@@ -164,8 +155,7 @@ def spam_scores(documents: DataFrame) -> DataFrame:
     """``doc_id, n_words, loose_words, spam_words`` of every document with a text.
 
     Nothing is shuffled. Null texts give no row, empty and blank texts a row of
-    zeros, pages under MIN_WORDS words are never spam. Repeated rows give
-    repeated rows; other columns are not read.
+    zeros. Repeated rows give repeated rows; other columns are not read.
     """
     return spread(documents.select("doc_id", "text").where("doc_id is not null and text is not null")).mapInArrow(_score, "doc_id long, n_words int, loose_words int, spam_words int")
 

@@ -481,8 +481,9 @@ def cover_by_hand(s, least):
 def test_repeated_cover_against_brute_force():
     rng = random.Random(12)
     for _ in range(500):
-        s = [rng.randrange(3) for _ in range(rng.randrange(0, 22))]
-        assert spam.repeated_cover(s) == cover_by_hand(s, 2)
+        s = "".join(rng.choice("abc") for _ in range(rng.randrange(0, 22)))
+        for least in (2, 4):
+            assert [bool(x) for x in spam.repeated_cover(s, least)] == cover_by_hand(s, least)
 
 
 PROSE = "The operator of the network reveals the margin, while the agency restricts a claim that the border absorbs. In the long run, the tariff follows the output."
@@ -499,6 +500,10 @@ PROSE = "The operator of the network reveals the margin, while the agency restri
         (PROSE * 30, False),
         ("\n".join(f"Author{i}, A.; Other{i}, B. The margin of the network. Review of Power, {i}(2), 10–2{i}, 199{i}. https://doi.example/10.9999/{i}" for i in range(9)), False),
         ("\n".join(f"Place{i};199{i};6{i}.2;despite strict monitoring" for i in range(9)), False),
+        ("\n".join("shoes boots sandals trainers".split() * 12), True),
+        ("\n".join(f"solarinverter{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(100)), True),
+        ("\n".join(f"solar inverter 20{i:02d}" for i in range(20)), True),
+        ("\n".join(f"https://www.{w}.example/{w[::-1]}" for w in "quartz nimbus fjord blazon wyvern kettle".split()), True),
         ("", False),
         ("buy buy", False),
     ],
