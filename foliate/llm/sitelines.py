@@ -18,12 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import structure
-from ..session import checkpointed, spread
+from ..session import checkpointed, spread, written
 from .lookalike import fold
 
 MIN_LETTERS = 15
 MIN_DOCUMENTS = 3
 MIN_SHARE = 0.04
+# Rows of one line that meet in one task of a join, at most; lines of more rows are dealt to salts.
+SALT_ROWS = 1_000_000
+# Nodes that are broadcast, at most; more are joined in a shuffle.
+BROADCAST_NODES = 500_000
 
 
 _LOWER = bytes((c if not 0x41 <= c <= 0xDE or not chr(c).isupper() else ord(chr(c).lower())) for c in range(256))
@@ -122,32 +126,44 @@ def site_line_occurrences(blocks: DataFrame, min_documents: int = MIN_DOCUMENTS,
     nodes number at most its lines per document divided by ``min_share``, so the
     union-find of one collection is bounded.
 
+    What is deleted is every line of high support, in a block of several or
+    alone; the components say which lines stand together.
+
     Null texts and title blocks do not take part; an empty table gives an empty
     result; thresholds are inclusive. Rows with one ``block_id`` sent twice give
     one row per line.
     """
     slug = F.coalesce("collection_slug", F.lit("\0")).alias("slug")
     docs = blocks.select(slug, "document_id").distinct().groupBy("slug").agg(F.count("document_id").alias("n_collection"))
-    lines = keyed_lines(blocks)
+    # the texts go through Python once; their keys are written and read where they are needed
+    spark = blocks.sparkSession
+    lines = spark.read.parquet(written(keyed_lines(blocks), "lines"))
     d = F.xxhash64("document_id")
-    often = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(d).alias("a"), F.max(d).alias("b")).where(f"n >= {int(min_documents)} and a <> b").select("h1", "h2")
-    repeated = checkpointed(lines.join(often, ["h1", "h2"]).dropDuplicates(["block_id", "line_no", "h1", "h2"]))
+    often = checkpointed(lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(d).alias("a"), F.max(d).alias("b")).where(f"n >= {int(min_documents)} and a <> b").select("h1", "h2", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts")))
+    # lines of so many rows number at most all rows / SALT_ROWS, which bounds what is broadcast
+    hot = often.where("salts > 1")
+    salted = lines.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("block_id", "line_no"), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
+    spread_often = often.select("h1", "h2", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    repeated = checkpointed(salted.join(spread_often, ["h1", "h2", "salt"]).drop("salt").dropDuplicates(["block_id", "line_no", "h1", "h2"]))
     support = repeated.groupBy("slug", "h1", "h2", "document_id").count().groupBy("slug", "h1", "h2").agg(F.count("document_id").alias("n_docs"))
     nodes = checkpointed(support.where(F.col("n_docs") >= min_documents).join(docs, "slug").where(F.col("n_docs") >= min_share * F.col("n_collection") - 1e-9))
-    hits = repeated.join(nodes, ["slug", "h1", "h2"])
+    small = F.broadcast if nodes.count() <= BROADCAST_NODES else (lambda x: x)
+    hits = repeated.join(small(nodes), ["slug", "h1", "h2"])
     # edges: line n and n + 1 of one block, by an equi-join, so that no block or collection is gathered
     nxt = hits.select("block_id", (F.col("line_no") - 1).alias("line_no"), F.col("h1").alias("g1"), F.col("h2").alias("g2"))
     edges = (
         hits.join(nxt, ["block_id", "line_no"])
+        .groupBy("slug", "h1", "h2", "g1", "g2", "n_collection", "document_id")
+        .agg(F.lit(1).alias("one"))
         .groupBy("slug", "h1", "h2", "g1", "g2", "n_collection")
-        .agg(F.countDistinct("document_id").alias("w"))
+        .agg(F.count("document_id").alias("w"))
         .where((F.col("w") >= min_documents) & (F.col("w") >= min_share * F.col("n_collection") - 1e-9))
         .select("slug", "h1", "h2", "g1", "g2")
     )
     # a node without an edge is its own neighbour: a null would turn the hashes into floating-point numbers in pandas
     graph = nodes.join(edges, ["slug", "h1", "h2"], "left").select("slug", "h1", "h2", "n_docs", F.coalesce("g1", "h1").alias("g1"), F.when(F.col("g1").isNull(), F.col("h2")).otherwise(F.col("g2")).alias("g2"))
     parts = graph.groupBy("slug").applyInPandas(_components, "slug string, h1 long, h2 long, n_docs long, component long")
-    return hits.drop("n_docs", "n_collection").join(parts, ["slug", "h1", "h2"]).select("slug", "document_id", "block_id", "line_no", "component", "n_docs")
+    return hits.drop("n_docs", "n_collection").join(small(parts), ["slug", "h1", "h2"]).select("slug", "document_id", "block_id", "line_no", "component", "n_docs")
 
 
 def found(blocks: DataFrame) -> DataFrame:

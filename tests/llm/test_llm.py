@@ -43,7 +43,11 @@ def site_lines_by_hand(rows, min_documents=3, share=0.04):
     return {x for (s, key), ds in seen.items() if len(ds) >= min_documents and len(ds) >= share * len(docs[s]) for x in at[s, key]}
 
 
-def test_site_lines(spark):
+@pytest.mark.parametrize("hot, few", [(10**6, 10**6), (7, 0)])
+def test_site_lines(spark, monkeypatch, hot, few):
+    """Also with salted lines and without broadcasts."""
+    monkeypatch.setattr(sitelines, "SALT_ROWS", hot)
+    monkeypatch.setattr(sitelines, "BROADCAST_NODES", few)
     rng = random.Random(1)
     site = ["All rights reserved by Siteum, 2019.", "Subscribe to the Siteum bulletin", "Short line"]
     rows = []
