@@ -32,6 +32,8 @@ VOCABULARY_SHARE = 1e-5
 VOCABULARY_LEAST = 5
 # A word is held to be a misreading of one that is so many times as frequent, for each confusion between them.
 RATIO = 50
+# Cost from which two words are no readings of each other: an edit that is neither a confusion nor a speck costs as much.
+FAR = 1.0
 # Bound of the labelled sample the ranker is trained on.
 SAMPLE = 6_000
 # Blocks of one document held together; a longer document is treated in runs of this many blocks, each with so many
@@ -151,35 +153,36 @@ def _grams(word: str) -> set[str]:
     return {w[i : i + 3] for i in range(len(w) - 2)} | {w[:2], w[-2:]}
 
 
-def shared_grams(word: str, others: Iterable[str]) -> list[tuple[int, str]]:
-    """``(shared q-grams, other word)`` of the other words that share enough with the word, the most similar first."""
-    grams, least = _grams(word), max(2, len(word) - 4)  # two confusions leave so many of the q-grams
-    near = [(n, v) for v in others if abs(len(v) - len(word)) <= 3 and (n := len(grams & _grams(v))) >= least]
-    return sorted(near, key=lambda x: (-x[0] / (len(x[1]) + 3), x[1]))
-
-
 def skeleton(word: str) -> str:
     """What all readings of a word by confusions and specks alone have in common."""
     return _REPEATED.sub(lambda m: m.group()[0], word.translate(_STROKES))
 
 
+def skeletons(word: str) -> set[str]:
+    """Skeletons of what a word may have been read from: an upright bar is a letter or a speck. Five of them cost more than FAR."""
+    parts = word.split("|")
+    if len(parts) > 5:
+        return set()
+    made = [parts[0]]
+    for p in parts[1:]:
+        made = [m + bar + p for m in made for bar in ("|", "")]
+    return {skeleton(m) for m in made}
+
+
 class Speller:
     """Decides whether a token is a misread word, and of which word."""
 
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary = vocabulary
         self.words = sorted(vocabulary)
-        self.index: dict[str, list[int]] = defaultdict(list)
-        for i, w in enumerate(self.words):
-            if len(w) >= 3:
-                for g in _grams(w):
-                    self.index[g].append(i)
-        self.index = dict(self.index)
-        self.skeletons: dict[str, list[str]] = defaultdict(list)
-        for w in self.words:
-            if len(w) >= 3:
-                self.skeletons[skeleton(w)].append(w)
-        self.skeletons = dict(self.skeletons)
+        self.grams = {w: _grams(w) for w in self.words if len(w) >= 3}
+        index: dict[str, list[str]] = defaultdict(list)
+        bones: dict[str, list[str]] = defaultdict(list)
+        for w, grams in self.grams.items():
+            for g in grams:
+                index[g].append(w)
+            bones[skeleton(w)].append(w)
+        self.index, self.bones = dict(index), dict(bones)
         self.known: dict[str, str | None] = {}
         self.sound: set[str] = set()
         self.ranker: Boosted | None = None
@@ -188,24 +191,28 @@ class Speller:
         self.rarer = False
         self.extra: dict[str, int] = {}
 
-    def candidates(self, word: str, most: int | None = None) -> list[tuple[int, str]]:
-        """Vocabulary words that share enough q-grams, the most similar first; all of them, or ``most`` (training rows only)."""
+    def candidates(self, word: str, most: int) -> list[tuple[int, str]]:
+        """The vocabulary words that share most q-grams: rows to train on, near misses among them."""
         shared: Counter = Counter()
         for g in _grams(word):
             shared.update(self.index.get(g, ()))
-        least = max(2, len(word) - 4)  # two confusions leave so many of the q-grams
-        near = [(n, self.words[i]) for i, n in shared.items() if n >= least and abs(len(self.words[i]) - len(word)) <= 3]
+        near = [(n, v) for v, n in shared.items() if n >= max(2, len(word) - 4) and abs(len(v) - len(word)) <= 3]
         near.sort(key=lambda x: (-x[0] / (len(x[1]) + 3), x[1]))
         return near[:most]
 
-    def near(self, word: str) -> list[tuple[int, str]]:
-        """The candidates of a word that confusions may have made of them: all, whatever their number.
+    def near(self, word: str, others: Iterable[str] | None = None) -> list[tuple[int, float, str]]:
+        """``(shared q-grams, cost, other word)`` of the vocabulary, or of ``others``, for all words that confusions and specks alone may have made this one of.
 
-        Between words of letters alone only confusions are allowed, so such candidates have the word's skeleton.
+        Such words have a skeleton of this word; of them those stay that share
+        enough q-grams, which costs least to see, and are nearer than FAR.
         """
-        if not _WORD.fullmatch(word):
-            return self.candidates(word)
-        return shared_grams(word, self.skeletons.get(skeleton(word), ()))
+        if others is None:
+            others = {v for k in skeletons(word) for v in self.bones.get(k, ())}
+        grams, least, out = _grams(word), max(2, len(word) - 4), []  # two confusions leave so many of the q-grams
+        for v in others:
+            if abs(len(v) - len(word)) <= 3 and (n := len(grams & (self.grams.get(v) or _grams(v)))) >= least and (cost := confusion_cost(word, v, FAR)) < FAR:
+                out.append((n, cost, v))
+        return sorted(out, key=lambda x: (-x[0] / (len(x[2]) + 3), x[2]))
 
     def features(self, seen: str, true: str, shared: int, capital: bool) -> tuple:
         cost = confusion_cost(seen, true)
@@ -296,9 +303,9 @@ class Speller:
 
     def is_misreading(self, word: str, n: int) -> bool:
         """Whether a word of n occurrences is a confusion or more away from a word that is RATIO times as frequent for each."""
-        for v in [v for _, v in self.near(word)] + list(self.extra):
+        for _, cost, v in self.near(word) + (self.near(word, self.extra) if self.extra else []):
             count = self.vocabulary.get(v) or self.extra.get(v, 0)
-            if v != word and count >= RATIO * n and (cost := confusion_cost(word, v)) < 1 and count >= RATIO ** round(cost / 0.3) * n:
+            if v != word and count >= RATIO * n and count >= RATIO ** round(cost / 0.3) * n:
                 return True
         return False
 
@@ -329,15 +336,13 @@ class Speller:
         capital = core[:1].isupper() and not core[1:2].isupper()
         best, top = None, 0.0
         rarer = [v for v, n in self.extra.items() if n >= VOCABULARY_LEAST and v != low]
-        for n, v in self.near(low) + (shared_grams(low, rarer) if rarer else []):
+        for n, _, v in self.near(low) + (self.near(low, rarer) if rarer else []):
             if v not in self.vocabulary and v not in rarer:  # dropped as a misreading itself
                 continue
             # names differ by single letters: a capitalised one is misread only from one that is far more frequent
             if v in rarer and core[:1].isupper() and _WORD.fullmatch(low) and not self.extra[v] >= RATIO * max(1, self.extra.get(low, 1)):
                 continue
             f = self.features(low, v, n, capital)
-            if f[0] > 1.3 or (f[0] >= 1.0 and _WORD.fullmatch(low)):
-                continue
             s = self.ranker.score(f) if self.ranker else 1.0 - f[0]
             if s > top:
                 best, top = v, s
@@ -688,24 +693,23 @@ def _forms(token: str) -> set[str]:
     return {token.strip(_OUTER).lower(), token.strip(_QUOTES).lower()}
 
 
-def _shortened(word: str) -> set[str]:
-    """Skeletons of a word and of the word less one character: words one edit and some confusions apart share one of them."""
-    return {skeleton(x) for w in {word, word.replace("|", "")} for x in (w, *(w[:i] + w[i + 1 :] for i in range(len(w))))}
-
-
 def _token_keys(token: str) -> list[tuple[str, str]]:
-    keys = set()
+    """Keys under which a token meets the words it may have been read from (f; F for capitalised names, which only far more frequent ones are) and its own count (w)."""
+    keys, kind = set(), "F" if token.strip(_OUTER)[:1].isupper() else "f"
     for form in _forms(token):
-        keys |= {"f" + skeleton(form), "w" + form} if _WORD.fullmatch(form) else {"d" + x for x in _shortened(form)}
+        if _WORD.fullmatch(form):
+            keys |= {kind + skeleton(form), "w" + form}
+        else:
+            keys |= {"f" + k for k in skeletons(form)}
     return [(token, k) for k in keys]
 
 
 def _word_keys(word: str, n: int) -> list[tuple[str, str, int]]:
-    return [(k, word, n) for k in {"f" + skeleton(word), *("d" + x for x in _shortened(word))}]
+    return [(k + skeleton(word), word, n) for k in ("f", "F")[: 1 + (n >= RATIO)]]
 
 
-def _is_near(token: str, word: str, n: int) -> list[tuple[str, str, int]]:
-    return [(token, word, n)] if any(f == word or shared_grams(f, (word,)) and confusion_cost(f, word) <= 1.3 for f in _forms(token)) else []
+def _is_near(token: str, word: str, n: int, speller: Speller) -> list[tuple[str, str, int]]:
+    return [(token, word, n)] if any(f == word or speller.near(f, (word,)) for f in _forms(token)) else []
 
 
 def verdicts(tokens: DataFrame, counts: DataFrame, shared) -> DataFrame:
@@ -718,9 +722,9 @@ def verdicts(tokens: DataFrame, counts: DataFrame, shared) -> DataFrame:
     keys = distinct.mapInArrow(_mapped(_token_keys, [("token", text), ("key", text)]), "token string, key string")
     words = counts.where((F.length("word") >= 3) & (F.col("n") < shared.value.share))
     real = words.where(F.col("n") >= VOCABULARY_LEAST).select("word", "n").mapInArrow(_mapped(lambda w, n: [] if shared.value.is_misreading(w, n) else _word_keys(w, n), [("key", text), ("word", text), ("n", number)]), "key string, word string, n long")
-    own = words.where(F.col("n") < VOCABULARY_LEAST).select(F.concat(F.lit("w"), "word").alias("key"), "word", "n")
+    own = words.select(F.concat(F.lit("w"), "word").alias("key"), "word", "n")
     pairs = keys.join(real.unionByName(own), "key").select("token", "word", "n")
-    near = pairs.mapInArrow(_mapped(_is_near, [("token", text), ("word", text), ("n", number)]), "token string, word string, n long")
+    near = pairs.distinct().mapInArrow(_mapped(lambda t, w, n: _is_near(t, w, n, shared.value), [("token", text), ("word", text), ("n", number)]), "token string, word string, n long")
     lists = near.groupBy("token").agg(F.sort_array(F.collect_set(F.struct("word", "n"))).alias("near"))
 
     def judge(token, near):
@@ -751,7 +755,7 @@ def fit_speller(blocks: DataFrame) -> tuple[Speller, DataFrame]:
     rare = sorted(r["word"] for r in others.where(F.pmod(F.xxhash64("word"), F.lit(every)) == 0).select("word").collect())
     speller = Speller(vocabulary).train(rare)
     # at the scale of the corpus, frequent misreadings of very frequent words pass the share: they are dropped again
-    misreadings = [w for w in vocabulary if len(w) >= 3 and any(v != w and vocabulary[v] >= 200 * vocabulary[w] and confusion_cost(w, v) <= 0.3 for _, v in speller.near(w))]
+    misreadings = [w for w in vocabulary if len(w) >= 3 and any(v != w and vocabulary[v] >= 200 * vocabulary[w] and cost <= 0.3 for _, cost, v in speller.near(w))]
     for w in misreadings:
         del vocabulary[w]
     speller.known.clear()
