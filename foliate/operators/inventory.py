@@ -116,8 +116,34 @@ def select(inv: DataFrame, collection: str | None = None, path: str | None = Non
     return ok
 
 
+def stored_fingerprint(inv: DataFrame) -> DataFrame:
+    """``fingerprint, n``: SHA-256 of the JSON list of the identities of readable rows, sorted.
+
+    A hash over a sequence has to see it in order: sorted partitions stream one
+    after the other through one task that holds no more than the hash. Rows
+    without an identity are left out. ``fingerprint`` needs no such task.
+    """
+    import hashlib
+
+    import pyarrow as pa
+
+    keys = ("document_id", "revision_id", "sha256")
+    rows = inv.where("status = 'ok'").na.drop(subset=list(keys)).select(*keys, identity.canonical_json({c: F.col(c) for c in keys}).alias("j"))
+
+    def run(batches):
+        h, n = hashlib.sha256(b"["), 0
+        for batch in batches:
+            for x in batch.column("j").to_pylist():
+                h.update((b"," if n else b"") + x.encode())
+                n += 1
+        h.update(b"]")
+        yield pa.RecordBatch.from_arrays([pa.array([h.hexdigest()]), pa.array([n], pa.int64())], ["fingerprint", "n"])
+
+    return rows.orderBy(*keys).select("j").coalesce(1).mapInArrow(run, "fingerprint string, n long")
+
+
 def fingerprint(inv: DataFrame) -> DataFrame:
-    """``fingerprint, n``: a hash of the set of identities that no partitioning changes.
+    """``fingerprint, n``: a hash of the set of all identities that no partitioning changes.
 
     Identities are hashed in 4,096 groups by the first digits of their hash, and
     the group hashes together, so that no task gathers the whole inventory.
@@ -216,3 +242,15 @@ def file_matches(files: DataFrame, targets: DataFrame) -> DataFrame:
     j = files.select("file").distinct().join(exact, "file", "left").join(fuzzy, "file", "left")
     outcome = F.when(F.col("exact") == 1, "exact").when(F.col("exact") > 1, "multiple_exact").when(F.col("fuzzy") == 1, "fuzzy").when(F.col("fuzzy") > 1, "multiple_fuzzy").otherwise("not_found")
     return j.select("file", outcome.alias("outcome"), F.coalesce("exact", "fuzzy", F.lit(0)).alias("n"))
+
+
+def layouts(inv: DataFrame) -> DataFrame:
+    """The twelve places of each document's files, and ``valid``: a relative path below its root that names a PDF."""
+    name = F.regexp_replace(F.regexp_replace("relative_path", "^.*/", ""), "\\.[^.]*$", "")
+    folder = F.concat(F.regexp_replace("path", "[^/]*$", ""), F.regexp_replace(name, "[ .]+$", ""))
+    at = lambda *parts: F.concat(folder, *map(F.lit, parts))
+    valid = ~F.startswith(F.col("relative_path"), F.lit("/")) & ~F.col("relative_path").rlike("(^|/)\\.\\.(/|$)") & F.endswith(F.lower("relative_path"), F.lit(".pdf"))
+    return inv.where("relative_path is not null and path is not null").select(
+        "document_id", "revision_id", F.col("relative_path").alias("relative_pdf_path"), F.col("path").alias("pdf_path"), folder.alias("document_dir"), at("/intermediate").alias("intermediate_dir"), at("/intermediate/mineru").alias("results_dir"), at("/canonical").alias("canonical_dir"),
+        at("/manifest.json").alias("manifest_path"), *[at(f"/canonical/{f}").alias(c) for c, f in (("ir_path", "document_ir.json"), ("structure_path", "structure.json"), ("metadata_path", "metadata.json"), ("markdown_path", "document.md"), ("render_path", "render.json"))], valid.alias("valid"),
+    )

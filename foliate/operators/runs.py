@@ -123,41 +123,38 @@ def breaker_transitions(events: DataFrame, key: str, ts: str, failed: Column, **
     return made.select("key", F.timestamp_micros("t").alias("at"), "state")
 
 
+class Lease:
+    """Claims of one run: granted if new, of the same owner, or after the lease has expired; a takeover is a new attempt."""
+
+    def __init__(self, seconds: float = 300):
+        self.seconds, self.owner, self.until, self.attempt = seconds, None, 0.0, 0
+
+    def claim(self, t: float, who: str) -> tuple[bool, int]:
+        granted = self.owner is None or self.owner == who or t >= self.until
+        if granted:
+            self.attempt += self.owner != who
+            self.owner, self.until = who, t + self.seconds
+        return granted, self.attempt
+
+
 def fold_leases(events: list[tuple], seconds: float = 300) -> list[tuple]:
-    """Claims ``(t, owner)`` of one run in order: granted if new, of the same owner, or after the lease has expired; a takeover is a new attempt."""
-    owner, until, attempt, out = None, 0.0, 0, []
-    for t, who in events:
-        if owner is None or owner == who or t >= until:
-            attempt += owner != who
-            owner, until = who, t + seconds
-            out.append((t, who, True, attempt))
-        else:
-            out.append((t, who, False, attempt))
-    return out
+    """``(t, owner, granted, attempt)`` of the claims ``(t, owner)`` of one run in order."""
+    lease = Lease(seconds)
+    return [(t, who, *lease.claim(t, who)) for t, who in events]
 
 
 def lease_claims(events: DataFrame, key: str, owner: str, ts: str, seconds: float = 300) -> DataFrame:
-    """``key, at, owner, granted, attempt`` of every claim, folded per key in order of time."""
+    """``key, at, owner, granted, attempt`` of every claim, folded per key in order of time; a key's claims stream through one state of three values."""
 
     def run(batches):
-        held, rows = None, []
-
-        def close(out):
-            out += [(held, int(t * 1e6), who, ok, n) for t, who, ok, n in fold_leases(rows, seconds)]
-
+        held, lease = None, None
         for pdf in batches:
-            out: list = []
+            out = []
             for k, t, who in zip(pdf["key"], pdf["t"], pdf["owner"]):
-                if k != held:
-                    if rows:
-                        close(out)
-                    held, rows = k, []
-                rows.append((t / 1e6, who))
+                if lease is None or k != held:
+                    held, lease = k, Lease(seconds)
+                out.append((k, t, who, *lease.claim(t / 1e6, who)))
             yield pd.DataFrame(out, columns=["key", "t", "owner", "granted", "attempt"]).astype({"t": "int64"})
-        if rows:
-            out = []
-            close(out)
-            yield pd.DataFrame(out, columns=["key", "t", "owner", "granted", "attempt"])
 
     rows = events.select(F.col(key).cast("string").alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), F.col(owner).cast("string").alias("owner")).where("key is not null and t is not null and owner is not null")
     made = rows.repartition("key").sortWithinPartitions("key", "t", "owner").mapInPandas(run, "key string, t long, owner string, granted boolean, attempt int")

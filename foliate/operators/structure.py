@@ -89,7 +89,7 @@ def title_levels(blocks: DataFrame, *columns: str, texts: bool = False) -> DataF
     return o.withColumn("level", F.when(F.col("role") == "title", level).cast("int"))
 
 
-def sections(blocks: DataFrame, texts: bool = False) -> DataFrame:
+def sections(blocks: DataFrame, *columns: str, texts: bool = False) -> DataFrame:
     """Every block with ``section`` (the last title at or before it, null before the first), and titles with ``parent``.
 
     A title's parent is the nearest earlier title of a smaller level: the latest
@@ -98,7 +98,7 @@ def sections(blocks: DataFrame, texts: bool = False) -> DataFrame:
     """
     w = Window.partitionBy("document_id").orderBy("position")
     upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
-    t = title_levels(blocks, texts=texts).withColumn("section", F.last(F.when(F.col("level").isNotNull(), F.col("block_id")), ignorenulls=True).over(upto))
+    t = title_levels(blocks, *columns, texts=texts).withColumn("section", F.last(F.when(F.col("level").isNotNull(), F.col("block_id")), ignorenulls=True).over(upto))
     lasts = [F.when(F.col("level") > k, F.last(F.when(F.col("level") == k, F.struct("position", "block_id")), ignorenulls=True).over(before)) for k in range(1, MAX_LEVEL)]
     return t.withColumn("parent", F.greatest(*lasts)["block_id"])
 
@@ -169,3 +169,60 @@ def violations(blocks: DataFrame) -> DataFrame:
         )
     )
     return b.select("block_id", F.explode(checks).alias("violation"))
+
+
+SECTION_STARTS = (*ABSTRACT_HEADINGS, "introducao", "introduction", "introduccion")
+
+
+def front_matter(blocks: DataFrame) -> DataFrame:
+    """``block_id, front_matter``: between the document's first title and its first section or abstract, on the first two pages. A title sets the flags before its own test and is no front matter itself."""
+    from ..functions.text import plain_heading
+
+    o = reading_order(blocks, "page", "role", "text").where("document_id is not null").withColumn("h", plain_heading(F.when(F.col("role") == "title", F.col("text"))))
+    title, starts = F.col("role") == "title", F.col("h").isin(*SECTION_STARTS)
+    upto = Window.partitionBy("document_id").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    seen = F.max(F.coalesce(title & ~starts, F.lit(False))).over(upto)
+    over = F.max(F.coalesce((title & starts) | (F.col("role") == "abstract"), F.lit(False))).over(upto)
+    return o.select("block_id", F.coalesce(seen & ~over & ~title & (F.coalesce("page", F.lit(0)) <= 1), F.lit(False)).alias("front_matter"))
+
+
+def summary(blocks: DataFrame) -> DataFrame:
+    """``what, key, n``: sections and empty ones by level, roles, source types, and assets by kind."""
+    s = sections(blocks, "source_type").select("block_id", "level", "section", "role", "source_type")
+    titles = s.where("level is not null").select(F.col("block_id").alias("section"), "level")
+    held = s.where("level is null and section is not null").groupBy("section").agg(F.count("*").alias("held"))
+    n = titles.join(held, "section", "left")
+    count = lambda df, what, key: df.groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "key", "n")
+    out = count(n, "sections", "level").unionByName(count(n.where("held is null"), "empty_sections", "level"))
+    return out.unionByName(count(s, "roles", "role")).unionByName(count(s, "source_types", "source_type")).unionByName(count(assets(blocks), "assets", "kind"))
+
+
+def checks(blocks: DataFrame) -> DataFrame:
+    """Per document the counts of its structure and ``failed``, which of its checks do not hold.
+
+    Order is contiguous from 0, every block annotated once and only with a block
+    of its own document, sections and parents are titles of the document and
+    earlier, list groups are whole, furniture keeps its order outside the flow,
+    and every asset of an asset block is registered.
+    """
+    s = sections(blocks, "source_type", "page", "asset_ids")
+    w = Window.partitionBy("document_id").orderBy("position")
+    is_list = F.col("role") == "list"
+    begins = is_list & ~(F.coalesce(F.lag(is_list).over(w), F.lit(False)) & F.lag("section").over(w).eqNullSafe(F.col("section")))
+    s = s.withColumn("begins", begins).withColumn("furniture", F.col("source_type").isin(*FURNITURE))
+    per = s.groupBy("document_id").agg(
+        F.count("*").alias("blocks"), F.countDistinct("page").alias("pages"), F.count_if("furniture").alias("furniture"), F.count("level").alias("sections"), F.count_if("begins").alias("list_groups"), F.sum(F.coalesce(F.size(F.array_distinct("asset_ids")), F.lit(0))).alias("assets"),
+        F.countDistinct("block_id").alias("ids"), F.min("position").alias("first"), F.max("position").alias("last"), F.countDistinct("position").alias("places"), F.count_if(is_list).alias("in_lists"), F.count_if(F.col("parent").isNotNull() & F.col("level").isNull()).alias("loose"),
+    )
+    titles = s.where("level is not null").select("document_id", F.col("block_id").alias("t"), F.col("position").alias("p"))
+    named = s.where("section is not null").select("document_id", F.col("section").alias("t"), "position").unionByName(s.where("parent is not null").select("document_id", F.col("parent").alias("t"), "position"))
+    same = F.col("a.document_id").eqNullSafe(F.col("b.document_id")) & (F.col("a.t") == F.col("b.t"))
+    lost = named.alias("a").join(titles.alias("b"), same, "left").where("b.p is null or b.p > a.position").groupBy(F.col("a.document_id").alias("d")).agg(F.count("*").alias("lost"))
+    registered = assets(blocks).groupBy(F.col("document_id").alias("d")).agg(F.count("*").alias("registered"))
+    j = per.join(lost, per["document_id"].eqNullSafe(lost["d"]), "left").drop("d").join(registered, per["document_id"].eqNullSafe(registered["d"]), "left").drop("d")
+    bad = {
+        "unique_blocks": F.col("ids") != F.col("blocks"), "contiguous_order": (F.col("first") != 0) | (F.col("last") + 1 != F.col("blocks")) | (F.col("places") != F.col("blocks")), "section_references": F.coalesce("lost", F.lit(0)) > 0,
+        "parents_of_titles": F.col("loose") > 0, "list_groups": (F.col("list_groups") > F.col("in_lists")) | ((F.col("in_lists") > 0) & (F.col("list_groups") == 0)), "assets_registered": F.coalesce("registered", F.lit(0)) != F.col("assets"),
+    }
+    failed = F.array_join(F.array_compact(F.array(*[F.when(c, n) for n, c in bad.items()])), ",")
+    return j.select("document_id", "blocks", "pages", "furniture", "sections", "list_groups", F.coalesce("assets", F.lit(0)).alias("assets"), failed.alias("failed"))

@@ -27,6 +27,11 @@ def _one(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return structure.distinct_blocks(_b(spark, d), *columns)
 
 
+def _sized(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Distinct blocks with ``chars``, the length of their text, in its place: texts are measured before the shuffle."""
+    return structure.distinct_blocks(_b(spark, d).withColumn("chars", F.length("text")), *columns, "chars")
+
+
 # ---- profiles -------------------------------------------------------------------------------
 
 
@@ -46,8 +51,8 @@ def block_type_pivot(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""SELECT document_id, count(DISTINCT page) AS pages, count(*) AS blocks, CAST(sum(length(text)) AS BIGINT) AS chars, min(page) AS first_page, max(page) AS last_page, min(length(text)) AS shortest, max(length(text)) AS longest,
     min(reading_order) AS first_order, max(reading_order) AS last_order FROM {_B} GROUP BY 1""")
 def page_summary(spark: SparkSession, d: str) -> DataFrame:
-    n = F.length("text")
-    return _one(spark, d, "document_id", "page", "reading_order", "text").groupBy("document_id").agg(
+    n = F.col("chars")
+    return _sized(spark, d, "document_id", "page", "reading_order").groupBy("document_id").agg(
         F.countDistinct("page").alias("pages"), F.count("*").alias("blocks"), F.sum(n).cast("long").alias("chars"), F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.min(n).cast("long").alias("shortest"), F.max(n).cast("long").alias("longest"),
         F.min("reading_order").alias("first_order"), F.max("reading_order").alias("last_order"),
     )
@@ -67,8 +72,8 @@ def title_level_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT role, count(*) AS n, CAST(sum(CASE WHEN length(text) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS filled, CAST(sum(CASE WHEN coalesce(length(text), 0) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS blank, median(length(text)) AS chars_median, quantile_cont(length(text), 0.95) AS chars_p95 FROM {_B} GROUP BY 1")
 def role_summary(spark: SparkSession, d: str) -> DataFrame:
-    n = F.length("text")
-    return _one(spark, d, "role", "text").groupBy("role").agg(F.count("*").alias("n"), F.count_if(n > 0).alias("filled"), F.count_if(F.coalesce(n, F.lit(0)) == 0).alias("blank"), F.median(n).alias("chars_median"), F.percentile(n, 0.95).alias("chars_p95"))
+    n = F.col("chars")
+    return _sized(spark, d, "role").groupBy("role").agg(F.count("*").alias("n"), F.count_if(n > 0).alias("filled"), F.count_if(F.coalesce(n, F.lit(0)) == 0).alias("blank"), F.median(n).alias("chars_median"), F.percentile(n, 0.95).alias("chars_p95"))
 
 
 @query(f"SELECT block_id, source_type, role FROM {_B} WHERE source_type IN ('header', 'footer', 'page_number') AND role NOT IN ('other', 'aside')")
@@ -81,8 +86,9 @@ _RULES = (("no_text", "text IS NULL"), ("blank_text", "trim(text) = ''"), ("no_p
 
 @query(" UNION ALL ".join(f"SELECT document_id, block_id, '{n}' AS anomaly FROM {_B} WHERE {r}" for n, r in _RULES))
 def anomalies(spark: SparkSession, d: str) -> DataFrame:
-    labels = F.array_compact(F.array(*[F.when(F.expr(r), n) for n, r in _RULES]))
-    return _one(spark, d, "document_id", "text", "page", "section_id", "source_type", "char_count").select("document_id", "block_id", F.explode(labels).alias("anomaly"))
+    labels = F.array_compact(F.array(*[F.when(F.expr(r.replace("text IS NULL", "chars IS NULL").replace("trim(text) = ''", "blank").replace("length(text)", "chars")), n) for n, r in _RULES]))
+    measured = _b(spark, d).withColumn("chars", F.length("text")).withColumn("blank", F.trim("text") == "")
+    return structure.distinct_blocks(measured, "document_id", "chars", "blank", "page", "section_id", "source_type", "char_count").select("document_id", "block_id", F.explode(labels).alias("anomaly"))
 
 
 @query("SELECT anomaly, count(*) AS n, count(DISTINCT document_id) AS documents FROM (" + " UNION ALL ".join(f"SELECT document_id, block_id, '{n}' AS anomaly FROM {_B} WHERE {r}" for n, r in _RULES) + ") GROUP BY 1")
@@ -116,7 +122,7 @@ def content_discarded_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT document_id, CAST(sum(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_text, CAST(sum(CASE WHEN page IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_page, CAST(sum(CASE WHEN section_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_section, CAST(sum(CASE WHEN source_type IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_type, CAST(sum(CASE WHEN char_count IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_count FROM {_B} GROUP BY 1")
 def null_metrics(spark: SparkSession, d: str) -> DataFrame:
-    return _one(spark, d, "document_id", "text", "page", "section_id", "source_type", "char_count").groupBy("document_id").agg(*[F.count_if(F.col(c).isNull()).alias(n) for c, n in (("text", "no_text"), ("page", "no_page"), ("section_id", "no_section"), ("source_type", "no_type"), ("char_count", "no_count"))])
+    return _sized(spark, d, "document_id", "page", "section_id", "source_type", "char_count").groupBy("document_id").agg(*[F.count_if(F.col(c).isNull()).alias(n) for c, n in (("chars", "no_text"), ("page", "no_page"), ("section_id", "no_section"), ("source_type", "no_type"), ("char_count", "no_count"))])
 
 
 # ---- structure ------------------------------------------------------------------------------

@@ -43,11 +43,16 @@ def snapshot_activation(spark: SparkSession, d: str) -> DataFrame:
 _FACT = "(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_orderkey % 97 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity FROM lineitem)"
 
 
-@query(f"SELECT DISTINCT a.l_orderkey, a.l_linenumber FROM {_FACT} a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber WHERE a.l_quantity IS DISTINCT FROM b.l_quantity")
+@query("""WITH f AS (SELECT l_orderkey, l_linenumber + CASE WHEN l_orderkey % 89 = 0 THEN 100 ELSE 0 END AS l_linenumber, l_partkey + CASE WHEN l_orderkey % 83 = 0 THEN 1000000 ELSE 0 END AS l_partkey, l_suppkey, l_quantity + CASE WHEN l_orderkey % 97 = 0 OR l_orderkey % 89 = 0 THEN 1 ELSE 0 END AS l_quantity FROM lineitem)
+    SELECT DISTINCT f.l_orderkey, f.l_linenumber, f.l_partkey FROM f JOIN lineitem s ON f.l_orderkey = s.l_orderkey AND (f.l_linenumber = s.l_linenumber OR (f.l_partkey = s.l_partkey AND f.l_suppkey = s.l_suppkey)) WHERE f.l_quantity IS DISTINCT FROM s.l_quantity""")
 def snapshot_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    """Facts that share a place or a part with the snapshot but not the quantity; some match by one of the two keys only."""
     b = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    a = b.withColumn("l_quantity", F.when(F.col("l_orderkey") % 97 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
-    return catalog.snapshot_conflicts(a, b, [["l_orderkey", "l_linenumber"]], ["l_quantity"]).select("l_orderkey", "l_linenumber").distinct()
+    off = lambda c, n, k: (F.col(c) + F.when(F.col("l_orderkey") % n == 0, k).otherwise(0)).alias(c)
+    more = F.when((F.col("l_orderkey") % 97 == 0) | (F.col("l_orderkey") % 89 == 0), 1).otherwise(0)
+    a = b.select("l_orderkey", off("l_linenumber", 89, 100), off("l_partkey", 83, 1000000), "l_suppkey", (F.col("l_quantity") + more).alias("l_quantity"))
+    made = catalog.snapshot_conflicts(a, b, [["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey", "l_suppkey"]], ["l_quantity"])
+    return made.select("l_orderkey", "l_linenumber", "l_partkey").distinct()
 
 
 _PATHS = """(SELECT l_orderkey, l_linenumber, CASE CAST(l_partkey % 9 AS INTEGER) WHEN 0 THEN 'canonical/document.md' WHEN 1 THEN 'canonical/chunks/' || l_linenumber || '.jsonl' WHEN 2 THEN 'doc_middle.json' WHEN 3 THEN 'images/' || l_suppkey || '.JPG' WHEN 4 THEN 'doc_content_list_v2.json' WHEN 5 THEN '.cache/x.tmp' WHEN 6 THEN 'source.pdf' WHEN 7 THEN 'notes.md' ELSE 'other.bin' END AS path FROM lineitem)"""
@@ -118,17 +123,8 @@ def dump_reconciliation(spark: SparkSession, d: str) -> DataFrame:
     return g.where("missing + extra > 0")
 
 
-@query("SELECT o_custkey AS correlation, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS rank FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) <= 3")
-def correlation_newest_first(spark: SparkSession, d: str) -> DataFrame:
-    """The three newest tasks per correlation key (a window group limit before the shuffle)."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))
-    return table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate").withColumn("rank", F.row_number().over(w)).where("rank <= 3").select(F.col("o_custkey").alias("correlation"), "o_orderkey", "rank")
-
-
 @query("SELECT o_custkey AS correlation, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS rank FROM orders")
-def correlation_records(spark: SparkSession, d: str) -> DataFrame:
+def correlation_newest_first(spark: SparkSession, d: str) -> DataFrame:
     """Every task of each correlation key with its rank, the newest first."""
     return catalog.newest_first(table(spark, d, "orders").select(F.col("o_custkey").alias("correlation"), "o_orderkey", "o_orderdate"), "correlation", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 

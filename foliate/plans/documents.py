@@ -39,19 +39,19 @@ def documents_by_collection(spark: SparkSession, d: str) -> DataFrame:
     return _d(spark, d).select("doc_id", "document_id", "source").join(i, "document_id").groupBy("collection_slug").agg(F.countDistinct("doc_id").alias("documents"), F.countDistinct("source").alias("sources"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '[\\s\\x{85}\\x{A0}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{3000}]+', ' ', 'g')) AS plain FROM documents WHERE contains(text, '<a ')")
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '[\\s\\x{85}\\x{A0}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{3000}]+', ' ', 'g')) AS plain FROM documents WHERE text IS NOT NULL")
 def stripped_tags(spark: SparkSession, d: str) -> DataFrame:
-    return _d(spark, d).where(F.contains("text", F.lit("<a "))).select("doc_id", text.strip_tags(F.col("text")).alias("plain"))
+    return _d(spark, d).where("text is not null").select("doc_id", text.strip_tags(F.col("text")).alias("plain"))
 
 
 @query()
 def html_to_text(spark: SparkSession, d: str) -> DataFrame:
-    return _d(spark, d).where(F.contains("text", F.lit("<"))).select("doc_id", text.html_to_text("text").alias("plain"))
+    return _d(spark, d).where("text is not null").select("doc_id", text.html_to_text("text").alias("plain"))
 
 
 @query()
 def html_to_markdown(spark: SparkSession, d: str) -> DataFrame:
-    return _d(spark, d).where(F.contains("text", F.lit("<"))).select("doc_id", text.html_to_markdown("text").alias("markdown"))
+    return _d(spark, d).where("text is not null").select("doc_id", text.html_to_markdown("text").alias("markdown"))
 
 
 @query("SELECT doc_id, len(string_split(text, chr(10))) AS n_lines, CAST(len(list_filter(string_split(text, chr(10)), lambda x: starts_with(x, '#'))) AS INTEGER) AS headings, CAST(len(list_filter(string_split(text, chr(10)), lambda x: starts_with(x, '- '))) AS INTEGER) AS items FROM documents WHERE text IS NOT NULL")

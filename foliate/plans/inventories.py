@@ -83,11 +83,18 @@ def select_by_path(spark: SparkSession, d: str) -> DataFrame:
     return inventory.select(_inv(spark, d), path="library-vinabigium/lote-01").select("document_id", "path")
 
 
+@query("""SELECT sha256('[' || coalesce(string_agg('{"document_id":"' || document_id || '","revision_id":"' || revision_id || '","sha256":"' || sha256 || '"}', ',' ORDER BY document_id, revision_id, sha256), '') || ']') AS fingerprint, count(*) AS n
+    FROM inventory WHERE status = 'ok' AND document_id IS NOT NULL AND revision_id IS NOT NULL AND sha256 IS NOT NULL""")
+def inventory_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    """The hash of the sorted identities of readable rows, as it is stored beside an inventory."""
+    return inventory.stored_fingerprint(_inv(spark, d))
+
+
 @query("""
     WITH one AS (SELECT DISTINCT '{"document_id":' || coalesce('"' || document_id || '"', 'null') || ',"revision_id":' || coalesce('"' || revision_id || '"', 'null') || ',"sha256":' || coalesce('"' || sha256 || '"', 'null') || '}' AS j FROM inventory),
          h AS (SELECT sha256(j) AS h FROM one), p AS (SELECT substr(h, 1, 3) AS p, sha256(string_agg(h, ',' ORDER BY h)) AS g, count(*) AS n FROM h GROUP BY 1)
     SELECT sha256(string_agg(g, ',' ORDER BY p)) AS fingerprint, CAST(sum(n) AS BIGINT) AS n FROM p""")
-def inventory_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+def inventory_digest(spark: SparkSession, d: str) -> DataFrame:
     return inventory.fingerprint(_inv(spark, d))
 
 
@@ -153,9 +160,9 @@ def largest_documents(spark: SparkSession, d: str) -> DataFrame:
     return _inv(spark, d).orderBy(F.desc("size_bytes"), "path", "modified_at").limit(30).select("path", "size_bytes")
 
 
-@query("SELECT collection_slug, count(*) AS n_rows, count(DISTINCT document_id) AS documents, CAST(sum(CASE WHEN status = 'ok' THEN 1 ELSE 0 END) AS BIGINT) AS ok_rows, CAST(sum(coalesce(page_count, 0)) AS BIGINT) AS pages, round(sum(size_mb), 3) AS mb FROM inventory GROUP BY 1")
+@query("SELECT collection_slug, count(*) AS n_rows, count(DISTINCT document_id) AS documents, CAST(sum(CASE WHEN status = 'ok' THEN 1 ELSE 0 END) AS BIGINT) AS ok_rows, CAST(sum(coalesce(page_count, 0)) AS BIGINT) AS pages, CAST(sum(size_bytes) AS BIGINT) AS bytes FROM inventory GROUP BY 1")
 def collection_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _inv(spark, d).groupBy("collection_slug").agg(F.count("*").alias("n_rows"), F.countDistinct("document_id").alias("documents"), F.count_if(F.col("status") == "ok").alias("ok_rows"), F.sum(F.coalesce("page_count", F.lit(0))).cast("long").alias("pages"), F.round(F.sum("size_mb"), 3).alias("mb"))
+    return _inv(spark, d).groupBy("collection_slug").agg(F.count("*").alias("n_rows"), F.countDistinct("document_id").alias("documents"), F.count_if(F.col("status") == "ok").alias("ok_rows"), F.sum(F.coalesce("page_count", F.lit(0))).cast("long").alias("pages"), F.sum("size_bytes").alias("bytes"))
 
 
 @query("SELECT producer, creator, coalesce(encrypted, false) AS encrypted, count(*) AS n FROM inventory GROUP BY 1, 2, 3")
@@ -174,18 +181,6 @@ def layout_paths(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("""
-    WITH s AS (SELECT DISTINCT stem FROM inventory WHERE length(stem) >= 8), f AS (SELECT DISTINCT regexp_replace(filename, '\\.[^.]*$', '') AS name FROM runs),
-         e AS (SELECT name, 1 AS n FROM f WHERE name IN (SELECT stem FROM s)), r AS (SELECT name FROM f WHERE name NOT IN (SELECT stem FROM s))
-    SELECT name, 'exact' AS outcome, 1 AS n FROM e UNION ALL SELECT name, 'none', 0 FROM r""")
-def file_matching(spark: SparkSession, d: str) -> DataFrame:
-    """Run files against inventory stems: exact, else the inventory has none of that name."""
-    stems = _inv(spark, d).where(F.length("stem") >= 8).select("stem").distinct()
-    names = table(spark, d, "runs").select(F.regexp_replace("filename", "\\.[^.]*$", "").alias("name")).distinct()
-    j = names.join(stems.withColumnRenamed("stem", "name").withColumn("hit", F.lit(1)), "name", "left")
-    return j.select("name", F.when(F.col("hit") == 1, "exact").otherwise("none").alias("outcome"), F.coalesce("hit", F.lit(0)).alias("n"))
-
-
 _BARE = "lower(regexp_replace({0}, '\\.[^.]*$', ''))"
 
 
@@ -195,7 +190,7 @@ _BARE = "lower(regexp_replace({0}, '\\.[^.]*$', ''))"
          z AS (SELECT file, count(DISTINCT path) AS n FROM k JOIN i ON contains(filename, name) WHERE name <> '' AND file NOT IN (SELECT file FROM e) GROUP BY 1)
     SELECT f.file, CASE WHEN e.n = 1 THEN 'exact' WHEN e.n > 1 THEN 'multiple_exact' WHEN z.n = 1 THEN 'fuzzy' WHEN z.n > 1 THEN 'multiple_fuzzy' ELSE 'not_found' END AS outcome, coalesce(e.n, z.n, 0) AS n
     FROM (SELECT DISTINCT file FROM f) f LEFT JOIN e ON f.file = e.file LEFT JOIN z ON f.file = z.file""")
-def file_matching_outcomes(spark: SparkSession, d: str) -> DataFrame:
+def file_matching(spark: SparkSession, d: str) -> DataFrame:
     """Run files, by the names of file and path, against all of the inventory: exact, else contained, with the five outcomes."""
     bare = lambda c: F.regexp_replace(c, "\\.[^.]*$", "")
     f = table(spark, d, "runs").where("filename is not null").select(F.coalesce("path", "filename").alias("file"), "filename").distinct()

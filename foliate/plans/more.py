@@ -12,17 +12,10 @@ from .blocks import _B, _O, _WITH
 from .runs import _R
 
 
-@query(f"SELECT block_id, trim(coalesce(nullif(concat_ws(chr(10), CASE WHEN trim(i.title) <> '' THEN i.title END, CASE WHEN trim(b.section_id) <> '' THEN b.section_id END), '') || chr(10) || chr(10), '') || b.text) AS contextual FROM {_B} b LEFT JOIN (SELECT document_id, max_by(title, (try_cast(modified_at AS TIMESTAMPTZ), revision_id)) AS title FROM inventory GROUP BY 1) i ON b.document_id = i.document_id WHERE b.text IS NOT NULL AND role = 'abstract'")
-def contextual_prefix(spark: SparkSession, d: str) -> DataFrame:
-    i = table(spark, d, "inventory").groupBy("document_id").agg(F.max_by("title", F.struct(F.try_to_timestamp(F.col("modified_at")), "revision_id")).alias("title"))
-    b = structure.distinct_blocks(table(spark, d, "block_units").where("role = 'abstract'"), "document_id", "section_id", "text").where("text is not null")
-    return b.join(i, "document_id", "left").select("block_id", extras.contextual(F.col("title"), F.col("section_id"), F.col("text")).alias("contextual"))
-
-
 @query(f"""{_WITH}, p AS (SELECT block_id AS section, parent AS up, coalesce(text, '') AS path FROM s WHERE level IS NOT NULL UNION ALL SELECT p.section, s.parent, coalesce(s.text, '') || ' > ' || p.path FROM p JOIN s ON s.block_id = p.up)
     SELECT s.block_id, trim(coalesce(nullif(concat_ws(chr(10), CASE WHEN trim(i.title) <> '' THEN 'Documento: ' || i.title END, CASE WHEN trim(p.path) <> '' THEN 'Seção: ' || p.path END), '') || chr(10) || chr(10), '') || s.text, ' ' || chr(9) || chr(10) || chr(13)) AS contextual
     FROM s LEFT JOIN (SELECT document_id, max_by(title, (try_cast(modified_at AS TIMESTAMPTZ), revision_id)) AS title FROM inventory GROUP BY 1) i ON s.document_id = i.document_id LEFT JOIN (SELECT section, path FROM p WHERE up IS NULL) p ON s.section = p.section WHERE s.text IS NOT NULL""")
-def contextual_texts(spark: SparkSession, d: str) -> DataFrame:
+def contextual_prefix(spark: SparkSession, d: str) -> DataFrame:
     """The contextual header with the heading path above every block that has a text, whatever its role."""
     i = table(spark, d, "inventory").groupBy("document_id").agg(F.max_by("title", F.struct(F.try_to_timestamp(F.col("modified_at")), "revision_id")).alias("title"))
     return extras.contextual_blocks(table(spark, d, "block_units"), i)
@@ -160,9 +153,9 @@ def abstract_segments(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""SELECT document_id, greatest(count(*) FILTER (role = 'table'), count(*) FILTER (source_type = 'table'), 0) AS tables, count(*) FILTER (role IN ('figure', 'chart')) AS images, count(*) FILTER (role = 'equation') AS equations, count(*) FILTER (role = 'table' AND coalesce(length(text), 0) = 0) AS empty_tables FROM {_B} GROUP BY 1""")
 def document_metrics(spark: SparkSession, d: str) -> DataFrame:
-    b = structure.distinct_blocks(table(spark, d, "block_units"), "document_id", "role", "source_type", "text")
+    b = structure.distinct_blocks(table(spark, d, "block_units").withColumn("chars", F.length("text")), "document_id", "role", "source_type", "chars")
     t = F.col("role") == "table"
-    return b.groupBy("document_id").agg(F.greatest(F.count_if(t), F.count_if(F.col("source_type") == "table")).alias("tables"), F.count_if(F.col("role").isin("figure", "chart")).alias("images"), F.count_if(F.col("role") == "equation").alias("equations"), F.count_if(t & (F.coalesce(F.length("text"), F.lit(0)) == 0)).alias("empty_tables"))
+    return b.groupBy("document_id").agg(F.greatest(F.count_if(t), F.count_if(F.col("source_type") == "table")).alias("tables"), F.count_if(F.col("role").isin("figure", "chart")).alias("images"), F.count_if(F.col("role") == "equation").alias("equations"), F.count_if(t & (F.coalesce("chars", F.lit(0)) == 0)).alias("empty_tables"))
 
 
 @query(f"SELECT c.document_id, c.blocks AS current_blocks, o.blocks AS old_blocks, c.blocks - o.blocks AS delta FROM (SELECT document_id, count(*) AS blocks FROM {_B} GROUP BY 1) c LEFT JOIN (SELECT document_id, count(DISTINCT block_id) AS blocks FROM block_units WHERE loaded_at < TIMESTAMP '2024-04-30 12:00:00' GROUP BY 1) o ON c.document_id = o.document_id")

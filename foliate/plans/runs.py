@@ -165,7 +165,7 @@ _TUMBLE = "SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, c
 @query(_TUMBLE)
 def tumbling_throughput(spark: SparkSession, d: str) -> DataFrame:
     """The streaming query, run to the end of its input."""
-    return streams.drained(streams.tumbling(streams.event_stream(spark, f"{d}/events.parquet")), "complete")
+    return streams.drained(streams.tumbling(streams.event_stream(spark, f"{d}/events.parquet")), "update", ["window_start", "event_type"])
 
 
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 4 HOUR THEN 1 ELSE 0 END AS st FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),

@@ -63,12 +63,16 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> str:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    drop_at_end(spark, path)
     return path
 
 
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Has a folder deleted when the session's JVM ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
 

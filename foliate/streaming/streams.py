@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..session import shared_folder
+from ..session import drop_at_end, shared_folder
 
 WATERMARK = "40 days"
 
@@ -46,11 +47,14 @@ def outbox(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     return twice.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["event_id"]).drop("copy")
 
 
-def drained(stream: DataFrame, mode: str) -> DataFrame:
+def drained(stream: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
     """Runs a streaming query over all available input into a table in the shared folder and reads it back.
 
-    In complete mode every micro-batch replaces the table, in append mode each batch has its own folder, written whole
-    or not at all, so a repeated batch after a failure changes nothing.
+    In complete mode every micro-batch replaces the table. In append and update
+    mode each batch has its own folder, written whole or not at all, so a
+    repeated batch after a failure changes nothing; in update mode the last batch
+    of a key counts, and windows behind the watermark leave the state. Session
+    windows know no update mode. The folder goes when the session ends.
     """
     spark = stream.sparkSession
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -60,4 +64,9 @@ def drained(stream: DataFrame, mode: str) -> DataFrame:
 
     q = stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).option("basePath", f"{base}/out").parquet(f"{base}/out").drop("batch")
+    drop_at_end(spark, base)
+    out = spark.read.schema(StructType([*stream.schema.fields, StructField("batch", IntegerType())])).option("basePath", f"{base}/out").parquet(f"{base}/out")
+    if mode != "update":
+        return out.drop("batch")
+    rest = [c for c in stream.columns if c not in keys]
+    return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")

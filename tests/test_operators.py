@@ -1,3 +1,4 @@
+import json
 import random
 import uuid
 
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliate.functions import geometry, identity, text
-from foliate.operators import catalog, chunking, extras, inventory, ordering, reconcile, runs, structure, vectors
+from foliate.operators import audit, bibliography, catalog, chunking, extras, inventory, nested, ordering, reconcile, runs, state, structure, vectors
 
 BLOCK = "block_id string, document_id string, reading_order int, role string, source_type string, text string, page int, section_id string, char_count int, asset_ids array<string>, loaded_at timestamp"
 
@@ -270,3 +271,63 @@ def test_contextual_blocks_of_every_role(spark):
     got = {r.block_id: r.contextual for r in extras.contextual_blocks(blocks, titles).collect()}
     head, part = "Documento: Name", "Documento: Name\nSeção: Paper > 1. Part"
     assert got == {"b0": f"{head}\n\nbefore", "b1": f"{head}\nSeção: Paper\n\nPaper", "b2": f"{head}\nSeção: Paper\n\nshort", "b3": f"{part}\n\n1. Part", "b4": f"{part}\n\nlong", "b5": f"{part}\n\n x", "e0": "alone"}
+
+
+# ---- audits and state -----------------------------------------------------------------------
+
+
+def test_inspection_codes():
+    codes = lambda p, pages=None: audit.inspect(p, pages)[-2:]
+    block = {"type": "text", "lines": [{"spans": [{"type": "text", "text": "x" * 1100}]}]}
+    assert codes(None) == codes("{") == ("invalid_json", "") and codes("[1]") == ("invalid_root", "")
+    assert codes('{"a": 1}') == ("pages_not_found", "")
+    assert codes(json.dumps({"pages": [{"para_blocks": [block]}]}), 1) == ("", "")
+    assert codes(json.dumps({"pages": [{"para_blocks": [block]}]}), 2) == ("page_count_mismatch", "")
+    assert codes('{"pages": []}')[0] == "zero_pages,no_blocks,no_text_or_assets"
+    assert codes('{"pages": [{"para_blocks": 7}]}')[0] == "invalid_para_blocks,no_blocks,no_text_or_assets"
+    assert codes('{"pages": [{"para_blocks": [{"type": "text", "lines": 3}]}]}')[0] == "invalid_block_structure,no_text_or_assets"
+    assert codes('{"pages": [{"para_blocks": [{"type": "image"}]}]}') == ("", "no_text_with_assets,high_textless_page_ratio,small_middle_json")
+    odd = {"pages": [{"para_blocks": [{**block, "type": "index"}, {"type": "text", "lines": [{"spans": [{"type": "sup"}]}]}]}]}
+    assert codes(json.dumps(odd)) == ("", "unknown_block_types,unknown_span_types")
+
+
+def test_trees_lose_nothing(spark):
+    p = json.dumps({"pages": [{"para_blocks": [{"blocks": [{"lines": [{"spans": [{}, 3]}]}], "lines": {}}, 7], "discarded_blocks": {}, "preproc_blocks": [{}]}]})
+    df = spark.createDataFrame([(1, "d", "s", p, None), (2, None, None, None, None), (3, "d", "s", "{", None)], "record_id long, document_id string, source_name string, payload string, received_at timestamp")
+    (r,) = audit.tree_validation(df).collect()
+    assert (r.record_id, r.pages, r.blocks, r.discarded, r.nested, r.nodes, r.lines, r.spans, r.failed) == (1, 1, 1, 1, 1, 3, 2, 1, "")
+    m = audit.document_metrics(df).first()
+    assert (m.pages, m.content_blocks, m.discarded_blocks, m.lines, m.spans) == (1, 2, 1, 2, 1)
+    assert audit.tree_validation(df.limit(0)).count() == audit.document_metrics(df.limit(0)).count() == 0
+
+
+def test_four_texts_of_a_block():
+    b = {"text": "T", "content": "C", "html": "<b>H</b>", "latex": "L", "blocks": [{"type": "text", "content": "child"}, {"type": "image", "content": "caption"}], "lines": [{"spans": [{"content": "sc", "text": "st"}, {"latex": "x"}]}]}
+    assert [nested.block_text(b, v) for v in nested.VARIANTS] == ["T C st child caption", "T C <b>H</b> L st x child caption", "st[EQUAÇÃO]\n\nchild", "C"]
+    assert nested.block_text({"lines": [{"spans": [{"text": "a"}, {"content": "b"}]}, {"spans": [{"image_path": "p"}]}]}, "chunk") == "ab\n[FIGURA]"
+
+
+def test_runs_are_fenced():
+    r = state.Run(10)
+    steps = [
+        (0, "a", None, "claim", "granted"), (1, "b", None, "claim", "held"), (2, "b", None, "processing", "stale"), (3, "a", 1, "processing", "applied"), (4, "a", 1, "processing", "no_op"), (5, "a", 1, "uploading", "applied"), (6, "a", 1, "processing", "no_op"), (7, "a", 1, "completed", "invalid"),
+        (8, "a", 1, "heartbeat", "applied"), (30, "b", None, "claim", "granted"), (31, "a", 1, "cataloging", "stale"), (32, "b", 1, "cataloging", "stale"), (33, "b", 2, "cataloging", "applied"), (34, "b", 2, "completed", "applied"), (35, "b", 2, "completed", "no_op"), (36, "b", 2, "failed", "ended"), (37, "c", None, "claim", "ended"),
+    ]
+    assert [r.see(*s[:4]) for s in steps] == [s[4] for s in steps]
+
+
+def test_person_names(spark):
+    names = ["João da Silva", "A. Pagaquis", "Ana", "ANA SOUZA, Doutoranda em Economia", "Maria 2 Souza", "Revista Nova Era", "ana souza", "Universidade Federal", "Jean-Luc D'Arc", "x: Ana Souza", None, ""]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r[0] for r in df.select(bibliography.person_name(F.col("n"))).collect()]
+    assert got == ["João da Silva", "A. Pagaquis", None, "ANA SOUZA", None, None, None, None, "Jean-Luc D'Arc", None, None, None]
+
+
+def test_citations(spark):
+    df = spark.createDataFrame([([], None), ([], "Inst"), (["A"], None), (["A", "B"], "Inst"), (["A", "B", "C"], None), (None, None)], "f array<string>, c string")
+    assert [r[0] for r in df.select(text.citation_author(F.col("f"), F.col("c"))).collect()] == [None, "Inst", "A", "A e B", "A et al.", None]
+
+
+def test_error_markers(spark):
+    df = spark.createDataFrame([("meeting room",), ("device code expired",), ("Killed process 3",), ("CUDA OOM",), ("no CUDA-capable device is detected: out of memory",), ("HTTP 503",), ("HTTP 404",), (None,)], "m string")
+    assert [r[0] for r in df.select(runs.error_class(F.col("m"))).collect()] == ["other", "other", "memory", "memory", "hardware", "retryable", "other", None]
