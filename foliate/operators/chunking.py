@@ -127,7 +127,15 @@ def split_recursively(text: str, size: int, length: Callable[[str], int] = len,
         return [text]
     sep = separators[0]
     if sep == "":
-        return [text[i : i + size] for i in range(0, len(text), size)]
+        out, rest = [], text
+        while rest:  # the longest prefix within the size, a character at least; no length counts less for more
+            low, high = 1, min(len(rest), size) if length is len else len(rest)
+            while low < high:
+                half = (low + high + 1) // 2
+                low, high = (half, high) if length(rest[:half]) <= size else (low, half - 1)
+            out.append(rest[:low])
+            rest = rest[low:]
+        return out
     parts = text.split(sep)
     parts = [p + sep for p in parts[:-1]] + parts[-1:]
     out: list[str] = []
@@ -148,17 +156,38 @@ def split_recursively(text: str, size: int, length: Callable[[str], int] = len,
     return out + [held] if held else out
 
 
-def recursive_chunks(blocks: DataFrame, size: int, overlap: int) -> DataFrame:
-    """``document_id, section, chunk, text, chunk_id``: each section's text, units joined by blank lines, split recursively;
-    every chunk but the first starts with the last ``overlap`` characters of the one before."""
+def split_with_overlap(text: str, size: int, overlap: int, length: Callable[[str], int] = len) -> list[str]:
+    """Chunks of consecutive pieces of at most ``size`` together, each beginning with the last pieces of the one before that
+    have at most ``overlap`` together and leave room for the next piece.
+
+    Pieces are what the separators give, so a chunk begins and ends at one; the length of a chunk is held to be the sum of its pieces'.
+    """
+    pieces = [p for p in split_recursively(text, max(1, min(size, max(overlap, size // 8))), length) if p]
+    sized = [(p, length(p)) for p in pieces]
+    out: list[str] = []
+    held: list[tuple[str, int]] = []
+    total = 0
+    for piece in sized:
+        if held and total + piece[1] > size:
+            out.append("".join(p for p, _ in held))
+            while held and (total > overlap or total + piece[1] > size):
+                total -= held.pop(0)[1]
+        held.append(piece)
+        total += piece[1]
+    return out + ["".join(p for p, _ in held)] if held else out
+
+
+def recursive_chunks(blocks: DataFrame, size: int, overlap: int, length: Callable[[str], int] = len, policy: str = "recursive") -> DataFrame:
+    """``document_id, section, chunk, text, length, chunk_id``: each section's text, units joined by blank lines, split at
+    paragraphs, lines, sentences, words, and within words at last; ``length`` counts characters, or tokens of a public vocabulary."""
     u = with_actions(units(blocks)).where("action = 'embed'").select("document_id", "section", "position", "text")
 
     def make(section, rows):
-        pieces = split_recursively("\n\n".join(r.text for r in rows), size - overlap)
-        return [(rows[0].document_id, section, k, (pieces[k - 1][-overlap:] if k and overlap else "") + p) for k, p in enumerate(pieces)]
+        made = split_with_overlap("\n\n".join(r.text for r in rows), size, overlap, length)
+        return [(rows[0].document_id, section, k, t, length(t)) for k, t in enumerate(made)]
 
-    made = u.repartition("section").sortWithinPartitions("section", "position").mapInPandas(_streamed(make, ["document_id", "section", "chunk", "text"]), "document_id string, section string, chunk int, text string")
-    return made.withColumn("chunk_id", chunk_id(F.col("document_id"), F.lit("recursive"), F.col("chunk"), F.col("text")))
+    made = u.repartition("section").sortWithinPartitions("section", "position").mapInPandas(_streamed(make, ["document_id", "section", "chunk", "text", "length"]), "document_id string, section string, chunk int, text string, length int")
+    return made.withColumn("chunk_id", chunk_id(F.col("document_id"), F.lit(policy), F.col("chunk"), F.col("text")))
 
 
 BIOGRAPHY = ("dados biográficos", "biografia", "biographical")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import text, tokenizer
 from ..operators import bibliography, chunking, structure
 from ..session import table
 from .base import query
@@ -357,7 +357,8 @@ def char_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def recursive_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.recursive_chunks(_b(spark, d), 700 * 4, 100 * 4)
+    """Chunks of at most 700 tokens of the public vocabulary with an overlap of at most 100."""
+    return chunking.recursive_chunks(_b(spark, d), 700, 100, tokenizer.token_length, "tokens-700-100")
 
 
 @query(f"""{_CHUNKS}, s AS (SELECT section, chunk, sum(chars) + 2 * (count(*) - 1) AS n FROM c GROUP BY 1, 2), x AS (SELECT unnest(['missing', 'oversized', 'undersized', 'unexplained_repeats']) AS "check")

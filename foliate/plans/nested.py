@@ -114,3 +114,13 @@ def low_score(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def cross_page_summary(spark: SparkSession, d: str) -> DataFrame:
     return ir.cross_page(table(spark, d, "extractions"))
+
+
+@query()
+def payload_markdown(spark: SparkSession, d: str) -> DataFrame:
+    """Markdown of every record with its missing images and its state as of the end of the data."""
+    from ..operators import render
+
+    e = table(spark, d, "extractions")
+    assets = table(spark, d, "block_units").select("document_id", F.explode("asset_ids").alias("path")).distinct()
+    return render.payload_markdown(e, assets, "2030-01-01 00:00:00")

@@ -5,8 +5,8 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from foliate.functions import geometry, identity, text
-from foliate.operators import audit, bibliography, catalog, chunking, extras, inventory, nested, ordering, reconcile, runs, state, structure, vectors
+from foliate.functions import geometry, identity, text, tokenizer
+from foliate.operators import audit, bibliography, catalog, chunking, extras, inventory, nested, ordering, reconcile, render, runs, state, structure, vectors
 
 BLOCK = "block_id string, document_id string, reading_order int, role string, source_type string, text string, page int, section_id string, char_count int, asset_ids array<string>, loaded_at timestamp"
 
@@ -331,3 +331,38 @@ def test_citations(spark):
 def test_error_markers(spark):
     df = spark.createDataFrame([("meeting room",), ("device code expired",), ("Killed process 3",), ("CUDA OOM",), ("no CUDA-capable device is detected: out of memory",), ("HTTP 503",), ("HTTP 404",), (None,)], "m string")
     assert [r[0] for r in df.select(runs.error_class(F.col("m"))).collect()] == ["other", "other", "memory", "memory", "hardware", "retryable", "other", None]
+
+
+def test_chunks_with_overlap():
+    rng = random.Random(3)
+    words = lambda t: len(t.split())
+    for _ in range(60):
+        t = "".join(f"w{i}" + "".join(rng.choice("abcdefghij") for _ in range(rng.choice([0, 30]))) + rng.choice([" ", ". ", "\n", "\n\n"]) for i in range(rng.randrange(0, 80)))
+        for length in (len, words):
+            made = chunking.split_with_overlap(t, 20, 5, length)
+            assert all(length(c) <= 20 for c in made) and "".join(made).startswith(made[0] if made else "")
+            at = 0
+            for c in made:  # each chunk stands in the text, and none leaves a gap
+                i = t.find(c)
+                assert 0 <= i <= at < i + len(c)
+                at = i + len(c)
+            assert at == len(t)
+    assert tokenizer.token_length("the the the") == 3
+    assert all(tokenizer.token_length(c) <= 11 for c in chunking.split_with_overlap("the " * 50, 10, 3, tokenizer.token_length))
+
+
+def test_markdown_of_payloads(spark):
+    span = lambda k, t: {"type": k, "content": t}
+    page = {
+        "para_blocks": [{"type": "title", "level": 2, "lines": [{"spans": [span("text", "A "), span("inline_equation", "x")]}, {"spans": [span("text", "B")]}]}, {"type": "image", "image_path": "img/a.png", "blocks": [{"type": "text", "lines": [{"spans": [span("text", "caption")]}]}]}, {"type": "table", "html": "<table><tr><td>1</td></tr></table>"}, {"type": "page_number", "content": "7"}],
+        "discarded_blocks": [{"type": "footer", "content": "foot"}, {"type": "header", "content": "head"}, {"type": "page_number", "content": "8"}],
+    }
+    text_, images = render.tree_markdown({"pages": [page]})
+    assert text_ == "head\n\n## A $x$<br>\nB\n\n![](<img/a.png>)\n\ncaption\n\n| 1 |\n| --- |\n\nfoot\n" and images == ["img/a.png"]
+    assert render.tree_markdown({"para_blocks": [{"content": "plain"}]})[0] == "# plain\n" and render.tree_markdown({"pages": []}) == ("", [])
+    p = json.dumps({"pages": [page]})
+    rows = [(1, "d", p, "2024-01-01 00:00:00"), (2, "e", p, "2024-01-01 00:00:00"), (3, "d", "{", "2024-01-01 00:00:55"), (4, "d", "{", "2024-01-01 00:00:30"), (5, "d", None, "2024-01-01 00:00:00"), (6, "d", "{}", "2024-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "record_id long, document_id string, payload string, t string").withColumn("received_at", F.col("t").cast("timestamp_ntz"))
+    assets = spark.createDataFrame([("d", "store/a.png")], "document_id string, path string")
+    got = {r.record_id: (r.render_status, r.missing) for r in render.payload_markdown(df, assets.selectExpr("document_id", "substring_index(path, '/', -1) as path"), "2024-01-01 00:01:00").collect()}
+    assert got == {1: ("ok", 0), 2: ("incomplete", 1), 3: ("pending", 0), 4: ("failed", 0), 5: ("pending", 0), 6: ("skipped", 0)}
