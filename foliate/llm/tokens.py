@@ -11,9 +11,6 @@ words, so what travels is a word per block, not a word per occurrence.
 
 from __future__ import annotations
 
-import base64
-import importlib
-import os
 import uuid
 from collections.abc import Iterator
 
@@ -23,23 +20,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.tokenizer import PATTERN, VOCABULARY, load_ranks, tokenizer_folder  # noqa: F401  (the folder is part of this module's interface)
 from ..session import spread, written
 
-# Fixed value: the public pre-token pattern of the vocabulary.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLOCK_CHARS = 2_000_000
 # Rows of one word that meet in one task, at most, in the join of the ids.
 SALT_BLOCKS = 20_000
-VOCABULARY = "byte_bpe_50k"
-
-
-def tokenizer_folder(folder: str | None = None) -> str:
-    return folder or os.environ.get("FOLIATE_TOKENIZERS") or ("/opt/tokenizers" if os.path.isdir("/opt/tokenizers") else os.path.dirname(importlib.import_module("public_tokenizers").__file__))
-
-
-def load_ranks(name: str = VOCABULARY, folder: str | None = None) -> dict[bytes, int]:
-    with open(os.path.join(tokenizer_folder(folder), f"{name}.tiktoken"), "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
 _BLOCK = "block binary, words array<string>, docs array<bigint>, codes binary, ends binary"
