@@ -177,6 +177,8 @@ class _Markdown(HTMLParser):
         elif tag == "tr":
             self.cells = []
             self.out.append("\n|")
+        elif tag in ("td", "th"):
+            self.out.append(" ")
 
     def handle_endtag(self, tag):
         if tag in self.INLINE:
