@@ -66,6 +66,7 @@ _QUOTES = ".,;:?\"“”‘’…–—-"
 _OUTER = ".,;:?\"“”‘’…–—-()[]"
 # a hyphen at a line's end, or with a space after it and the rest of the word
 _SOFT = "­"
+_HYPHENS = "-\u00ad\u00ac\u2010\u2011"
 _BREAK = re.compile(r"([^\W\d_]+)([-­¬‐‑])([ \t\r ]*\n\s*|[  ]+|$)([^\W\d_]*)")
 # Words after a suspended hyphen, as in "short- and long-term".
 _CONJUNCTIONS = frozenset("and or to und e ou y o u et a nor versus vs".split())
@@ -490,6 +491,8 @@ class Document:
         self.folded = [fold(b[3]) for b in blocks]
         self.facts = facts or self._facts()
         self.headers, self.marks = self.facts.headers, self.facts.marks
+        # whether a block ends in a letter and a hyphen
+        self.broken = [len(t := b[3].rstrip()) > 1 and t[-1] in _HYPHENS and bool(_WORD.match(t[-2])) for b in blocks]
         # (block, token) that words below the vocabulary's share decide
         self.undecided: list[tuple[str, str]] = []
         # place of the next block of the same role
@@ -542,7 +545,7 @@ class Document:
                         kinds.add("running_header")
                 if "running_header" not in kinds and any(h in folded for h in self.headers.values()):
                     kinds.add("running_header")
-            if role not in NO_LINES and any(h in text for h in ("-", _SOFT, "¬", "‐", "‑")):
+            if role not in NO_LINES and any(h in text for h in _HYPHENS):
                 after = self.next_of_role[k]
                 broken = broken_words(text, "" if after is None else self.folded[after], self.speller.joiner)
                 if broken:
@@ -574,7 +577,7 @@ class Document:
 
     def _broken_end(self, k: int) -> bool:
         """Whether one of the blocks just before ends within a word."""
-        return any(re.search(r"[^\W\d_][-­¬‐‑]\s*$", self.blocks[j][3]) for j in range(max(0, k - 3), k + 1))
+        return any(self.broken[max(0, k - 3) : k + 1])
 
     def _is_furniture(self, line: str) -> bool:
         s = line.strip()
