@@ -201,3 +201,16 @@ def fenced_runs(events: DataFrame, lease: float = 300) -> DataFrame:
 
     rows = events.select("run", F.col("t").cast("double").alias("t"), "owner", F.col("attempt").cast("int").alias("attempt"), "what").where("run is not null and t is not null and owner is not null")
     return rows.repartition("run").sortWithinPartitions("run", "t", "owner", "what").mapInPandas(fold, "run string, t double, owner string, what string, verdict string, status string, attempt int")
+
+
+def resolved_assets(references: DataFrame, listing: DataFrame, group: str, reference: str, path: str) -> DataFrame:
+    """``group, reference, resolved``: the listed path of each reference: the reference itself, below images, by its name
+    alone, else the first listed path of the group that ends with its name; null if there is none."""
+    name = F.substring_index(reference, "/", -1)
+    r = references.select(group, reference).distinct()
+    tried = r.select(group, reference, F.posexplode(F.array(F.col(reference), F.concat(F.lit("images/"), name), name)).alias("rank", path))
+    listed = listing.select(group, path).distinct()
+    direct = tried.join(listed, [group, path]).select(group, reference, F.struct("rank", F.col(path).alias("p")).alias("hit"))
+    below = r.withColumn("__n", name).join(listed.withColumn("__n", F.substring_index(path, "/", -1)), [group, "__n"]).select(group, reference, F.struct(F.lit(3).alias("rank"), F.col(path).alias("p")).alias("hit"))
+    best = direct.unionByName(below).groupBy(group, reference).agg(F.min("hit")["p"].alias("resolved"))
+    return r.join(best, [group, reference], "left")

@@ -146,17 +146,23 @@ def sliding_failures(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
-    return runs.breaker_transitions(table(spark, d, "events"), "event_type", "ts", F.col("value") > 20, window=21600, cooldown=3600)
+    return runs.breaker_transitions(table(spark, d, "events"), "user_id", "ts", F.col("value") > 20, window=86400, cooldown=3600)
+
+
+@query()
+def stream_breaker(spark: SparkSession, d: str) -> DataFrame:
+    """The same changes from the stream."""
+    return streams.drained(streams.breaker(streams.event_stream(spark, f"{d}/events.parquet"), "user_id", F.col("value") > 20, window=86400, cooldown=3600), "append")
 
 
 @query()
 def lease_claims(spark: SparkSession, d: str) -> DataFrame:
-    return runs.lease_claims(table(spark, d, "events"), "event_type", "user_id", "ts", 3600)
+    return runs.lease_claims(table(spark, d, "events"), "user_id", "event_type", "ts", 86400)
 
 
 @query()
 def throughput_epochs(spark: SparkSession, d: str) -> DataFrame:
-    return runs.throughput_epochs(table(spark, d, "events"), "event_type", "ts", "value", 86400)
+    return runs.throughput_epochs(table(spark, d, "events"), "user_id", "ts", "value", 86400)
 
 
 _TUMBLE = "SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2"

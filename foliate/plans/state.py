@@ -428,3 +428,17 @@ def sliding_activity(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming import streams
 
     return streams.drained(streams.sliding(streams.event_stream(spark, f"{d}/events.parquet")), "update", ["window_start", "event_type"])
+
+
+@query("""WITH l AS (SELECT DISTINCT l_orderkey AS k, CASE l_linenumber % 4 WHEN 0 THEN 'a' || l_linenumber || '.png' WHEN 1 THEN 'images/a' || l_linenumber || '.png' WHEN 2 THEN 'old/deep/a' || l_linenumber || '.png' ELSE 'new/b' || l_linenumber || '.png' END AS p FROM lineitem),
+    r AS (SELECT DISTINCT l_orderkey AS k, CASE WHEN l_linenumber % 4 = 3 AND l_orderkey % 2 = 0 THEN 'new/b' ELSE 'pics/a' END || l_linenumber || '.png' AS ref FROM lineitem),
+    h AS (SELECT r.k, r.ref, l.p, CASE WHEN l.p = r.ref THEN 0 WHEN l.p = 'images/' || regexp_replace(r.ref, '^.*/', '') THEN 1 WHEN l.p = regexp_replace(r.ref, '^.*/', '') THEN 2 ELSE 3 END AS rank FROM r JOIN l ON r.k = l.k AND regexp_replace(r.ref, '^.*/', '') = regexp_replace(l.p, '^.*/', ''))
+    SELECT r.k AS package, r.ref AS reference, m.p AS resolved FROM r LEFT JOIN (SELECT k, ref, arg_min(p, (rank, p)) AS p FROM h GROUP BY 1, 2) m ON r.k = m.k AND r.ref = m.ref""")
+def asset_paths(spark: SparkSession, d: str) -> DataFrame:
+    """References of packages' images against their listings, by three candidates and then by name."""
+    n, k = F.col("l_linenumber"), F.col("l_orderkey")
+    file = lambda letter: F.concat(F.lit(letter), n.cast("string"), F.lit(".png"))
+    t = _t(spark, d, "lineitem")
+    listing = t.select(k.alias("package"), F.when(n % 4 == 0, file("a")).when(n % 4 == 1, F.concat(F.lit("images/"), file("a"))).when(n % 4 == 2, F.concat(F.lit("old/deep/"), file("a"))).otherwise(F.concat(F.lit("new/"), file("b"))).alias("path"))
+    refs = t.select(k.alias("package"), F.when((n % 4 == 3) & (k % 2 == 0), F.concat(F.lit("new/"), file("b"))).otherwise(F.concat(F.lit("pics/"), file("a"))).alias("reference"))
+    return state.resolved_assets(refs, listing, "package", "reference", "path")

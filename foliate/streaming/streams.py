@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -47,6 +47,32 @@ def outbox(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     return twice.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["event_id"]).drop("copy")
 
 
+def breaker(events: DataFrame, key: str, failed: Column, watermark: str = WATERMARK, **settings: float) -> DataFrame:
+    """``key, at, state``: every change of each key's circuit breaker, from a state of four values a key that outlives the batches.
+
+    Events of a key within one batch are taken in order of time; one that comes
+    after later ones have been seen in an earlier batch is taken when it comes.
+    """
+    import pickle
+
+    import pandas as pd
+
+    from ..operators.runs import Breaker
+
+    def run(keys, pdfs, state):
+        b = Breaker(**settings)
+        if state.exists:
+            b.__dict__.update(pickle.loads(state.get[0]))
+        rows = pd.concat(list(pdfs)).sort_values(["t", "failed"], kind="stable")
+        out = [(keys[0], int(t), new) for t, bad in zip(rows["t"], rows["failed"]) if (new := b.see(t / 1e6, bool(bad)))]
+        state.update((pickle.dumps(b.__dict__),))
+        yield pd.DataFrame({"key": [x[0] for x in out], "t": pd.Series([x[1] for x in out], dtype="int64"), "state": [x[2] for x in out]})
+
+    rows = events.withWatermark("ts", watermark).select(F.col(key).cast("string").alias("key"), F.unix_micros("ts").alias("t"), F.coalesce(failed, F.lit(False)).alias("failed")).where("key is not null and t is not null")
+    made = rows.groupBy("key").applyInPandasWithState(run, "key string, t long, state string", "b binary", "append", "NoTimeout")
+    return made.select("key", F.timestamp_micros("t").alias("at"), "state")
+
+
 def drained(stream: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
     """Runs a streaming query over all available input into a table in the shared folder and reads it back.
 

@@ -366,3 +366,10 @@ def test_markdown_of_payloads(spark):
     assets = spark.createDataFrame([("d", "store/a.png")], "document_id string, path string")
     got = {r.record_id: (r.render_status, r.missing) for r in render.payload_markdown(df, assets.selectExpr("document_id", "substring_index(path, '/', -1) as path"), "2024-01-01 00:01:00").collect()}
     assert got == {1: ("ok", 0), 2: ("incomplete", 1), 3: ("pending", 0), 4: ("failed", 0), 5: ("pending", 0), 6: ("skipped", 0)}
+
+
+def test_streamed_breaker_equals_the_batch(spark, small):
+    from foliate.plans import registry
+
+    got, want = (sorted(map(tuple, registry.QUERIES[q](spark, small).collect())) for q in ("stream_breaker", "circuit_breaker"))
+    assert got == want and {s for _, _, s in want} >= {"open", "half_open"}

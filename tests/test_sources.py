@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliate import api
-from foliate.sources import files, sinks
+from foliate.sources import files, policies, sinks
 
 PDF = b"%PDF-1.7\n1 0 obj << /Type /Catalog >> 2 0 obj << /Type /Pages /Count 2 >> 3 0 obj << /Type /Page >> 4 0 obj << /Type /Page >> 5 0 obj << /Title (A \\(b\\)) /Author <FEFF00E7> >>"
 
@@ -83,3 +83,19 @@ def test_logs(spark):
 def test_small_files(tmp_path):
     sinks.write_json({"b": 1, "a": "é"}, str(tmp_path / "x" / "s.json"))
     assert json.loads((tmp_path / "x" / "s.json").read_text()) == {"a": "é", "b": 1}
+
+
+def test_policies(spark, tmp_path):
+    path = tmp_path / "policy.json"
+    path.write_text(json.dumps({"roles": {"aside": "embed"}, "collections": {"a": {"chunk_size": 700, "chunk_overlap": 100}}, "documents": {"x/y.pdf": {"authors": ["Ana Souza"]}, "z.pdf": {"no_personal_author": True}}}))
+    policy = policies.load(str(path))
+    actions = {r.role: r.action for r in policies.role_actions(spark, policy).collect()}
+    assert actions["aside"] == "embed" and actions["title"] == "placeholder" and len(actions) == 13
+    assert [tuple(r) for r in policies.splitters(spark, policy).collect()] == [("a", "recursive", None, 700, 100)]
+    assert {r.path: r.authors for r in policies.overrides(spark, policy).collect()} == {"x/y.pdf": ["Ana Souza"], "z.pdf": []}
+    for bad, f in (({"roles": {"title": "burn"}}, policies.role_actions), ({"roles": {"odd": "embed"}}, policies.role_actions), ({"collections": {"a": {"chunk_size": 5, "chunk_overlap": 5}}}, policies.splitters), ({"documents": {"x": {}}}, policies.overrides)):
+        with pytest.raises(ValueError):
+            f(spark, bad)
+    path.write_text("[1]")
+    with pytest.raises(ValueError):
+        policies.load(str(path))
