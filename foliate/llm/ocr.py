@@ -32,8 +32,9 @@ VOCABULARY_SHARE = 1e-5
 VOCABULARY_LEAST = 5
 # A word is held to be a misreading of one that is so many times as frequent, for each confusion between them.
 RATIO = 50
-# Cost from which two words are no readings of each other: an edit that is neither a confusion nor a speck costs as much.
-FAR = 1.0
+# Cost from which two words of letters are no readings of each other: an edit that is neither a confusion nor a speck costs
+# as much. With a digit or sign in it one such edit and one confusion are allowed.
+FAR, FAR_ODD = 1.0, 1.31
 # Bound of the labelled sample the ranker is trained on.
 SAMPLE = 6_000
 # Blocks of one document held together; a longer document is treated in runs of this many blocks, each with so many
@@ -160,13 +161,20 @@ def skeleton(word: str) -> str:
 
 
 def skeletons(word: str) -> set[str]:
-    """Skeletons of what a word may have been read from: an upright bar is a letter or a speck. Five of them cost more than FAR."""
+    """Skeletons of what a word may have been read from.
+
+    An upright bar is a letter or a speck; five of them cost more than FAR. One
+    digit or sign may stand between letters for nothing at all, with one more at most beside it.
+    """
     parts = word.split("|")
     if len(parts) > 5:
         return set()
     made = [parts[0]]
     for p in parts[1:]:
         made = [m + bar + p for m in made for bar in ("|", "")]
+    odd = [i for i, c in enumerate(word) if not c.isalpha()]
+    if len(odd) <= 2:
+        made += [word[:i] + word[i + 1 :] for i in odd if i]
     return {skeleton(m) for m in made}
 
 
@@ -205,13 +213,14 @@ class Speller:
         """``(shared q-grams, cost, other word)`` of the vocabulary, or of ``others``, for all words that confusions and specks alone may have made this one of.
 
         Such words have a skeleton of this word; of them those stay that share
-        enough q-grams, which costs least to see, and are nearer than FAR.
+        enough q-grams, which costs least to see, and are near enough.
         """
         if others is None:
             others = {v for k in skeletons(word) for v in self.bones.get(k, ())}
         grams, least, out = _grams(word), max(2, len(word) - 4), []  # two confusions leave so many of the q-grams
+        far = FAR if _WORD.fullmatch(word) else FAR_ODD
         for v in others:
-            if abs(len(v) - len(word)) <= 3 and (n := len(grams & (self.grams.get(v) or _grams(v)))) >= least and (cost := confusion_cost(word, v, FAR)) < FAR:
+            if abs(len(v) - len(word)) <= 3 and (n := len(grams & (self.grams.get(v) or _grams(v)))) >= least and (cost := confusion_cost(word, v, far)) < far:
                 out.append((n, cost, v))
         return sorted(out, key=lambda x: (-x[0] / (len(x[2]) + 3), x[2]))
 
