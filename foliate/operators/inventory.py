@@ -251,6 +251,6 @@ def layouts(inv: DataFrame) -> DataFrame:
     at = lambda *parts: F.concat(folder, *map(F.lit, parts))
     valid = ~F.startswith(F.col("relative_path"), F.lit("/")) & ~F.col("relative_path").rlike("(^|/)\\.\\.(/|$)") & F.endswith(F.lower("relative_path"), F.lit(".pdf"))
     return inv.where("relative_path is not null and path is not null").select(
-        "document_id", "revision_id", F.col("relative_path").alias("relative_pdf_path"), F.col("path").alias("pdf_path"), folder.alias("document_dir"), at("/intermediate").alias("intermediate_dir"), at("/intermediate/mineru").alias("results_dir"), at("/canonical").alias("canonical_dir"),
+        "document_id", "revision_id", F.col("relative_path").alias("relative_pdf_path"), F.col("path").alias("pdf_path"), folder.alias("document_dir"), at("/intermediate").alias("intermediate_dir"), at("/intermediate/results").alias("results_dir"), at("/canonical").alias("canonical_dir"),
         at("/manifest.json").alias("manifest_path"), *[at(f"/canonical/{f}").alias(c) for c, f in (("ir_path", "document_ir.json"), ("structure_path", "structure.json"), ("metadata_path", "metadata.json"), ("markdown_path", "document.md"), ("render_path", "render.json"))], valid.alias("valid"),
     )

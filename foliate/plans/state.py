@@ -11,6 +11,7 @@ from ..operators import audit, bibliography, extras, ir, nested, runs, state, st
 from ..session import checkpointed, table
 from .base import query
 from .blocks import _B, _O, _WITH
+from .nested import _KEYS, _ONE, _SCORES, NUMBER
 from .runs import _R, _X
 
 
@@ -39,7 +40,8 @@ def extraction_audit_summary(spark: SparkSession, d: str) -> DataFrame:
     return audit.summary(extraction_inspection(spark, d))
 
 
-@query()
+@query(f"""{_ONE}, c AS (SELECT record_id, count(*) FILTER (kind = 'page') AS pages, count(*) FILTER (regexp_full_match(node, 'p\\d+:b\\d+')) AS blocks, count(*) FILTER (regexp_full_match(node, 'p\\d+:d\\d+')) AS discarded, count(*) FILTER (kind = 'block') AS nodes, count(*) FILTER (kind = 'line') AS lines, count(*) FILTER (kind = 'span') AS spans FROM n GROUP BY 1)
+    SELECT r.record_id, coalesce(pages, 0) AS pages, coalesce(blocks, 0) AS blocks, coalesce(discarded, 0) AS discarded, coalesce(nodes - blocks - discarded, 0) AS nested, coalesce(nodes, 0) AS nodes, coalesce(lines, 0) AS lines, coalesce(spans, 0) AS spans, '' AS failed FROM (SELECT DISTINCT record_id FROM extractions WHERE json_valid(payload)) r LEFT JOIN c ON r.record_id = c.record_id""")
 def tree_validation(spark: SparkSession, d: str) -> DataFrame:
     return audit.tree_validation(_t(spark, d, "extractions"))
 
@@ -57,20 +59,21 @@ def metric_deltas(spark: SparkSession, d: str) -> DataFrame:
     return audit.metric_deltas(audit.document_metrics(first), audit.document_metrics(e))
 
 
-@query()
+@query(f"""{_ONE} SELECT CASE WHEN regexp_matches(node, '^p\\d+:d') THEN 'discarded' ELSE 'content' END AS collection, coalesce(obj->>'type', 'unknown') AS type, count(*) AS n, count(DISTINCT record_id) AS records FROM n WHERE kind = 'span' GROUP BY ALL""")
 def span_type_counts(spark: SparkSession, d: str) -> DataFrame:
     s = ir.spans(_t(spark, d, "extractions"))
     at = F.when(F.col("node").rlike("^p\\d+:d"), "discarded").otherwise("content")
     return s.groupBy(at.alias("collection"), F.coalesce("type", F.lit("unknown")).alias("type")).agg(F.count("*").alias("n"), F.countDistinct("record_id").alias("records"))
 
 
-@query()
+@query(f"""{_ONE} SELECT type, {_SCORES} FROM (SELECT obj->>'type' AS type, {NUMBER.format('score')} AS score FROM n WHERE kind = 'span') GROUP BY ALL""")
 def span_score_summary(spark: SparkSession, d: str) -> DataFrame:
     s = F.col("score")
     return ir.spans(_t(spark, d, "extractions")).groupBy("type").agg(F.count("*").alias("n"), F.count(s).alias("with_score"), F.min(s).alias("score_min"), F.avg(s).alias("score_mean"), F.median(s).alias("score_median"), F.max(s).alias("score_max"))
 
 
-@query()
+@query(f"""{_ONE}, x AS (SELECT record_id, CASE WHEN kind = 'block' THEN coalesce(obj->>'type', obj->>'block_type') ELSE obj->>'type' END AS type, length(coalesce(obj->>'html', '')) > 0 AS html, length(coalesce(obj->>'latex', '')) > 0 AS latex FROM n WHERE kind IN ('block', 'span'))
+    SELECT record_id, count(*) FILTER (type = 'table' AND html) AS tables_filled, count(*) FILTER (type = 'table' AND NOT html) AS tables_empty, count(*) FILTER (type IN ('interline_equation', 'inline_equation') AND latex) AS formulas_filled, count(*) FILTER (type IN ('interline_equation', 'inline_equation') AND NOT latex) AS formulas_empty FROM x GROUP BY ALL""")
 def table_formula_summary(spark: SparkSession, d: str) -> DataFrame:
     """Per record tables with and without HTML, formulas with and without LaTeX, of blocks and of spans."""
     parsed = checkpointed(ir.nodes(_t(spark, d, "extractions")))
@@ -81,7 +84,7 @@ def table_formula_summary(spark: SparkSession, d: str) -> DataFrame:
     return both.groupBy("record_id").agg(F.count_if(tables & filled("html")).alias("tables_filled"), F.count_if(tables & ~filled("html")).alias("tables_empty"), F.count_if(formulas & filled("latex")).alias("formulas_filled"), F.count_if(formulas & ~filled("latex")).alias("formulas_empty"))
 
 
-@query()
+@query(f"""{_KEYS} SELECT kind, key, count(DISTINCT record_id) AS records, count(*) AS occurrences FROM k GROUP BY ALL""")
 def key_inventory(spark: SparkSession, d: str) -> DataFrame:
     """Keys per record and level first, then over records: how many hold a key and how often it stands."""
     one = nested.record_key_counts(_t(spark, d, "extractions"))
@@ -189,7 +192,7 @@ def review_queue(spark: SparkSession, d: str) -> DataFrame:
 # ---- inventories, plans, packages -----------------------------------------------------------
 
 
-@query("""SELECT document_id, revision_id, relative_path AS relative_pdf_path, path AS pdf_path, regexp_replace(path, '[^/]*$', '') || b AS document_dir, regexp_replace(path, '[^/]*$', '') || b || '/intermediate' AS intermediate_dir, regexp_replace(path, '[^/]*$', '') || b || '/intermediate/mineru' AS results_dir, regexp_replace(path, '[^/]*$', '') || b || '/canonical' AS canonical_dir,
+@query("""SELECT document_id, revision_id, relative_path AS relative_pdf_path, path AS pdf_path, regexp_replace(path, '[^/]*$', '') || b AS document_dir, regexp_replace(path, '[^/]*$', '') || b || '/intermediate' AS intermediate_dir, regexp_replace(path, '[^/]*$', '') || b || '/intermediate/results' AS results_dir, regexp_replace(path, '[^/]*$', '') || b || '/canonical' AS canonical_dir,
     regexp_replace(path, '[^/]*$', '') || b || '/manifest.json' AS manifest_path, regexp_replace(path, '[^/]*$', '') || b || '/canonical/document_ir.json' AS ir_path, regexp_replace(path, '[^/]*$', '') || b || '/canonical/structure.json' AS structure_path, regexp_replace(path, '[^/]*$', '') || b || '/canonical/metadata.json' AS metadata_path,
     regexp_replace(path, '[^/]*$', '') || b || '/canonical/document.md' AS markdown_path, regexp_replace(path, '[^/]*$', '') || b || '/canonical/render.json' AS render_path, NOT starts_with(relative_path, '/') AND NOT regexp_matches(relative_path, '(^|/)\\.\\.(/|$)') AND ends_with(lower(relative_path), '.pdf') AS valid
     FROM (SELECT *, rtrim(regexp_replace(regexp_replace(relative_path, '^.*/', ''), '\\.[^.]*$', ''), ' .') AS b FROM inventory WHERE relative_path IS NOT NULL AND path IS NOT NULL)""")
