@@ -94,7 +94,39 @@ def p10_scores(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_clean_text, p2_chunks, p2_report, p2_totals, p3_found, p3_unified_text, p4_percentiles, p4_bound_check, p5_found, p5_paragraphs, p7_found, p7_pieces, p8_ids, p8_decoded, p9_found, p9_clean_text, p10_found, p10_scores)}
 
+def _folded(c: str) -> str:
+    """The one form of a text in SQL, from the same mapping: letter for letter, what has no shape dropped, longer replacements (of Latin ligatures) one by one."""
+    one = {chr(k): v for k, v in lookalike.mapping().items() if len(v) == 1}
+    gone = "".join(chr(k) for k, v in lookalike.mapping().items() if not v)
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    out = f"translate({c}, {quoted(''.join(one) + gone)}, {quoted(''.join(one.values()))})"
+    for k, v in lookalike.mapping().items():
+        if len(v) > 1 and (k < 0x250 or 0xFB00 <= k <= 0xFB06):
+            out = f"replace({out}, {quoted(chr(k))}, {quoted(v)})"
+    return f"nfc_normalize({out})"
+
+
+def _words(c: str) -> str:
+    return f"regexp_extract_all(lower({_folded(c)}), '[\\p{{L}}\\p{{N}}]+')"
+
+
+_GRAMS = "SELECT DISTINCT {0}, unnest(list_transform(range(1, len(w) - 10), lambda i: hash(array_to_string(w[i:i + 11], ' ')))) AS g FROM (SELECT {0}, {1} AS w FROM {2} WHERE text IS NOT NULL) WHERE len(w) >= 12"
+
 SQL = {
+    "p1_found": f"""
+        WITH b AS (SELECT DISTINCT block_id, document_id, coalesce(collection_slug, '-') AS slug, text, role FROM block_units), n AS (SELECT slug, count(DISTINCT document_id) AS n FROM b GROUP BY 1),
+             x AS (SELECT block_id, document_id, slug, string_split(text, chr(10)) AS ls FROM b WHERE text IS NOT NULL AND block_id IS NOT NULL AND role IS DISTINCT FROM 'title'),
+             l AS (SELECT block_id, document_id, slug, generate_subscripts(ls, 1) - 1 AS line_no, unnest(ls) AS line FROM x),
+             k AS (SELECT *, regexp_replace(lower({_folded('line')}), '[^\\p{{L}}]', '', 'g') AS key FROM l WHERE length(line) >= 15),
+             s AS (SELECT slug, key FROM k JOIN n USING (slug) WHERE length(key) >= 15 GROUP BY slug, key, n HAVING count(DISTINCT document_id) >= 3 AND count(DISTINCT document_id) >= 0.04 * n)
+        SELECT DISTINCT block_id, CAST(line_no AS INTEGER) AS line_no FROM k JOIN s USING (slug, key)""",
+    "p3_found": f"""
+        WITH t AS (SELECT DISTINCT 'title' AS field, document_id AS key, title AS t FROM inventory WHERE document_id IS NOT NULL AND title IS NOT NULL UNION ALL SELECT DISTINCT 'text', block_id, text FROM block_units WHERE role = 'abstract' AND block_id IS NOT NULL AND text IS NOT NULL),
+             f AS (SELECT *, {_folded('t')} AS u FROM t)
+        SELECT DISTINCT a.field, a.key AS key_a, b.key AS key_b FROM f a JOIN f b ON a.field = b.field AND a.u = b.u AND a.key < b.key AND a.t <> b.t""",
+    "p9_found": f"""
+        WITH d AS ({_GRAMS.format('doc_id', _words('text'), 'documents')}), i AS ({_GRAMS.format('item_id', _words('text'), 'eval_items')})
+        SELECT DISTINCT doc_id, item_id FROM d JOIN i USING (g)""",
     "p2_totals": """
         WITH b AS (SELECT DISTINCT block_id, coalesce(section_id, document_id || ':none', 'collection:' || coalesce(collection_slug, '')) AS section, collection_slug, text FROM block_units WHERE length(text) > 0 AND block_id IS NOT NULL),
              s AS (SELECT section, length(text) AS n, coalesce(p.chunk_size, 1200) AS chunk_size FROM b LEFT JOIN splitter_policies p USING (collection_slug)),
