@@ -26,12 +26,6 @@ def media_type(path: Column) -> Column:
     return out.otherwise("application/octet-stream")
 
 
-def contextual(title: Column, path: Column, body: Column) -> Column:
-    """Title and heading path above the body, blank parts left out."""
-    head = F.filter(F.array(title, path), lambda x: F.coalesce(F.trim(x), F.lit("")) != "")
-    return F.trim(F.concat_ws("\n\n", F.nullif(F.array_join(head, "\n"), F.lit("")), body))
-
-
 def contextual_blocks(blocks: DataFrame, titles: DataFrame) -> DataFrame:
     """``block_id, contextual``: every block with a text below its document's title and heading path, both labelled."""
     b = structure.sections(blocks, texts=True).select("block_id", "document_id", "section", "text").where("text is not null")
@@ -72,6 +66,7 @@ def consecutive_missing(probes: DataFrame, key: str, order: str, missing: Column
 
 
 def append_history(entries: Column, history: Column) -> Column:
+    """A history with entries after it; a null history is empty."""
     return F.concat(F.coalesce(history, F.expr("cast(array() as array<string>)")), entries)
 
 

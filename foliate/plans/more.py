@@ -53,6 +53,17 @@ def task_history(spark: SparkSession, d: str) -> DataFrame:
     return r.groupBy("document_id").agg(F.array_join(F.transform(h, lambda x: x["status"]), ",").alias("history"))
 
 
+@query(f"SELECT d.document_id, concat_ws(',', h.history, CASE WHEN h.history IS NULL THEN 'unseen' ELSE 'closed' END) AS history FROM (SELECT DISTINCT document_id FROM inventory WHERE document_id IS NOT NULL) d LEFT JOIN (SELECT document_id, string_agg(status, ',' ORDER BY document_position, started_at, log_path, completed_at) AS history FROM {_R} WHERE document_id IS NOT NULL AND pod_number > 3 GROUP BY 1) h ON d.document_id = h.document_id")
+def appended_history(spark: SparkSession, d: str) -> DataFrame:
+    """The history of each document of the inventory on the later pods, with an entry after it; documents without one begin theirs."""
+    r = runs.distinct_runs(table(spark, d, "runs")).where("document_id is not null and pod_number > 3")
+    h = F.array_sort(F.collect_list(F.struct("document_position", "started_at", "log_path", "completed_at", "status")))
+    known = r.groupBy("document_id").agg(F.transform(h, lambda x: x["status"]).alias("h"))
+    j = table(spark, d, "inventory").select("document_id").where("document_id is not null").distinct().join(known, "document_id", "left")
+    entry = F.array(F.when(F.col("h").isNull(), "unseen").otherwise("closed"))
+    return j.select("document_id", F.array_join(extras.append_history(entry, F.col("h")), ",").alias("history"))
+
+
 @query(f"SELECT count(*) AS attempts, CAST(sum(CASE WHEN return_code IS NOT NULL AND started_at IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS submitted, CAST(sum(CASE WHEN status = 'ok' THEN page_count END) AS DOUBLE) AS pages, CAST(sum(CASE WHEN status = 'ok' AND generated_files = 0 THEN page_count END) AS DOUBLE) AS reconciled_pages FROM {_R}")
 def throughput_eligibility(spark: SparkSession, d: str) -> DataFrame:
     ok = F.col("status") == "ok"

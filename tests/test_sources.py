@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliate import api
+from foliate.operators import inventory
 from foliate.sources import files, policies, sinks
 
 PDF = b"%PDF-1.7\n1 0 obj << /Type /Catalog >> 2 0 obj << /Type /Pages /Count 2 >> 3 0 obj << /Type /Page >> 4 0 obj << /Type /Page >> 5 0 obj << /Title (A \\(b\\)) /Author <FEFF00E7> >>"
@@ -99,3 +100,10 @@ def test_policies(spark, tmp_path):
     path.write_text("[1]")
     with pytest.raises(ValueError):
         policies.load(str(path))
+
+
+def test_listings_and_columns(spark, tmp_path):
+    (tmp_path / "l.tsv").write_text("a/b.pdf\t10\t2024\n/etc/x\t1\t2024\na/../b\t1\t2024\n")
+    assert [(r.path, r.size, r.unsafe) for r in files.listing_tsv(spark, str(tmp_path / "l.tsv")).collect()] == [("a/b.pdf", 10, False), ("/etc/x", 1, True), ("a/../b", 1, True)]
+    df = inventory.conform(spark.createDataFrame([("7", "x")], "n string, other string"), [("m", "double"), ("n", "int")])
+    assert df.dtypes == [("m", "double"), ("n", "int")] and df.first() == (None, 7)
