@@ -222,24 +222,45 @@ def outliers(df: DataFrame, key: str, metrics: list[str], k: int = 10) -> DataFr
     return out
 
 
+# Lengths of the windows by which names are looked up within filenames: the longest that a name fills.
+WINDOWS = (1, 2, 4, 8, 16, 32)
+
+
+def window_keys(c: str, w: str) -> Column:
+    """The distinct keys of all windows of ``w`` characters in ``c``, which has as many: a window's key is the least hash of its pieces of half its length (of 3 characters at least, if it has them).
+
+    Neighbouring windows mostly share their key, so a text has a few of them; all keys of a text are among those of any text that contains it.
+    """
+    g = f"least({w}, greatest(3, shiftright({w}, 1)))"
+    hashes = f"transform(sequence(1, length({c}) - {g} + 1), i -> xxhash64(substring({c}, i, {g})))"
+    return F.expr(f"array_distinct(flatten(transform(array({hashes}), h -> transform(sequence(1, length({c}) - {w} + 1), i -> array_min(slice(h, i, {w} - {g} + 1))))))")
+
+
 def file_matches(files: DataFrame, targets: DataFrame) -> DataFrame:
     """``file, outcome, n``: ``file, name`` rows (all candidate names of a file) against ``path, stem, filename`` of the targets.
 
     Exact names first (``exact``, ``multiple_exact``); files without one by targets whose filename contains one of
     their names (``fuzzy``, ``multiple_fuzzy``), else ``not_found``; n counts the targets. All are compared in lower
-    case. Containment is an equi join on the name's first 1, 2, 4 ... 32 characters, the longest it has, checked exactly.
+    case, and files of the same names once. Containment is an equi join on the key of one of the name's windows, the one
+    that the fewest filenames have, checked exactly; filenames have keys only for window lengths that such names need.
+    Exploded rows are many more than Spark expects of them, so the joins are hinted: only those lengths are broadcast.
     """
     t = targets.select(F.col("path").alias("__p"), F.lower("stem").alias("__stem"), F.lower("filename").alias("__file")).where("__p is not null").distinct()
-    names = files.select("file", F.lower("name").alias("name")).where("name <> ''").distinct()
-    exact = names.join(t.select("__p", F.col("__stem").alias("name")), "name").groupBy("file").agg(F.countDistinct("__p").alias("exact"))
-    rest = names.join(exact, "file", "left_anti")
-    size = F.expr("cast(pow(2, least(5, floor(log2(length(name))))) as int)")
-    wanted = rest.withColumn("__q", size).withColumn("__key", F.expr("substring(name, 1, __q)"))
-    grams = F.expr("array_distinct(flatten(transform(array(1, 2, 4, 8, 16, 32), q -> if(length(__file) >= q, transform(sequence(1, length(__file) - q + 1), i -> substring(__file, i, q)), array()))))")
-    pieces = t.select("__p", "__file", F.explode(grams).alias("__key"))
-    hits = wanted.join(pieces, "__key").where(F.contains(F.col("__file"), F.col("name")))
-    fuzzy = hits.groupBy("file").agg(F.countDistinct("__p").alias("fuzzy"))
-    j = files.select("file").distinct().join(exact, "file", "left").join(fuzzy, "file", "left")
+    named = files.groupBy("file").agg(F.array_sort(F.collect_set(F.nullif(F.lower("name"), F.lit("")))).alias("names"))
+    names = named.select("names").distinct().select("names", F.explode("names").alias("name"))
+    exact = names.join(t.select("__p", F.col("__stem").alias("name")).hint("merge"), "name").groupBy("names").agg(F.countDistinct("__p").alias("exact"))
+    longest = F.array_max(F.filter(F.array(*map(F.lit, WINDOWS)), lambda w: w <= F.length("name")))
+    rest = names.join(exact.hint("merge"), "names", "left_anti").withColumn("__w", longest)
+    filenames = t.where("__file <> ''").select("__file").distinct()
+    fit = filenames.select("__file", F.explode(F.filter(F.array(*map(F.lit, WINDOWS)), lambda w: w <= F.length("__file"))).alias("__w"))
+    pieces = fit.join(F.broadcast(rest.select("__w").distinct()), "__w", "left_semi").select("__file", F.explode(window_keys("__file", "__w")).alias("__key"))
+    counts = pieces.groupBy("__key").agg(F.count("*").alias("__n"))
+    wanted = rest.select("name", "__w").distinct().select("name", F.explode(window_keys("name", "__w")).alias("__key"))
+    rarest = wanted.join(counts.hint("merge"), "__key", "left").groupBy("name").agg(F.min_by("__key", F.struct(F.coalesce("__n", F.lit(0)), "__key")).alias("__key"))
+    hits = rarest.join(pieces.hint("merge"), "__key").where(F.contains(F.col("__file"), F.col("name"))).select("name", "__file")
+    paths = hits.distinct().join(t.select("__p", "__file").distinct().hint("merge"), "__file").select("name", "__p")
+    fuzzy = rest.select("names", "name").join(paths.hint("merge"), "name").groupBy("names").agg(F.countDistinct("__p").alias("fuzzy"))
+    j = named.join(exact.hint("merge"), "names", "left").join(fuzzy.hint("merge"), "names", "left")
     outcome = F.when(F.col("exact") == 1, "exact").when(F.col("exact") > 1, "multiple_exact").when(F.col("fuzzy") == 1, "fuzzy").when(F.col("fuzzy") > 1, "multiple_fuzzy").otherwise("not_found")
     return j.select("file", outcome.alias("outcome"), F.coalesce("exact", "fuzzy", F.lit(0)).alias("n"))
 

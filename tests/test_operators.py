@@ -258,6 +258,34 @@ def test_file_matches_by_hand(spark):
     assert got == {"f1": ("exact", 1), "f2": ("multiple_exact", 2), "f3": ("fuzzy", 1), "f4": ("multiple_fuzzy", 2), "f5": ("not_found", 0), "f6": ("not_found", 0), "f7": ("fuzzy", 1), "f8": ("exact", 1)}
 
 
+def test_file_matches_equals_comparing_all(spark):
+    rng = random.Random(7)
+    word = lambda least, most: "".join(rng.choice("ab_") for _ in range(rng.randint(least, most)))
+    stems = ["report_" + word(1, 60) for _ in range(60)]
+    targets = [(f"/{k}", x, x.title() + ".pdf") for k, x in enumerate(stems)] + [(f"/twin{k}", x, "") for k, x in enumerate(stems[::2])] + [("/0", "twin", stems[1] + ".pdf"), (None, "none", "none.pdf"), ("/n", None, None)]
+    cut = lambda x: x[(i := rng.randrange(len(x))) : i + rng.randint(1, 50)]
+    files = [(f"f{k % 150}", rng.choice([cut(rng.choice(stems)), word(1, 12), rng.choice(stems).upper() if k % 9 == 0 else "report_", cut(rng.choice(stems)) + "é"])) for k in range(250)] + [("f0", None), ("g", ""), ("h", "none")]
+    want = {}
+    for f in {f for f, _ in files}:
+        names = {n.lower() for g, n in files if g == f and n}
+        exact, fuzzy = ({p for p, *x in targets if p and x[side] and any(hit(x[side].lower(), n) for n in names)} for side, hit in ((0, str.__eq__), (1, str.__contains__)))
+        n = len(exact or fuzzy)
+        want[f] = ("not_found", 0) if not n else (("multiple_" if n > 1 else "") + ("exact" if exact else "fuzzy"), n)
+    assert {o for o, _ in want.values()} == {"exact", "multiple_exact", "fuzzy", "multiple_fuzzy", "not_found"}
+    got = inventory.file_matches(spark.createDataFrame(files, "file string, name string"), spark.createDataFrame(targets, "path string, stem string, filename string")).collect()
+    assert {r.file: (r.outcome, r.n) for r in got} == want and len(got) == len(want)
+
+
+def test_file_matches_broadcast_window_lengths_only(spark, small):
+    from foliate.plans import registry
+
+    df = registry.QUERIES["file_matching"](spark, small)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    assert plan.toString().partition("Initial Plan")[2].count("BroadcastExchange") <= 2  # of one column, read by the pieces and by their counts
+    assert "BroadcastNestedLoopJoin" not in plan.toString() and "CartesianProduct" not in plan.toString()
+
+
 def test_newest_first_keeps_every_record(spark):
     rows = [("a", t) for t in range(7)] + [("b", 1)]
     got = catalog.newest_first(spark.createDataFrame(rows, "k string, t int"), "k", ["t"]).collect()
