@@ -188,13 +188,19 @@ def candidates(items: DataFrame, blocks: DataFrame) -> DataFrame:
     """All pairs of one page with their overlap in the better space, in the JVM; a page bounds them.
 
     ``space`` is 0 for page units, 1 for the grid of 1000, null where the item's box is not sound.
+    Boxes go into the join as plain numbers with their area, and what a pair needs more
+    than once is a column of its own, so that each is worked out once.
     """
     wide = items if "width" in items.columns else items.withColumn("width", F.lit(None).cast("double")).withColumn("height", F.lit(None).cast("double"))
-    a = wide.select("record_id", "page", F.col("id").alias("item"), F.col("type").alias("item_type"), geometry.candidate_boxes(F.col("bbox"), F.col("width"), F.col("height")).alias("boxes"))
-    b = blocks.select("record_id", "page", F.col("id").alias("block"), F.col("type").alias("block_type"), F.col("bbox").alias("b"))
+    a = geometry.candidate_columns(wide.select("record_id", "page", F.col("id").alias("item"), F.col("type").alias("item_type"), "bbox", "width", "height"), "bbox", "width", "height")
+    b = geometry.corner_columns(blocks.select("record_id", "page", F.col("id").alias("block"), F.col("type").alias("block_type"), "bbox"), "bbox", "b")
     pairs = a.join(b, ["record_id", "page"])
-    first, second = geometry.iou(F.get("boxes", F.lit(0)), F.col("b")), geometry.iou(F.get("boxes", F.lit(1)), F.col("b"))
-    return pairs.select("record_id", "page", "item", "item_type", "block", "block_type", F.greatest(first, second).alias("iou"), F.when(F.size("boxes") > 0, (second > first).cast("int")).alias("space"))
+    kept = ["record_id", "page", "item", "item_type", "block", "block_type"]
+    for made in ({"i1": geometry.shared("p", "b"), "i2": geometry.shared("s", "b")}, {"u1": F.col("p_area") + F.col("b_area") - F.col("i1"), "u2": F.col("s_area") + F.col("b_area") - F.col("i2")}):
+        pairs = pairs.withColumns(made)
+    share = lambda k: F.when(F.col(f"u{k}") > 0, F.col(f"i{k}") / F.col(f"u{k}")).otherwise(0.0)
+    pairs = pairs.select(*kept, F.col("p_area").isNotNull().alias("sound"), share(1).alias("first"), share(2).alias("second"))
+    return pairs.select(*kept, F.greatest("first", "second").alias("iou"), F.when(F.col("sound"), (F.col("second") > F.col("first")).cast("int")).alias("space"))
 
 
 def compatible(item_type: Column, block_type: Column) -> Column:

@@ -90,8 +90,11 @@ def match_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _boxes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Boxes made of the numbers of order lines, one page an order: an exact input for the arithmetic of candidates."""
-    t = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("record_id"), F.lit("p").alias("page"), F.col("l_linenumber").cast("string").alias("id"), F.col("l_quantity").alias("q"), (F.col("l_partkey") % 60).cast("double").alias("u"), (F.col("l_suppkey") % 40).cast("double").alias("v"), "l_returnflag")
+    """Boxes made of the numbers of order lines, one page an order: an exact input for the arithmetic of candidates.
+
+    Both sides are made of the same lines, dealt by page once.
+    """
+    t = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("record_id"), F.lit("p").alias("page"), F.col("l_linenumber").cast("string").alias("id"), F.col("l_quantity").alias("q"), (F.col("l_partkey") % 60).cast("double").alias("u"), (F.col("l_suppkey") % 40).cast("double").alias("v"), "l_returnflag").repartition("record_id")
     items = t.select("record_id", "page", "id", F.when(F.col("l_returnflag") == "R", "title").otherwise("paragraph").alias("type"), F.array(F.col("u") * 2, F.col("v") * 2, F.col("u") * 2 + F.col("q") * 2, F.col("v") * 2 + 40).alias("bbox"), F.lit(500.0).alias("width"), F.lit(500.0).alias("height"))
     return items, t.select("record_id", "page", "id", F.when(F.col("l_returnflag") == "A", "title").otherwise("text").alias("type"), F.array(F.col("u"), F.col("v"), F.col("u") + F.col("q"), F.col("v") + 20).alias("bbox"))
 

@@ -251,6 +251,41 @@ def test_keywords_and_doi(spark):
     assert r[0].k == ["a b", "c", "d"] and r[0].d == "10.1234/ABC.5" and r[1].d is None
 
 
+def test_candidates_equal_overlaps_by_hand(spark):
+    rng = random.Random(3)
+    some = lambda: [float(x) for x in (rng.randint(0, 9), rng.randint(0, 9), rng.randint(5, 30), rng.randint(5, 30))]
+    odd = [None, [], [1.0, 2.0], [1.0, 1.0, 0.0, 9.0], [-1.0, 0.0, 5.0, 5.0], [0.0, 0.0, float("inf"), 5.0], [0.0, 0.0, 5.0, float("nan")], [0.0, 0.0, 1001.0, 9.0], [3.0, 3.0, 3.0, 3.0], [0.0, 0.0, 0.0, 0.0]]
+    items = [(k % 5, "p", f"i{k}", "title", rng.choice(odd) if k % 3 else some(), *rng.choice([(500.0, 500.0), (1000.0, 1000.0), (800.0, 400.0), (None, 400.0), (None, None)])) for k in range(120)]
+    blocks_ = [(k % 5, "p", f"b{k}", "text", some() if k % 3 else rng.choice([None, [], [1.0, 2.0], [4.0, 4.0, 4.0, 4.0], [9.0, 9.0, 1.0, 1.0]])) for k in range(60)]
+    want = {}
+    for page, _, i, _, box, width, height in items:
+        found = reconcile.box_candidates(box if box and len(box) == 4 else None, (width, height) if width and height else None)
+        for other, _, b, _, where in blocks_:
+            if other == page:
+                space, iou = reconcile.overlap(found, where if where and len(where) == 4 else None)
+                want[i, b] = (iou, {"page_units": 0, "normalized_0_1000": 1}.get(space))
+    assert {space for _, space in want.values()} == {None, 0, 1}
+    made = spark.createDataFrame(items, "record_id long, page string, id string, type string, bbox array<double>, width double, height double"), spark.createDataFrame(blocks_, "record_id long, page string, id string, type string, bbox array<double>")
+    got = reconcile.candidates(*made).collect()
+    assert {(r["item"], r.block): (r.iou, r.space) for r in got} == want and len(got) == len(want)
+    assert got[0].__fields__ == ["record_id", "page", "item", "item_type", "block", "block_type", "iou", "space"]
+
+
+def test_iou_pairs_shuffle_lines_once_and_join_numbers(spark, small):
+    from foliate.plans import registry
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = registry.QUERIES["iou_pairs"](spark, small)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    above, _, _ = plan.partition("SortMergeJoin")
+    assert "ReusedExchange" in plan and "bbox" not in above and "boxes" not in above
+
+
 def test_file_matches_by_hand(spark):
     files = [("f1", "abc"), ("f2", "Twice"), ("f3", "part-of"), ("f4", "many"), ("f5", "nowhere"), ("f6", ""), ("f7", "x" * 40), ("f8", "q"), ("f8", "abc")]
     targets = [("/1", "ABC", "abc.pdf"), ("/2", "twice", "twice.pdf"), ("/3", "twice", "twice.pdf"), ("/4", "a part-of it", "a Part-Of it.pdf"), ("/5", "many1", "many1.pdf"), ("/6", "many2", "many2.pdf"), ("/7", "y", "y" + "x" * 41 + ".pdf"), ("/7", "y", "y" + "x" * 41 + ".pdf")]
